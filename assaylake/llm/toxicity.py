@@ -26,7 +26,7 @@ from .text import SLICE_BYTES, slices, words
 #: many characters at most.
 SAMPLE_DOCS, SAMPLE_CHARS = 1500, 20_000
 #: A feature marks toxic words if so many toxic documents have it and its rate there is so many times the other rate.
-SUPPORT, RATIO = 6, 20.0
+SUPPORT, RATIO = 6, 40.0
 FEATURES = 1 << 18
 EPOCHS, BATCH, RATE = 5, 64, 0.2
 #: Words whose potentials a worker keeps.
