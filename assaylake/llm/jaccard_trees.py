@@ -40,7 +40,7 @@ ODD = [U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9)
 def shingles(texts: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """(text's index, hash) of the distinct shingles of lower-cased texts, sorted; too short a text is one shingle."""
     vocabulary, codes, starts = words(texts, lower=True)
-    hashed = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in vocabulary.cast(pa.binary()).to_pylist()), U64, len(vocabulary))[codes]
+    hashed = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in vocabulary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()), U64, len(vocabulary))[codes]
     sizes = np.diff(starts)
     owner = np.repeat(np.arange(len(sizes)), sizes)
     n = max(0, len(hashed) - width + 1)
@@ -351,8 +351,9 @@ def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     found = jaccard_components(docs, text, doc_id)
     keep = found.where("n_shingles = 0 or doc_id <=> component_id").select(F.col("doc_id").alias("_id"), F.col("t").alias("_t"), "n_shingles", "root")
     alone = keep.where("n_shingles > 0").groupBy("root", "_id").agg(F.min("_t").alias("_t")).select("_id", "_t")
-    marked = docs.withColumn("_t", F.xxhash64(text)).withColumn("_id", F.col(doc_id).cast("long"))
-    match = marked["_id"].eqNullSafe(alone["_id"]) & (marked["_t"] == alone["_t"])
-    kept = marked.join(alone, match, "left_semi").dropDuplicates(["_id", "_t"])
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    marked = docs.select(row, docs[doc_id].cast("long").alias("id"), F.xxhash64(text).alias("t"))
+    same = lambda df: marked["id"].eqNullSafe(df["_id"]) & (marked["t"] == df["_t"])
+    kept = marked.join(alone, same(alone), "left_semi").dropDuplicates(["id", "t"])
     none = keep.where("n_shingles = 0").select("_id", "_t").distinct()
-    return kept.unionByName(marked.join(none, marked["_id"].eqNullSafe(none["_id"]) & (marked["_t"] == none["_t"]), "left_semi")).drop("_id", "_t")
+    return kept.unionByName(marked.join(none, same(none), "left_semi")).select("row.*")

@@ -2,7 +2,7 @@
 
 A suffix automaton of each language's labelled text recognises exactly the text's substrings. A document is parsed
 against it into the fewest greedy phrases: the longest match from here, then the longest match from there. The
-cost of a language is phrases * log2(length of its text), over the letters parsed; the least cost wins.
+cost of a language is what its phrases need to be named, over the letters parsed; the least cost wins.
 Phrases end with their word, so each distinct word is parsed once for a piece of the corpus.
 """
 
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import slices, words
+from .text import slices, strings, words
 
 #: Labelled documents and letters that a language is learned from at most: those whose ids hash lowest.
 SAMPLE_DOCS, SAMPLE_LETTERS = 64, 24_000
@@ -76,7 +76,7 @@ class Model:
     langs: list[str]
     symbol: dict[str, int]
     tables: list[np.ndarray]
-    #: log2 of the length of each language's text.
+    #: What a phrase costs: log2 of its place in the language's text, and of the symbol that ends it.
     bits: np.ndarray
     #: Cost a letter above which a document is in no learned language.
     most: float = np.inf
@@ -101,13 +101,13 @@ class Model:
             grid[row, : sizes[row]] = parts[i]
         owner = np.array(owner)[order]
         for lang, table in enumerate(self.tables):
-            state, count = np.zeros(len(parts), np.int32), np.ones(len(parts), np.int64)
+            state, count = np.zeros(len(parts), np.int32), np.zeros(len(parts), np.int64)
             for at in range(sizes[0]):
                 n = int(np.searchsorted(-sizes, -at, side="left"))  # parts longer than at
                 symbol = grid[:n, at]
                 to = table[state[:n], symbol]
                 again = to < 0
-                count[:n] += again & (at > 0)
+                count[:n] += again | (state[:n] == 0)
                 # an unseen symbol is a phrase by itself
                 state[:n] = np.where(again, np.maximum(table[0, symbol], 0), to)
             np.add.at(out[:, lang], owner, count)
@@ -116,7 +116,8 @@ class Model:
 
 def learn(sample: list[tuple[str, str]]) -> Model:
     """A model of (lang, text) documents, given in a fixed order."""
-    langs = sorted({x[0] for x in sample})
+    langs = sorted({lang for lang, text in sample if LETTER_RUN.search(text)})
+    sample = [x for x in sample if x[0] in langs]
     texts: dict[str, list[str]] = {x: [] for x in langs}
     room = dict.fromkeys(langs, SAMPLE_LETTERS)
     for lang, text in sample:
@@ -130,7 +131,7 @@ def learn(sample: list[tuple[str, str]]) -> Model:
             for c in word:
                 count[c] = count.get(c, 0) + 1
     symbol = {c: k + 1 for k, c in enumerate(sorted(count, key=lambda c: (-count[c], c))[:LETTERS])}
-    model = Model(langs, symbol, [], np.log2([max(2, SAMPLE_LETTERS - room[x]) for x in langs]))
+    model = Model(langs, symbol, [], np.log2([float((SAMPLE_LETTERS - room[x]) * (1 + LETTERS + OTHERS)) for x in langs]))
     for lang in langs:
         model.tables.append(suffix_automaton([s for word in texts[lang] for s in (*model.symbols(word), 0)], 1 + LETTERS + OTHERS))
     # what a language's own documents cost is measured against the part of the sample that is not its text
@@ -169,7 +170,7 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Recor
     kept: dict[str, np.ndarray] = {}
     for piece in slices(batches):
         vocabulary, codes, starts = words(piece.column("text"))
-        names = vocabulary.to_pylist()
+        names = strings(vocabulary)
         new = [w for w in names if w not in kept]
         split = [letter_words(w) for w in new]
         flat = list(dict.fromkeys(x for part in split for x in part))
@@ -214,8 +215,6 @@ def identify(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: st
 
 def accepted_documents(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` whose text is in one of the learned languages, unchanged."""
-    from pyspark.sql.types import StructType
-
     model = docs.sparkSession.sparkContext.broadcast(learn(labelled_sample(docs, text, lang, doc_id)))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,4 +223,4 @@ def accepted_documents(docs: DataFrame, text: str = "text", lang: str = "lang",
             flags = pa.concat_arrays([x.column(2) for x in _score(iter([only]), model.value)] or [pa.array([], pa.bool_())])
             yield batch.filter(flags)
 
-    return docs.mapInArrow(keep, StructType(docs.schema.fields))
+    return docs.mapInArrow(keep, docs.schema)

@@ -51,6 +51,10 @@ def words(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray, n
     return encoded.dictionary, encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64), starts
 
 
+def strings(values: pa.Array) -> list[str]:
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection on 64-bit integers that spreads every input bit."""
     x = x.astype(U64, copy=True)

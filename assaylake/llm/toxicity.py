@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import SLICE_BYTES, slices, words
+from .text import SLICE_BYTES, slices, strings, words
 
 #: Labelled documents that are learned from at most, of each label: those whose ids hash lowest among those of so
 #: many characters at most.
@@ -115,7 +115,7 @@ def learn(sample: list[tuple[str, int]]) -> Field:
     """A field from (text, label) documents in a fixed order."""
     label = np.array([x[1] for x in sample], np.int64)
     vocabulary, codes, starts = words(pa.array([x[0] for x in sample], pa.string()))
-    forms = [form(w) for w in vocabulary.to_pylist()]
+    forms = [form(w) for w in strings(vocabulary)]
     count, n = (Counter(), Counter()), np.bincount(label, minlength=2)
     for k, kind in enumerate(label.tolist()):
         count[kind].update({f for c in set(codes[starts[k] : starts[k + 1]].tolist()) for f in forms[c]})
@@ -185,7 +185,7 @@ def _score(batches: Iterator[pa.RecordBatch], field: Field) -> Iterator[pa.Recor
     for piece in slices(batches, most=2 * SLICE_BYTES):
         texts = piece.column("text")
         vocabulary, codes, starts = words(texts)
-        names = vocabulary.to_pylist()
+        names = strings(vocabulary)
         new = [w for w in names if w not in known]
         fresh = dict(zip(new, field.emissions(new).tolist()))
         potential = np.array([known[w] if w in known else fresh[w] for w in names])
