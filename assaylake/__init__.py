@@ -1,0 +1 @@
+"""Analytics of plate-based imaging screens as Spark DataFrame functions."""
