@@ -122,9 +122,9 @@ def p6(t: Tables):
     return pixels.illumination_correct(image_levels(t).withColumn("channel", F.lit("serum")), corrector).select("image", "y", "x", "v")
 
 
-@query("P13_threshold_channel", f"SELECT {PIXEL}, (v > 70)::INT::BIGINT "over", (v < 60)::INT::BIGINT "under" FROM lv", LEVELS)
+@query("P13_threshold_channel", f"SELECT {PIXEL}, (v > 70)::INT::BIGINT is_over, (v < 60)::INT::BIGINT is_under FROM lv", LEVELS)
 def p13(t: Tables):
-    return image_levels(t).select("image", "y", "x", pixels.threshold(F.col("v"), 70).alias("over"), pixels.threshold(F.col("v"), 60, below=True).alias("under"))
+    return image_levels(t).select("image", "y", "x", pixels.threshold(F.col("v"), 70).alias("is_over"), pixels.threshold(F.col("v"), 60, below=True).alias("is_under"))
 
 
 @query("P14_keep_channels", f"SELECT {PIXEL}, 'mask' channel, v FROM lv UNION ALL SELECT {PIXEL}, 'rim', v / 2 FROM lv", LEVELS)
