@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import hamming_topk, jaccard_trees, language_id, mixing, packing, repetition, secrets, toxicity, unit_dedup, url_filter
+from . import hamming_topk, jaccard_trees, language_id, mixing, oracles, packing, repetition, secrets, toxicity, unit_dedup, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,4 +64,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracles.SQL)
