@@ -7,6 +7,7 @@ and the one that remains is cut into powers of two, which need no padding.
 
 from __future__ import annotations
 
+import os
 import zlib
 from functools import cache
 
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .text import ragged, slices, words
+from .text import ragged, slices, strings, words
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 SEQUENCE = 4096
@@ -26,27 +27,48 @@ END = 2
 #: Documents of a group, on average.
 GROUP = 1024
 #: Words whose ids a worker keeps.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 500_000
+MARKS = ".,;:!?"
+#: A mark that is one token; words with it are encoded one by one, others together with the mark between them.
+MARK = "~"
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
 @cache
 def _tokenizer(path: str) -> tuple[Tokenizer, dict[str, bytes]]:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel work
     return Tokenizer.from_file(path), {}
 
 
+def _encode(tokenizer: Tokenizer, names: list[str]) -> dict[str, bytes]:
+    """The ids of each word, as bytes."""
+    encode = lambda text: np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+    out = {w: encode(w).tobytes() for w in names if MARK in w}
+    rest = [w for w in names if MARK not in w]
+    (mark,) = encode(MARK)
+    for k in range(0, len(rest), 16_384):
+        part = rest[k : k + 16_384]
+        ids = encode(f" {MARK} ".join([*part, ""]))
+        ends = np.flatnonzero(ids == mark).tolist()
+        flat = ids.tobytes()
+        out.update((w, flat[4 * a : 4 * b]) for w, a, b in zip(part, [0, *(e + 1 for e in ends)], ends, strict=False))
+    return out
+
+
 def token_ids(texts: pa.Array, path: str = TOKENIZER) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts, where each text's ids start, one more than texts). The tokenizer drops white space and
     no token goes across it, so a word's ids don't depend on its neighbours and each distinct word is encoded once."""
     tokenizer, known = _tokenizer(path)
-    vocabulary, codes, starts = words(texts)
-    names = vocabulary.to_pylist()
-    new = [w for w in names if w not in known]
-    fresh = {w: np.array(e.ids, "<u4").tobytes() for k in range(0, len(new), 4096) for w, e in zip(new[k : k + 4096], tokenizer.encode_batch_fast(new[k : k + 4096], add_special_tokens=False))}
-    parts = [known[w] if w in known else fresh[w] for w in names]
+    vocabulary, codes, starts = words(texts, lower=True)  # as the tokenizer does
+    # a mark after a letter is a token of its own, so the word before it is the same word
+    split = [(w[:-1], w[-1]) if w[-1] in MARKS and w[-2:-1].isalpha() else (w, "") for w in strings(vocabulary)]
+    fresh = _encode(tokenizer, list({w for w, _ in split if w not in known}.union(m for m in MARKS if m not in known)))
     if len(known) < KEPT_WORDS:
         known.update(fresh)
+        fresh = known
+    marks = {"": b"", **{m: known[m] if m in known else fresh[m] for m in MARKS}}
+    parts = [(known[w] if w in known else fresh[w]) + marks[m] for w, m in split]
     sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
     pool = np.frombuffer(b"".join(parts), "<u4")
     at = np.cumsum(sizes) - sizes
