@@ -2,7 +2,8 @@
 
 A unit is a sentence within a line: it ends with a line feed, or with a run of ``.!?`` before white space. Units
 are normalised (lower case, single spaces) and hashed; digests are grouped over all documents; the occurrence of
-the least rank (document id, then place) stays and the others are removed, with their offsets in the text.
+the least rank (document id, then place) stays and the others are removed, with their offsets in the text, where they
+make up a passage of some length.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .text import slices
@@ -22,8 +23,11 @@ from .text import slices
 SPACE = r"[\x20\x09-\x0D]"
 #: Units follow each other without gaps, so their lengths add up to offsets.
 UNIT = r"(?:[^.!?\n]|[.!?]+[^.!?\x20\x09-\x0D])*(?:[.!?]+[\x20\x09-\x0D]*|\n|$)"
-#: Units of fewer words are too common by chance to be called repeats.
-LEAST_WORDS = 6
+#: Units of fewer words are too common by chance to be hashed.
+LEAST_WORDS = 4
+#: Repeated units that follow each other, with none of their length or more between them that is not repeated, are a
+#: passage; shorter passages stay, as any text may share a short line with another.
+LEAST_RUN = 25
 #: Copies that the one row of a digest is dealt to, so that a digest in a third of all rows meets in no one task.
 SALT = 32
 
@@ -39,30 +43,31 @@ def units(text: str) -> Iterator[tuple[int, int, int, str]]:
 
 def _digests(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     for piece in slices(batches):
-        columns: list[list] = [[] for _ in range(8)]
-        for doc, text in zip(piece.column("doc_id").to_pylist(), piece.column("text").to_pylist()):
-            seen = set()
+        columns: list[list] = [[] for _ in range(10)]
+        for doc, t, text in zip(*(piece.column(k).to_pylist() for k in ("doc_id", "t", "text"))):
+            seen, seq = set(), 0
             for number, start, end, plain in units(text):
                 n = plain.count(" ") + 1
                 if n >= least:
                     digest = xxhash.xxh3_128_intdigest(plain)
                     again = digest in seen
                     seen.add(digest)
-                    for column, value in zip(columns, (doc, number, start, end, n, again, (digest >> 64) - (1 << 63), (digest & (1 << 64) - 1) - (1 << 63))):
+                    for column, value in zip(columns, (doc, t, number, seq, start, end, n, again, (digest >> 64) - (1 << 63), (digest & (1 << 64) - 1) - (1 << 63))):
                         column.append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), *(pa.array(c, pa.int32()) for c in columns[1:5]), pa.array(columns[5], pa.bool_()), *(pa.array(c, pa.int64()) for c in columns[6:])], ["doc_id", "unit_no", "start", "end", "n_words", "again", "h1", "h2"])
+                    seq += 1
+        yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:2]), *(pa.array(c, pa.int32()) for c in columns[2:7]), pa.array(columns[7], pa.bool_()), *(pa.array(c, pa.int64()) for c in columns[8:])], ["doc_id", "t", "unit_no", "seq", "start", "end", "n_words", "again", "h1", "h2"])
 
 
-def repeated_units(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", least_words: int = LEAST_WORDS) -> DataFrame:
+def repeated_units(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", least_words: int = LEAST_WORDS, least_run: int = LEAST_RUN) -> DataFrame:
     """One row for each unit to remove: doc_id, unit_no, start, end (code points), n_words, kept_doc_id (the
     document in which the unit stays, at its first place).
 
-    Null and empty texts have no units. A null id ranks after all others. Rows that repeat an id have equal ranks:
+    Only units in repeated passages of ``least_run`` words or more are removed. Null and empty texts have no units. A null id ranks after all others. Rows that repeat an id have equal ranks:
     where they hold the first occurrence, it stays in each. An empty table gives no rows; other columns are not
     looked at.
     """
-    whole = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows = whole.mapInArrow(lambda it: _digests(it, least_words), "doc_id long, unit_no int, start int, end int, n_words int, again boolean, h1 long, h2 long")
+    whole = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("t"))
+    rows = whole.mapInArrow(lambda it: _digests(it, least_words), "doc_id long, t long, unit_no int, seq int, start int, end int, n_words int, again boolean, h1 long, h2 long")
     last = F.lit(2**63 - 1)
     first = rows.groupBy("h1", "h2").agg(F.min(F.coalesce("doc_id", last)).alias("kept"), F.count("*").alias("times")).where("times > 1")
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))
@@ -70,6 +75,11 @@ def repeated_units(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "unit_no"), F.lit(SALT)).cast("int"))
     met = salted.join(first, (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")) & (F.col("salt") == F.col("k3")))
     gone = met.where(F.col("again") | (F.coalesce("doc_id", last) != F.col("kept")))
+    # units of a passage are numbered without gaps; a row that is there c times has each unit c times
+    row = ["doc_id", "t"]
+    gone = gone.withColumn("run", F.col("seq") - F.dense_rank().over(Window.partitionBy(*row).orderBy("seq")))
+    copies = F.count("*").over(Window.partitionBy(*row, "seq"))
+    gone = gone.withColumn("run_words", F.sum("n_words").over(Window.partitionBy(*row, "run")) / copies).where(F.col("run_words") >= least_run)
     return gone.select("doc_id", "unit_no", "start", "end", "n_words", F.when(F.col("kept") < last, F.col("kept")).alias("kept_doc_id"))
 
 

@@ -103,32 +103,38 @@ def test_topk_odd_rows(spark, monkeypatch):
     assert hamming_topk.nearest_vectors(frame.limit(0)).count() == 0
 
 
-def plain_units(rows, least):
+def plain_units(rows, least, run):
     seen, out = {}, Counter()
     ranked = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0))
     for k in ranked:
-        for number, start, end, plain in unit_dedup.units(rows[k][1] or ""):
-            if len(plain.split(" ")) >= least and plain:
-                first = seen.setdefault(plain, (rows[k][0], number))
-                if first != (rows[k][0], number):
-                    out[(rows[k][0], number, start, end, first[0])] += 1
+        passage = []
+        for number, start, end, plain in [*unit_dedup.units(rows[k][1] or ""), (0, 0, 0, "end " * least)]:
+            words = plain.split()
+            if len(words) >= least:
+                first = (rows[k][0], number) if end == 0 else seen.setdefault(plain, (rows[k][0], number))
+                if end and first != (rows[k][0], number):
+                    passage.append((rows[k][0], number, start, end, len(words), first[0]))
+                else:
+                    if sum(x[4] for x in passage) >= run:
+                        out.update((*x[:4], x[5]) for x in passage)
+                    passage = []
     return out
 
 
 def test_units_match_a_plain_pass(docs, texts, odd, none):
     got = Counter((r["doc_id"], r["unit_no"], r["start"], r["end"], r["kept_doc_id"]) for r in unit_dedup.repeated_units(docs).collect())
-    assert got == plain_units(list(texts.items()), unit_dedup.LEAST_WORDS) and got
+    assert got == plain_units(list(texts.items()), unit_dedup.LEAST_WORDS, unit_dedup.LEAST_RUN) and got
     assert all("".join(texts[d][a:b] for _, a, b, _ in unit_dedup.units(texts[d])) == texts[d] for d in texts)
     got = Counter((r["doc_id"], r["unit_no"], r["start"], r["end"], r["kept_doc_id"]) for r in unit_dedup.repeated_units(odd).collect())
-    assert got == plain_units([r[:2] for r in ODD], unit_dedup.LEAST_WORDS)
+    assert got == plain_units([r[:2] for r in ODD], unit_dedup.LEAST_WORDS, unit_dedup.LEAST_RUN)
     assert unit_dedup.repeated_units(none).count() == 0
 
 
 def test_stripped_texts(spark):
-    passage = "One two three four five six seven. Eight nine ten eleven twelve thirteen fourteen!\n"
+    passage = "One two three four five six seven. No. Eight nine ten eleven twelve thirteen fourteen!\n" + "And " * 12 + "so on.\n"
     rows = documents(spark, [(1, "Start. " + passage, "en", "a"), (2, "Other start. " + passage + "End", "en", "a"), (None, passage, "en", "a")])
     got = {r["doc_id"]: r["text"] for r in unit_dedup.strip_units(rows, unit_dedup.repeated_units(rows)).collect()}
-    assert got == {1: "Start. " + passage, 2: "Other start. End", None: ""}
+    assert got == {1: "Start. " + passage, 2: "Other start. No. End", None: "No. "}
 
 
 def near_copies():
