@@ -26,40 +26,58 @@ def group_statistics(cells: DataFrame, keys: list[str], values: tuple[str, ...]
 PAIRS = (("mean", "mean", "mean"), ("q0.5", "q0.5", "q0.5"), ("q0.7_vs_q0.3", "q0.7", "q0.3"), ("q0.3_vs_q0.7", "q0.3", "q0.7"))
 
 
-def two_group_scores(cells: DataFrame, keys: list[str], value: str = "means") -> DataFrame:
-    """keys, and ratio_of_, diff_of_, dos_of_ each pair, and robust_z_score. Groups side by side in one aggregate;
-    null where a group is empty or a denominator is 0."""
-    own = Window.partitionBy(*keys)
+def _centred(cells: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """``cells`` with the control group's median, over the partitioning that the aggregate then uses."""
+    return cells.withColumn("_m", F.median(F.when(F.col("is_control") == 1, F.col(value))).over(Window.partitionBy(*keys)))
+
+
+def _group_aggregates(value: str) -> list[Column]:
     ctl, inf = F.when(F.col("is_control") == 1, F.col(value)), F.when(F.col("is_infected") == 1, F.col(value))
-    centred = cells.withColumn("_m", F.median(ctl).over(own))
-    aggs = [F.avg(inf).alias("i_mean"), F.avg(ctl).alias("c_mean"), F.median(F.abs(ctl - F.col("_m"))).alias("c_mad")]
+    out = [F.avg(inf).alias("i_mean"), F.avg(ctl).alias("c_mean"), F.median(F.abs(ctl - F.col("_m"))).alias("c_mad")]
     for q in (0.3, 0.5, 0.7):
-        aggs += [F.percentile(inf, q).alias(f"i_q{q}"), F.percentile(ctl, q).alias(f"c_q{q}")]
-    table = centred.groupBy(*keys).agg(*aggs)
+        out += [F.percentile(inf, q).alias(f"i_q{q}"), F.percentile(ctl, q).alias(f"c_q{q}")]
+    return out
+
+
+def _score_columns() -> list[Column]:
     get = lambda side, key: F.col(f"`{side}_{key}`")
     out: list[Column] = []
     for name, one, two in PAIRS:
         a, b = get("i", one), get("c", two)
         out += [F.try_divide(get("i", two), get("c", one)).alias(f"ratio_of_{name}"), (a - b).alias(f"diff_of_{name}"), F.try_divide(a - b, a + b).alias(f"dos_of_{name}")]
-    return table.select(*keys, *out, F.try_divide(get("i", "q0.5") - get("c", "q0.5"), F.col("c_mad")).alias("robust_z_score"))
+    return [*out, F.try_divide(get("i", "q0.5") - get("c", "q0.5"), F.col("c_mad")).alias("robust_z_score")]
+
+
+COUNTS = ("n_infected", "n_control", "n_cells", "fraction_infected", "infected_mean_size", "infected_median_size", "control_mean_size", "control_median_size", "n_outlier_cells")
+
+
+def _count_aggregates(outliers: str) -> list[Column]:
+    inf, ctl = F.col("is_infected") == 1, F.col("is_control") == 1
+    total, size = F.count_if(inf) + F.count_if(ctl), F.col("sizes")
+    values = (F.count_if(inf), F.count_if(ctl), total, F.try_divide(F.count_if(inf), total), F.avg(F.when(inf, size)), F.median(F.when(inf, size)), F.avg(F.when(ctl, size)), F.median(F.when(ctl, size)), F.count_if(F.col(outliers) == 1))
+    return [v.alias(n) for v, n in zip(values, COUNTS)]
+
+
+def two_group_scores(cells: DataFrame, keys: list[str], value: str = "means") -> DataFrame:
+    """keys, and ratio_of_, diff_of_, dos_of_ each pair, and robust_z_score. Groups side by side in one aggregate;
+    null where a group is empty or a denominator is 0."""
+    return _centred(cells, keys, value).groupBy(*keys).agg(*_group_aggregates(value)).select(*keys, *_score_columns())
 
 
 def counts(cells: DataFrame, keys: list[str], outliers: str = "is_outlier") -> DataFrame:
     """Numbers and sizes of the groups, and of outlier cells."""
-    inf, ctl = F.col("is_infected") == 1, F.col("is_control") == 1
-    total = F.count_if(inf) + F.count_if(ctl)
-    return cells.groupBy(*keys).agg(
-        F.count_if(inf).alias("n_infected"), F.count_if(ctl).alias("n_control"), total.alias("n_cells"), F.try_divide(F.count_if(inf), total).alias("fraction_infected"),
-        F.avg(F.when(inf, F.col("sizes"))).alias("infected_mean_size"), F.median(F.when(inf, F.col("sizes"))).alias("infected_median_size"),
-        F.avg(F.when(ctl, F.col("sizes"))).alias("control_mean_size"), F.median(F.when(ctl, F.col("sizes"))).alias("control_median_size"),
-        F.count_if(F.col(outliers) == 1).alias("n_outlier_cells"),
-    )
+    return cells.groupBy(*keys).agg(*_count_aggregates(outliers))
+
+
+def scores_and_counts(cells: DataFrame, keys: list[str], value: str, outliers: str = "is_outlier") -> DataFrame:
+    """Both in one aggregate."""
+    return _centred(cells, keys, value).groupBy(*keys).agg(*_group_aggregates(value), *_count_aggregates(outliers)).select(*keys, *_score_columns(), *COUNTS)
 
 
 def image_table(cells: DataFrame, image_flags: DataFrame, value: str = "means") -> DataFrame:
     """Scores, counts and flags of each image; the score is null for an outlier."""
     keys = ["plate", "well", "image"]
-    table = two_group_scores(cells, keys, value).join(counts(cells, keys), keys)
+    table = scores_and_counts(cells, keys, value)
     flags = image_flags.select("image", "is_outlier", "outlier_type")
     out = table.join(flags, "image", "left").withColumn("is_outlier", F.coalesce("is_outlier", F.lit(-1))).withColumn("outlier_type", F.coalesce("outlier_type", F.lit("not_checked")))
     return out.withColumn("score", F.when(F.col("is_outlier") != 1, F.col("`ratio_of_q0.5`")))
@@ -71,7 +89,7 @@ def well_table(cells: DataFrame, image_flags: DataFrame, value: str = "means") -
     keys = ["plate", "well"]
     bad = image_flags.where("is_outlier = 1").select("image")
     kept = cells.join(bad, "image", "left_anti")
-    table = two_group_scores(kept, keys, value).join(counts(kept, keys), keys)
+    table = scores_and_counts(kept, keys, value)
     wells = cells.select("plate", "well", "image").distinct().join(bad.withColumn("_bad", F.lit(1)), "image", "left").groupBy(*keys).agg(F.count("_bad").alias("n_outlier_images"), F.count("*").alias("n_images"))
     none = F.col("n_outlier_images") == F.col("n_images")
     return wells.join(table, keys, "left").withColumn("is_outlier", F.when(none, 1).otherwise(0)).withColumn("outlier_type", F.when(none, "all images are outliers").otherwise("none")).withColumn("score", F.col("`ratio_of_q0.5`"))
