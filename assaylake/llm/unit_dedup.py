@@ -27,7 +27,7 @@ UNIT = r"(?:[^.!?\n]|[.!?]+[^.!?\x20\x09-\x0D])*(?:[.!?]+[\x20\x09-\x0D]*|\n|$)"
 LEAST_WORDS = 4
 #: Repeated units that follow each other, with none of their length or more between them that is not repeated, are a
 #: passage; shorter passages stay, as any text may share a short line with another.
-LEAST_RUN = 25
+LEAST_RUN = 20
 #: Copies that the one row of a digest is dealt to, so that a digest in a third of all rows meets in no one task.
 SALT = 32
 
