@@ -30,12 +30,8 @@ def mad_of_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """``mad`` for groups of very many rows: values are counted first, so what is shuffled is bounded by the distinct
     values of a group, and the medians weigh each by its count."""
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    centre = counts.groupBy(*keys).agg(F.percentile(value, 0.5, F.col("_n")).alias("median"))
-    return counts.join(centre, keys).groupBy(*keys).agg(F.first("median").alias("median"), F.percentile(F.abs(F.col(value) - F.col("median")), F.lit(0.5), F.col("_n")).alias("mad"))
-
-
-def safe_ratio(a: Column, b: Column) -> Column:
-    return F.try_divide(a, b)
+    centred = counts.withColumn("median", F.percentile(value, F.lit(0.5), F.col("_n")).over(Window.partitionBy(*keys)))
+    return centred.groupBy(*keys).agg(F.first("median").alias("median"), F.percentile(F.abs(F.col(value) - F.col("median")), F.lit(0.5), F.col("_n")).alias("mad"))
 
 
 def welch(df: DataFrame, keys: list[str], value: str, group: str) -> DataFrame:

@@ -20,8 +20,8 @@ def background_levels(pixels: DataFrame, outlier_images: DataFrame) -> DataFrame
     out = None
     for keys in SETS:
         own = (counts if len(keys) == 3 else counts.where("_out is null")).groupBy(*keys, "channel", "v").agg(F.sum("n").alias("n"))
-        centre = own.groupBy(*keys, "channel").agg(F.percentile("v", 0.5, F.col("n")).alias("median"))
-        level = own.join(centre, [*keys, "channel"]).groupBy(*keys, "channel").agg(F.first("median").alias("median"), F.percentile(F.abs(F.col("v") - F.col("median")), F.lit(0.5), F.col("n")).alias("mad")).withColumn("level", F.lit(NAMES[len(keys)]))
+        centred = own.withColumn("median", F.percentile("v", F.lit(0.5), F.col("n")).over(Window.partitionBy(*keys, "channel")))
+        level = centred.groupBy(*keys, "channel").agg(F.first("median").alias("median"), F.percentile(F.abs(F.col("v") - F.col("median")), F.lit(0.5), F.col("n")).alias("mad")).withColumn("level", F.lit(NAMES[len(keys)]))
         out = level if out is None else out.unionByName(level, allowMissingColumns=True)
     return out
 
