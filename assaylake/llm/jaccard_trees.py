@@ -350,10 +350,12 @@ def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     several such rows one. Rows without shingles stay."""
     found = jaccard_components(docs, text, doc_id)
     keep = found.where("n_shingles = 0 or doc_id <=> component_id").select(F.col("doc_id").alias("_id"), F.col("t").alias("_t"), "n_shingles", "root")
-    alone = keep.where("n_shingles > 0").groupBy("root", "_id").agg(F.min("_t").alias("_t")).select("_id", "_t")
+    alone = keep.where("n_shingles > 0").groupBy("root", "_id").agg(F.min("_t").alias("_t")).select("_id", "_t", F.lit(True).alias("once"))
+    none = keep.where("n_shingles = 0").select("_id", "_t", F.lit(False).alias("once")).distinct()
     row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
     marked = docs.select(row, docs[doc_id].cast("long").alias("id"), F.xxhash64(text).alias("t"))
-    same = lambda df: marked["id"].eqNullSafe(df["_id"]) & (marked["t"] == df["_t"])
-    kept = marked.join(alone, same(alone), "left_semi").dropDuplicates(["id", "t"])
-    none = keep.where("n_shingles = 0").select("_id", "_t").distinct()
-    return kept.unionByName(marked.join(none, same(none), "left_semi")).select("row.*")
+    kept = alone.union(none)
+    met = marked.join(kept, marked["id"].eqNullSafe(kept["_id"]) & (marked["t"] == kept["_t"]))
+    # texts are dealt once, by (id, t); rows without shingles differ by their number and all stay
+    number = F.when(F.col("once"), F.lit(0)).otherwise(F.monotonically_increasing_id())
+    return met.withColumn("number", number).dropDuplicates(["id", "t", "number"]).select("row.*")

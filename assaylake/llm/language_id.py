@@ -19,14 +19,15 @@ from pyspark.sql import functions as F
 
 from .text import slices, strings, words
 
-#: Labelled documents and letters that a language is learned from at most: those whose ids hash lowest.
-SAMPLE_DOCS, SAMPLE_LETTERS = 64, 24_000
+#: Labelled documents, of so many characters at most, and letters that a language is learned from at most: those whose
+#: ids hash lowest.
+SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_LETTERS = 64, 20_000, 24_000
 #: Symbols: the word's end, the most frequent letters of the sample, and the others by their code point's remainder.
 LETTERS, OTHERS = 95, 32
 #: A word is parsed in parts of this many letters.
 PART = 48
 #: Words whose costs a worker keeps.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 100_000
 #: A document is rejected if it has no letters, or costs this many times what the costliest sample document does.
 REJECT = 1.25
 
@@ -96,7 +97,7 @@ class Model:
             return out
         order = np.argsort([-len(p) for p in parts], kind="stable")
         sizes = np.array([len(parts[i]) for i in order])
-        grid = np.zeros((len(parts), sizes[0]), np.int64)
+        grid = np.zeros((len(parts), sizes[0]), np.uint8)
         for row, i in enumerate(order.tolist()):
             grid[row, : sizes[row]] = parts[i]
         owner = np.array(owner)[order]
@@ -153,7 +154,7 @@ def id_hash(doc_id: str, of: int) -> Column:
 def labelled_sample(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> list[tuple[str, str]]:
     """(lang, text) of up to ``SAMPLE_DOCS`` documents of each language among those whose id's remainder isn't 2.
     The ids are chosen by their hash on all rows; only the chosen texts reach the driver."""
-    usable = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & (id_hash(doc_id, 4) != 2)).select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"))
+    usable = docs.where(F.col(lang).isNotNull() & (F.length(text) <= SAMPLE_CHARS) & (id_hash(doc_id, 4) != 2)).select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"))
     langs = sorted(r[0] for r in usable.select("lang").distinct().collect())
     chosen = None
     for name in langs:
@@ -161,30 +162,30 @@ def labelled_sample(docs: DataFrame, text: str = "text", lang: str = "lang", doc
         chosen = own if chosen is None else chosen.union(own)
     if chosen is None:
         return []
-    texts = docs.select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
+    texts = docs.where(F.length(text) <= SAMPLE_CHARS).select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     rows = texts.join(F.broadcast(chosen.distinct()), ["id", "lang"]).orderBy(F.md5(F.col("id").cast("string")), "id", "text").limit(SAMPLE_DOCS * len(langs)).collect()
     return [(r["lang"], r["text"] or "") for r in rows]
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    kept: dict[str, np.ndarray] = {}
+    kept: dict[str, int] = {}
+    table = np.zeros((KEPT_WORDS, len(model.langs) + 1), np.float32)
     for piece in slices(batches):
         vocabulary, codes, starts = words(piece.column("text"))
         names = strings(vocabulary)
-        new = [w for w in names if w not in kept]
-        split = [letter_words(w) for w in new]
-        flat = list(dict.fromkeys(x for part in split for x in part))
-        counted, number = model.phrases(flat), {x: k for k, x in enumerate(flat)}
-        fresh = {}
-        for w, part in zip(new, split):
-            row = np.zeros(len(model.langs) + 1)
-            for x in part:
-                row[:-1] += counted[number[x]]
-                row[-1] += len(x) + 1
-            fresh[w] = row
-        values = np.array([kept[w] if w in kept else fresh[w] for w in names]).reshape(len(names), len(model.langs) + 1)
-        if len(kept) < KEPT_WORDS:
-            kept.update(fresh)
+        place = np.fromiter((kept.get(w, -1) for w in names), np.int64, len(names))
+        values = table[place]
+        new = np.flatnonzero(place < 0)
+        split = [letter_words(names[k]) for k in new.tolist()]
+        number = {x: k for k, x in enumerate(dict.fromkeys(x for part in split for x in part))}
+        counted = np.concatenate([model.phrases(list(number)), np.array([[len(x) + 1] for x in number], np.int64).reshape(-1, 1)], axis=1)
+        values[new] = 0
+        owner = np.repeat(new, [len(part) for part in split])
+        np.add.at(values, owner, counted[[number[x] for part in split for x in part]].astype(np.float32) if number else 0)
+        base = len(kept)
+        free = new[: KEPT_WORDS - base]
+        table[base : base + len(free)] = values[free]
+        kept.update((names[k], base + i) for i, k in enumerate(free.tolist()))
         n = len(piece)
         owner = np.repeat(np.arange(n), np.diff(starts))
         total = np.stack([np.bincount(owner, weights=values[codes, k], minlength=n) for k in range(len(model.langs) + 1)], axis=1) if len(names) else np.zeros((n, len(model.langs) + 1))
@@ -218,9 +219,19 @@ def accepted_documents(docs: DataFrame, text: str = "text", lang: str = "lang",
     model = docs.sparkSession.sparkContext.broadcast(learn(labelled_sample(docs, text, lang, doc_id)))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            only = pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(text))], ["text"])
-            flags = pa.concat_arrays([x.column(2) for x in _score(iter([only]), model.value)] or [pa.array([], pa.bool_())])
-            yield batch.filter(flags)
+        waiting: list[pa.RecordBatch] = []
+
+        def texts() -> Iterator[pa.RecordBatch]:
+            for batch in filter(len, batches):
+                waiting.append(batch)
+                yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(text))], ["text"])
+
+        done = 0
+        for scored in _score(texts(), model.value):  # pieces of a batch, in order
+            yield waiting[0].slice(done, len(scored)).filter(scored.column(2))
+            done += len(scored)
+            if done == len(waiting[0]):
+                waiting.pop(0)
+                done = 0
 
     return docs.mapInArrow(keep, docs.schema)

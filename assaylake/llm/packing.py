@@ -27,7 +27,7 @@ END = 2
 #: Documents of a group, on average.
 GROUP = 1024
 #: Words whose ids a worker keeps.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 150_000
 MARKS = ".,;:!?"
 #: A mark that is one token; words with it are encoded one by one, others together with the mark between them.
 MARK = "~"

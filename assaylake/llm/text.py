@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that a task turns into numpy arrays at a time.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 U64 = np.uint64
 

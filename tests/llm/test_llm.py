@@ -233,6 +233,20 @@ def test_language_is_found_in_held_out_texts(docs, odd, none):
     assert language_id.identify(none).count() == 0 and language_id.accepted_documents(odd).columns == odd.columns
 
 
+def test_scores_do_not_depend_on_the_slices(spark, docs, monkeypatch):
+    import pyarrow as pa
+
+    from assaylake.llm import text
+
+    model = language_id.learn(language_id.labelled_sample(docs))
+    rows = pa.array([r["text"] for r in docs.limit(120).collect()])
+    run = lambda: [x for b in language_id._score(iter([pa.RecordBatch.from_arrays([rows], ["text"])]), model) for x in zip(*(c.to_pylist() for c in b.columns[:2]))]
+    whole = run()
+    monkeypatch.setattr(language_id, "slices", lambda batches: text.slices(batches, most=5000))
+    monkeypatch.setattr(language_id, "KEPT_WORDS", 300)
+    assert [x[0] for x in run()] == [x[0] for x in whole] and np.allclose([x[1] for x in run()], [x[1] for x in whole])
+
+
 def test_phrases_are_greedy_longest_matches():
     random.seed(1)
     sample = [("a", " ".join("".join(random.choices("abc", k=4)) for _ in range(40))), ("b", "bca cab abba")]
