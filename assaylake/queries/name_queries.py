@@ -38,12 +38,12 @@ def p2(t: Tables):
     return t.images.select("image_name", names.site_name(F.col("image_name")).alias("site_name"), "price")
 
 
-@query("P3_parse_channels", "SELECT image, ['DAPI', 'WF_GFP', 'TRITC'] channels FROM images")
+@query("P3_parse_channels", "SELECT image, 'DAPI,WF_GFP,TRITC' channels FROM images")
 def p3(t: Tables):
     return t.images.select("image", names.channels(F.col("image_name")).alias("channels"))
 
 
-@query("P4_check_channels_consistent", "SELECT plate, 1::BIGINT n_lists, ['TRITC'] unmapped FROM images GROUP BY plate")
+@query("P4_check_channels_consistent", "SELECT plate, 1::BIGINT n_lists, 'TRITC' unmapped FROM images GROUP BY plate")
 def p4(t: Tables):
     listed = t.images.withColumn("channels", names.channels(F.col("image_name")))
     known = F.array(F.lit("DAPI"), F.lit("WF_GFP"))
@@ -87,7 +87,7 @@ def p21(t: Tables):
     return t.images.select("image", names.plate_time(F.col("plate_name")).alias("created_at"))
 
 
-@query("P22_bg_well_rule", "SELECT DISTINCT plate, CASE WHEN plate % 4 IN (1, 2) OR plate % 4 = 0 AND plate >= 22 THEN ['H01', 'G01'] ELSE ['H01'] END wells FROM images")
+@query("P22_bg_well_rule", "SELECT DISTINCT plate, CASE WHEN plate % 4 IN (1, 2) OR plate % 4 = 0 AND plate >= 22 THEN 'H01,G01' ELSE 'H01' END wells FROM images")
 def p22(t: Tables):
     return t.images.select("plate", names.empty_wells(F.col("plate_name")).alias("wells")).distinct()
 
@@ -190,7 +190,7 @@ def s4(t: Tables):
     return readers.channel_mapping(doc)
 
 
-@query("S6_read_bg_wells", "SELECT DISTINCT plate, CASE plate % 3 WHEN 0 THEN 'wells' WHEN 1 THEN 'min' ELSE 'fixed' END mode, CASE WHEN plate % 3 = 0 THEN ['H01', 'G0' || plate % 10] END wells, CASE WHEN plate % 3 = 2 THEN plate * 1.5::DOUBLE END fixed_igg FROM images")
+@query("S6_read_bg_wells", "SELECT DISTINCT plate, CASE plate % 3 WHEN 0 THEN 'wells' WHEN 1 THEN 'min' ELSE 'fixed' END mode, CASE WHEN plate % 3 = 0 THEN 'H01,G0' || plate % 10 END wells, CASE WHEN plate % 3 = 2 THEN plate * 1.5::DOUBLE END fixed_igg FROM images")
 def s6(t: Tables):
     doc = F.when(F.col("plate") % 3 == 0, F.concat(F.lit('["H01", "G0'), F.col("plate") % 10, F.lit('"]'))).when(F.col("plate") % 3 == 1, F.lit('"min"')).otherwise(F.concat(F.lit('{"IgG": '), F.col("plate") * 1.5, F.lit("}")))
     mode, wells, fixed = readers.background_setting(F.col("doc"))
@@ -227,7 +227,7 @@ def j13(t: Tables):
     return metadata.enriched(old, new, ["well"], ["kind"])
 
 
-@query("J14_build_plate_doc", "SELECT plate, list({'well': well, 'images': images} ORDER BY well) wells FROM (SELECT plate, well, list({'image': image, 'is_outlier': is_outlier::INT} ORDER BY image) images FROM images JOIN flags USING (image) GROUP BY ALL) GROUP BY plate")
+@query("J14_build_plate_doc", "SELECT plate, to_json(list({'well': well, 'images': images} ORDER BY well))::VARCHAR wells FROM (SELECT plate, well, list({'image': image, 'is_outlier': is_outlier::INT} ORDER BY image) images FROM images JOIN flags USING (image) GROUP BY ALL) GROUP BY plate")
 def j14(t: Tables):
     return metadata.plate_documents(t.images.select("plate", "well", "image").join(t.flags, "image").select("plate", "well", "image", "is_outlier"))
 
@@ -317,7 +317,7 @@ def k6(t: Tables):
     return sinks.upsert(rows.where("image % 2 = 0"), rows.where("image % 2 = 1"), ["well", "plate"], ["day", "image"]).drop("image")
 
 
-@query("K7_doc_table", "SELECT plate, list({'well': well, 'n_cells': n} ORDER BY well) \"rows\" FROM (SELECT plate, well, count(*) n FROM images GROUP BY ALL) GROUP BY plate")
+@query("K7_doc_table", "SELECT plate, to_json(list({'well': well, 'n_cells': n} ORDER BY well))::VARCHAR \"rows\" FROM (SELECT plate, well, count(*) n FROM images GROUP BY ALL) GROUP BY plate")
 def k7(t: Tables):
     table = t.images.groupBy("plate", "well").agg(F.count("*").alias("n.cells"))
     return metadata.document_rows(table, ["plate"])
@@ -349,7 +349,7 @@ def i1(t: Tables):
     return incremental.todo(e, e.where("event_type = 'error' and event_id % 10 = 0"), e.where("value > 95 and event_id % 10 = 1"), "user_id")
 
 
-@query("I2_validate", "SELECT event_id, list_filter([CASE WHEN NOT \"value\" < 90 THEN 'high' END, CASE WHEN NOT user_id > 10 THEN 'user' END], lambda x: x IS NOT NULL) problems FROM events")
+@query("I2_validate", "SELECT event_id, concat_ws(',', CASE WHEN NOT \"value\" < 90 THEN 'high' END, CASE WHEN NOT user_id > 10 THEN 'user' END) problems FROM events")
 def i2(t: Tables):
     return incremental.validated(t.read("events"), {"high": F.col("value") < 90, "user": F.col("user_id") > 10}).select("event_id", "problems")
 

@@ -118,7 +118,7 @@ def r(expression: str, name: str) -> str:
 
 
 def plain(df: DataFrame) -> DataFrame:
-    """Doubles rounded to six digits, as sums depend on their order; integers as long; names without dots."""
+    """Doubles rounded to six digits, as sums depend on their order; integers as long; lists and documents as text; names without dots."""
     out = []
     for name, kind in df.dtypes:
         column = F.col(f"`{name}`")
@@ -126,6 +126,10 @@ def plain(df: DataFrame) -> DataFrame:
             column = F.floor(column.cast("double") * 1e6 + 0.4987) / 1e6
         elif kind in ("int", "smallint", "tinyint"):
             column = column.cast("long")
+        elif kind == "array<string>":
+            column = F.array_join(column, ",")
+        elif kind.startswith(("array", "struct", "map")):
+            column = F.to_json(column)
         out.append(column.alias(name.replace(".", "_")))
     return df.select(*out)
 
