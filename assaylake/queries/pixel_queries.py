@@ -95,12 +95,12 @@ def a41(t: Tables):
     return pixels.contrast_limits(image_levels(t))
 
 
-@query("A16_downscale", f"SELECT image, y // 3 y, x // 3 x, {r('avg(v)', 'v')} FROM lv WHERE y < 6 AND x < 6 GROUP BY ALL", LEVELS)
+@query("A16_downscale", f"SELECT image, (y // 3)::BIGINT y, (x // 3)::BIGINT x, {r('avg(v)', 'v')} FROM lv WHERE y < 6 AND x < 6 GROUP BY ALL", LEVELS)
 def a16(t: Tables):
     return pixels.downscale(image_levels(t), 3)
 
 
-@query("A16_downscale_labels", "SELECT image, y // 3 y, x // 3 x, label_id::BIGINT label_id FROM pixels WHERE y % 3 = 0 AND x % 3 = 0")
+@query("A16_downscale_labels", "SELECT image, (y // 3)::BIGINT y, (x // 3)::BIGINT x, label_id::BIGINT label_id FROM pixels WHERE y % 3 = 0 AND x % 3 = 0")
 def a16_labels(t: Tables):
     return pixels.downscale_labels(t.pixels.select("image", "y", "x", "label_id"), 3)
 
