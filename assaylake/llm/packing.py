@@ -13,6 +13,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ END = 2
 #: Documents of a group, on average.
 GROUP = 1024
 #: Words whose ids a worker keeps.
-KEPT_WORDS = 150_000
+KEPT_WORDS = 200_000
 MARKS = ".,;:!?"
 #: A mark that is one token; words with it are encoded one by one, others together with the mark between them.
 MARK = "~"
@@ -41,18 +42,38 @@ def _tokenizer(path: str) -> tuple[Tokenizer, dict[str, bytes]]:
     return Tokenizer.from_file(path), {}
 
 
-def _encode(tokenizer: Tokenizer, names: list[str]) -> dict[str, bytes]:
-    """The ids of each word, as bytes."""
+@cache
+def _ends(path: str) -> np.ndarray:
+    """Whether each id ends a run of letters, digits or marks."""
+    vocabulary = _tokenizer(path)[0].get_vocab()
+    out = np.zeros(max(vocabulary.values()) + 1, bool)
+    out[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+    return out
+
+
+def _encode(tokenizer: Tokenizer, names: list[str], path: str) -> dict[str, bytes]:
+    """The ids of each word, as bytes. Words of letters alone are one run each, so the ids that end a run part them;
+    other words are encoded with a mark between them."""
     encode = lambda text: np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
     out = {w: encode(w).tobytes() for w in names if MARK in w}
-    rest = [w for w in names if MARK not in w]
+    plain = [w for w in names if w.isalpha() and max(w) < "\u0130"]
+    other = [w for w in names if MARK not in w and not (w.isalpha() and max(w) < "\u0130")]
     (mark,) = encode(MARK)
-    for k in range(0, len(rest), 16_384):
-        part = rest[k : k + 16_384]
-        ids = encode(f" {MARK} ".join([*part, ""]))
-        ends = np.flatnonzero(ids == mark).tolist()
-        flat = ids.tobytes()
-        out.update((w, flat[4 * a : 4 * b]) for w, a, b in zip(part, [0, *(e + 1 for e in ends)], ends, strict=False))
+    for rest, joint in ((plain, " "), (other, f" {MARK} ")):
+        for k in range(0, len(rest), 16_384):
+            part = rest[k : k + 16_384]
+            ids = encode(joint.join([*part, ""]))
+            if joint == " ":
+                ends = np.flatnonzero(_ends(path)[ids]) + 1
+                starts = np.concatenate([[0], ends[:-1]])
+            else:
+                ends = np.flatnonzero(ids == mark)
+                starts = np.concatenate([[0], ends[:-1] + 1])
+            if len(ends) != len(part):  # a word that is several runs after all
+                out.update((w, encode(w).tobytes()) for w in part)
+                continue
+            flat = ids.tobytes()
+            out.update((w, flat[4 * a : 4 * b]) for w, a, b in zip(part, starts.tolist(), ends.tolist()))
     return out
 
 
@@ -60,10 +81,12 @@ def token_ids(texts: pa.Array, path: str = TOKENIZER) -> tuple[np.ndarray, np.nd
     """(ids of all texts, where each text's ids start, one more than texts). The tokenizer drops white space and
     no token goes across it, so a word's ids don't depend on its neighbours and each distinct word is encoded once."""
     tokenizer, known = _tokenizer(path)
-    vocabulary, codes, starts = words(texts, lower=True)  # as the tokenizer does
+    # the tokenizer lower-cases too, but takes its special tokens from the text as it is
+    special = pc.any(pc.match_substring(texts, "<|")).as_py()
+    vocabulary, codes, starts = words(texts, lower=not special)
     # a mark after a letter is a token of its own, so the word before it is the same word
     split = [(w[:-1], w[-1]) if w[-1] in MARKS and w[-2:-1].isalpha() else (w, "") for w in strings(vocabulary)]
-    fresh = _encode(tokenizer, list({w for w, _ in split if w not in known}.union(m for m in MARKS if m not in known)))
+    fresh = _encode(tokenizer, list({w for w, _ in split if w not in known}.union(m for m in MARKS if m not in known)), path)
     if len(known) < KEPT_WORDS:
         known.update(fresh)
         fresh = known
@@ -170,7 +193,8 @@ def pack_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """One row a piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     A null or empty text has the end id alone. Repeated rows are documents of their own and are dealt apart; a
-    null id stays null. A text of any length is held by one task whole. An empty table gives no rows; other
+    null id stays null. Rows are numbered as they are read, so ``docs`` is best a table and not a shuffle's result. A text
+    of any length is held by one task whole. An empty table gives no rows; other
     columns are not looked at.
     """
     groups = max(1, -(-docs.count() // group))
