@@ -27,7 +27,7 @@ from .components import components
 from .store import partitions, saved
 from .text import U64, mix, runs, signed, slices, words
 
-#: A pair is linked if 100 * |both| >= PERCENT * |either|.
+#: A pair is linked if 100 * |both| >= percent * |either|; these are the op3 query's percent and words of a shingle.
 PERCENT = 90
 SHINGLE = 3
 #: Shingles that one block of a cluster holds at most, unless one set is larger.
@@ -112,15 +112,15 @@ def segment_hashes(at: np.ndarray, value: np.ndarray, n: int, percent: int = PER
     return np.concatenate(owners), np.concatenate(out)
 
 
-def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _describe(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
     for piece in slices(batches):
         n = len(piece)
-        at, value = shingles(piece.column("text"))
+        at, value = shingles(piece.column("text"), width)
         sizes = np.bincount(at, minlength=n)
         digest = np.zeros(n, U64)
         np.add.at(digest, at, mix(value ^ ODD[0]))
         digest = mix(digest + sizes.astype(U64))
-        owner, signature = segment_hashes(at, value, n)
+        owner, signature = segment_hashes(at, value, n, percent)
         order = np.argsort(owner, kind="stable")
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))]).astype(np.int32)), pa.array(signed(signature[order])))
         yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("t"), pa.array(sizes.astype(np.int64)), pa.array(signed(digest)), lists], ["doc_id", "t", "n", "node", "sigs"])
@@ -160,11 +160,11 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """The whole sets of candidates, and a minimum hash that gathers similar ones."""
     for piece in slices(batches):
         n = len(piece)
-        at, value = shingles(piece.column("text"))
+        at, value = shingles(piece.column("text"), width)
         sizes = np.bincount(at, minlength=n)
         digest = np.zeros(n, U64)
         np.add.at(digest, at, mix(value ^ ODD[0]))
@@ -270,32 +270,32 @@ def join_trees(nodes: np.ndarray, sets: list[np.ndarray], side: np.ndarray, root
     return np.array(edges, np.int64).reshape(-1, 2)
 
 
-def _join_group(table: pa.Table) -> pa.Table:
+def _join_group(table: pa.Table, percent: int) -> pa.Table:
     table = table.sort_by([("least", "ascending"), ("node", "ascending")])
     flat, offsets = table.column("set").combine_chunks(), None
     values, offsets = flat.values.to_numpy(zero_copy_only=False), flat.offsets.to_numpy(zero_copy_only=False)
     sets = [values[offsets[k] : offsets[k + 1]] for k in range(len(flat))]
     column = lambda name: table.column(name).to_numpy()
-    edges = join_trees(column("node"), sets, (column("block") != column("i")).astype(np.int64), column("root"))
+    edges = join_trees(column("node"), sets, (column("block") != column("i")).astype(np.int64), column("root"), percent)
     return pa.table({"a": edges[:, 0], "b": edges[:, 1]})
 
 
 EDGE = "a long, b long"
 
 
-def _compare(members: DataFrame, pairs: DataFrame) -> DataFrame:
+def _compare(members: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """Edges between linked sets of the pairs (cluster, i, j) of blocks; i = j compares a block with itself."""
     ends = pairs.select("cluster", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
-    return members.join(ends, ["cluster", "block"]).groupBy("cluster", "i", "j").applyInArrow(_join_group, EDGE)
+    return members.join(ends, ["cluster", "block"]).groupBy("cluster", "i", "j").applyInArrow(lambda table: _join_group(table, percent), EDGE)
 
 
-def set_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+def set_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(doc_id, t, n, node, sigs of each row; node, root of the nodes in links): the classes and their links.
 
     node is a 64-bit digest of the text's shingle set, t a hash of the text itself."""
     spark = docs.sparkSession
     whole = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows = saved(whole.withColumn("t", F.xxhash64("text")).mapInArrow(_describe, "doc_id long, t long, n long, node long, sigs array<long>"))
+    rows = saved(whole.withColumn("t", F.xxhash64("text")).mapInArrow(lambda it: _describe(it, width, percent), "doc_id long, t long, n long, node long, sigs array<long>"))
     classes = rows.where("n > 0").select("node", "sigs")
     total = rows.agg(F.sum(F.size("sigs"))).first()[0] or 0
     meet = classes.mapInArrow(_deal, "sig long, a long, b long, edge boolean")
@@ -305,23 +305,23 @@ def set_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     first = rows.where("n > 0").groupBy("node").agg(F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("key"))
     picked = clusters.join(first, "node")
     texts = whole.withColumn("key", F.coalesce("doc_id", F.lit(-(2**63)))).drop("doc_id")
-    found = picked.join(texts, "key").select("cluster", "node", "text").mapInArrow(_sets, "cluster long, node long, least long, set array<long>")
+    found = picked.join(texts, "key").select("cluster", "node", "text").mapInArrow(lambda it: _sets(it, width), "cluster long, node long, least long, set array<long>")
     members = found.dropDuplicates(["node"])
     members = saved(members)
     size = members.groupBy("cluster").agg(F.ceil(F.sum(F.size("set")) / F.lit(BLOCK_SHINGLES)).alias("blocks"))
     members = saved(members.join(size, "cluster").withColumn("block", F.pmod(F.xxhash64("least"), F.col("blocks")).cast("long")).withColumn("root", F.col("node")))
     own = members.select("cluster", F.col("block").alias("i"), F.col("block").alias("j")).distinct()
-    edges = saved(_compare(members, own))
+    edges = saved(_compare(members, own, percent))
     large = members.where("blocks > 1")
     if not large.isEmpty():
         first_block = large.groupBy("cluster").agg(F.min("block").alias("i"))
         star = large.select("cluster", "block").distinct().join(first_block, "cluster").where("block <> i").select("cluster", "i", F.col("block").alias("j"))
-        edges = saved(edges.union(_compare(_with_roots(large, edges), star)))
+        edges = saved(edges.union(_compare(_with_roots(large, edges), star, percent)))
         now = saved(_with_roots(large, edges))
         state = now.groupBy("cluster", "block").agg(F.min("root").alias("low"), F.max("root").alias("high"))
         left, right = (state.select("cluster", F.col("block").alias(k), F.col("low").alias(f"low_{k}"), F.col("high").alias(f"high_{k}")) for k in "ij")
         open_pairs = left.join(right, "cluster").where("i < j and not (low_i = high_i and low_j = high_j and low_i = low_j)").join(first_block.select("cluster", F.col("i").alias("done")), "cluster").where("i <> done").select("cluster", "i", "j")
-        edges = saved(edges.union(_compare(now, open_pairs)))
+        edges = saved(edges.union(_compare(now, open_pairs, percent)))
     return rows, components(edges)
 
 
@@ -329,14 +329,14 @@ def _with_roots(members: DataFrame, edges: DataFrame) -> DataFrame:
     return members.drop("root").join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, root, t of each row: component_id is the least doc_id that links reach.
 
     Nulls and empty texts have no shingles and are linked with nothing: their component is their own id. Rows with
     one id are documents of their own. A null id is the component only where all of its ids are null. An empty
     table gives no rows. root names the component's set class and t the text; other columns are not looked at.
     """
-    rows, roots = set_classes(docs, text, doc_id)
+    rows, roots = set_classes(docs, text, doc_id, width, percent)
     classes = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
     joined = classes.join(roots, "node", "left").withColumn("linked", F.col("root").isNotNull()).withColumn("root", F.coalesce("root", "node"))
     components_ = joined.where("linked").groupBy("root").agg(F.min("least").alias("of"))
@@ -345,10 +345,10 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     return rows.drop("sigs").join(known, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & found, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"), F.coalesce("root", "node").alias("root"), "t")
 
 
-def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs``, all columns, of which one of each component stays: the one with the least id, and of
     several such rows one. Rows without shingles stay."""
-    found = jaccard_components(docs, text, doc_id)
+    found = jaccard_components(docs, text, doc_id, width, percent)
     keep = found.where("n_shingles = 0 or doc_id <=> component_id").select(F.col("doc_id").alias("_id"), F.col("t").alias("_t"), "n_shingles", "root")
     alone = keep.where("n_shingles > 0").groupBy("root", "_id").agg(F.min("_t").alias("_t")).select("_id", "_t", F.lit(True).alias("once"))
     none = keep.where("n_shingles = 0").select("_id", "_t", F.lit(False).alias("once")).distinct()

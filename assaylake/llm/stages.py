@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from . import jaccard_trees, language_id, mixing, packing, secrets
 
+#: Near copies share so many percent of the shingles of so many words.
+NEAR_SHINGLE, NEAR_PERCENT = 5, 80
+
 
 def keep_languages(docs: DataFrame) -> DataFrame:
     """Documents in one of the learned languages."""
@@ -15,8 +18,8 @@ def keep_languages(docs: DataFrame) -> DataFrame:
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """One document of each group of near copies."""
-    return jaccard_trees.one_of_each(docs)
+    """One document of each group of near copies: those with a Jaccard of five-word shingles of 0.8 or more."""
+    return jaccard_trees.one_of_each(docs, width=NEAR_SHINGLE, percent=NEAR_PERCENT)
 
 
 def redact_secrets(docs: DataFrame) -> DataFrame:
