@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
@@ -30,8 +30,9 @@ from .text import U64, mix, runs, signed, slices, words
 #: A pair is linked if 100 * |both| >= percent * |either|; these are the op3 query's percent and words of a shingle.
 PERCENT = 90
 SHINGLE = 3
-#: Shingles that one block of a cluster holds at most, unless one set is larger.
+#: Shingles that one block of a cluster holds, and at most one part more; a part is dealt this share of a block on average.
 BLOCK_SHINGLES = 2_000_000
+PARTS = 16
 BITMAP_WORDS = 16
 FANOUT = 4
 ODD = [U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9)]
@@ -289,6 +290,27 @@ def _compare(members: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     return members.join(ends, ["cluster", "block"]).groupBy("cluster", "i", "j").applyInArrow(lambda table: _join_group(table, percent), EDGE)
 
 
+def _with_blocks(members: DataFrame) -> DataFrame:
+    """``members`` with the block of each set, numbered from 0 in each cluster.
+
+    The sets of a minimum hash stay together unless they are more than a part; then each is dealt by itself, as nearly
+    all sets of a group of near copies have one minimum hash. Parts are filled into blocks in order."""
+    keys = members.select("cluster", "node", "least", F.size("set").cast("long").alias("size"))
+    whole = keys.groupBy("cluster").agg(F.sum("size").alias("whole")).where(F.col("whole") > BLOCK_SHINGLES)
+    keys = saved(keys.join(whole, "cluster"))
+    if keys.isEmpty():
+        return members.withColumn("block", F.lit(0).cast("long"))
+    common = keys.groupBy("cluster", "least").agg(F.sum("size").alias("held")).where(F.col("held") * PARTS > BLOCK_SHINGLES)
+    common = common.select("cluster", "least", F.lit(True).alias("alone"))
+    part = F.pmod(F.xxhash64("least", F.when(F.col("alone"), F.col("node"))), F.ceil(F.col("whole") * PARTS / BLOCK_SHINGLES))
+    keys = saved(keys.join(common, ["cluster", "least"], "left").select("cluster", "node", "size", part.alias("part")))
+    upto = F.sum("held").over(Window.partitionBy("cluster").orderBy("part"))
+    parts = keys.groupBy("cluster", "part").agg(F.sum("size").alias("held"))
+    parts = parts.select("cluster", "part", F.floor((upto - F.col("held")) / BLOCK_SHINGLES).cast("long").alias("block"))
+    blocks = keys.join(parts, ["cluster", "part"]).select("node", "block")
+    return members.join(blocks, "node", "left").withColumn("block", F.coalesce("block", F.lit(0)).cast("long"))
+
+
 def set_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(doc_id, t, n, node, sigs of each row; node, root of the nodes in links): the classes and their links.
 
@@ -308,11 +330,10 @@ def set_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wid
     found = picked.join(texts, "key").select("cluster", "node", "text").mapInArrow(lambda it: _sets(it, width), "cluster long, node long, least long, set array<long>")
     members = found.dropDuplicates(["node"])
     members = saved(members)
-    size = members.groupBy("cluster").agg(F.ceil(F.sum(F.size("set")) / F.lit(BLOCK_SHINGLES)).alias("blocks"))
-    members = saved(members.join(size, "cluster").withColumn("block", F.pmod(F.xxhash64("least"), F.col("blocks")).cast("long")).withColumn("root", F.col("node")))
+    members = saved(_with_blocks(members).withColumn("root", F.col("node")))
     own = members.select("cluster", F.col("block").alias("i"), F.col("block").alias("j")).distinct()
     edges = saved(_compare(members, own, percent))
-    large = members.where("blocks > 1")
+    large = members.join(members.where("block > 0").select("cluster").distinct(), "cluster", "left_semi")
     if not large.isEmpty():
         first_block = large.groupBy("cluster").agg(F.min("block").alias("i"))
         star = large.select("cluster", "block").distinct().join(first_block, "cluster").where("block <> i").select("cluster", "i", F.col("block").alias("j"))

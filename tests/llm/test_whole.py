@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from assaylake.llm import jaccard_trees, stages
 
@@ -52,3 +53,20 @@ def test_near_copies_of_the_stage_match_all_pairs(spark, block, monkeypatch):
     want = least_of_each(rows, 5, 80)
     assert want != least_of_each(rows, 3, 90)
     assert sorted(r["doc_id"] for r in got) == want
+
+
+def test_blocks_of_near_copies_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_trees, "BLOCK_SHINGLES", 2000)
+    held = []
+    compare = jaccard_trees._compare
+
+    def spy(members, *more):
+        held.extend(r[0] for r in members.groupBy("cluster", "block").agg(F.sum(F.size("set"))).select("sum(size(set))").collect())
+        return compare(members, *more)
+
+    monkeypatch.setattr(jaccard_trees, "_compare", spy)
+    body = [f"w{k}" for k in range(100)]
+    rows = [" ".join([*body, f"end{k}"]) for k in range(200)]
+    got = jaccard_trees.jaccard_components(documents(spark, [(k, t, "en", "a") for k, t in enumerate(rows)])).collect()
+    assert {r["component_id"] for r in got} == {0}
+    assert len(held) > 5 and max(held) <= 2 * 2000
