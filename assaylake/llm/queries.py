@@ -21,6 +21,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unit_dedup.repeated_units(table(spark, sf_dir, "documents"))
 
 
+def op2_substring_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unit_dedup.every_repeat(table(spark, sf_dir, "documents"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_trees.jaccard_components(table(spark, sf_dir, "documents")).drop("root", "t")
 

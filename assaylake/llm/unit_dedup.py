@@ -43,11 +43,11 @@ def units(text: str) -> Iterator[tuple[int, int, int, str]]:
 
 def _digests(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     for piece in slices(batches):
-        columns: list[list] = [[] for _ in range(10)]
+        columns: list[list] = [[] for _ in range(11)]
         for doc, t, text in zip(*(piece.column(k).to_pylist() for k in ("doc_id", "t", "text"))):
-            seen, seq = set(), 0
+            seen, seq, before = set(), 0, len(columns[0])
             for number, start, end, plain in units(text):
-                n = plain.count(" ") + 1
+                n = plain.count(" ") + 1 if plain else 0
                 if n >= least:
                     digest = xxhash.xxh3_128_intdigest(plain)
                     again = digest in seen
@@ -55,19 +55,15 @@ def _digests(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Recor
                     for column, value in zip(columns, (doc, t, number, seq, start, end, n, again, (digest >> 64) - (1 << 63), (digest & (1 << 64) - 1) - (1 << 63))):
                         column.append(value)
                     seq += 1
-        yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:2]), *(pa.array(c, pa.int32()) for c in columns[2:7]), pa.array(columns[7], pa.bool_()), *(pa.array(c, pa.int64()) for c in columns[8:])], ["doc_id", "t", "unit_no", "seq", "start", "end", "n_words", "again", "h1", "h2"])
+            columns[10] += [seq] * (len(columns[0]) - before)
+        yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:2]), *(pa.array(c, pa.int32()) for c in columns[2:7]), pa.array(columns[7], pa.bool_()), *(pa.array(c, pa.int64()) for c in columns[8:10]), pa.array(columns[10], pa.int32())], ["doc_id", "t", "unit_no", "seq", "start", "end", "n_words", "again", "h1", "h2", "n_units"])
 
 
-def repeated_units(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", least_words: int = LEAST_WORDS, least_run: int = LEAST_RUN) -> DataFrame:
-    """One row for each unit to remove: doc_id, unit_no, start, end (code points), n_words, kept_doc_id (the
-    document in which the unit stays, at its first place).
-
-    Only units in repeated passages of ``least_run`` words or more are removed. Null and empty texts have no units. A null id ranks after all others. Rows that repeat an id have equal ranks:
-    where they hold the first occurrence, it stays in each. An empty table gives no rows; other columns are not
-    looked at.
-    """
+def _repeats(docs: DataFrame, text: str, doc_id: str, least_words: int) -> DataFrame:
+    """All units but the first of their kind, with run_words, the words of the repeated units that follow each other,
+    and whole, whether all units of the text are such."""
     whole = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("t"))
-    rows = whole.mapInArrow(lambda it: _digests(it, least_words), "doc_id long, t long, unit_no int, seq int, start int, end int, n_words int, again boolean, h1 long, h2 long")
+    rows = whole.mapInArrow(lambda it: _digests(it, least_words), "doc_id long, t long, unit_no int, seq int, start int, end int, n_words int, again boolean, h1 long, h2 long, n_units int")
     last = F.lit(2**63 - 1)
     first = rows.groupBy("h1", "h2").agg(F.min(F.coalesce("doc_id", last)).alias("kept"), F.count("*").alias("times")).where("times > 1")
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))
@@ -79,12 +75,35 @@ def repeated_units(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     row = ["doc_id", "t"]
     gone = gone.withColumn("run", F.col("seq") - F.dense_rank().over(Window.partitionBy(*row).orderBy("seq")))
     copies = F.count("*").over(Window.partitionBy(*row, "seq"))
-    gone = gone.withColumn("run_words", F.sum("n_words").over(Window.partitionBy(*row, "run")) / copies).where(F.col("run_words") >= least_run)
-    return gone.select("doc_id", "unit_no", "start", "end", "n_words", F.when(F.col("kept") < last, F.col("kept")).alias("kept_doc_id"))
+    gone = gone.withColumn("run_words", (F.sum("n_words").over(Window.partitionBy(*row, "run")) / copies).cast("long"))
+    gone = gone.withColumn("whole", F.count("*").over(Window.partitionBy(*row)) / copies == F.col("n_units"))
+    return gone.select("doc_id", "unit_no", "start", "end", "n_words", F.when(F.col("kept") < last, F.col("kept")).alias("kept_doc_id"), "run_words", "whole")
+
+
+def repeated_units(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", least_words: int = LEAST_WORDS, least_run: int = LEAST_RUN) -> DataFrame:
+    """One row for each unit to remove: doc_id, unit_no, start, end (code points), n_words, kept_doc_id (the
+    document in which the unit stays, at its first place).
+
+    Only units in repeated passages of ``least_run`` words or more are removed. Null and empty texts have no units. A null id ranks after all others. Rows that repeat an id have equal ranks:
+    where they hold the first occurrence, it stays in each. An empty table gives no rows; other columns are not
+    looked at.
+    """
+    repeats = _repeats(docs, text, doc_id, least_words).where(F.col("run_words") >= least_run)
+    return repeats.drop("run_words", "whole")
+
+
+def every_repeat(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """As ``repeated_units``, but every unit of one word or more that repeats, however short its passage, with run_words
+    and whole: the words of its passage, and whether all units of its text repeat, as those of an exact copy do."""
+    return _repeats(docs, text, doc_id, 1)
+
 
+def strip_units(docs: DataFrame, removed: DataFrame, text: str = "text", doc_id: str = "doc_id", least_run: int = 0) -> DataFrame:
+    """``docs`` with the units of ``removed`` cut out of their texts, all other columns as they were.
 
-def strip_units(docs: DataFrame, removed: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``docs`` with the units of ``removed`` cut out of their texts, all other columns as they were."""
+    With ``least_run``, only units of ``every_repeat`` in passages of so many words, or in texts that repeat as a whole."""
+    if least_run:
+        removed = removed.where(F.col("whole") | (F.col("run_words") >= least_run))
     spans = removed.groupBy(F.col("doc_id").alias("_id")).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_spans"))
 
     @F.pandas_udf("string")
