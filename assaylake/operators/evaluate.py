@@ -100,7 +100,8 @@ def dedup_average(rows: DataFrame, key: str, score: str, order: list[str]) -> Da
 
 
 def false_positives(rows: DataFrame, threshold: float, ids: int = 100) -> DataFrame:
-    """cohort, n_over, n, ids of rows (cohort, cohort_id, score) over the threshold; the list names the first ``ids``."""
+    """cohort, n_over, n, ids of rows (cohort, cohort_id, score) over the threshold; the list names the first ``ids``,
+    ``false_positive_ids`` has all."""
     over = F.col("score") > threshold
     n = rows.groupBy("cohort").agg(F.count_if(over).alias("n_over"), F.count("score").alias("n"))
     rank = F.row_number().over(Window.partitionBy("cohort").orderBy("cohort_id"))
@@ -109,6 +110,11 @@ def false_positives(rows: DataFrame, threshold: float, ids: int = 100) -> DataFr
     return n.join(text, "cohort", "left").na.fill("", ["ids"])
 
 
+def false_positive_ids(rows: DataFrame, threshold: float) -> DataFrame:
+    """cohort, cohort_id of every row over the threshold."""
+    return rows.where(F.col("score") > threshold).select("cohort", "cohort_id")
+
+
 def histogram(rows: DataFrame, value: str, low: float, high: float, bins: int, by: list[str]) -> DataFrame:
     """by, bin (0: below, bins + 1: above), n."""
     return rows.groupBy(*by, F.width_bucket(value, F.lit(float(low)), F.lit(float(high)), F.lit(bins)).alias("bin")).agg(F.count("*").alias("n"))

@@ -236,6 +236,11 @@ def a40(t: Tables):
     return evaluate.false_positives(t.images.select(F.col("priority").alias("cohort"), F.col("image").alias("cohort_id"), F.col("price").alias("score")), 300000, ids=20)
 
 
+@query("A40_fp_ids", "SELECT priority cohort, image cohort_id FROM images WHERE price > 300000")
+def a40_ids(t: Tables):
+    return evaluate.false_positive_ids(t.images.select(F.col("priority").alias("cohort"), F.col("image").alias("cohort_id"), F.col("price").alias("score")), 300000)
+
+
 @query("A44_distinct_labels", "SELECT image, label_id::BIGINT label_id, count(*) size FROM cells GROUP BY image, label_id")
 def a44(t: Tables):
     return features.distinct_labels(t.cells)
