@@ -1,11 +1,13 @@
 """Operators do their whole job: cases that were cut short."""
 
 import random
+import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from assaylake.llm import jaccard_trees, stages, unit_dedup
+from assaylake.llm import jaccard_trees, secrets, stages, unit_dedup
 
 from .test_llm import UP, WORD, documents, none, odd  # noqa: F401
 
@@ -88,3 +90,32 @@ def test_short_copies_and_lines_are_repeats(spark):
     assert {r["doc_id"] for r in got if r["whole"]} == {2, 5, None}
     text = {r["doc_id"]: r["text"] for r in unit_dedup.strip_units(frame, found, least_run=20).collect()}
     assert text == dict(r[:2] for r in rows) | {2: "", 4: line + "Other text of four.\n\n", 5: "", None: ""}
+
+
+def test_short_and_plain_values_are_scored_as_their_windows():
+    random.seed(9)
+    draw = lambda n, of: "".join(random.choices(of, k=n))
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    lines = [f"some words before, password = '{draw(random.randrange(6, 16), 'QXZWKJ')}' and words after" for _ in range(200)]
+    net = secrets.train(*secrets.labelled_examples(lines))
+    texts = ["", "é pin QXZWKJQX here", draw(300, "QXZWKJ") + " " + draw(200, letters), *(" ".join(draw(random.choice([5, 6, 9, 59, 60, 61, 63, 64, 65, 96, 97]), letters + "QXZWKJ") for _ in range(9)) for _ in range(40))]
+    got = set(secrets.network_spans(texts, net))
+    near = set()
+    for i, t in enumerate(texts):
+        for m in re.finditer(r"[A-Za-z0-9+/_=-]{6,}", t):
+            p = net.probability(np.array(secrets.window(t, *m.span()))).max()
+            if abs(p / net.threshold - 1) > 1e-3:
+                assert ((i, *m.span()) in got) == (p >= net.threshold)
+                near.add((i, *m.span()))
+    assert len(near) > 250 and (1, 6, 14) in got
+
+
+def test_threshold_keeps_the_recall_of_each_label(monkeypatch):
+    random.seed(10)
+    draw = lambda n: "".join(random.choices("abcdefghijklmnop", k=n))
+    rows = [np.array(secrets.window(draw(8), 0, 8)[0]) for _ in range(400)]
+    x, y = np.array(rows), np.array([1.0] * 100 + [0.0] * 300)  # nothing to tell them apart by
+    monkeypatch.setattr(secrets, "EPOCHS", 1)
+    net = secrets.train(x, y)
+    assert (net.probability(x[:100]) >= net.threshold).mean() > 0.9
+    assert secrets.train(x[99:], y[99:]).threshold <= 1  # one positive example
