@@ -1,140 +1,149 @@
 """Exact nearest binary codes by Hamming distance with incremental multi-index hashing.
 
-Codes are cut into segments with an index each. A query probes the segments' values at radius 0, 1, 2, ...; after
-radius r of all m segments every code within distance m * (r + 1) - 1 has been seen, so the search of a query ends
-once its kth verified distance is no more than that. Codes are dealt into shards and distinct query codes into
-blocks; each (shard, block) pair is one task's search, exact by itself, and the k best of all shards are the result.
-Equal codes are one entry with its least ids, so a large group of copies is one entry.
+Codes are cut into segments, each an index from its value to the codes that have it. A query probes the values at
+radius 0, 1, 2, ... of its own segments; after radius r of all m segments every code within distance
+m * (r + 1) - 1 has been seen, so a query is done once its kth verified distance is no more than that. The index is
+one table of all codes by (segment, value), a round of probes is one join with it, and the k best so far of a query
+are shared by all tasks: only unfinished queries go on. A pair that several segments find counts where its least
+radius is first probed, so none is counted twice and no list of seen pairs is kept.
 """
 
 from __future__ import annotations
 
 from itertools import combinations
+from math import comb
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import saved
+from .store import discard, saved
 
 K = 10
-BITS, SEGMENTS = 64, 4
-WIDTH = BITS // SEGMENTS
-#: Codes of a shard and queries of a block; a task holds both, and searches CHUNK queries at a time.
-SHARD, BLOCK, CHUNK = 131_072, 8_192, 64
+#: Bits of a segment at least and at most; in between, as many as number the codes.
+NARROW, WIDE = 4, 24
 #: Every so many ids are queries.
 QUERY_EVERY = 50
+#: Probes of a query in the first round.
+FIRST = 512
+#: Codes of a block where a query is held against all codes.
+BLOCK = 1 << 20
 
 
-def sign_code(vector: str, bits: int = BITS) -> Column:
-    """The signs of the vector's first ``bits`` numbers as a long: bit k is set if number k is above 0. Missing,
-    null and NaN numbers count as 0."""
-    number = lambda k: F.try_element_at(F.col(vector), F.lit(k + 1))
+def sign_code(vector: str, word: int = 0) -> Column:
+    """The signs of 64 of the vector's numbers as a long: bit k is set if number 64 * word + k is above 0. Missing, null and
+    NaN numbers count as 0."""
+    number = lambda k: F.try_element_at(F.col(vector), F.lit(64 * word + k + 1))
     code = F.lit(0).cast("long")
-    for k in range(bits):
+    for k in range(64):
         code = code.bitwiseOR(F.when((number(k) > 0) & ~F.isnan(number(k)), F.shiftleft(F.lit(1).cast("long"), k)).otherwise(F.lit(0).cast("long")))
     return code
 
 
-def masks(radius: int) -> np.ndarray:
-    """All values of a segment with ``radius`` bits set."""
-    return np.array([sum(1 << b for b in bits) for bits in combinations(range(WIDTH), radius)], np.int64)
-
-
-class MultiIndex:
-    """For each segment, the codes in the order of its value, and where each value starts."""
-
-    def __init__(self, codes: np.ndarray):
-        self.codes = codes
-        self.order, self.starts = [], []
-        for part in self.parts(codes):
-            self.order.append(np.argsort(part, kind="stable"))
-            self.starts.append(np.concatenate([[0], np.cumsum(np.bincount(part, minlength=1 << WIDTH))]))
-
-    @staticmethod
-    def parts(codes: np.ndarray) -> list[np.ndarray]:
-        return [((codes >> np.uint64(k * WIDTH)) & np.uint64((1 << WIDTH) - 1)).astype(np.int64) for k in range(SEGMENTS)]
-
-    def nearest(self, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(query, code, distance) indexes of at least the k nearest codes of each query, ties at the kth included."""
-        out, radius, active = [], 0, np.arange(len(queries))
-        seen = np.zeros((len(queries), len(self.codes)), bool)
-        kept: list[list[np.ndarray]] = []
-        while len(active):
-            for part, order, starts in zip(self.parts(queries[active]), self.order, self.starts):
-                value = part[:, None] ^ masks(radius)[None, :]
-                size = starts[value + 1] - starts[value]
-                row = np.repeat(active, size.sum(axis=1))
-                flat = size.ravel()
-                before = np.cumsum(flat) - flat
-                found = order[np.repeat(starts[value].ravel() - before, flat) + np.arange(int(flat.sum()))]
-                new = ~seen[row, found]
-                row, found = row[new], found[new]
-                seen[row, found] = True
-                kept.append([row, found, np.bitwise_count(queries[row] ^ self.codes[found]).astype(np.int64)])
-            kept = [[np.concatenate(x) for x in zip(*kept)]]
-            row, _, distance = kept[0]
-            # how many codes within the distance that this radius covers
-            covered = SEGMENTS * (radius + 1) - 1
-            sure = np.bincount(row[distance <= covered], minlength=len(queries))
-            radius += 1
-            active = active[sure[active] < min(k, len(self.codes))] if radius <= WIDTH else active[:0]
-        row, found, distance = kept[0]
-        order = np.lexsort((distance, row))
-        row, found, distance = row[order], found[order], distance[order]
-        start = np.searchsorted(row, np.arange(len(queries)))
-        kth = distance[np.minimum(start + k, np.append(start[1:], len(row))) - 1]
-        good = distance <= kth[row]
-        out = row[good], found[good], distance[good]
-        return out
-
-
-def _search(shard: pa.Table, block: pa.Table, k: int) -> pa.Table:
-    schema = pa.schema([("query", pa.int64()), ("code", pa.int64()), ("distance", pa.int32())])
-    if not len(shard) or not len(block):
-        return schema.empty_table()
-    codes = np.unique(shard.column("code").to_numpy())
-    queries = np.unique(block.column("code").to_numpy())
-    index, out = MultiIndex(codes.view(np.uint64)), []
-    for at in range(0, len(queries), CHUNK):
-        part = queries[at : at + CHUNK]
-        row, found, distance = index.nearest(part.view(np.uint64), k)
-        # ties beyond the kth go by code
-        order = np.lexsort((codes[found], distance, row))
-        row, found, distance = row[order], found[order], distance[order]
-        place = np.arange(len(row)) - np.searchsorted(row, row)
-        good = place < k
-        out.append(pa.table({"query": part[row[good]], "code": codes[found[good]], "distance": pa.array(distance[good], pa.int32())}))
-    return pa.concat_tables(out)
-
-
-def nearest(codes: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
-    """query_id, rank, neighbour_id, distance: the k nearest rows (id, code) for each row (id, code) of ``queries``.
-
-    The query's own id is not its neighbour. Equal distances rank by code, then id. Rows without id or code are left
-    out; rows that repeat an id and code count once. Fewer than k other ids give fewer rows; empty tables give none.
+def segments(bits: int, width: int) -> list[tuple[int, int, int]]:
+    """(word, first bit, bits) of each segment: the used bits of each word in parts of about ``width``."""
+    out = []
+    for word in range(-(-bits // 64)):
+        used = min(64, bits - 64 * word)
+        n = max(1, round(used / width))
+        cuts = [used * k // n for k in range(n + 1)]
+        out += [(word, a, b - a) for a, b in zip(cuts, cuts[1:])]
+    return out
+
+
+def _value(column: str, first: int, bits: int) -> Column:
+    moved = F.shiftrightunsigned(F.col(column), first)
+    return moved if bits == 64 else moved.bitwiseAND(F.lit((1 << bits) - 1))
+
+
+def _distance(words: int) -> Column:
+    return sum((F.bit_count(F.col(f"q{k}").bitwiseXOR(F.col(f"c{k}"))) for k in range(1, words)), F.bit_count(F.col("q0").bitwiseXOR(F.col("c0")))).cast("int")
+
+
+def _best(found: DataFrame, words: int, k: int) -> DataFrame:
+    order = Window.partitionBy("query").orderBy("distance", *(f"c{i}" for i in range(words)))
+    return found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).drop("place")
+
+
+def search(entries: DataFrame, asked: DataFrame, bits: int, k: int, width: int | None = None) -> DataFrame:
+    """query, c0, ..., distance: the k nearest codes of each query, ties by code.
+
+    entries: distinct codes c0, ... of 64 bits each, with ``alone``, the id of a code that only one id has. asked: query
+    (its key), q0, ..., own; a code whose ``alone`` is the query's own id is passed over.
+    """
+    spark, words = entries.sparkSession, -(-bits // 64)
+    n = entries.count()
+    cuts = segments(bits, width or max(NARROW, min(WIDE, n.bit_length())))
+    code, probe = [f"c{i}" for i in range(words)], [f"q{i}" for i in range(words)]
+    cells = F.array(*(F.struct(F.lit(j).alias("segment"), _value(f"c{w}", a, b).alias("value")) for j, (w, a, b) in enumerate(cuts)))
+    index = saved(entries.select(*code, "alone", F.inline(cells)))
+    # how far the pair's segments differ: it counts at the least radius, and there in the first such segment
+    apart = [F.bit_count(_value(f"q{w}", a, b).bitwiseXOR(_value(f"c{w}", a, b))) for w, a, b in cuts]
+    first = F.least(*(d * len(cuts) + j for j, d in enumerate(apart))) if len(cuts) > 1 else apart[0]
+    foreign = F.col("alone").isNull() | F.col("own").isNull() | (F.col("alone") != F.col("own"))
+    best, unfinished, widest = None, asked, max(b for _, _, b in cuts)
+    radii = [0]  # radii of few probes are one round
+    while radii[-1] < widest and sum(comb(b, r) for r in range(radii[-1] + 2) for _, _, b in cuts) <= FIRST:
+        radii.append(radii[-1] + 1)
+    while True:
+        shapes = [(j, r, sum(1 << x for x in at)) for r in radii for j, (_, _, b) in enumerate(cuts) if comb(b, r) <= n for at in combinations(range(b), r)]
+        last = sum(comb(b, r) for r in radii for _, _, b in cuts) > n or radii[-1] >= widest
+        if last:  # no more codes than probes: the last unfinished queries meet all codes, in blocks
+            blocks = max(1, -(-n // BLOCK))
+            left = entries.withColumn("block", F.pmod(F.xxhash64(*code), F.lit(blocks)))
+            right = unfinished.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+            pairs = left.join(right, "block").where(F.floor(first / len(cuts)) >= radii[0])
+        else:
+            masks = spark.createDataFrame(shapes, "segment int, radius int, mask long")
+            cells = F.array(*(F.struct(F.lit(j).alias("segment"), _value(f"q{w}", a, b).alias("at")) for j, (w, a, b) in enumerate(cuts)))
+            spots = unfinished.select("*", F.inline(cells)).join(F.broadcast(masks), "segment").withColumn("value", F.col("at").bitwiseXOR(F.col("mask")))
+            pairs = index.join(spots, ["segment", "value"]).where(first == F.col("radius") * len(cuts) + F.col("segment"))
+        found = pairs.where(foreign).select("query", *code, _distance(words).alias("distance"))
+        old = [x for x in (best, unfinished) if x is not None and x is not asked]
+        best = saved(_best(found if best is None else found.unionByName(best), words, k))
+        if last:
+            break
+        covered = len(cuts) * (radii[-1] + 1) - 1
+        done = best.where(F.col("distance") <= covered).groupBy("query").count().where(F.col("count") >= k)
+        unfinished = saved(unfinished.join(done, "query", "left_anti"), *old)
+        if unfinished.isEmpty():
+            break
+        radii = [radii[-1] + 1]
+    discard(index)
+    return best
+
+
+def nearest(codes: DataFrame, queries: DataFrame, k: int = K, bits: int = 64) -> DataFrame:
+    """query_id, rank, neighbour_id, distance: the k nearest rows (id, c0, c1, ...) for each such row of ``queries``.
+
+    Rows of the query's own id are not its neighbours, however many codes the id has. Equal distances rank by code, then
+    id. Rows without id or code are left out; rows that repeat an id and code count once. Fewer than k other rows give
+    fewer rows; empty tables give none. Other columns are not looked at.
     """
-    codes, queries = saved(codes.where("id is not null and code is not null").distinct()), saved(queries.where("id is not null and code is not null").distinct())
-    need = k + 1  # the query itself may be among them
-    entries = saved(codes.select("code").distinct())
-    asked = saved(queries.select("code").distinct())
-    shards, blocks = max(1, -(-entries.count() // SHARD)), max(1, -(-asked.count() // BLOCK))
-    deal = lambda df, own, n, other, m: df.withColumn(own, F.pmod(F.xxhash64("code"), F.lit(n))).withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long"))))
-    left, right = deal(entries, "shard", shards, "block", blocks), deal(asked, "block", blocks, "shard", shards)
-    found = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(lambda a, b: _search(a, b, need), "query long, code long, distance int")
-    best = Window.partitionBy("query").orderBy("distance", "code")
-    found = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= need).drop("n")
+    words = -(-bits // 64)
+    code = [f"c{i}" for i in range(words)]
+    full = " and ".join(f"{c} is not null" for c in ("id", *code))
+    codes = saved(codes.where(full).select("id", *code).distinct())
+    asked = queries.where(full).select("id", *code).distinct()
+    by_code = codes.groupBy(*code).agg(F.count("*").alias("n"), F.min("id").alias("least"))
+    entries = saved(by_code.select(*code, F.when(F.col("n") == 1, F.col("least")).alias("alone")))
+    # an id with a code that no other id has must not meet it; all other queries of one code are one search
+    owners = entries.where("alone is not null").select(F.col("alone").alias("id")).distinct().withColumn("own", F.col("id"))
+    rows = asked.join(owners, "id", "left").select(F.col("id").alias("query_id"), "own", *(F.col(c).alias(c.replace("c", "q")) for c in code))
+    key = ["own", *(c.replace("c", "q") for c in code)]
+    rows = saved(rows.withColumn("query", F.concat_ws(",", F.coalesce(F.col("own").cast("string"), F.lit("")), *key[1:])))
+    searches = saved(rows.select("query", *key).distinct())
+    found = search(entries, searches, bits, k)
     # the least ids of each code: as many as a query can use
-    by_code = Window.partitionBy("code").orderBy("id")
-    ids = codes.withColumn("n", F.row_number().over(by_code)).where(F.col("n") <= need).drop("n")
-    pairs = found.join(ids, "code").join(queries.select(F.col("id").alias("query_id"), F.col("code").alias("query")), "query").where("id <> query_id")
-    rank = Window.partitionBy("query_id", "query").orderBy("distance", "code", "id")
+    ids = codes.withColumn("place", F.row_number().over(Window.partitionBy(*code).orderBy("id"))).where(F.col("place") <= k + 1).drop("place")
+    pairs = found.join(ids, code).join(rows.select("query", "query_id", *key[1:]), "query").where("id <> query_id")
+    rank = Window.partitionBy("query_id", *key[1:]).orderBy("distance", *code, "id")
     return pairs.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k).select("query_id", "rank", F.col("id").alias("neighbour_id"), "distance")
 
 
 def nearest_vectors(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", k: int = K) -> DataFrame:
-    """``nearest`` by the vectors' sign codes, with every row whose id is divisible by ``QUERY_EVERY`` as a query."""
-    codes = vectors.where(F.col(vector).isNotNull()).select(F.col(vec_id).cast("long").alias("id"), sign_code(vector).alias("code"))
-    codes = saved(codes)
-    return nearest(codes, codes.where(F.col("id") % QUERY_EVERY == 0), k)
+    """``nearest`` by the vectors' sign codes, a bit for each number of the longest vector, with every row whose id is
+    divisible by ``QUERY_EVERY`` as a query. Null vectors are left out."""
+    whole = vectors.where(F.col(vector).isNotNull()).select(F.col(vec_id).cast("long").alias("id"), F.col(vector).alias("vector"))
+    bits = max(1, whole.agg(F.max(F.size("vector"))).first()[0] or 0)
+    codes = saved(whole.select("id", *(sign_code("vector", k).alias(f"c{k}") for k in range(-(-bits // 64)))))
+    return nearest(codes, codes.where(F.col("id") % QUERY_EVERY == 0), k, bits)

@@ -7,7 +7,7 @@ from . import hamming_topk, mixing, unit_dedup
 WORDS = r"[^\x20\x09-\x0D]+"
 
 TOPK = f"""
-WITH c AS (SELECT vec_id id, (list_sum(list_transform(range({hamming_topk.BITS}), lambda k: CASE WHEN embedding[k + 1] > 0 AND NOT isnan(embedding[k + 1]) THEN CASE WHEN k = 63 THEN -(1::HUGEINT << 63) ELSE 1::HUGEINT << k::INT END ELSE 0::HUGEINT END)))::BIGINT code
+WITH c AS (SELECT vec_id id, (list_sum(list_transform(range(64), lambda k: CASE WHEN embedding[k + 1] > 0 AND NOT isnan(embedding[k + 1]) THEN CASE WHEN k = 63 THEN -(1::HUGEINT << 63) ELSE 1::HUGEINT << k::INT END ELSE 0::HUGEINT END)))::BIGINT code
   FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL)
 SELECT q.id query_id, row_number() OVER (PARTITION BY q.id, q.code ORDER BY bit_count(xor(q.code, c.code)), c.code, c.id)::INT AS "rank", c.id neighbour_id, bit_count(xor(q.code, c.code))::INT distance
 FROM c q JOIN c ON q.id <> c.id WHERE q.id % {hamming_topk.QUERY_EVERY} = 0 QUALIFY "rank" <= {hamming_topk.K}
