@@ -19,17 +19,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from .store import saved
 from .text import ragged, slices, strings, words
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 SEQUENCE = 4096
 #: The id that ends a document.
 END = 2
-#: Documents of a group, on average.
-GROUP = 1024
+#: Documents and bytes of text of a group, on average.
+GROUP, GROUP_BYTES = 1024, 8 << 20
+#: Rows of one id and text that go to one group; more of them are dealt by the partition that they are read in.
+EQUAL_ROWS = 64
+#: Such pairs of id and text that are broadcast at most; more of them are joined.
+BROADCAST_ROWS = 100_000
 #: Words whose ids a worker keeps.
 KEPT_WORDS = 200_000
 MARKS = ".,;:!?"
+#: Letters below this one are still letters after the tokenizer's normalisation, so what follows them is parted from them.
+PLAIN = "\u0130"
 #: A mark that is one token; words with it are encoded one by one, others together with the mark between them.
 MARK = "~"
 
@@ -56,8 +63,8 @@ def _encode(tokenizer: Tokenizer, names: list[str], path: str) -> dict[str, byte
     other words are encoded with a mark between them."""
     encode = lambda text: np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
     out = {w: encode(w).tobytes() for w in names if MARK in w}
-    plain = [w for w in names if w.isalpha() and max(w) < "\u0130"]
-    other = [w for w in names if MARK not in w and not (w.isalpha() and max(w) < "\u0130")]
+    plain = [w for w in names if w.isalpha() and max(w) < PLAIN]
+    other = [w for w in names if MARK not in w and not (w.isalpha() and max(w) < PLAIN)]
     (mark,) = encode(MARK)
     for rest, joint in ((plain, " "), (other, f" {MARK} ")):
         for k in range(0, len(rest), 16_384):
@@ -84,8 +91,8 @@ def token_ids(texts: pa.Array, path: str = TOKENIZER) -> tuple[np.ndarray, np.nd
     # the tokenizer lower-cases too, but takes its special tokens from the text as it is
     special = pc.any(pc.match_substring(texts, "<|")).as_py()
     vocabulary, codes, starts = words(texts, lower=not special)
-    # a mark after a letter is a token of its own, so the word before it is the same word
-    split = [(w[:-1], w[-1]) if w[-1] in MARKS and w[-2:-1].isalpha() else (w, "") for w in strings(vocabulary)]
+    # a mark after a plain letter is a token of its own, so the word before it is the same word
+    split = [(w[:-1], w[-1]) if w[-1] in MARKS and w[-2:-1].isalpha() and w[-2] < PLAIN else (w, "") for w in strings(vocabulary)]
     fresh = _encode(tokenizer, list({w for w, _ in split if w not in known}.union(m for m in MARKS if m not in known)), path)
     if len(known) < KEPT_WORDS:
         known.update(fresh)
@@ -172,7 +179,7 @@ def pack(sizes: list[int], capacity: int = SEQUENCE) -> list[list[tuple[int, int
 
 
 def _pack_group(table: pa.Table) -> pa.Table:
-    table = table.sort_by([("doc_id", "ascending"), ("row", "ascending")])
+    table = table.sort_by([("doc_id", "ascending"), ("t", "ascending")])  # rows equal in both are the same
     ids: list[np.ndarray] = []
     for piece in slices(table.select(["text"]).combine_chunks().to_batches()):
         flat, starts = token_ids(piece.column("text"))
@@ -192,14 +199,20 @@ def _pack_group(table: pa.Table) -> pa.Table:
 def pack_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", group: int = GROUP) -> DataFrame:
     """One row a piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    A null or empty text has the end id alone. Repeated rows are documents of their own and are dealt apart; a
-    null id stays null. Rows are numbered as they are read, so ``docs`` is best a table and not a shuffle's result. A text
-    of any length is held by one task whole. An empty table gives no rows; other
-    columns are not looked at.
+    A null or empty text has the end id alone. Repeated rows are documents of their own; a null id stays null. Rows are
+    dealt to groups by id and text, so reruns agree and a lost task's rows are dealt as before; of an id and text in more
+    than ``EQUAL_ROWS`` rows, those of one input partition go together and other partitions elsewhere. A text of any
+    length is held by one task whole. An empty table gives no rows; other columns are not looked at.
     """
-    groups = max(1, -(-docs.count() // group))
-    # the row's number only deals rows of one id and text to several groups
-    row = F.monotonically_increasing_id()
-    dealt = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), row.alias("row"))
-    dealt = dealt.withColumn("group", F.pmod(F.xxhash64("doc_id", "row"), F.lit(groups)))
+    whole = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("t"))
+    n, size = whole.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    groups = max(1, -(-n // group), -(-(size or 0) // GROUP_BYTES))
+    dealt = whole.withColumn("many", F.lit(False))
+    equal = saved(whole.groupBy("doc_id", "t").count().where(F.col("count") > EQUAL_ROWS).select(F.col("doc_id").alias("_id"), F.col("t").alias("_t")))
+    if held := equal.count():
+        equal = F.broadcast(equal) if held <= BROADCAST_ROWS else equal
+        found = whole.withColumn("part", F.spark_partition_id()).join(equal, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_t") == F.col("t")), "left")
+        dealt = found.withColumn("many", F.col("_t").isNotNull())
+    part = F.when(F.col("many"), F.col("part") if held else F.lit(0))
+    dealt = dealt.select("doc_id", "text", "t", F.pmod(F.xxhash64("doc_id", "t", part), F.lit(groups)).alias("group"))
     return dealt.groupBy("group").applyInArrow(_pack_group, PIECES)

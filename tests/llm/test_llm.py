@@ -3,12 +3,14 @@
 import hashlib
 import random
 import re
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -92,15 +94,46 @@ def test_topk_matches_all_pairs(spark, sf):
         assert found == [(d, i) for d, _, i in want]
 
 
-def test_topk_odd_rows(spark, monkeypatch):
+def topk_by_all_pairs(rows, bits, k):
+    """query id and code -> [(distance, code, id)] from rows (id, vector)."""
+    code = lambda v: tuple(np.array([sum(1 << j for j in range(64) if w + j < len(v) and v[w + j] is not None and v[w + j] > 0) for w in range(0, bits, 64)], np.uint64).view(np.int64).tolist())
+    entries = sorted({(i, code(v)) for i, v in rows if i is not None and v is not None})
+    apart = lambda a, b: sum(((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(a, b))
+    return [(i, [(apart(c, d), j) for j, d in sorted((e for e in entries if e[0] != i), key=lambda e: (apart(c, e[1]), e[1], e[0]))][:k]) for i, c in entries if i % 50 == 0]
+
+
+def check_topk(spark, rows, bits):
+    frame = spark.createDataFrame([(i, v, 1, 2, "a", 3, "b", 4) for i, v in rows], "vec_id long, embedding array<double>, query long, c0 long, own string, place int, segment string, distance int")
+    got = defaultdict(list)
+    for r in hamming_topk.nearest_vectors(frame).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["distance"], r["neighbour_id"]))
+    want = defaultdict(list)
+    for i, found in topk_by_all_pairs(rows, bits, 10):
+        want[i] += found
+    assert {i: Counter(x) for i, x in got.items()} == {i: Counter(x) for i, x in want.items() if x}
+    return got
+
+
+def test_topk_odd_rows(spark):
     same = [float(k % 3 - 1) for k in range(64)]
     rows = [(k, same) for k in range(300)] + [(300, None), (None, same), (301, [None, float("nan"), 1.0]), (302, []), (0, same)]
-    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    monkeypatch.setattr(hamming_topk, "SHARD", 1)
-    monkeypatch.setattr(hamming_topk, "BLOCK", 1)
-    got = hamming_topk.nearest_vectors(frame).where("query_id = 50").orderBy("rank").collect()
-    assert [(r["neighbour_id"], r["distance"]) for r in got] == [(k, 0) for k in range(10)]
-    assert hamming_topk.nearest_vectors(frame.limit(0)).count() == 0
+    got = check_topk(spark, rows, 64)
+    assert got[50] == [(0, k) for k in range(10)]
+    assert hamming_topk.nearest_vectors(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
+
+
+def test_topk_of_an_id_with_many_vectors(spark):
+    random.seed(11)
+    draw = lambda n: [random.choice([-1.0, 1.0]) for _ in range(n)]
+    check_topk(spark, [(50, draw(64)) for _ in range(20)] + [(k, draw(64)) for k in range(1, 41)], 64)
+
+
+def test_topk_takes_all_numbers_of_a_vector(spark):
+    random.seed(12)
+    half = [random.choice([-1.0, 1.0]) for _ in range(64)]
+    rows = [(0, half + [1.0] * 64), (1, half + [-1.0] * 64), (2, half + [1.0] * 60 + [-1.0] * 4)]
+    rows += [(k, [random.choice([-1.0, 1.0]) for _ in range(100)]) for k in range(3, 400)]
+    assert check_topk(spark, rows, 128)[0][0] == (4, 2)
 
 
 def plain_units(rows, least, run):
@@ -234,8 +267,6 @@ def test_language_is_found_in_held_out_texts(docs, odd, none):
 
 
 def test_scores_do_not_depend_on_the_slices(spark, docs, monkeypatch):
-    import pyarrow as pa
-
     from assaylake.llm import text
 
     model = language_id.learn(language_id.labelled_sample(docs))
@@ -265,52 +296,71 @@ def test_phrases_are_greedy_longest_matches():
         assert model.phrases([word])[0].tolist() == want
 
 
-def test_urls_match_a_plain_model(spark, sf):
-    pages = spark.read.parquet(f"{sf}/pages.parquet")
-    odd = spark.createDataFrame([(-1, None), (-2, ""), (-3, "no scheme.com/x"), (-4, "HTTP://A.COM"), (-5, "x://WWW.Example.COM/en/é?q=://"), (-6, "s://net/fr/#a"), (-7, "s:///p"), (-8, "s://b.net/es/\n1")], "page_id long, url string")
-    rows = [(r["page_id"], r["url"]) for r in pages.collect()] + [(r["page_id"], r["url"]) for r in odd.collect()]
-    parts, verdict = {}, {}
-    for i, u in rows:
+URL_ODD = [(-1, None), (-2, ""), (-3, "no scheme.com/x"), (-4, "HTTP://A.COM"), (-5, "x://WWW.Example.COM/en/é?q=://"), (-6, "s://net/fr/#a"), (-7, "s:///p"), (-8, "s://b.net/es/\n1"), (-8, "s://b.net/es/\n1"), (None, "s://c.com/" + "ab?" * 3000)]
+
+
+def plain_url_model(learned):
+    """Mean log ratio of a text, by plain counts over (verdict, text) with edges."""
+    size = url_filter.SIZE
+    seen = {k: defaultdict(Counter) for k in ("allow", "block")}
+    for verdict, t in learned:
+        for at in range(1, len(t)):
+            for n in range(min(url_filter.ORDER, at) + 1):
+                seen[verdict][t[at - n : at]][t[at]] += 1
+    total = Counter()
+    for k in seen:
+        for c, n in seen[k].items():
+            total[c] += n.total()
+    often = sorted((n for n in total.values() if n >= url_filter.LEAST), reverse=True)
+    over = often[url_filter.CONTEXTS] if len(often) > url_filter.CONTEXTS else 0
+    states = {c for c, n in total.items() if n >= url_filter.LEAST and n > over} | {""}
+
+    def p(k, c, s):
+        less = p(k, c[1:], s) if c else 1 / size
+        n = seen[k][c]
+        return (n[s] + len(n) * less) / (n.total() + len(n)) if n else less
+
+    def mean(t):
+        ratio = 0.0
+        for at in range(1, len(t)):
+            c = next(t[at - n : at] for n in range(min(url_filter.ORDER, at), -1, -1) if t[at - n : at] in states)
+            ratio += np.log(p("allow", c, t[at])) - np.log(p("block", c, t[at]))
+        return ratio / (len(t) - 1)
+
+    return mean
+
+
+@pytest.mark.parametrize("contexts", [url_filter.CONTEXTS, 150])
+def test_urls_match_a_plain_model(spark, sf, monkeypatch, contexts):
+    monkeypatch.setattr(url_filter, "CONTEXTS", contexts)
+    pages = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url").union(spark.createDataFrame(URL_ODD, "page_id long, url string"))
+    pages = pages.selectExpr("*", "1 host", "'p' plain", "3 part", "'s' score", "4 label", "5 state", "6 begin", "7 _url")
+    scored = url_filter.score(pages).collect()
+    given = Counter((r["page_id"], r["url"]) for r in pages.collect())
+    assert len(scored) == given.total()
+    text, parts = {}, {}
+    for i, u in given:
         rest = (u or "").partition("://")[2] if u and "://" in u else ""
         host = re.match(r"[^/?#]*", rest).group()
         parts[i] = host.translate(UP), re.match(r"[^?#]*", rest[len(host) :]).group()
+        text[i] = "^" + re.sub(r"[^a-z0./?#=&:-]", "_", re.sub("[1-9]", "0", (u or "").translate(UP))) + "^"
+    verdict = {}
+    for i in parts:
         fits = [(len(n), n, v) for n, v in url_filter.RULES if (parts[i][0] == n.split("/")[0] or parts[i][0].endswith("." + n.split("/")[0])) and parts[i][1].startswith("/" + n.split("/", 1)[1])]
         verdict[i] = max(fits)[1:] if fits else (None, None)
-
-    def grams(i):
-        t = "^^" + re.sub(r"[^a-z0./-]", "_", re.sub("[1-9]", "0", "".join(parts[i]).translate(UP))) + "^"
-        return [t[k : k + 3] for k in range(len(t) - 2)]
-
-    models = {}
-    for kind in ("allow", "block"):
-        c3, c2, c1, ab, b = Counter(), Counter(), Counter(), Counter(), Counter()
-        for i in parts:
-            if verdict[i][1] == kind:
-                for g in grams(i):
-                    c3[g] += 1; c2[g[1:]] += 1; c1[g[2]] += 1; ab[g[:2]] += 1; b[g[1]] += 1  # noqa: E702
-        k3, k2 = Counter(g[:2] for g in c3), Counter(g[0] for g in c2)
-
-        def p(g, c3=c3, c2=c2, c1=c1, ab=ab, b=b, k3=k3, k2=k2):
-            p1 = (c1[g[2]] + 1) / (sum(c1.values()) + 32)
-            p2 = (c2[g[1:]] + k2[g[1]] * p1) / (b[g[1]] + k2[g[1]]) if b[g[1]] else p1
-            return (c3[g] + k3[g[:2]] * p2) / (ab[g[:2]] + k3[g[:2]]) if ab[g[:2]] else p2
-
-        models[kind] = p
-    ratio = {g: np.log(models["allow"](g)) - np.log(models["block"](g)) for i in parts for g in grams(i)}
-    score = {i: sum(ratio[g] for g in grams(i)) / len(grams(i)) for i in parts}
-    bins = {i: min(1000, max(-1000, int(np.floor(score[i] / 0.01)))) for i in parts}
-    labelled = [(bins[i], verdict[i][1]) for i in parts if verdict[i][1]]
+    mean = plain_url_model([(r["label"], text[r["page_id"]]) for r in scored if r["label"] and r["part"] in url_filter.LEARN])
+    for r in scored:
+        i = r["page_id"]
+        assert (r["host"], r["path"], r["rule"], r["label"]) == (*parts[i], *verdict[i])
+        assert r["score"] == pytest.approx(mean(text[i]), abs=1e-9)
+    labelled = [(min(1000, max(-1000, int(np.floor(r["score"] / 0.01)))), r["label"]) for r in scored if r["label"] and r["part"] in url_filter.CALIBRATE]
     n = Counter(v for _, v in labelled)
     gain = {t: sum(v == "block" and x < t for x, v in labelled) / n["block"] - sum(v == "allow" and x < t for x, v in labelled) / n["allow"] for t in {x for x, _ in labelled}}
     limit = min(t for t in gain if gain[t] == max(gain.values())) * 0.01
-    got = url_filter.judge(pages.select("page_id", "url").union(odd)).collect()
-    assert len(got) == len(rows)
-    for r in got:
-        i = r["page_id"]
-        assert (r["host"], r["path"], r["rule"]) == (*parts[i], verdict[i][0])
-        assert r["score"] == pytest.approx(score[i])
-        if abs(score[i] - limit) > 1e-9:
-            assert r["verdict"] == (verdict[i][1] or ("allow" if score[i] >= limit else "block"))
+    for r in url_filter.judge(pages).collect():
+        if abs(r["score"] - limit) > 1e-9:
+            assert r["verdict"] == (verdict[r["page_id"]][1] or ("allow" if r["score"] >= limit else "block"))
+    odd = spark.createDataFrame(URL_ODD, "page_id long, url string")
     assert url_filter.judge(odd.limit(0)).count() == 0
     assert {r["verdict"] for r in url_filter.judge(odd.where("page_id > -4")).collect()} == {"allow"}
 
@@ -383,6 +433,32 @@ def test_packing_is_a_round_trip(docs, odd, none):
     assert packing.pack_documents(none).count() == 0
 
 
+def test_ids_of_words_before_marks_over_unicode():
+    """Every character at a word's end before each mark, and random words: the ids are the tokenizer's."""
+    tokenizer = Tokenizer.from_file(packing.TOKENIZER)
+    random.seed(13)
+    points = [c for c in range(1, 0x30000) if not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c)) != "Cn"]
+    near = [c for c in points if c < 0x3000]
+    ends = [f"ab{chr(c)}{m}" for c in near for m in packing.MARKS] + [f"a{chr(c)}{random.choice(packing.MARKS)}" for c in points if c >= 0x3000][::7]
+    mixed = ["".join(chr(random.choice(near)) for _ in range(random.randrange(1, 6))) + random.choice(packing.MARKS) for _ in range(6000)]
+    names = [*ends, *mixed, "B\u0130R\u0130NC\u0130.", "T\u00dcRK\u0130YE'S\u0130.", "\u092a\u095d,", "\ufb1f!"]
+    for k in range(0, len(names), 1000):
+        part = names[k : k + 1000]
+        ids, starts = packing.token_ids(pa.array(part))
+        want = tokenizer.encode_batch(part, add_special_tokens=False)
+        assert [ids[a:b].tolist() for a, b in zip(starts, starts[1:])] == [w.ids for w in want]
+
+
+def test_equal_rows_are_dealt_apart_and_as_before(spark, monkeypatch):
+    monkeypatch.setattr(packing, "EQUAL_ROWS", 5)
+    rows = documents(spark, [(None, "same text of a null id", "en", "a")] * 200 + [(k, f"own {k}", "en", "a") for k in range(100)])
+    monkeypatch.setattr(packing, "GROUP_BYTES", 300)
+    runs = [Counter(tuple(r) for r in packing.pack_documents(rows).collect()) for _ in range(2)]
+    assert runs[0] == runs[1] and len({r[5] >> 32 for r in runs[0] if r[0] is None}) >= 3
+    by_id = [Counter(tuple(r) for r in packing.pack_documents(rows.where("doc_id is not null").repartition(n)).collect()) for n in (1, 7)]
+    assert by_id[0] == by_id[1]  # other input partitions, same packing
+
+
 def test_first_fit_takes_the_first_bin_with_room():
     random.seed(3)
     sizes = sorted((random.randrange(1, 60) for _ in range(300)), reverse=True)
