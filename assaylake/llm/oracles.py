@@ -13,17 +13,6 @@ SELECT q.id query_id, row_number() OVER (PARTITION BY q.id, q.code ORDER BY bit_
 FROM c q JOIN c ON q.id <> c.id WHERE q.id % {hamming_topk.QUERY_EVERY} = 0 QUALIFY "rank" <= {hamming_topk.K}
 """
 
-UNITS = f"""
-WITH u AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{unit_dedup.UNIT}') us FROM documents),
-p AS (SELECT doc_id, unnest(us) unit, generate_subscripts(us, 1) - 1 AS unit_no FROM u),
-o AS (SELECT doc_id, unit_no, length(unit) size, sum(length(unit)) OVER (PARTITION BY doc_id ORDER BY unit_no) upto, list_filter(string_split_regex(lower(unit), '{unit_dedup.SPACE}+'), lambda x: x <> '') w FROM p),
-k AS (SELECT doc_id, unit_no, upto - size AS begins, upto, len(w) n_words, array_to_string(w, ' ') plain, row_number() OVER (PARTITION BY doc_id ORDER BY unit_no) seq FROM o WHERE len(w) >= {unit_dedup.LEAST_WORDS}),
-f AS (SELECT plain, min(doc_id) kept FROM k GROUP BY plain HAVING count(*) > 1),
-g AS (SELECT k.*, kept, min(unit_no) OVER (PARTITION BY doc_id, plain) first_no FROM k JOIN f USING (plain)),
-i AS (SELECT *, seq - row_number() OVER (PARTITION BY doc_id ORDER BY seq) run FROM g WHERE doc_id <> kept OR unit_no <> first_no)
-SELECT doc_id, unit_no::INT unit_no, begins::INT AS "start", upto::INT AS "end", n_words::INT n_words, kept kept_doc_id FROM i QUALIFY sum(n_words) OVER (PARTITION BY doc_id, run) >= {unit_dedup.LEAST_RUN}
-"""
-
 REPEATS = f"""
 WITH u AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{unit_dedup.UNIT}') us FROM documents),
 p AS (SELECT doc_id, unnest(us) unit, generate_subscripts(us, 1) - 1 AS unit_no FROM u),
@@ -34,6 +23,7 @@ g AS (SELECT k.*, kept, min(unit_no) OVER (PARTITION BY doc_id, plain) first_no
 i AS (SELECT *, seq - row_number() OVER (PARTITION BY doc_id ORDER BY seq) run FROM g WHERE doc_id <> kept OR unit_no <> first_no)
 SELECT doc_id, unit_no::INT unit_no, begins::INT AS "start", upto::INT AS "end", n_words::INT n_words, kept kept_doc_id, (sum(n_words) OVER (PARTITION BY doc_id, run))::BIGINT run_words, count(*) OVER (PARTITION BY doc_id) = n_units AS whole FROM i
 """
+PASSAGES = f"SELECT * FROM ({REPEATS}) WHERE whole OR run_words >= {unit_dedup.PASSAGE}"
 
 JACCARD = f"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORDS}') w FROM documents),
@@ -60,4 +50,4 @@ SELECT doc_id, size::BIGINT size, source_size, target, (size * (copies + CASE WH
 FROM d JOIN g ON g.source IS NOT DISTINCT FROM d.source LEFT JOIN e ON e.source IS NOT DISTINCT FROM d.source
 """
 
-SQL = {"op1_exact_topk": TOPK, "op2_substring_dedup": UNITS, "op2_substring_repeats": REPEATS, "op3_ngram_jaccard_join": JACCARD, "op4_mixing": MIX}
+SQL = {"op1_exact_topk": TOPK, "op2_substring_dedup": PASSAGES, "op2_substring_repeats": REPEATS, "op3_ngram_jaccard_join": JACCARD, "op4_mixing": MIX}

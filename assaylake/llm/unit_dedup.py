@@ -2,8 +2,8 @@
 
 A unit is a sentence within a line: it ends with a line feed, or with a run of ``.!?`` before white space. Units
 are normalised (lower case, single spaces) and hashed; digests are grouped over all documents; the occurrence of
-the least rank (document id, then place) stays and the others are removed, with their offsets in the text, where they
-make up a passage of some length.
+the least rank (document id, then place) stays and every other one is reported with its offsets in the text, the words
+of the repeated units around it that follow each other, and whether all of its text repeats.
 """
 
 from __future__ import annotations
@@ -18,18 +18,16 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .store import saved
 from .text import slices
 
 SPACE = r"[\x20\x09-\x0D]"
 #: Units follow each other without gaps, so their lengths add up to offsets.
 UNIT = r"(?:[^.!?\n]|[.!?]+[^.!?\x20\x09-\x0D])*(?:[.!?]+[\x20\x09-\x0D]*|\n|$)"
-#: Units of fewer words are too common by chance to be hashed.
-LEAST_WORDS = 4
-#: Repeated units that follow each other, with none of their length or more between them that is not repeated, are a
-#: passage; shorter passages stay, as any text may share a short line with another.
-LEAST_RUN = 20
+#: Words of a passage: what the op2 query asks of repeated units that follow each other.
+PASSAGE = 20
 #: Copies that the one row of a digest is dealt to, so that a digest in a third of all rows meets in no one task.
-SALT = 32
+SALT = 8
 
 ASCII_SPACE = dict.fromkeys([*range(9, 14)], " ")
 
@@ -41,14 +39,14 @@ def units(text: str) -> Iterator[tuple[int, int, int, str]]:
             yield number, found.start(), found.end(), " ".join(x for x in found.group().lower().translate(ASCII_SPACE).split(" ") if x)
 
 
-def _digests(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for piece in slices(batches):
         columns: list[list] = [[] for _ in range(11)]
         for doc, t, text in zip(*(piece.column(k).to_pylist() for k in ("doc_id", "t", "text"))):
             seen, seq, before = set(), 0, len(columns[0])
             for number, start, end, plain in units(text):
-                n = plain.count(" ") + 1 if plain else 0
-                if n >= least:
+                if plain:
+                    n = plain.count(" ") + 1
                     digest = xxhash.xxh3_128_intdigest(plain)
                     again = digest in seen
                     seen.add(digest)
@@ -59,11 +57,19 @@ def _digests(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:2]), *(pa.array(c, pa.int32()) for c in columns[2:7]), pa.array(columns[7], pa.bool_()), *(pa.array(c, pa.int64()) for c in columns[8:10]), pa.array(columns[10], pa.int32())], ["doc_id", "t", "unit_no", "seq", "start", "end", "n_words", "again", "h1", "h2", "n_units"])
 
 
-def _repeats(docs: DataFrame, text: str, doc_id: str, least_words: int) -> DataFrame:
-    """All units but the first of their kind, with run_words, the words of the repeated units that follow each other,
-    and whole, whether all units of the text are such."""
+def repeated_units(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", least_run: int = 0) -> DataFrame:
+    """One row for each unit of one word or more that is not the first of its kind: doc_id, t (the text's hash), unit_no,
+    start, end (code points), n_words, kept_doc_id (the document in which the unit stays, at its first place), run_words
+    (words of the repeated units that follow each other there) and whole (all units of the text repeat, as those of an
+    exact copy do).
+
+    With ``least_run``, only those in passages of so many words or in texts that repeat as a whole. Null and empty texts
+    have no units. A null id ranks after all others. Rows that repeat an id have equal ranks: where they hold the first
+    occurrence, it stays in each. An empty table gives no rows; other columns are not looked at.
+    """
     whole = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("t"))
-    rows = whole.mapInArrow(lambda it: _digests(it, least_words), "doc_id long, t long, unit_no int, seq int, start int, end int, n_words int, again boolean, h1 long, h2 long, n_units int")
+    # digested once: the table is read for the first occurrences and for the others
+    rows = saved(whole.mapInArrow(_digests, "doc_id long, t long, unit_no int, seq int, start int, end int, n_words int, again boolean, h1 long, h2 long, n_units int"))
     last = F.lit(2**63 - 1)
     first = rows.groupBy("h1", "h2").agg(F.min(F.coalesce("doc_id", last)).alias("kept"), F.count("*").alias("times")).where("times > 1")
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))
@@ -71,40 +77,22 @@ def _repeats(docs: DataFrame, text: str, doc_id: str, least_words: int) -> DataF
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "unit_no"), F.lit(SALT)).cast("int"))
     met = salted.join(first, (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")) & (F.col("salt") == F.col("k3")))
     gone = met.where(F.col("again") | (F.coalesce("doc_id", last) != F.col("kept")))
-    # units of a passage are numbered without gaps; a row that is there c times has each unit c times
+    # rows equal in id and text are counted before they meet, and told out again at the end
+    gone = gone.groupBy("doc_id", "t", "unit_no", "seq", "start", "end", "n_words", "n_units", "kept").agg(F.count("*").cast("int").alias("copies"))
     row = ["doc_id", "t"]
-    gone = gone.withColumn("run", F.col("seq") - F.dense_rank().over(Window.partitionBy(*row).orderBy("seq")))
-    copies = F.count("*").over(Window.partitionBy(*row, "seq"))
-    gone = gone.withColumn("run_words", (F.sum("n_words").over(Window.partitionBy(*row, "run")) / copies).cast("long"))
-    gone = gone.withColumn("whole", F.count("*").over(Window.partitionBy(*row)) / copies == F.col("n_units"))
-    return gone.select("doc_id", "unit_no", "start", "end", "n_words", F.when(F.col("kept") < last, F.col("kept")).alias("kept_doc_id"), "run_words", "whole")
-
-
-def repeated_units(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", least_words: int = LEAST_WORDS, least_run: int = LEAST_RUN) -> DataFrame:
-    """One row for each unit to remove: doc_id, unit_no, start, end (code points), n_words, kept_doc_id (the
-    document in which the unit stays, at its first place).
-
-    Only units in repeated passages of ``least_run`` words or more are removed. Null and empty texts have no units. A null id ranks after all others. Rows that repeat an id have equal ranks:
-    where they hold the first occurrence, it stays in each. An empty table gives no rows; other columns are not
-    looked at.
-    """
-    repeats = _repeats(docs, text, doc_id, least_words).where(F.col("run_words") >= least_run)
-    return repeats.drop("run_words", "whole")
-
-
-def every_repeat(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """As ``repeated_units``, but every unit of one word or more that repeats, however short its passage, with run_words
-    and whole: the words of its passage, and whether all units of its text repeat, as those of an exact copy do."""
-    return _repeats(docs, text, doc_id, 1)
-
+    gone = gone.withColumn("run", F.col("seq") - F.row_number().over(Window.partitionBy(*row).orderBy("seq")))
+    gone = gone.withColumn("run_words", F.sum("n_words").over(Window.partitionBy(*row, "run")))
+    gone = gone.withColumn("whole", F.count("*").over(Window.partitionBy(*row)) == F.col("n_units"))
+    if least_run:
+        gone = gone.where(F.col("whole") | (F.col("run_words") >= least_run))
+    kept = F.when(F.col("kept") < last, F.col("kept")).alias("kept_doc_id")
+    return gone.select("doc_id", "t", "unit_no", "start", "end", "n_words", kept, "run_words", "whole", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).drop("col")
 
-def strip_units(docs: DataFrame, removed: DataFrame, text: str = "text", doc_id: str = "doc_id", least_run: int = 0) -> DataFrame:
-    """``docs`` with the units of ``removed`` cut out of their texts, all other columns as they were.
 
-    With ``least_run``, only units of ``every_repeat`` in passages of so many words, or in texts that repeat as a whole."""
-    if least_run:
-        removed = removed.where(F.col("whole") | (F.col("run_words") >= least_run))
-    spans = removed.groupBy(F.col("doc_id").alias("_id")).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_spans"))
+def strip_units(docs: DataFrame, removed: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """``docs`` with the units of ``removed`` (doc_id, t, start, end) cut out of the texts that they were found in, all other
+    columns as they were. Rows of one id and different texts each lose their own units."""
+    spans = removed.groupBy(F.col("doc_id").alias("_id"), F.col("t").alias("_t")).agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("_spans"))
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
@@ -119,5 +107,5 @@ def strip_units(docs: DataFrame, removed: DataFrame, text: str = "text", doc_id:
             out.append(body)
         return pd.Series(out)
 
-    joined = docs.join(spans, F.col("_id").eqNullSafe(F.col(doc_id)), "left")
-    return joined.withColumn(text, cut(F.col(text), F.col("_spans"))).drop("_id", "_spans")
+    joined = docs.join(spans, F.col("_id").eqNullSafe(docs[doc_id]) & (F.col("_t") == F.xxhash64(docs[text])), "left")
+    return joined.withColumn(text, cut(F.col(text), F.col("_spans"))).drop("_id", "_t", "_spans")

@@ -136,30 +136,32 @@ def test_topk_takes_all_numbers_of_a_vector(spark):
     assert check_topk(spark, rows, 128)[0][0] == (4, 2)
 
 
-def plain_units(rows, least, run):
+def plain_units(rows):
+    """(doc_id, unit_no, start, end, kept_doc_id, run_words, whole) of every later occurrence, in one pass by rank."""
     seen, out = {}, Counter()
-    ranked = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0))
-    for k in ranked:
-        passage = []
-        for number, start, end, plain in [*unit_dedup.units(rows[k][1] or ""), (0, 0, 0, "end " * least)]:
-            words = plain.split()
-            if len(words) >= least:
-                first = (rows[k][0], number) if end == 0 else seen.setdefault(plain, (rows[k][0], number))
-                if end and first != (rows[k][0], number):
-                    passage.append((rows[k][0], number, start, end, len(words), first[0]))
-                else:
-                    if sum(x[4] for x in passage) >= run:
-                        out.update((*x[:4], x[5]) for x in passage)
-                    passage = []
+    for k in sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0)):
+        i, text = rows[k]
+        found = [x for x in unit_dedup.units(text or "") if x[3]]
+        late = [seen.setdefault(x[3], (i, x[0])) != (i, x[0]) for x in found]
+        for at, x in enumerate(found):
+            if late[at]:
+                a, b = at, at
+                while a and late[a - 1]:
+                    a -= 1
+                while b + 1 < len(late) and late[b + 1]:
+                    b += 1
+                out[(i, *x[:3], seen[x[3]][0], sum(len(y[3].split()) for y in found[a : b + 1]), all(late))] += 1
     return out
 
 
 def test_units_match_a_plain_pass(docs, texts, odd, none):
-    got = Counter((r["doc_id"], r["unit_no"], r["start"], r["end"], r["kept_doc_id"]) for r in unit_dedup.repeated_units(docs).collect())
-    assert got == plain_units(list(texts.items()), unit_dedup.LEAST_WORDS, unit_dedup.LEAST_RUN) and got
+    row = lambda r: (r["doc_id"], r["unit_no"], r["start"], r["end"], r["kept_doc_id"], r["run_words"], r["whole"])
+    for frame, given in ((docs, list(texts.items())), (odd, [r[:2] for r in ODD])):
+        want = plain_units(given)
+        assert Counter(map(row, unit_dedup.repeated_units(frame).collect())) == want and (want or frame is odd)
+        long_ = Counter({k: n for k, n in want.items() if k[6] or k[5] >= 20})
+        assert Counter(map(row, unit_dedup.repeated_units(frame, least_run=20).collect())) == long_
     assert all("".join(texts[d][a:b] for _, a, b, _ in unit_dedup.units(texts[d])) == texts[d] for d in texts)
-    got = Counter((r["doc_id"], r["unit_no"], r["start"], r["end"], r["kept_doc_id"]) for r in unit_dedup.repeated_units(odd).collect())
-    assert got == plain_units([r[:2] for r in ODD], unit_dedup.LEAST_WORDS, unit_dedup.LEAST_RUN)
     assert unit_dedup.repeated_units(none).count() == 0
 
 
@@ -167,7 +169,15 @@ def test_stripped_texts(spark):
     passage = "One two three four five six seven. No. Eight nine ten eleven twelve thirteen fourteen!\n" + "And " * 12 + "so on.\n"
     rows = documents(spark, [(1, "Start. " + passage, "en", "a"), (2, "Other start. " + passage + "End", "en", "a"), (None, passage, "en", "a")])
     got = {r["doc_id"]: r["text"] for r in unit_dedup.strip_units(rows, unit_dedup.repeated_units(rows)).collect()}
-    assert got == {1: "Start. " + passage, 2: "Other start. No. End", None: "No. "}
+    assert got == {1: "Start. " + passage, 2: "Other start. End", None: ""}
+
+
+def test_texts_of_one_id_lose_their_own_units(spark):
+    own = "This text stands once and shares nothing at all with any other text of the table, whatever its id may be then."
+    copy = "A line that is there twice. And one more of them."
+    rows = documents(spark, [(1, copy, "en", "a"), (2, own, "en", "a"), (2, copy, "en", "a"), (2, copy, "en", "a"), (3, None, "en", "a")])
+    got = unit_dedup.strip_units(rows, unit_dedup.repeated_units(rows)).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in got) == {(1, copy): 1, (2, own): 1, (2, ""): 2, (3, None): 1}
 
 
 def near_copies():
@@ -274,26 +284,47 @@ def test_scores_do_not_depend_on_the_slices(spark, docs, monkeypatch):
     run = lambda: [x for b in language_id._score(iter([pa.RecordBatch.from_arrays([rows], ["text"])]), model) for x in zip(*(c.to_pylist() for c in b.columns[:2]))]
     whole = run()
     monkeypatch.setattr(language_id, "slices", lambda batches: text.slices(batches, most=5000))
-    monkeypatch.setattr(language_id, "KEPT_WORDS", 300)
-    assert [x[0] for x in run()] == [x[0] for x in whole] and np.allclose([x[1] for x in run()], [x[1] for x in whole])
+    assert run() == whole
 
 
 def test_phrases_are_greedy_longest_matches():
     random.seed(1)
-    sample = [("a", " ".join("".join(random.choices("abc", k=4)) for _ in range(40))), ("b", "bca cab abba")]
+    wide = "".join(chr(0x4E00 + 7 * k) for k in range(300))  # more letters than a table of all symbols would like
+    sample = [("a", " ".join("".join(random.choices("abc", k=4)) for _ in range(40))), ("b", "bca cab abba"), ("c", " ".join("".join(random.choices(wide, k=3)) for _ in range(400)))]
     model = language_id.learn(sample)
-    text = {lang: "\0".join(w for l, t in sample if l == lang for w in t.split()) + "\0" for lang in "ab"}
-    for word in ("abcabcab", "ccc", "dab", "bcab", "x" * 120, "ab" * 60):
-        want = []
-        for lang in "ab":
+    text = {lang: " ".join(t for l, t in sample if l == lang) + " " for lang in "abc"}
+    found = ["abcabcab", "ccc", "da b1b, cab abba", "x" * 600, "ab " * 300, "", "..", sample[2][1][100:180] + wide[:9], "Bc\u0301a ABBA"]
+    flat, starts, _ = language_id.points(found)
+    got = model.phrases(flat, starts)
+    for i, t in enumerate(found):
+        plain = re.sub(r"[^a-z\u0301\u4e00-\u9fff]+", " ", t.lower()).lstrip()
+        for j, lang in enumerate("abc"):
             count = 0
-            for k in range(0, len(word), language_id.PART):
-                rest = word[k : k + language_id.PART] + "\0" * (k + language_id.PART >= len(word))
+            for k in range(0, len(plain), language_id.PART):
+                rest = plain[k : k + language_id.PART]
                 while rest:
                     n = max([1, *(m for m in range(1, len(rest) + 1) if rest[:m] in text[lang])])
                     rest, count = rest[n:], count + 1
-            want.append(count)
-        assert model.phrases([word])[0].tolist() == want
+            assert got[i, j] == count
+
+
+def test_languages_of_long_texts_and_of_repeated_ids_are_learned(spark, docs):
+    body = {lang: [r["text"] for r in docs.where(F.col("lang") == lang).limit(60).collect()] for lang in ("en", "fr")}
+    usable = [k for k in range(1000) if zlib.crc32(str(k).encode()) % 4 != 2]
+    rows = [(k, " ".join(body["fr"]), "fr", "a") for k in usable[:5]]
+    rows += [(k, t, "en", "a") for k, t in zip(usable[5:], body["en"])]
+    rows += [(usable[0], t, "fr", "a") for t in body["fr"] for _ in range(9)] + [(usable[5], t, "en", "a") for t in body["en"] for _ in range(9)]
+    sample = language_id.labelled_sample(documents(spark, rows))
+    assert Counter(lang for lang, _ in sample) == {"fr": 5, "en": 60}
+    got = {r["lang_pred"] for r in language_id.identify(documents(spark, rows)).where(F.col("doc_id") == usable[1]).collect()}
+    assert got == {"fr"}
+
+
+def test_other_scripts_and_junk_are_rejected(spark, docs):
+    rows = [(r["doc_id"], r["text"], r["lang"], r["source"]) for r in docs.collect()]
+    odd = [(-1, "".join(chr(0x0430 + random.randrange(32)) for _ in range(200)), None, "a"), (-2, "xqzjkvw " * 40, None, "a"), (-3, "le", None, "a")]
+    kept = {r["doc_id"] for r in language_id.accepted_documents(documents(spark, rows + odd)).collect()}
+    assert not {-1, -2} & kept and -3 in kept
 
 
 URL_ODD = [(-1, None), (-2, ""), (-3, "no scheme.com/x"), (-4, "HTTP://A.COM"), (-5, "x://WWW.Example.COM/en/é?q=://"), (-6, "s://net/fr/#a"), (-7, "s:///p"), (-8, "s://b.net/es/\n1"), (-8, "s://b.net/es/\n1"), (None, "s://c.com/" + "ab?" * 3000)]

@@ -79,7 +79,7 @@ def test_short_copies_and_lines_are_repeats(spark):
     passage = "One two three four five six seven. No. " + "And " * 15 + "so on.\n"
     rows = [(1, "Hello small world.", "en", "a"), (2, "Hello  small WORLD.", "en", "a"), (3, line + "Own text of three.\n\n" + passage, "en", "a"), (4, line + "Other text of four.\n\n" + passage, "en", "a"), (5, line + "\n" + line, "en", "a"), (None, "Hello small world. No.", "en", "a"), (6, None, "en", "a")]
     frame = documents(spark, rows)
-    found = unit_dedup.every_repeat(frame)
+    found = unit_dedup.repeated_units(frame)
     seen, want = {}, set()
     for k, t in sorted((r[:2] for r in rows if r[1]), key=lambda x: (x[0] is None, x[0])):
         for number, start, end, plain in unit_dedup.units(t):
@@ -88,7 +88,7 @@ def test_short_copies_and_lines_are_repeats(spark):
     got = found.collect()
     assert {(r["doc_id"], r["unit_no"], r["start"], r["end"], r["kept_doc_id"]) for r in got} == want and len(got) == len(want)
     assert {r["doc_id"] for r in got if r["whole"]} == {2, 5, None}
-    text = {r["doc_id"]: r["text"] for r in unit_dedup.strip_units(frame, found, least_run=20).collect()}
+    text = {r["doc_id"]: r["text"] for r in unit_dedup.strip_units(frame, unit_dedup.repeated_units(frame, least_run=20)).collect()}
     assert text == dict(r[:2] for r in rows) | {2: "", 4: line + "Other text of four.\n\n", 5: "", None: ""}
 
 
