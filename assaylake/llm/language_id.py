@@ -2,44 +2,64 @@
 
 A suffix automaton of each language's labelled text recognises exactly the text's substrings. A document is parsed
 against it into the fewest greedy phrases: the longest match from here, then the longest match from there. The
-cost of a language is what its phrases need to be named, over the letters parsed; the least cost wins.
-Phrases end with their word, so each distinct word is parsed once for a piece of the corpus.
+cost of a language is what its phrases need to be named, over the symbols parsed; the least cost wins.
+Texts are lower-cased, and what stands between words is one symbol; phrases go on over it. A text is parsed in parts of
+``PART`` symbols, so that texts of all lengths go in step.
 """
 
 from __future__ import annotations
 
-import re
+import unicodedata
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .text import slices, strings, words
-
-#: Labelled documents, of so many characters at most, and letters that a language is learned from at most: those whose
-#: ids hash lowest.
-SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_LETTERS = 64, 20_000, 24_000
-#: Symbols: the word's end, the most frequent letters of the sample, and the others by their code point's remainder.
-LETTERS, OTHERS = 95, 32
-#: A word is parsed in parts of this many letters.
-PART = 48
-#: Words whose costs a worker keeps.
-KEPT_WORDS = 100_000
-#: A document is rejected if it has no letters, or costs this many times what the costliest sample document does.
-REJECT = 1.25
-
-LETTER_RUN = re.compile(r"[^\W\d_]+")
-
-
-def letter_words(text: str) -> list[str]:
-    return LETTER_RUN.findall(text.lower())
-
-
-def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
-    """Transitions (state, symbol) -> state or -1 of the automaton that accepts the substrings of the symbols."""
+from .text import slices, strings
+
+#: Languages that are learned, those of most documents; documents of each, those whose ids hash lowest, with so many
+#: characters of each document; and symbols of a language's text.
+LANGS, SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_LETTERS = 100, 64, 8_000, 24_000
+#: Symbols of a part; a phrase ends with its part.
+PART = 256
+#: Every so many documents of a language's sample are left out of its text and tell what its texts cost.
+LEFT_OUT = 4
+#: A document is rejected if it has no letter, or costs this many times what nearly all documents of its language do. Texts
+#: of fewer symbols tell no cost, and this many phrases of a text are not counted for it, as the first are short ones.
+REJECT, QUANTILE, LEAST_SYMBOLS, FREE_PHRASES = 1.25, 0.98, 50, 4
+#: Symbols: between words, and a letter that the sample doesn't have.
+GAP, UNSEEN = 0, 1
+
+
+@cache
+def letters() -> np.ndarray:
+    """For each code point 2 if it is a letter, 1 if it is a mark that goes with letters, 0 for all else."""
+    return np.frombuffer(bytes({"L": 2, "M": 1}.get(unicodedata.category(chr(c))[0], 0) for c in range(0x110000)), np.uint8)
+
+
+def points(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(code points of letters and marks, -1 for what stands between; where each text's start, one more than texts;
+    whether each text has a letter)."""
+    texts = [t.lower() for t in texts]
+    flat = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.int32)
+    ends = np.cumsum([0, *map(len, texts)])
+    kind = letters()[flat]
+    part = kind > 0
+    after = np.zeros(len(flat), bool)
+    after[1:] = part[:-1]
+    after[ends[:-1][ends[:-1] < len(flat)]] = False
+    kept = part | after
+    count = np.concatenate([[0], np.cumsum(kept)])
+    real = np.concatenate([[0], np.cumsum(kind == 2)])
+    return np.where(part, flat, -1)[kept], count[ends], np.diff(real[ends]) > 0
+
+
+def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
+    """The moves of each state of the automaton that accepts the substrings of the symbols."""
     links, lengths, moves = [-1], [0], [{}]
     last = 0
     for s in symbols:
@@ -65,84 +85,128 @@ def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
                     p = links[p]
                 links[q] = links[state] = clone
         last = state
-    table = np.full((len(moves), width), -1, np.int32)
-    for state, move in enumerate(moves):
-        for s, to in move.items():
-            table[state, s] = to
-    return table
+    return moves
+
+
+@dataclass
+class Automaton:
+    """Moves of all states in one row of cells: that of a state by a symbol is at base[state] + symbol, if owner there is the
+    state. Rows of cells lie in each other's gaps, so the size goes with the moves and not with the alphabet."""
+
+    base: np.ndarray
+    owner: np.ndarray
+    to: np.ndarray
+    first: np.ndarray
+
+    @classmethod
+    def of(cls, moves: list[dict[int, int]], width: int) -> Automaton:
+        total = sum(map(len, moves))
+        used = bytearray(4 * total + 4 * width)
+        base = np.zeros(len(moves), np.int32)
+        owner, to = np.full(len(used), -1, np.int32), np.zeros(len(used), np.int32)
+        low = [0, 0]  # where rows of one cell, and of several, look for room from
+        for state in sorted(range(len(moves)), key=lambda k: (-len(moves[k]), k)):
+            keys = sorted(moves[state])
+            if not keys:
+                continue
+            several, tried = len(keys) > 1, 0
+            at = max(low[several], keys[0])
+            while True:
+                at = used.find(0, at)
+                if at < 0 or at + keys[-1] - keys[0] >= len(used):
+                    at = len(used) if at < 0 else at
+                    more = at + width + 1 - len(used) + total
+                    used += bytes(more)
+                    owner, to = np.concatenate([owner, np.full(more, -1, np.int32)]), np.concatenate([to, np.zeros(more, np.int32)])
+                if not any(used[at - keys[0] + k] for k in keys):
+                    break
+                at, tried = at + 1, tried + 1
+            if not several or tried > 64:
+                low[several] = at
+            base[state] = at - keys[0]
+            for k in keys:
+                used[base[state] + k], owner[base[state] + k], to[base[state] + k] = 1, state, moves[state][k]
+        first = np.zeros(width, np.int32)
+        first[list(moves[0])] = list(moves[0].values())
+        # a look-up past the last cell must find no owner
+        size = max(len(used.rstrip(b"\0")), int(base.max())) + width
+        owner, to = (np.concatenate([x[:size], np.full(max(0, size - len(x)), -1, np.int32)]) for x in (owner, to))
+        return cls(base, owner, to, first)
 
 
 @dataclass
 class Model:
     langs: list[str]
-    symbol: dict[str, int]
-    tables: list[np.ndarray]
+    #: The symbol of each code point of the sample's letters.
+    symbol: dict[int, int]
+    tables: list[Automaton]
     #: What a phrase costs: log2 of its place in the language's text, and of the symbol that ends it.
     bits: np.ndarray
-    #: Cost a letter above which a document is in no learned language.
-    most: float = np.inf
-
-    def symbols(self, word: str) -> list[int]:
-        return [self.symbol.get(c, 1 + LETTERS + ord(c) % OTHERS) for c in word]
-
-    def phrases(self, texts: list[str]) -> np.ndarray:
-        """Number of phrases (word, language) of words, with the word's end as a last symbol."""
-        parts, owner = [], []
-        for k, word in enumerate(texts):
-            for at in range(0, len(word), PART):
-                parts.append(self.symbols(word[at : at + PART]) + [0] * (at + PART >= len(word)))
-                owner.append(k)
-        out = np.zeros((len(texts), len(self.langs)), np.int64)
-        if not parts:
-            return out
-        order = np.argsort([-len(p) for p in parts], kind="stable")
-        sizes = np.array([len(parts[i]) for i in order])
-        grid = np.zeros((len(parts), sizes[0]), np.uint8)
-        for row, i in enumerate(order.tolist()):
-            grid[row, : sizes[row]] = parts[i]
-        owner = np.array(owner)[order]
+    #: Cost a symbol of each language above which a document is rejected.
+    most: np.ndarray = field(default_factory=lambda: np.zeros(0))
+
+    def symbols(self, flat: np.ndarray) -> np.ndarray:
+        table = np.full(0x110001, UNSEEN, np.int32)
+        table[list(self.symbol)] = list(self.symbol.values())
+        table[-1] = GAP
+        return table[flat]
+
+    def phrases(self, flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Number of phrases (text, language) of texts of code points."""
+        n = len(starts) - 1
+        out = np.zeros((n, len(self.langs)), np.int64)
+        parts = -(-np.diff(starts) // PART)
+        owner = np.repeat(np.arange(n), parts)
+        begin = starts[:-1][owner] + PART * (np.arange(len(owner)) - (np.cumsum(parts) - parts)[owner])
+        size = np.minimum(starts[1:][owner] - begin, PART)
+        order = np.argsort(-size, kind="stable")
+        owner, begin, size = owner[order], begin[order], size[order]
+        steps = int(size[0]) if len(size) else 0
+        alive = np.searchsorted(-size, -np.arange(steps), side="left")  # parts longer than t
+        symbols = self.symbols(flat)
+        grid = [symbols[begin[: alive[t]] + t] for t in range(steps)]
         for lang, table in enumerate(self.tables):
-            state, count = np.zeros(len(parts), np.int32), np.zeros(len(parts), np.int64)
-            for at in range(sizes[0]):
-                n = int(np.searchsorted(-sizes, -at, side="left"))  # parts longer than at
-                symbol = grid[:n, at]
-                to = table[state[:n], symbol]
-                again = to < 0
-                count[:n] += again | (state[:n] == 0)
+            state, count = np.zeros(len(size), np.int32), np.zeros(len(size), np.int64)
+            for s, m in zip(grid, alive.tolist()):
+                cell = table.base[state[:m]] + s
+                new = (table.owner[cell] != state[:m]) | (state[:m] == 0)
+                count[:m] += new
                 # an unseen symbol is a phrase by itself
-                state[:n] = np.where(again, np.maximum(table[0, symbol], 0), to)
-            np.add.at(out[:, lang], owner, count)
+                state[:m] = np.where(new, table.first[s], table.to[cell])
+            out[:, lang] = np.bincount(owner, weights=count, minlength=n)
         return out
 
+    def costs(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(cost a symbol by text and language, the same without the first phrases, symbols, whether there is a letter)."""
+        flat, starts, lettered = points(texts)
+        count, size = self.phrases(flat, starts), np.maximum(np.diff(starts), 1)[:, None]
+        return count * self.bits / size, np.maximum(count - FREE_PHRASES, 0) * self.bits / size, np.diff(starts), lettered
+
 
 def learn(sample: list[tuple[str, str]]) -> Model:
     """A model of (lang, text) documents, given in a fixed order."""
-    langs = sorted({lang for lang, text in sample if LETTER_RUN.search(text)})
-    sample = [x for x in sample if x[0] in langs]
-    texts: dict[str, list[str]] = {x: [] for x in langs}
-    room = dict.fromkeys(langs, SAMPLE_LETTERS)
+    by_lang: dict[str, list[str]] = {}
     for lang, text in sample:
-        for word in letter_words(text):
-            if room[lang] > 0:
-                texts[lang].append(word)
-                room[lang] -= len(word) + 1
-    count: dict[str, int] = {}
-    for body in texts.values():
-        for word in body:
-            for c in word:
-                count[c] = count.get(c, 0) + 1
-    symbol = {c: k + 1 for k, c in enumerate(sorted(count, key=lambda c: (-count[c], c))[:LETTERS])}
-    model = Model(langs, symbol, [], np.log2([float((SAMPLE_LETTERS - room[x]) * (1 + LETTERS + OTHERS)) for x in langs]))
+        if points([text])[2][0]:
+            by_lang.setdefault(lang, []).append(text)
+    langs = sorted(by_lang)
+    learned, left = {}, {}
+    for lang, texts in by_lang.items():
+        left[lang] = texts[LEFT_OUT - 1 :: LEFT_OUT]
+        flat = [points([t])[0] for k, t in enumerate(texts) if k % LEFT_OUT != LEFT_OUT - 1]
+        learned[lang] = np.concatenate([x for t in flat for x in (t, np.array([-1], np.int32))])[:SAMPLE_LETTERS]
+    seen = np.unique(np.concatenate(list(learned.values()))) if langs else np.zeros(0, np.int32)
+    symbol = {int(c): k + UNSEEN + 1 for k, c in enumerate(seen[seen >= 0])}
+    width = len(symbol) + UNSEEN + 1
+    model = Model(langs, symbol, [], np.log2([float(len(learned[x]) * width) for x in langs]))
     for lang in langs:
-        model.tables.append(suffix_automaton([s for word in texts[lang] for s in (*model.symbols(word), 0)], 1 + LETTERS + OTHERS))
-    # what a language's own documents cost is measured against the part of the sample that is not its text
-    rates = []
-    for lang, text in sample:
-        found = letter_words(text)
-        if found:
-            cost = model.phrases(found).sum(axis=0) * model.bits / sum(len(w) + 1 for w in found)
-            rates.append(cost.min())
-    model.most = REJECT * max(rates, default=np.inf)
+        model.tables.append(Automaton.of(suffix_automaton(model.symbols(learned[lang]).tolist()), width))
+    limits = []
+    for k, lang in enumerate(langs):
+        _, cost, size, _ = model.costs(left[lang])
+        told = cost[size >= LEAST_SYMBOLS, k]
+        limits.append(REJECT * float(np.quantile(told, QUANTILE)) if len(told) else np.inf)
+    model.most = np.array(limits)
     return model
 
 
@@ -152,52 +216,34 @@ def id_hash(doc_id: str, of: int) -> Column:
 
 
 def labelled_sample(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> list[tuple[str, str]]:
-    """(lang, text) of up to ``SAMPLE_DOCS`` documents of each language among those whose id's remainder isn't 2.
-    The ids are chosen by their hash on all rows; only the chosen texts reach the driver."""
-    usable = docs.where(F.col(lang).isNotNull() & (F.length(text) <= SAMPLE_CHARS) & (id_hash(doc_id, 4) != 2)).select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"))
-    langs = sorted(r[0] for r in usable.select("lang").distinct().collect())
-    chosen = None
-    for name in langs:
-        own = usable.where(F.col("lang") == name).orderBy(F.md5(F.col("id").cast("string")), "id").limit(SAMPLE_DOCS)
-        chosen = own if chosen is None else chosen.union(own)
-    if chosen is None:
-        return []
-    texts = docs.where(F.length(text) <= SAMPLE_CHARS).select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    rows = texts.join(F.broadcast(chosen.distinct()), ["id", "lang"]).orderBy(F.md5(F.col("id").cast("string")), "id", "text").limit(SAMPLE_DOCS * len(langs)).collect()
-    return [(r["lang"], r["text"] or "") for r in rows]
+    """(lang, text) of up to ``SAMPLE_DOCS`` documents of each language among those whose id's remainder isn't 2, one row an
+    id. The ids are chosen by their hash on all rows; only the chosen texts reach the driver, cut to ``SAMPLE_CHARS``."""
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("t"))
+    usable = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (id_hash("id", 4) != 2))
+    one = usable.groupBy("lang", "id").agg(F.min("t").alias("t"))
+    frequent = one.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGS).select("lang")
+    order = Window.partitionBy("lang").orderBy(F.md5(F.col("id").cast("string")), "id")
+    chosen = one.join(F.broadcast(frequent), "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_DOCS)
+    cut = usable.join(F.broadcast(chosen), ["lang", "id", "t"]).select("lang", "id", "n", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+    found = cut.dropDuplicates(["lang", "id"]).orderBy("lang", "n").collect()
+    return [(r["lang"], r["text"]) for r in found]
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    kept: dict[str, int] = {}
-    table = np.zeros((KEPT_WORDS, len(model.langs) + 1), np.float32)
     for piece in slices(batches):
-        vocabulary, codes, starts = words(piece.column("text"))
-        names = strings(vocabulary)
-        place = np.fromiter((kept.get(w, -1) for w in names), np.int64, len(names))
-        values = table[place]
-        new = np.flatnonzero(place < 0)
-        split = [letter_words(names[k]) for k in new.tolist()]
-        number = {x: k for k, x in enumerate(dict.fromkeys(x for part in split for x in part))}
-        counted = np.concatenate([model.phrases(list(number)), np.array([[len(x) + 1] for x in number], np.int64).reshape(-1, 1)], axis=1)
-        values[new] = 0
-        owner = np.repeat(new, [len(part) for part in split])
-        np.add.at(values, owner, counted[[number[x] for part in split for x in part]].astype(np.float32) if number else 0)
-        base = len(kept)
-        free = new[: KEPT_WORDS - base]
-        table[base : base + len(free)] = values[free]
-        kept.update((names[k], base + i) for i, k in enumerate(free.tolist()))
-        n = len(piece)
-        owner = np.repeat(np.arange(n), np.diff(starts))
-        total = np.stack([np.bincount(owner, weights=values[codes, k], minlength=n) for k in range(len(model.langs) + 1)], axis=1) if len(names) else np.zeros((n, len(model.langs) + 1))
-        letters = total[:, -1]
-        cost = total[:, :-1] * model.bits / np.maximum(letters, 1)[:, None] if model.langs else np.zeros((n, 1))
+        texts, n = strings(piece.column("text")), len(piece)
+        if model.langs:
+            cost, later, _, known = model.costs(texts)
+        else:
+            cost = later = np.zeros((n, 1))
+            known = np.zeros(n, bool)
         best = cost.argmin(axis=1)
         least = cost[np.arange(n), best]
         second = np.partition(cost, 1, axis=1)[:, 1] if cost.shape[1] > 1 else np.maximum(least, 1)
-        known = (letters > 0) & bool(model.langs)
         score = np.where(known, np.clip(second / np.maximum(least + second, 1e-12), 0, 1), 0.0)
         lang = [model.langs[b] if k else "und" for b, k in zip(best.tolist(), known.tolist())]
-        yield pa.RecordBatch.from_arrays([*(piece.column(k) for k in range(piece.num_columns - 1)), pa.array(lang), pa.array(score), pa.array(known & (least <= model.most))], [*piece.schema.names[:-1], "lang_pred", "score", "accepted"])
+        accepted = known & (later[np.arange(n), best] <= (model.most[best] if model.langs else 0))
+        yield pa.RecordBatch.from_arrays([*(piece.column(k) for k in range(piece.num_columns - 1)), pa.array(lang, pa.string()), pa.array(score), pa.array(accepted)], [*piece.schema.names[:-1], "lang_pred", "score", "accepted"])
 
 
 def identify(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> DataFrame:
