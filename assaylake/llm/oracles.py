@@ -17,11 +17,11 @@ REPEATS = f"""
 WITH u AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{unit_dedup.UNIT}') us FROM documents),
 p AS (SELECT doc_id, unnest(us) unit, generate_subscripts(us, 1) - 1 AS unit_no FROM u),
 o AS (SELECT doc_id, unit_no, length(unit) size, sum(length(unit)) OVER (PARTITION BY doc_id ORDER BY unit_no) upto, list_filter(string_split_regex(lower(unit), '{unit_dedup.SPACE}+'), lambda x: x <> '') w FROM p),
-k AS (SELECT doc_id, unit_no, upto - size AS begins, upto, len(w) n_words, array_to_string(w, ' ') plain, row_number() OVER (PARTITION BY doc_id ORDER BY unit_no) seq, count(*) OVER (PARTITION BY doc_id) n_units FROM o WHERE len(w) > 0),
+k AS (SELECT doc_id, unit_no, upto - size AS begins, upto, len(w) n_words, array_to_string(w, ' ') plain, sum((len(w) >= {unit_dedup.SENTENCE})::INT) OVER (PARTITION BY doc_id ORDER BY unit_no) seq, count(*) OVER (PARTITION BY doc_id) n_units FROM o WHERE len(w) > 0),
 f AS (SELECT plain, min(doc_id) kept FROM k GROUP BY plain HAVING count(*) > 1),
 g AS (SELECT k.*, kept, min(unit_no) OVER (PARTITION BY doc_id, plain) first_no FROM k JOIN f USING (plain)),
-i AS (SELECT *, seq - row_number() OVER (PARTITION BY doc_id ORDER BY seq) run FROM g WHERE doc_id <> kept OR unit_no <> first_no)
-SELECT doc_id, unit_no::INT unit_no, begins::INT AS "start", upto::INT AS "end", n_words::INT n_words, kept kept_doc_id, (sum(n_words) OVER (PARTITION BY doc_id, run))::BIGINT run_words, count(*) OVER (PARTITION BY doc_id) = n_units AS whole FROM i
+i AS (SELECT *, seq - sum((n_words >= {unit_dedup.SENTENCE})::INT) OVER (PARTITION BY doc_id ORDER BY unit_no) run FROM g WHERE doc_id <> kept OR unit_no <> first_no)
+SELECT doc_id, unit_no::INT unit_no, begins::INT AS "start", upto::INT AS "end", n_words::INT n_words, kept kept_doc_id, (sum(CASE WHEN n_words >= {unit_dedup.SENTENCE} THEN n_words ELSE 0 END) OVER (PARTITION BY doc_id, run))::BIGINT run_words, count(*) OVER (PARTITION BY doc_id) = n_units AS whole FROM i
 """
 PASSAGES = f"SELECT * FROM ({REPEATS}) WHERE whole OR run_words >= {unit_dedup.PASSAGE}"
 

@@ -24,8 +24,9 @@ from .text import slices
 SPACE = r"[\x20\x09-\x0D]"
 #: Units follow each other without gaps, so their lengths add up to offsets.
 UNIT = r"(?:[^.!?\n]|[.!?]+[^.!?\x20\x09-\x0D])*(?:[.!?]+[\x20\x09-\x0D]*|\n|$)"
-#: Words of a passage: what the op2 query asks of repeated units that follow each other.
-PASSAGE = 20
+#: Words of a passage: what the op2 query asks of repeated units that follow each other. Units of fewer words than
+#: ``SENTENCE`` repeat by chance: they neither end a run of repeated units nor count for its length.
+PASSAGE, SENTENCE = 20, 4
 #: Copies that the one row of a digest is dealt to, so that a digest in a third of all rows meets in no one task.
 SALT = 8
 
@@ -47,20 +48,20 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for number, start, end, plain in units(text):
                 if plain:
                     n = plain.count(" ") + 1
+                    seq += n >= SENTENCE
                     digest = xxhash.xxh3_128_intdigest(plain)
                     again = digest in seen
                     seen.add(digest)
                     for column, value in zip(columns, (doc, t, number, seq, start, end, n, again, (digest >> 64) - (1 << 63), (digest & (1 << 64) - 1) - (1 << 63))):
                         column.append(value)
-                    seq += 1
-            columns[10] += [seq] * (len(columns[0]) - before)
+            columns[10] += [len(columns[0]) - before] * (len(columns[0]) - before)
         yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:2]), *(pa.array(c, pa.int32()) for c in columns[2:7]), pa.array(columns[7], pa.bool_()), *(pa.array(c, pa.int64()) for c in columns[8:10]), pa.array(columns[10], pa.int32())], ["doc_id", "t", "unit_no", "seq", "start", "end", "n_words", "again", "h1", "h2", "n_units"])
 
 
 def repeated_units(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", least_run: int = 0) -> DataFrame:
     """One row for each unit of one word or more that is not the first of its kind: doc_id, t (the text's hash), unit_no,
     start, end (code points), n_words, kept_doc_id (the document in which the unit stays, at its first place), run_words
-    (words of the repeated units that follow each other there) and whole (all units of the text repeat, as those of an
+    (words of the sentences among the repeated units that follow each other there) and whole (all units of the text repeat, as those of an
     exact copy do).
 
     With ``least_run``, only those in passages of so many words or in texts that repeat as a whole. Null and empty texts
@@ -80,8 +81,10 @@ def repeated_units(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     # rows equal in id and text are counted before they meet, and told out again at the end
     gone = gone.groupBy("doc_id", "t", "unit_no", "seq", "start", "end", "n_words", "n_units", "kept").agg(F.count("*").cast("int").alias("copies"))
     row = ["doc_id", "t"]
-    gone = gone.withColumn("run", F.col("seq") - F.row_number().over(Window.partitionBy(*row).orderBy("seq")))
-    gone = gone.withColumn("run_words", F.sum("n_words").over(Window.partitionBy(*row, "run")))
+    # seq counts sentences, so a run is told by the sentences before it that do not repeat
+    sentence = F.col("n_words") >= SENTENCE
+    gone = gone.withColumn("run", F.col("seq") - F.sum(sentence.cast("int")).over(Window.partitionBy(*row).orderBy("unit_no")))
+    gone = gone.withColumn("run_words", F.sum(F.when(sentence, F.col("n_words")).otherwise(0)).over(Window.partitionBy(*row, "run")))
     gone = gone.withColumn("whole", F.count("*").over(Window.partitionBy(*row)) == F.col("n_units"))
     if least_run:
         gone = gone.where(F.col("whole") | (F.col("run_words") >= least_run))

@@ -143,14 +143,16 @@ def plain_units(rows):
         i, text = rows[k]
         found = [x for x in unit_dedup.units(text or "") if x[3]]
         late = [seen.setdefault(x[3], (i, x[0])) != (i, x[0]) for x in found]
+        size = [len(x[3].split()) for x in found]
+        end = lambda k: size[k] >= 4 and not late[k]
         for at, x in enumerate(found):
             if late[at]:
                 a, b = at, at
-                while a and late[a - 1]:
+                while a and not end(a - 1):
                     a -= 1
-                while b + 1 < len(late) and late[b + 1]:
+                while b + 1 < len(late) and not end(b + 1):
                     b += 1
-                out[(i, *x[:3], seen[x[3]][0], sum(len(y[3].split()) for y in found[a : b + 1]), all(late))] += 1
+                out[(i, *x[:3], seen[x[3]][0], sum(size[k] for k in range(a, b + 1) if size[k] >= 4), all(late))] += 1
     return out
 
 
