@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import unicodedata
 import zlib
 from collections import Counter, defaultdict
@@ -528,17 +529,68 @@ def test_secrets_match_the_patterns(spark, docs, odd, none):
     assert cut[21].startswith("[SECRET] é [SECRET]") and "abc123" not in cut[20]
 
 
-def test_network_learns_held_out_values():
+def test_network_finds_planted_values_without_a_pattern(spark):
+    """Values that no pattern has, in documents that were not learned from: recall at 0.9 or more; words are left alone."""
+    docs = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").collect()]
     random.seed(5)
-    text = lambda v: f"lorem ipsum dolor token = '{v}' sit amet consectetuer adipiscing"
     draw = lambda n, of: "".join(random.choices(of, k=n))
-    rows = [text(draw(40, "0123456789abcdef")) for _ in range(300)] + [draw(14, "aeioulnrst") + " " + draw(17, "aeioulnrst") + " 2024" + draw(10, "0123456789") for _ in range(300)]
-    net = secrets.train(*secrets.labelled_windows(rows))
-    fresh = ["key " + draw(40, "0123456789abcdef") for _ in range(100)]
-    x = np.array([secrets.window(t, 4, len(t))[0] for t in fresh])
-    words = ["key " + draw(18, "aeioulnrst") for _ in range(100)]
-    y = np.array([secrets.window(t, 4, len(t))[0] for t in words])
-    assert (net.probability(x) >= net.threshold).mean() > 0.9 and (net.probability(y) >= net.threshold).mean() < 0.1
+    plant = lambda t, v: t[: (at := t.find(" ", 40) + 1)] + v + " " + t[at:]
+    learned = [plant(t, f'token = "{draw(40, "0123456789abcdef")}"') for t in docs[:300]]
+    net = secrets.train(*secrets.labelled_examples(learned + docs[300:600]))
+    fresh = [t for t in docs[600:] if t.find(" ", 40) > 0][:150]
+    for size, of in ((20, "0123456789abcdef"), (32, "0123456789ABCDEF"), (32, secrets.ALPHABET)):
+        values = [draw(size, of) for _ in fresh]
+        texts = [plant(t, v) for t, v in zip(fresh, values)]
+        assert not any(v in t[a:b] for t, v in zip(texts, values) for a, b, _ in secrets.base_spans(t))
+        found = Counter((i, texts[i][a:b]) for i, a, b in secrets.network_spans(texts, net))
+        assert np.mean([(i, v) in found for i, v in enumerate(values)]) >= 0.9
+    words_ = sum(len(re.findall(r"[A-Za-z0-9+/_=-]{6,}", t)) for t in docs[600:])
+    assert sum(1 for _ in secrets.network_spans(docs[600:], net)) < 0.01 * words_
+
+
+def test_held_out_documents_are_not_learned_from(monkeypatch):
+    x, y, owner = np.zeros((40, secrets.BODY + 2 * secrets.SIDE), np.int64), np.array([1.0, 0.0] * 20), np.repeat(np.arange(10), 4)
+    x[:, 0] = np.arange(40)
+    seen: list[set] = []
+    forward = secrets.Network.forward
+
+    def spy(self, rows):
+        seen.append(set(owner[rows[:, 0]].tolist()))
+        return forward(self, rows)
+
+    monkeypatch.setattr(secrets.Network, "forward", spy)
+    secrets.train(x, y, owner)
+    learned, held = set().union(*seen[: secrets.EPOCHS]), seen[-1]
+    assert held and not learned & held
+
+
+def test_a_text_of_many_candidates_takes_linear_time():
+    line = "0123456789abcdef01234567 é key WORDS_123456 "
+    times = []
+    for n in (3000, 12_000):
+        piece = pa.RecordBatch.from_arrays([pa.array([line * n])], ["text"])
+        start = time.perf_counter()
+        assert len(secrets._scan(piece, None)[0]) == n
+        times.append(time.perf_counter() - start)
+    assert times[1] < 9 * times[0] + 0.5
+
+
+def test_labels_of_long_texts_and_repeated_ids_are_kept(spark):
+    finding = "password = abcdef123456 "
+    rows = [(1, finding + "word " * 9000, "en", "a")] + [(None, f"plain text number {k}", "en", "a") for k in range(50)] + [(2, f"text {k}", "en", "a") for k in range(50)]
+    seen = []
+    secrets_train, secrets.train = secrets.train, lambda *a: seen.append(a)
+    try:
+        secrets.learn(documents(spark, rows))
+    finally:
+        secrets.train = secrets_train
+    x, y, owner = seen[0]
+    assert set(y.tolist()) == {0.0, 1.0}
+    long_ = spark.createDataFrame([(k, "idiot scum " * 9000 if k % 2 else "fine words " * 9000) for k in range(40)] + [(1, "idiot twice")] * 5, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, toxic int")
+    sample = toxicity.labelled_sample(long_, labels)
+    usable = [k for k in range(40) if zlib.crc32(str(k).encode()) % 3 != 1]
+    assert Counter(t for _, t in sample) == Counter(k % 2 for k in usable) and max(len(t) for t, _ in sample) == toxicity.SAMPLE_CHARS
 
 
 def test_marginals_match_enumeration():
@@ -558,6 +610,44 @@ def test_marginals_match_enumeration():
         assert np.allclose(got[a:b], per / total)
 
 
+def test_expected_tags_match_enumeration():
+    random.seed(16)
+    field = toxicity.Field(np.zeros(4), np.array([[0.4, -0.7], [-0.2, 0.9]]), np.zeros(4))
+    sizes = [0, 1, 5, 3, 7, 0]
+    emission, starts = np.array([random.gauss(0, 1.5) for _ in range(sum(sizes))]), np.cumsum([0, *sizes])
+    marginal, pair, none = field.expected(emission, starts)
+    assert np.allclose(marginal, field.marginals(emission, starts))
+    for t, (a, b) in enumerate(zip(starts, starts[1:])):
+        n = b - a
+        total, empty, want = 0.0, 0.0, np.zeros((2, 2, n))
+        for state in range(1 << n):
+            y = [state >> k & 1 for k in range(n)]
+            p = np.exp(sum(emission[a + k] * y[k] for k in range(n)) + sum(field.trans[y[k], y[k + 1]] for k in range(n - 1)))
+            total += p
+            empty += p * (state == 0)
+            for k in range(1, n):
+                want[y[k - 1], y[k], k] += p
+        assert none[t] == pytest.approx(empty / total) and np.allclose(pair[:, :, a:b], want / total)
+
+
+def test_marginals_of_one_long_text():
+    random.seed(17)
+    field = toxicity.Field(np.zeros(4), np.array([[0.4, -0.7], [-0.2, 0.9]]), np.zeros(4))
+    emission = np.array([random.gauss(-1, 2) for _ in range(1000)])
+    t, e = np.exp(field.trans), np.exp(emission)
+    ahead, back = [np.array([1.0, e[0]])], [np.ones(2)]
+    for k in range(1, 1000):
+        v = (ahead[-1] @ t) * [1, e[k]]
+        ahead.append(v / v.sum())
+        w = t @ (back[-1] * [1, e[1000 - k]])
+        back.append(w / w.sum())
+    both = np.array(ahead) * np.array(back[::-1])
+    assert np.allclose(field.marginals(emission, np.array([0, 1000])), both[:, 1] / both.sum(axis=1))
+    start = time.perf_counter()
+    field.marginals(np.resize(emission, 2_000_000), np.array([0, 2_000_000]))
+    assert time.perf_counter() - start < 10
+
+
 def test_toxic_documents_are_found(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
