@@ -1,7 +1,7 @@
 """Jaccard join of shingle sets with signature trees, and its connected components.
 
-1. Every text becomes a set of 64-bit shingle hashes; equal sets are one class from here on, so exact copies
-   cost one row each.
+1. Every text becomes a set of 64-bit shingle hashes; equal sets, by 128 bits of digests, are one class from here on, so
+   exact copies cost one row each.
 2. Two sets with Jaccard t or more differ in few shingles for their size. Each set is cut by a hash into one
    segment more than that, so linked sets agree in one segment at least: sets that share a segment's hash form
    clusters, and no link leaves a cluster. A segment that is empty stands for two halves of the next one.
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .store import partitions, saved
+from .store import discard, partitions, saved
 from .text import U64, mix, runs, signed, slices, words
 
 #: A pair is linked if 100 * |both| >= percent * |either|; these are the op3 query's percent and words of a shingle.
@@ -113,22 +113,47 @@ def segment_hashes(at: np.ndarray, value: np.ndarray, n: int, percent: int = PER
     return np.concatenate(owners), np.concatenate(out)
 
 
-def _describe(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
+def _digests(at: np.ndarray, value: np.ndarray, n: int, clashes: frozenset = frozenset()) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sizes, node, second) of the sets of n texts: two digests of 64 bits each. The first names the set; where it is one of
+    ``clashes``, which different sets share, both do."""
+    sizes = np.bincount(at, minlength=n)
+    both = []
+    for odd in ODD[:2]:
+        digest = np.zeros(n, U64)
+        np.add.at(digest, at, mix(value ^ odd))
+        both.append(mix(digest + sizes.astype(U64)))
+    node, second = both
+    if clashes:
+        shared = np.isin(signed(node), list(clashes))
+        node = np.where(shared, mix(node * ODD[2] + second), node)
+    return sizes, signed(node), signed(second)
+
+
+def _describe(batches: Iterator[pa.RecordBatch], width: int, clashes: frozenset = frozenset()) -> Iterator[pa.RecordBatch]:
+    for piece in slices(batches):
+        sizes, node, second = _digests(*shingles(piece.column("text"), width), len(piece), clashes)
+        yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("t"), pa.array(sizes.astype(np.int64)), pa.array(node), pa.array(second)], ["doc_id", "t", "n", "node", "second"])
+
+
+def _signatures(batches: Iterator[pa.RecordBatch], width: int, percent: int, clashes: frozenset) -> Iterator[pa.RecordBatch]:
+    """node and signatures of each text that has shingles; equal sets of a piece once."""
     for piece in slices(batches):
         n = len(piece)
         at, value = shingles(piece.column("text"), width)
-        sizes = np.bincount(at, minlength=n)
-        digest = np.zeros(n, U64)
-        np.add.at(digest, at, mix(value ^ ODD[0]))
-        digest = mix(digest + sizes.astype(U64))
-        owner, signature = segment_hashes(at, value, n, percent)
+        sizes, node, _ = _digests(at, value, n, clashes)
+        _, first = np.unique(node, return_index=True)
+        once = np.zeros(n, bool)
+        once[first] = True
+        once &= sizes > 0
+        kept = once[at]
+        owner, signature = segment_hashes((np.cumsum(once) - 1)[at[kept]], value[kept], int(once.sum()), percent)
         order = np.argsort(owner, kind="stable")
-        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))]).astype(np.int32)), pa.array(signed(signature[order])))
-        yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("t"), pa.array(sizes.astype(np.int64)), pa.array(signed(digest)), lists], ["doc_id", "t", "n", "node", "sigs"])
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=int(once.sum())))]).astype(np.int32)), pa.array(signed(signature[order])))
+        yield pa.RecordBatch.from_arrays([pa.array(node[once]), lists], ["node", "sigs"])
 
 
 def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(signature, node) once for each signature and piece, with the edges that join the piece's other nodes to it."""
+    """(sig, a) once for each signature and piece; rows (a, b) without sig join the piece's other nodes to it."""
     for batch in batches:
         lists = batch.column("sigs")
         counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
@@ -139,7 +164,9 @@ def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new[1:] = sig[1:] != sig[:-1]
         least = node[np.flatnonzero(new)][np.cumsum(new) - 1] if len(sig) else node
         edge = np.unique(np.stack([node, least])[:, node != least], axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([sig[new], np.zeros(edge.shape[1], np.int64)])), pa.array(np.concatenate([node[new], edge[0]])), pa.array(np.concatenate([np.zeros(int(new.sum()), np.int64), edge[1]])), pa.array(np.concatenate([np.zeros(int(new.sum()), bool), np.ones(edge.shape[1], bool)]))], ["sig", "a", "b", "edge"])
+        own, more = int(new.sum()), edge.shape[1]
+        b = pa.concat_arrays([pa.nulls(own, pa.int64()), pa.array(edge[1])])
+        yield pa.RecordBatch.from_arrays([pa.concat_arrays([pa.array(sig[new]), pa.nulls(more, pa.int64())]), pa.array(np.concatenate([node[new], edge[0]])), b], ["sig", "a", "b"])
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,7 +174,8 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kept = list(batches)
     if not kept:
         return
-    sig, a, b, edge = (np.concatenate([x.column(k).to_numpy(zero_copy_only=False) for x in kept]) for k in range(4))
+    edge = np.concatenate([pc.is_null(x.column(0)).to_numpy(zero_copy_only=False) for x in kept])
+    sig, a, b = (np.concatenate([pc.fill_null(x.column(k), 0).to_numpy(zero_copy_only=False) for x in kept]) for k in range(3))
     out = [np.stack([a[edge], b[edge]])]
     sig, a = sig[~edge], a[~edge]
     order = np.lexsort((a, sig))
@@ -166,14 +194,10 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
     for piece in slices(batches):
         n = len(piece)
         at, value = shingles(piece.column("text"), width)
-        sizes = np.bincount(at, minlength=n)
-        digest = np.zeros(n, U64)
-        np.add.at(digest, at, mix(value ^ ODD[0]))
-        right = signed(mix(digest + sizes.astype(U64))) == piece.column("node").to_numpy(zero_copy_only=False)
         least = np.full(n, ~U64(0))
         np.minimum.at(least, at, mix(value ^ ODD[1]))
-        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(signed(value)))
-        yield pa.RecordBatch.from_arrays([piece.column("cluster"), piece.column("node"), pa.array(signed(least)), lists], ["cluster", "node", "least", "set"]).filter(pa.array(right))
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.bincount(at, minlength=n))]).astype(np.int32)), pa.array(signed(value)))
+        yield pa.RecordBatch.from_arrays([piece.column("cluster"), piece.column("node"), pa.array(signed(least)), lists], ["cluster", "node", "least", "set"])
 
 
 class SignatureTree:
@@ -312,38 +336,46 @@ def _with_blocks(members: DataFrame) -> DataFrame:
 
 
 def set_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, t, n, node, sigs of each row; node, root of the nodes in links): the classes and their links.
+    """(doc_id, t, n, node of each row; node, root of the nodes in links): the classes and their links.
 
-    node is a 64-bit digest of the text's shingle set, t a hash of the text itself."""
+    node is a digest of the text's shingle set, t a hash of the text itself."""
     spark = docs.sparkSession
-    whole = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows = saved(whole.withColumn("t", F.xxhash64("text")).mapInArrow(lambda it: _describe(it, width, percent), "doc_id long, t long, n long, node long, sigs array<long>"))
-    classes = rows.where("n > 0").select("node", "sigs")
-    total = rows.agg(F.sum(F.size("sigs"))).first()[0] or 0
-    meet = classes.mapInArrow(_deal, "sig long, a long, b long, edge boolean")
-    meet = meet.repartition(partitions(total, 1_000_000, spark), F.when(F.col("edge"), F.col("a")).otherwise(F.col("sig")))
-    clusters = components(meet.mapInArrow(_meet, EDGE)).select(F.col("root").alias("cluster"), "node")
-    # one text for each node that may link
-    first = rows.where("n > 0").groupBy("node").agg(F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("key"))
-    picked = clusters.join(first, "node")
+    whole = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).withColumn("t", F.xxhash64("text"))
+    rows = saved(whole.mapInArrow(lambda it: _describe(it, width), "doc_id long, t long, n long, node long, second long"))
+    # two sets of one digest differ in the second; expected are none in a thousand million sets
+    clashes = rows.groupBy("node").agg(F.min("second").alias("low"), F.max("second").alias("high")).where("low <> high").select("node")
+    clashes = frozenset(r[0] for r in clashes.collect())
+    if clashes:
+        rows = saved(whole.mapInArrow(lambda it: _describe(it, width, clashes), "doc_id long, t long, n long, node long, second long"), rows)
+    classes = whole.select("text").mapInArrow(lambda it: _signatures(it, width, percent, clashes), "node long, sigs array<long>")
+    # signatures of a set are at most in number two in ten of its shingles and two, for each of two bands
+    total = rows.groupBy("node").agg(F.first("n").alias("n")).agg(F.sum(2 * (F.col("n") * (100 - percent) * 2.5 / (100 + percent) + 2))).first()[0] or 0
+    meet = classes.mapInArrow(_deal, "sig long, a long, b long")
+    meet = meet.repartition(partitions(int(total), 1_000_000, spark), F.coalesce("sig", "a"))
+    clusters = components(meet.mapInArrow(_meet, EDGE))
+    # one text for each node that may link: by its id and hash, so that ids of many texts meet no others
+    first = rows.where("n > 0").groupBy("node").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("key"), "t")).alias("one"))
+    picked = saved(clusters.select(F.col("root").alias("cluster"), "node").join(first, "node").select("cluster", "node", "one.key", "one.t"), clusters)
     texts = whole.withColumn("key", F.coalesce("doc_id", F.lit(-(2**63)))).drop("doc_id")
-    found = picked.join(texts, "key").select("cluster", "node", "text").mapInArrow(lambda it: _sets(it, width), "cluster long, node long, least long, set array<long>")
-    members = found.dropDuplicates(["node"])
-    members = saved(members)
-    members = saved(_with_blocks(members).withColumn("root", F.col("node")))
+    found = picked.join(texts, ["key", "t"]).select("cluster", "node", "text").mapInArrow(lambda it: _sets(it, width), "cluster long, node long, least long, set array<long>")
+    plain = saved(found.dropDuplicates(["node"]), picked)
+    members = saved(_with_blocks(plain).withColumn("root", F.col("node")), plain)
     own = members.select("cluster", F.col("block").alias("i"), F.col("block").alias("j")).distinct()
     edges = saved(_compare(members, own, percent))
     large = members.join(members.where("block > 0").select("cluster").distinct(), "cluster", "left_semi")
     if not large.isEmpty():
         first_block = large.groupBy("cluster").agg(F.min("block").alias("i"))
         star = large.select("cluster", "block").distinct().join(first_block, "cluster").where("block <> i").select("cluster", "i", F.col("block").alias("j"))
-        edges = saved(edges.union(_compare(_with_roots(large, edges), star, percent)))
+        edges = saved(edges.union(_compare(_with_roots(large, edges), star, percent)), edges)
         now = saved(_with_roots(large, edges))
         state = now.groupBy("cluster", "block").agg(F.min("root").alias("low"), F.max("root").alias("high"))
         left, right = (state.select("cluster", F.col("block").alias(k), F.col("low").alias(f"low_{k}"), F.col("high").alias(f"high_{k}")) for k in "ij")
         open_pairs = left.join(right, "cluster").where("i < j and not (low_i = high_i and low_j = high_j and low_i = low_j)").join(first_block.select("cluster", F.col("i").alias("done")), "cluster").where("i <> done").select("cluster", "i", "j")
-        edges = saved(edges.union(_compare(now, open_pairs, percent)))
-    return rows, components(edges)
+        edges = saved(edges.union(_compare(now, open_pairs, percent)), edges, now)
+    roots = components(edges)
+    for done in (members, edges):
+        discard(done)
+    return rows, roots
 
 
 def _with_roots(members: DataFrame, edges: DataFrame) -> DataFrame:
@@ -363,7 +395,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     components_ = joined.where("linked").groupBy("root").agg(F.min("least").alias("of"))
     known = joined.join(components_, "root", "left").where("linked or copies > 1").select("node", "root", F.when(F.col("linked"), F.col("of")).otherwise(F.col("least")).alias("component"))
     found = F.col("component").isNotNull() | F.col("root").isNotNull()
-    return rows.drop("sigs").join(known, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & found, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"), F.coalesce("root", "node").alias("root"), "t")
+    return rows.join(known, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & found, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"), F.coalesce("root", "node").alias("root"), "t")
 
 
 def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,3 +120,20 @@ def test_threshold_keeps_the_recall_of_each_label(monkeypatch):
     net = secrets.train(x, y)
     assert (net.probability(x[:100]) >= net.threshold).mean() > 0.9
     assert secrets.train(x[99:], y[99:]).threshold <= 1  # one positive example
+
+
+def test_sets_that_share_a_digest_are_told_apart():
+    texts = pa.array(["one two three four", "five six seven eight", "ONE two  three four", ""])
+    at, value = jaccard_trees.shingles(texts)
+    sizes, node, second = jaccard_trees._digests(at, value, 4)
+    assert node[0] == node[2] and second[0] == second[2] and len({*node.tolist()}) == 3
+    _, apart, again = jaccard_trees._digests(at, value, 4, frozenset([int(node[0])]))
+    assert apart[0] == apart[2] != node[0] and apart[1] == node[1] and again.tolist() == second.tolist()
+
+
+def test_texts_of_one_id_meet_their_own_sets_only(spark):
+    """Many different texts of one id and of none: a join by the id alone would make their number squared rows."""
+    body = [f"w{k}" for k in range(60)]
+    rows = [(None if k % 2 else 7, " ".join([*body, f"end{k}"]), "en", "a") for k in range(60)] + [(3, " ".join(body), "en", "a")]
+    got = jaccard_trees.jaccard_components(documents(spark, rows)).collect()
+    assert len(got) == 61 and {r["component_id"] for r in got} == {3}
