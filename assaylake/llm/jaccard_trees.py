@@ -3,22 +3,24 @@
 1. Every text becomes a set of 64-bit shingle hashes; equal sets, by 128 bits of digests, are one class from here on, so
    exact copies cost one row each.
 2. Two sets with Jaccard t or more differ in few shingles for their size. Each set is cut by a hash into one
-   segment more than that, so linked sets agree in one segment at least: sets that share a segment's hash form
-   clusters, and no link leaves a cluster. A segment that is empty stands for two halves of the next one.
-3. A cluster is cut into blocks of bounded size. Inside a block, and between two blocks, a signature tree (nodes
-   with OR-combined bitmaps and size ranges) is traversed against a tree; node pairs that can't overlap enough,
-   or that are in one component already, are left out; what remains is verified on the whole sets.
-4. Blocks of a cluster are first compared with its first block; pairs of blocks that are then one component are
+   segment more than that, so linked sets agree in one segment at least. A segment that is empty stands for two halves
+   of the next one.
+3. Sets that share a segment are compared by their signatures alone (size, and a bitmap of the shingles): all pairs of a
+   few sets, signature trees (nodes with OR-combined bitmaps and size ranges, one traversed against another or itself)
+   of more. What could overlap enough is a candidate; whole sets are fetched for candidates only, so a passage that many
+   texts share brings none of them together.
+4. Candidates that hang together are a cluster, in blocks of bounded size. Inside a block, and between two, trees are
+   traversed again, node pairs in one component already are left out, and what remains is verified on the whole sets.
+5. Blocks of a cluster are first compared with its first block; pairs of blocks that are then one component are
    done, the others are compared. So a large group of near copies costs a pass over its blocks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,8 +35,14 @@ SHINGLE = 3
 #: Shingles that one block of a cluster holds, and at most one part more; a part is dealt this share of a block on average.
 BLOCK_SHINGLES = 2_000_000
 PARTS = 16
-BITMAP_WORDS = 16
+#: Words of the bitmaps that are shipped with a segment, and the most where whole sets are there; nodes below a node.
+BITMAP_WORDS, MOST_WORDS = 16, 1024
 FANOUT = 4
+#: Words of bitmaps that are held against each other at a time.
+PAIR_WORDS = 1 << 18
+#: Sets with one segment that are held against each other without a tree; sets of a block of those with one segment; rows
+#: of a task's group.
+FEW, BLOCK_SETS, TASK_ROWS = 64, 4096, 50_000
 ODD = [U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9)]
 
 
@@ -135,58 +143,69 @@ def _describe(batches: Iterator[pa.RecordBatch], width: int, clashes: frozenset
         yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("t"), pa.array(sizes.astype(np.int64)), pa.array(node), pa.array(second)], ["doc_id", "t", "n", "node", "second"])
 
 
-def _signatures(batches: Iterator[pa.RecordBatch], width: int, percent: int, clashes: frozenset) -> Iterator[pa.RecordBatch]:
-    """node and signatures of each text that has shingles; equal sets of a piece once."""
+def bitmaps(at: np.ndarray, value: np.ndarray, n: int, words_: int = BITMAP_WORDS) -> np.ndarray:
+    """A bitmap of so many words of each of n sets."""
+    bits, place = np.zeros((n, words_), U64), (value >> U64(7)) % U64(64 * words_)
+    np.bitwise_or.at(bits, (at, (place // U64(64)).astype(np.int64)), U64(1) << place % U64(64))
+    return bits
+
+
+def minimum_hashes(at: np.ndarray, value: np.ndarray, n: int) -> np.ndarray:
+    least = np.full(n, ~U64(0))
+    np.minimum.at(least, at, mix(value ^ ODD[1]))
+    return signed(least)
+
+
+def _once(piece: pa.RecordBatch, width: int, clashes: frozenset) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(node, size; set's index, shingles) of a piece's sets, equal ones once, without empty ones."""
+    n = len(piece)
+    at, value = shingles(piece.column("text"), width)
+    sizes, node, _ = _digests(at, value, n, clashes)
+    _, first = np.unique(node, return_index=True)
+    once = np.zeros(n, bool)
+    once[first] = True
+    once &= sizes > 0
+    kept = once[at]
+    return node[once], sizes[once], (np.cumsum(once) - 1)[at[kept]], value[kept]
+
+
+def _segments(batches: Iterator[pa.RecordBatch], width: int, percent: int, clashes: frozenset) -> Iterator[pa.RecordBatch]:
+    """(sig, node) of each segment of each set."""
     for piece in slices(batches):
-        n = len(piece)
-        at, value = shingles(piece.column("text"), width)
-        sizes, node, _ = _digests(at, value, n, clashes)
-        _, first = np.unique(node, return_index=True)
-        once = np.zeros(n, bool)
-        once[first] = True
-        once &= sizes > 0
-        kept = once[at]
-        owner, signature = segment_hashes((np.cumsum(once) - 1)[at[kept]], value[kept], int(once.sum()), percent)
-        order = np.argsort(owner, kind="stable")
-        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=int(once.sum())))]).astype(np.int32)), pa.array(signed(signature[order])))
-        yield pa.RecordBatch.from_arrays([pa.array(node[once]), lists], ["node", "sigs"])
-
-
-def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(sig, a) once for each signature and piece; rows (a, b) without sig join the piece's other nodes to it."""
-    for batch in batches:
-        lists = batch.column("sigs")
-        counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
-        sig, node = lists.flatten().to_numpy(zero_copy_only=False), np.repeat(batch.column("node").to_numpy(zero_copy_only=False), counts)
-        order = np.lexsort((node, sig))
-        sig, node = sig[order], node[order]
-        new = np.ones(len(sig), bool)
-        new[1:] = sig[1:] != sig[:-1]
-        least = node[np.flatnonzero(new)][np.cumsum(new) - 1] if len(sig) else node
-        edge = np.unique(np.stack([node, least])[:, node != least], axis=1)
-        own, more = int(new.sum()), edge.shape[1]
-        b = pa.concat_arrays([pa.nulls(own, pa.int64()), pa.array(edge[1])])
-        yield pa.RecordBatch.from_arrays([pa.concat_arrays([pa.array(sig[new]), pa.nulls(more, pa.int64())]), pa.array(np.concatenate([node[new], edge[0]])), b], ["sig", "a", "b"])
-
-
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges to the least node of each signature; all rows of a signature are in this partition."""
+        node, _, at, value = _once(piece, width, clashes)
+        owner, signature = segment_hashes(at, value, len(node), percent)
+        for k in range(0, len(owner), 1 << 20):
+            yield pa.RecordBatch.from_arrays([pa.array(signed(signature[k : k + (1 << 20)])), pa.array(node[owner[k : k + (1 << 20)]])], ["sig", "node"])
+
+
+def _sketches(batches: Iterator[pa.RecordBatch], width: int, clashes: frozenset) -> Iterator[pa.RecordBatch]:
+    """node, n, least (minimum hash) and bits (bitmap) of each set."""
+    for piece in slices(batches):
+        node, sizes, at, value = _once(piece, width, clashes)
+        bits = bitmaps(at, value, len(node))
+        yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(sizes), pa.array(minimum_hashes(at, value, len(node))), pa.array([x.tobytes() for x in bits], pa.binary())], ["node", "n", "least", "bits"])
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows (sig, node) of signatures that several nodes have, once each, with the block of the row among its
+    signature's and their number; all rows of a signature are in this partition."""
     kept = list(batches)
     if not kept:
         return
-    edge = np.concatenate([pc.is_null(x.column(0)).to_numpy(zero_copy_only=False) for x in kept])
-    sig, a, b = (np.concatenate([pc.fill_null(x.column(k), 0).to_numpy(zero_copy_only=False) for x in kept]) for k in range(3))
-    out = [np.stack([a[edge], b[edge]])]
-    sig, a = sig[~edge], a[~edge]
-    order = np.lexsort((a, sig))
-    sig, a = sig[order], a[order]
+    sig, node = (np.concatenate([x.column(k).to_numpy(zero_copy_only=False) for x in kept]) for k in range(2))
+    order = np.lexsort((node, sig))
+    sig, node = sig[order], node[order]
     new = np.ones(len(sig), bool)
-    new[1:] = sig[1:] != sig[:-1]
-    if len(sig):
-        least = a[np.flatnonzero(new)][np.cumsum(new) - 1]
-        out.append(np.stack([a, least])[:, a != least])
-    pairs = np.unique(np.concatenate(out, axis=1), axis=1)
-    yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+    new[1:] = (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])
+    sig, node = sig[new], node[new]
+    head = np.flatnonzero(np.diff(sig, prepend=~sig[:1]))
+    size = np.diff(np.append(head, len(sig)))
+    rank = np.arange(len(sig)) - np.repeat(head, size)
+    several = np.repeat(size > 1, size)
+    blocks = np.repeat(-(-size // BLOCK_SETS), size)
+    columns = [x[several] for x in (sig, node, rank // BLOCK_SETS, blocks)]
+    for k in range(0, len(columns[0]), 1 << 20):
+        yield pa.RecordBatch.from_arrays([pa.array(c[k : k + (1 << 20)]) for c in columns], ["sig", "node", "block", "blocks"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -194,20 +213,15 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
     for piece in slices(batches):
         n = len(piece)
         at, value = shingles(piece.column("text"), width)
-        least = np.full(n, ~U64(0))
-        np.minimum.at(least, at, mix(value ^ ODD[1]))
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.bincount(at, minlength=n))]).astype(np.int32)), pa.array(signed(value)))
-        yield pa.RecordBatch.from_arrays([piece.column("cluster"), piece.column("node"), pa.array(signed(least)), lists], ["cluster", "node", "least", "set"])
+        yield pa.RecordBatch.from_arrays([piece.column("cluster"), piece.column("node"), pa.array(minimum_hashes(at, value, n)), lists], ["cluster", "node", "least", "set"])
 
 
 class SignatureTree:
-    """Sets in the order of their minimum hash, in nodes of ``FANOUT`` below each other; level 0 has the sets."""
+    """Bitmaps and sizes of sets in the order of their minimum hash, in nodes of ``FANOUT`` below each other; level 0 has
+    the sets."""
 
-    def __init__(self, sets: list[np.ndarray]):
-        sizes = np.array([len(s) for s in sets], np.int64)
-        bits = np.zeros((len(sets), BITMAP_WORDS), U64)
-        at, place = np.repeat(np.arange(len(sets)), sizes), (np.concatenate(sets).view(U64) >> U64(7)) % U64(64 * BITMAP_WORDS)
-        np.bitwise_or.at(bits, (at, (place // U64(64)).astype(np.int64)), U64(1) << place % U64(64))
+    def __init__(self, bits: np.ndarray, sizes: np.ndarray):
         more = sizes - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
         self.levels = [(bits, sizes, sizes, more)]
         while len(self.levels[-1][1]) > 1:
@@ -215,6 +229,11 @@ class SignatureTree:
             cut = np.arange(0, len(low), FANOUT)
             self.levels.append((np.bitwise_or.reduceat(bits, cut), np.minimum.reduceat(low, cut), np.maximum.reduceat(high, cut), np.maximum.reduceat(more, cut)))
 
+    @classmethod
+    def of(cls, sets: list[np.ndarray], words_: int) -> SignatureTree:
+        sizes = np.array([len(s) for s in sets], np.int64)
+        return cls(bitmaps(np.repeat(np.arange(len(sets)), sizes), np.concatenate(sets).view(U64), len(sets), words_), sizes)
+
     def one_root(self, roots: np.ndarray, level: int) -> np.ndarray:
         """The component of each node of a level, -1 where its sets are in several."""
         for _ in range(level):
@@ -224,6 +243,94 @@ class SignatureTree:
         return roots
 
 
+def could_link(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...], pairs: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of nodes (bits, least size, greatest size, most shingles beyond the bits) can have sets that link."""
+    (bits, low, high, more), (bits2, low2, high2, more2) = ([x[p] for x in side] for side, p in ((a, pairs[0]), (b, pairs[1])))
+    overlap = np.bitwise_count(bits & bits2).sum(axis=1, dtype=np.int64) + np.minimum(more, more2)
+    overlap = np.minimum(overlap, np.minimum(high, high2))
+    least = np.maximum(low + low2, -(-np.maximum(low, low2) * (100 + percent) // 100))
+    return (100 + percent) * overlap >= percent * least
+
+
+def traverse(left: SignatureTree, right: SignatureTree, percent: int, is_open: Callable | None = None) -> Iterator[np.ndarray]:
+    """Pairs (i, j) of sets of two trees, or of one with itself, that could link, some at a time. ``is_open``, of two levels and
+    pairs of their nodes, tells those that are still to be looked at."""
+    top = (len(left.levels) - 1, len(right.levels) - 1)
+    step = max(1, PAIR_WORDS // left.levels[0][0].shape[1])
+    stack = [(top[0], top[1], np.zeros((2, 1), np.int64))]
+    while stack:
+        u, v, pairs = stack.pop()
+        if is_open:
+            pairs = pairs[:, is_open(u, v, pairs)]
+        pairs = pairs[:, could_link(left.levels[u], right.levels[v], pairs, percent)]
+        if u == v == 0:
+            yield pairs[:, pairs[0] < pairs[1]] if left is right else pairs
+            continue
+        for k, tree in ((0, left), (1, right)):  # open the nodes of the sides that have levels below
+            if (u, v)[k] and (u, v)[k] >= (u, v)[1 - k]:
+                below = pairs[:, :, None].repeat(FANOUT, axis=2)
+                below[k] = pairs[k][:, None] * FANOUT + np.arange(FANOUT)
+                size = len(tree.levels[(u, v)[k] - 1][1])
+                pairs = below.reshape(2, -1)
+                pairs = pairs[:, pairs[k] < size]
+                u, v = (u - 1, v) if k == 0 else (u, v - 1)
+        if left is right and u == v:
+            pairs = pairs[:, pairs[0] <= pairs[1]]
+        stack += [(u, v, pairs[:, k : k + step]) for k in range(0, pairs.shape[1], step)][::-1]
+
+
+def stars(pairs: np.ndarray) -> np.ndarray:
+    """Pairs (node, least node) of the components of pairs."""
+    names, ends = np.unique(pairs, return_inverse=True)
+    a, b = ends.reshape(2, -1)
+    root = np.arange(len(names))
+    while True:
+        low = np.minimum(root[a], root[b])
+        now = root.copy()
+        np.minimum.at(now, root[a], low)
+        np.minimum.at(now, root[b], low)
+        np.minimum.at(now, a, low)
+        np.minimum.at(now, b, low)
+        now = now[now]
+        if (now == root).all():
+            break
+        root = now
+    own = root != np.arange(len(names))
+    return np.stack([names[own], names[root[own]]])
+
+
+def _candidates(table: pa.Table, percent: int) -> pa.Table:
+    """Edges that join the nodes which share a segment and could link, from all rows of some (sig, i, j)."""
+    table = table.sort_by([("sig", "ascending"), ("i", "ascending"), ("j", "ascending"), ("least", "ascending"), ("node", "ascending")]).combine_chunks()
+    sig, i, j, block, node, sizes = (table.column(k).to_numpy() for k in ("sig", "i", "j", "block", "node", "n"))
+    bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), U64).reshape(-1, BITMAP_WORDS)
+    more = sizes - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+    change = np.zeros(len(sig), bool)
+    for x in (sig, i, j):
+        change[1:] |= x[1:] != x[:-1]
+    head = np.concatenate([[0], np.flatnonzero(change)])
+    count = np.diff(np.append(head, len(sig)))
+    out = [np.zeros((2, 0), np.int64)]
+    few = np.repeat((count <= FEW) & (i == j)[head], count)
+    left = np.repeat(head + count, count) - np.arange(len(sig))  # rows to the group's end
+    one = (bits, sizes, sizes, more)
+    for step in range(1, int(min(FEW, count.max()))):
+        at = np.flatnonzero(few & (left > step))
+        for k in range(0, len(at), 1 << 16):
+            pairs = np.stack([at[k : k + (1 << 16)], at[k : k + (1 << 16)] + step])
+            out.append(node[pairs[:, could_link(one, one, pairs, percent)]])
+    for start, n in zip(head[~few[head]].tolist(), count[~few[head]].tolist()):
+        rows = np.arange(start, start + n)
+        sides = [rows] if i[start] == j[start] else [rows[block[rows] == k[start]] for k in (i, j)]
+        if not all(map(len, sides)):
+            continue
+        trees = [SignatureTree(bits[x], sizes[x]) for x in sides]
+        for pairs in traverse(trees[0], trees[-1], percent):
+            out.append(np.stack([node[sides[0][pairs[0]]], node[sides[-1][pairs[1]]]]))
+    found = stars(np.concatenate(out, axis=1))
+    return pa.table({"a": found[0], "b": found[1]})
+
+
 def join_trees(nodes: np.ndarray, sets: list[np.ndarray], side: np.ndarray, roots: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Edges (a, b) that join the components ``roots`` of sets which link. side: 0 and 1 are compared with each
     other and not among themselves; all 0: all are compared. Sets come in the order of their minimum hash."""
@@ -242,7 +349,7 @@ def join_trees(nodes: np.ndarray, sets: list[np.ndarray], side: np.ndarray, root
 
     def member(i: int) -> frozenset:
         if i not in members:
-            if len(members) > 512:
+            if len(members) > 128:
                 members.clear()
             members[i] = frozenset(sets[i].tolist())
         return members[i]
@@ -264,34 +371,19 @@ def join_trees(nodes: np.ndarray, sets: list[np.ndarray], side: np.ndarray, root
         for i in range(1, len(sets)):
             verify(i - 1, i)
             verify(0, i)
-    left = SignatureTree([sets[i] for i in sides[0]])
-    right = left if not two else SignatureTree([sets[i] for i in sides[1]])
-    top = (len(left.levels) - 1, len(right.levels) - 1)
-    stack = [(top[0], top[1], np.zeros((2, 1), np.int64))]
-    while stack:
-        u, v, pairs = stack.pop()
-        (bits, low, high, more), (bits2, low2, high2, more2) = left.levels[u], right.levels[v]
+    # two bits for each shingle of the largest set, so that bitmaps of long texts tell them apart too
+    words_ = min(MOST_WORDS, 1 << max(BITMAP_WORDS.bit_length() - 1, (max(map(len, sets)) // 32).bit_length()))
+    left = SignatureTree.of([sets[i] for i in sides[0]], words_)
+    right = left if not two else SignatureTree.of([sets[i] for i in sides[1]], words_)
+
+    def is_open(u: int, v: int, pairs: np.ndarray) -> np.ndarray:
         now = np.array([find(k) for k in range(len(parent))])
         mine, theirs = left.one_root(now[part[sides[0]]], u)[pairs[0]], right.one_root(now[part[sides[1]]], v)[pairs[1]]
-        overlap = np.bitwise_count(bits[pairs[0]] & bits2[pairs[1]]).sum(axis=1, dtype=np.int64) + np.minimum(more[pairs[0]], more2[pairs[1]])
-        overlap = np.minimum(overlap, np.minimum(high[pairs[0]], high2[pairs[1]]))
-        least = np.maximum(low[pairs[0]] + low2[pairs[1]], -(-np.maximum(low[pairs[0]], low2[pairs[1]]) * (100 + percent) // 100))
-        pairs = pairs[:, ((100 + percent) * overlap >= percent * least) & ((mine < 0) | (mine != theirs))]
-        if u == v == 0:
-            for i, j in pairs.T.tolist():
-                verify(int(sides[0][i]), int(sides[1][j]))
-            continue
-        for k, tree in ((0, left), (1, right)):  # open the nodes of the sides that have levels below
-            if (u, v)[k] and (u, v)[k] >= (u, v)[1 - k]:
-                below = pairs[:, :, None].repeat(FANOUT, axis=2)
-                below[k] = pairs[k][:, None] * FANOUT + np.arange(FANOUT)
-                size = len(tree.levels[(u, v)[k] - 1][1])
-                pairs = below.reshape(2, -1)
-                pairs = pairs[:, pairs[k] < size]
-                u, v = (u - 1, v) if k == 0 else (u, v - 1)
-        if not two and u == v:
-            pairs = pairs[:, pairs[0] <= pairs[1]]
-        stack += [(u, v, pairs[:, k : k + 16384]) for k in range(0, pairs.shape[1], 16384)][::-1]
+        return (mine < 0) | (mine != theirs)
+
+    for pairs in traverse(left, right, percent, is_open):
+        for i, j in pairs.T.tolist():
+            verify(int(sides[0][i]), int(sides[1][j]))
     return np.array(edges, np.int64).reshape(-1, 2)
 
 
@@ -347,17 +439,23 @@ def set_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wid
     clashes = frozenset(r[0] for r in clashes.collect())
     if clashes:
         rows = saved(whole.mapInArrow(lambda it: _describe(it, width, clashes), "doc_id long, t long, n long, node long, second long"), rows)
-    classes = whole.select("text").mapInArrow(lambda it: _signatures(it, width, percent, clashes), "node long, sigs array<long>")
+    texts = whole.select("text")
     # signatures of a set are at most in number two in ten of its shingles and two, for each of two bands
     total = rows.groupBy("node").agg(F.first("n").alias("n")).agg(F.sum(2 * (F.col("n") * (100 - percent) * 2.5 / (100 + percent) + 2))).first()[0] or 0
-    meet = classes.mapInArrow(_deal, "sig long, a long, b long")
-    meet = meet.repartition(partitions(int(total), 1_000_000, spark), F.coalesce("sig", "a"))
-    clusters = components(meet.mapInArrow(_meet, EDGE))
+    dealt = texts.mapInArrow(lambda it: _segments(it, width, percent, clashes), "sig long, node long").repartition(partitions(int(total), 1_000_000, spark), "sig")
+    shared = saved(dealt.mapInArrow(_shared, "sig long, node long, block long, blocks long"))
+    sketches = texts.mapInArrow(lambda it: _sketches(it, width, clashes), "node long, n long, least long, bits binary").dropDuplicates(["node"])
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+    ends = shared.select("sig", "node", "block", other).select("sig", "node", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    task = F.pmod(F.xxhash64("sig", "i", "j"), F.lit(partitions(shared.count(), TASK_ROWS, spark)))
+    pruned = ends.join(sketches, "node").withColumn("task", task).groupBy("task").applyInArrow(lambda table: _candidates(table, percent), EDGE)
+    clusters = components(pruned)
+    discard(shared)
     # one text for each node that may link: by its id and hash, so that ids of many texts meet no others
     first = rows.where("n > 0").groupBy("node").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("key"), "t")).alias("one"))
     picked = saved(clusters.select(F.col("root").alias("cluster"), "node").join(first, "node").select("cluster", "node", "one.key", "one.t"), clusters)
-    texts = whole.withColumn("key", F.coalesce("doc_id", F.lit(-(2**63)))).drop("doc_id")
-    found = picked.join(texts, ["key", "t"]).select("cluster", "node", "text").mapInArrow(lambda it: _sets(it, width), "cluster long, node long, least long, set array<long>")
+    keyed = whole.withColumn("key", F.coalesce("doc_id", F.lit(-(2**63)))).drop("doc_id")
+    found = picked.join(keyed, ["key", "t"]).select("cluster", "node", "text").mapInArrow(lambda it: _sets(it, width), "cluster long, node long, least long, set array<long>")
     plain = saved(found.dropDuplicates(["node"]), picked)
     members = saved(_with_blocks(plain).withColumn("root", F.col("node")), plain)
     own = members.select("cluster", F.col("block").alias("i"), F.col("block").alias("j")).distinct()

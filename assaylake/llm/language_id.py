@@ -31,6 +31,8 @@ LEFT_OUT = 4
 #: A document is rejected if it has no letter, or costs this many times what nearly all documents of its language do. Texts
 #: of fewer symbols tell no cost, and this many phrases of a text are not counted for it, as the first are short ones.
 REJECT, QUANTILE, LEAST_SYMBOLS, FREE_PHRASES = 1.25, 0.98, 50, 4
+#: Bytes of text that are parsed at a time.
+SLICE = 2 << 20
 #: Symbols: between words, and a letter that the sample doesn't have.
 GAP, UNSEEN = 0, 1
 
@@ -230,7 +232,7 @@ def labelled_sample(docs: DataFrame, text: str = "text", lang: str = "lang", doc
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    for piece in slices(batches):
+    for piece in slices(batches, most=SLICE):
         texts, n = strings(piece.column("text")), len(piece)
         if model.langs:
             cost, later, _, known = model.costs(texts)

@@ -286,7 +286,7 @@ def test_scores_do_not_depend_on_the_slices(spark, docs, monkeypatch):
     rows = pa.array([r["text"] for r in docs.limit(120).collect()])
     run = lambda: [x for b in language_id._score(iter([pa.RecordBatch.from_arrays([rows], ["text"])]), model) for x in zip(*(c.to_pylist() for c in b.columns[:2]))]
     whole = run()
-    monkeypatch.setattr(language_id, "slices", lambda batches: text.slices(batches, most=5000))
+    monkeypatch.setattr(language_id, "slices", lambda batches, most: text.slices(batches, most=5000))
     assert run() == whole
 
 

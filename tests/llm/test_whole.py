@@ -137,3 +137,56 @@ def test_texts_of_one_id_meet_their_own_sets_only(spark):
     rows = [(None if k % 2 else 7, " ".join([*body, f"end{k}"]), "en", "a") for k in range(60)] + [(3, " ".join(body), "en", "a")]
     got = jaccard_trees.jaccard_components(documents(spark, rows)).collect()
     assert len(got) == 61 and {r["component_id"] for r in got} == {3}
+
+
+def test_texts_that_share_a_passage_are_no_candidates(spark, monkeypatch):
+    """A passage in all texts gives them common segments; their bitmaps keep them apart before any set is fetched."""
+    random.seed(14)
+    passage = " ".join(f"common{k}" for k in range(80))
+    own = lambda k, n: " ".join(f"own{k}x{random.randrange(10**6)}" for _ in range(n))
+    rows = [(k, f"{own(k, 200)} {passage} {own(k, 150)}", "en", "a") for k in range(300)]
+    rows += [(1000 + k, rows[k][1] + f" end{k}", "en", "a") for k in range(5)]
+    held, blocks = [], jaccard_trees._with_blocks
+    monkeypatch.setattr(jaccard_trees, "_with_blocks", lambda members: (held.append(members.count()), blocks(members))[1])
+    got = jaccard_trees.one_of_each(documents(spark, rows), width=5, percent=80)
+    assert {r["doc_id"] for r in got.collect()} == set(range(300)) and held == [10]
+
+
+def test_trees_prune_texts_that_are_only_alike():
+    """Sets of one template with four shingles in five in common: few of all pairs come out of the traversal."""
+    random.seed(15)
+    base = [random.getrandbits(63) for _ in range(400)]
+    sets = [np.unique(np.array([x if random.random() < 0.9 else random.getrandbits(63) for x in base], np.uint64).view(np.int64)) for _ in range(1500)]
+    sets.sort(key=lambda x: int(jaccard_trees.minimum_hashes(np.zeros(len(x), np.int64), x.view(np.uint64), 1)[0]))
+    tree = jaccard_trees.SignatureTree.of(sets, 16)
+    left = sum(p.shape[1] for p in jaccard_trees.traverse(tree, tree, 90))
+    assert left < 0.01 * 1500 * 1499 / 2
+
+
+def test_candidates_in_blocks_are_those_of_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_trees, "BLOCK_SETS", 3)
+    monkeypatch.setattr(jaccard_trees, "FEW", 2)
+    rows = changed_copies()
+    schema = pa.schema([("sig", pa.int64()), ("node", pa.int64())])
+    batch = pa.RecordBatch.from_arrays([pa.array([5] * 8 + [6, 7, 7]), pa.array([*range(8), 1, 2, 2])], schema=schema)
+    (out,) = jaccard_trees._shared(iter([batch]))
+    assert out.to_pydict() == {"sig": [5] * 8, "node": [*range(8)], "block": [0, 0, 0, 1, 1, 1, 2, 2], "blocks": [3] * 8}
+    at, value = jaccard_trees.shingles(pa.array(rows), 5)
+    n, bits = np.bincount(at, minlength=len(rows)), jaccard_trees.bitmaps(at, value, len(rows))
+    least = jaccard_trees.minimum_hashes(at, value, len(rows))
+    found = []
+    for i in range(0, len(rows), 20):
+        for j in range(i, len(rows), 20):
+            part = [k for k in range(len(rows)) if k // 20 * 20 in (i, j)]
+            column = lambda x, part=part: pa.array([x[k] for k in part])
+            table = pa.table({"sig": pa.array([1] * len(part)), "i": pa.array([i] * len(part)), "j": pa.array([j] * len(part)), "block": column([k // 20 * 20 for k in range(len(rows))]), "node": pa.array(part), "n": column(n.tolist()), "least": column(least.tolist()), "bits": column([x.tobytes() for x in bits])})
+            found.append(jaccard_trees._candidates(table, 80))
+    edges = {(r["a"], r["b"]) for t in found for r in t.to_pylist()}
+    root = list(range(len(rows)))
+    for a, b in sorted(edges) * 9:
+        root[a] = root[b] = min(root[a], root[b])
+    one = (bits, n, n, n - np.bitwise_count(bits).sum(axis=1, dtype=np.int64))
+    for a in range(len(rows)):
+        for b in range(a):
+            if n[a] and n[b] and jaccard_trees.could_link(one, one, np.array([[a], [b]]), 80)[0]:
+                assert root[a] == root[b]
