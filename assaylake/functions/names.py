@@ -42,33 +42,38 @@ def well_column(well: Column) -> Column:
     return F.substring(well, 2, 2).cast("int") - 1
 
 
-#: Patterns of cohort ids and the letter each stands for; the first that matches holds. None: the id's last letter
-#: ("?": followed by a question mark). Fixed values.
-COHORTS = ((r"^CMV.+", "E"), (r"^EBV.+", "E"), (r"^[A-Z][0-9]+.*", "first"), (r"^[0-9]-[0-9]+ [A-Z]$", "last"), (r"^[0-9]{2}-[0-9]+ [A-Z]$", "last?"), (r"^[A-Z]+$", "first"))
+#: Patterns that an id begins with and the letter that each gives; the first that matches holds. Fixed values.
+COHORTS = (
+    ("CMV.+", "E"),
+    ("EBV.+", "E"),
+    ("3-.+", "last"),
+    ("2-.+", "last"),
+    ("02-.+", "last?"),
+    ("[A-Z]\\d+", "first"),
+)
+#: Letters of control cohorts, in lower case. Fixed values.
+CONTROLS = ("b", "a", "x", "z", "e", "cmv", "ebv")
 
 
 def cohort_letter(cohort_id: Column) -> Column:
     """The cohort of an id by the first matching pattern, null without one."""
+    take = {"first": F.substring(cohort_id, 1, 1), "last": F.substring(cohort_id, -1, 1), "last?": F.concat(F.substring(cohort_id, -1, 1), F.lit("?"))}
     out = F.lit(None).cast("string")
     for pattern, letter in reversed(COHORTS):
-        value = {"first": F.substring(cohort_id, 1, 1), "last": F.substring(cohort_id, -1, 1), "last?": F.concat(F.substring(cohort_id, -1, 1), F.lit("?"))}.get(letter, F.lit(letter))
-        out = F.when(cohort_id.rlike(pattern), value).otherwise(out)
+        out = F.when(cohort_id.rlike(f"^(?:{pattern})"), take.get(letter, F.lit(letter))).otherwise(out)
     return out
 
 
 def cohort_class(letter: Column) -> Column:
-    """positive for C, control for the other known letters, unknown for the rest; upper or lower case."""
+    """positive for C, control for the letters of controls, unknown for the rest, null for null; upper or lower case."""
     small = F.lower(letter)
-    return F.when(small == "c", "positive").when(small.isin("a", "b", "e", "k", "v", "x", "z"), "control").otherwise("unknown")
+    return F.when(letter.isNull(), F.lit(None).cast("string")).when(small == "c", "positive").when(small.isin(*CONTROLS), "control").otherwise("unknown")
 
 
 def clean_cohort_id(cell: Column) -> Column:
-    """A sheet's cell as an id, ``unknown`` if it has the form of none."""
-    trimmed = F.trim(cell)
-    known = F.lit(False)
-    for pattern, _ in COHORTS:
-        known = known | trimmed.rlike(pattern)
-    return F.when(F.coalesce(known, F.lit(False)), trimmed).otherwise("unknown")
+    """A sheet's cell as an id, trimmed; ``unknown`` if it begins with none of the patterns as it stands in the sheet."""
+    known = F.coalesce(cell.rlike("^(?:" + "|".join(p for p, _ in COHORTS) + ")"), F.lit(False))
+    return F.when(known, F.trim(cell)).otherwise("unknown")
 
 
 def lab_value(value: Column) -> Column:
@@ -77,16 +82,23 @@ def lab_value(value: Column) -> Column:
 
 
 def plate_time(plate_name: Column) -> Column:
-    """The time in a plate's name ``..._YYYYMMDD_HHMMSS_...``, null without one."""
-    return F.try_to_timestamp(F.nullif(F.concat_ws("_", F.regexp_extract(plate_name, r"(?:^|_)(202\d{5})_(\d{6})(?:_|$)", 1), F.regexp_extract(plate_name, r"(?:^|_)(202\d{5})_(\d{6})(?:_|$)", 2)), F.lit("_")), F.lit("yyyyMMdd_HHmmss"))
-
-
-def empty_wells(plate_name: Column) -> Column:
-    """The wells that a plate leaves empty by the rule of its name: two on series T, U and K from 22 on, else one."""
-    kind = F.regexp_extract(plate_name, r"^plate([A-Z])(\d+)", 1)
-    number = F.regexp_extract(plate_name, r"^plate([A-Z])(\d+)", 2).try_cast("int")
+    """The time in a plate's name ``..._YYYYMMDD_HHMMSS_...``: of the first part that begins with 202 and the part after it;
+    midnight if that is no time, null without a date."""
+    parts = F.split(plate_name, "_")
+    at = F.array_position(F.transform(parts, lambda x: x.startswith("202")), F.lit(True))
+    day, hour = F.get(parts, (at - 1).cast("int")), F.get(parts, at.cast("int"))
+    full = F.try_to_timestamp(F.concat_ws("_", day, hour), F.lit("yyyyMMdd_HHmmss"))
+    return F.when(at > 0, F.coalesce(full, F.try_to_timestamp(day, F.lit("yyyyMMdd"))))
+
+
+def empty_wells(plate_name: Column, overrides: Column | None = None) -> Column:
+    """The wells that a plate leaves empty: those of a map ``overrides`` from plate name to wells if it has the plate, else by
+    the rule of its name, two on series T, U and K from 22 on, else one."""
+    form = r"^(?:p(?=late[TUK])|P(?=lateK))late([TUK])(\d+)"
+    kind, number = F.regexp_extract(plate_name, form, 1), F.regexp_extract(plate_name, form, 2).try_cast("int")
     two = kind.isin("T", "U") | ((kind == "K") & (number >= 22))
-    return F.when(F.coalesce(two, F.lit(False)), F.array(F.lit("H01"), F.lit("G01"))).otherwise(F.array(F.lit("H01")))
+    rule = F.when(F.coalesce(two, F.lit(False)), F.array(F.lit("H01"), F.lit("G01"))).otherwise(F.array(F.lit("H01")))
+    return rule if overrides is None else F.coalesce(F.try_element_at(overrides, plate_name), rule)
 
 
 def serum_type(channel: Column) -> Column:

@@ -34,27 +34,51 @@ def mad_of_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return centred.groupBy(*keys).agg(F.first("median").alias("median"), F.percentile(F.abs(F.col(value) - F.col("median")), F.lit(0.5), F.col("_n")).alias("mad"))
 
 
+def welch_terms(one: Column, zero: Column, prefix: str = "") -> list[Column]:
+    """Aggregates that ``welch_of`` takes: means, variances and numbers of two groups' values."""
+    each = {"m1": F.avg(one), "m0": F.avg(zero), "v1": F.var_samp(one), "v0": F.var_samp(zero), "n1": F.count(one), "n0": F.count(zero)}
+    return [c.alias(prefix + k) for k, c in each.items()]
+
+
+def welch_of(prefix: str = "") -> tuple[Column, Column]:
+    """(t, degrees of freedom) from the columns of ``welch_terms``; null where a group has under two values."""
+    m1, m0, v1, v0, n1, n0 = (F.col(prefix + k) for k in ("m1", "m0", "v1", "v0", "n1", "n0"))
+    a, b = F.try_divide(v1, n1), F.try_divide(v0, n0)
+    enough = (n1 >= 2) & (n0 >= 2)
+    t = F.try_divide(m1 - m0, F.sqrt(a + b))
+    dof = F.try_divide((a + b) * (a + b), F.try_divide(a * a, n1 - 1) + F.try_divide(b * b, n0 - 1))
+    return F.when(enough, t), F.when(enough, dof)
+
+
 def welch(df: DataFrame, keys: list[str], value: str, group: str) -> DataFrame:
-    """t and degrees of freedom of rows with group 1 against rows with group 0; null where a group has under two."""
+    """t and degrees of freedom of rows with group 1 against rows with group 0; no row where a group has under two."""
     one, zero = F.when(F.col(group) == 1, F.col(value)), F.when(F.col(group) == 0, F.col(value))
-    s = df.groupBy(*keys).agg(F.avg(one).alias("m1"), F.avg(zero).alias("m0"), F.var_samp(one).alias("v1"), F.var_samp(zero).alias("v0"), F.count(one).alias("n1"), F.count(zero).alias("n0"))
-    a, b = F.try_divide(F.col("v1"), F.col("n1")), F.try_divide(F.col("v0"), F.col("n0"))
-    t = F.try_divide(F.col("m1") - F.col("m0"), F.sqrt(a + b))
-    dof = F.try_divide((a + b) * (a + b), F.try_divide(a * a, F.col("n1") - 1) + F.try_divide(b * b, F.col("n0") - 1))
-    return s.where("n1 >= 2 and n0 >= 2").select(*keys, t.alias("t"), dof.alias("dof"))
+    t, dof = welch_of()
+    return df.groupBy(*keys).agg(*welch_terms(one, zero)).where("n1 >= 2 and n0 >= 2").select(*keys, t.alias("t"), dof.alias("dof"))
+
 
+#: Rows of a bucket of running sums, about, and how many buckets there are at most.
+BUCKET_ROWS, MOST_BUCKETS = 250_000, 4096
 
-def running_sums(df: DataFrame, order: str, values: list[str], descending: bool = False, buckets: int = 64) -> DataFrame:
+
+def running_sums(df: DataFrame, order: str, values: list[str], descending: bool = False, buckets: int | None = None) -> DataFrame:
     """``df`` with cum_<value> of each value over ``order``, rows of equal order included.
 
-    Rows are cut at approximate quantiles into buckets, so the sums run in parallel: the few buckets' totals are
-    summed first and each bucket starts from its own."""
-    cuts = df.agg(F.percentile_approx(order, [k / buckets for k in range(1, buckets)])).first()[0] or []
+    Rows are cut at approximate quantiles into buckets, by default as many as keep a bucket small, so the sums run in
+    parallel: the few buckets' totals are summed first and each bucket starts from its own."""
+    if buckets is None:
+        buckets = max(8, min(MOST_BUCKETS, -(-df.count() // BUCKET_ROWS)))
+    cuts = sorted(set(df.agg(F.percentile_approx(order, [k / buckets for k in range(1, buckets)])).first()[0] or []))
+    # found in two steps: the run of cuts that a value is in, then its place in the run
+    step = max(1, math.isqrt(len(cuts)))
+    runs = [cuts[k : k + step] for k in range(0, len(cuts), step)]
+    below = lambda cells: F.size(F.filter(cells, lambda c: F.col(order) > c))
     bucket = F.lit(0)
-    for c in sorted(set(cuts)):
-        bucket = bucket + F.when(F.col(order) > F.lit(c), 1).otherwise(0)
-    sign = -1 if descending else 1
-    rows = df.withColumn("_b", bucket * sign)
+    if cuts:
+        array = lambda xs: F.array(*(F.lit(x) for x in xs))
+        run = below(array([x[-1] for x in runs]))
+        bucket = run * step + F.coalesce(below(F.get(F.array(*map(array, runs)), run)), F.lit(0))
+    rows = df.withColumn("_b", F.when(F.col(order).isNotNull(), bucket).otherwise(0) * (-1 if descending else 1))
     before = Window.orderBy("_t").rowsBetween(Window.unboundedPreceding, -1)
     totals = rows.groupBy(F.col("_b").alias("_t")).agg(*[F.sum(v).alias(f"_s_{v}") for v in values])
     totals = totals.select("_t", *[F.coalesce(F.sum(f"_s_{v}").over(before), F.lit(0)).alias(f"_o_{v}") for v in values])
@@ -135,3 +159,11 @@ def t_test_p(t: pd.Series, dof: pd.Series) -> pd.Series:
 @F.pandas_udf(DoubleType())
 def rank_test_p(z: pd.Series) -> pd.Series:
     return pd.Series(normal_p(z.to_numpy(float)))
+
+
+@F.pandas_udf(DoubleType())
+def ks_test_p(d: pd.Series, n1: pd.Series, n0: pd.Series) -> pd.Series:
+    ok = (d.notna() & (n1 > 0) & (n0 > 0)).to_numpy()
+    out = np.full(len(d), np.nan)
+    out[ok] = kolmogorov_p(d.to_numpy(float)[ok], n1.to_numpy(float)[ok], n0.to_numpy(float)[ok])
+    return pd.Series(out)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import stats
+
 SETS = [["plate", "well", "image"], ["plate", "well"], ["plate"]]
 NAMES = {3: "image", 2: "well", 1: "plate"}
 
@@ -46,8 +48,7 @@ def from_wells(pixels: DataFrame, wells: DataFrame) -> DataFrame:
     own = pixels.join(listed, ["plate", "well"])
     wanted, found = listed.groupBy("plate").agg(F.count("*").alias("wanted")), own.groupBy("plate").agg(F.countDistinct("well").alias("found"))
     complete = wanted.join(found, "plate", "left").select("plate", F.assert_true(F.coalesce("found", F.lit(0)) == F.col("wanted"), "a background well has no pixels").alias("ok"))
-    centred = own.withColumn("m", F.median("v").over(Window.partitionBy("plate", "channel")))
-    out = centred.groupBy("plate", "channel").agg(F.first("m").alias("median"), F.median(F.abs(F.col("v") - F.col("m"))).alias("mad"))
+    out = stats.mad_of_counts(own, ["plate", "channel"], "v")
     return out.join(complete.where("ok is null").select("plate"), "plate")
 
 

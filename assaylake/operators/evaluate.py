@@ -38,10 +38,16 @@ def best_threshold(curve: DataFrame, m: float = 1.0) -> DataFrame:
 
 
 def confusion(pred: DataFrame, keys: list[str]) -> DataFrame:
+    """``confusion_of_counts`` of rows (is_control, truth_control); label 0 is left out."""
+    return confusion_of_counts(pred.where("label_id <> 0").withColumn("n", F.lit(1)), keys)
+
+
+def confusion_of_counts(counts: DataFrame, keys: list[str]) -> DataFrame:
     """tp, fp, tn, fn, precision, recall, f_score, accuracy with control (is_control = 1) as positive, from rows
-    (is_control, truth_control); label 0 is left out."""
+    (is_control, truth_control, n)."""
     p, t = F.col("is_control") == 1, F.col("truth_control") == 1
-    c = pred.where("label_id <> 0").groupBy(*keys).agg(F.count_if(p & t).alias("tp"), F.count_if(p & ~t).alias("fp"), F.count_if(~p & ~t).alias("tn"), F.count_if(~p & t).alias("fn"))
+    n = lambda c: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0))
+    c = counts.groupBy(*keys).agg(n(p & t).alias("tp"), n(p & ~t).alias("fp"), n(~p & ~t).alias("tn"), n(~p & t).alias("fn"))
     tp, fp, tn, fn = (F.col(k) for k in ("tp", "fp", "tn", "fn"))
     return c.select(*keys, tp, fp, tn, fn, F.try_divide(tp, tp + fp).alias("precision"), F.try_divide(tp, tp + fn).alias("recall"), F.try_divide(2 * tp, 2 * tp + fp + fn).alias("f_score"), F.try_divide(tp + tn, tp + tn + fp + fn).alias("accuracy"))
 
@@ -94,9 +100,11 @@ def majority_label(pairs: DataFrame, cell: str = "gt", cls: str = "seg", prefer_
 
 
 def dedup_average(rows: DataFrame, key: str, score: str, order: list[str]) -> DataFrame:
-    """The first row of each patient carries the mean of all its scores, the others null; n_repeats tells how many."""
-    own, first = Window.partitionBy(key), Window.partitionBy(key).orderBy(*order)
-    return rows.withColumn("n_repeats", F.count("*").over(own)).withColumn("_mean", F.avg(score).over(own)).withColumn(score, F.when(F.row_number().over(first) == 1, F.col("_mean"))).drop("_mean")
+    """The first row with a score of each patient carries the mean of all its scores, other rows null; n_repeats tells how
+    many scores there are."""
+    own, first = Window.partitionBy(key), Window.partitionBy(key).orderBy(F.col(score).isNull(), *order)
+    kept = (F.row_number().over(first) == 1) & F.col(score).isNotNull()
+    return rows.withColumn("n_repeats", F.count(score).over(own)).withColumn("_mean", F.avg(score).over(own)).withColumn(score, F.when(kept, F.col("_mean"))).drop("_mean")
 
 
 def false_positives(rows: DataFrame, threshold: float, ids: int = 100) -> DataFrame:

@@ -5,20 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import stats
 from ..functions.stats import QUANTILES
 
 
 def group_statistics(cells: DataFrame, keys: list[str], values: tuple[str, ...] = ("sums", "means")) -> DataFrame:
     """keys, is_infected, n_pixels, pixel_sum, pixel_mean, and for each value its quantiles, MAD and mean.
 
-    One exchange: the window's medians and the aggregate share the keys' partitioning."""
+    All quantiles of a value come from one buffer of its distinct values. A MAD needs the median first, so it is a second
+    aggregate of the same partitioning."""
     own = Window.partitionBy(*keys, "is_infected")
     kept = cells.where("is_infected = 1 or is_control = 1").withColumns({f"_m_{v}": F.median(v).over(own) for v in values})
     aggs = [F.sum("sizes").alias("n_pixels"), F.sum("sums").alias("pixel_sum"), F.try_divide(F.sum("sums"), F.sum("sizes")).alias("pixel_mean")]
     for v in values:
-        aggs += [F.percentile(v, q).alias(f"q{q}_of_{v}") for q in QUANTILES]
-        aggs += [F.median(F.abs(F.col(v) - F.col(f"_m_{v}"))).alias(f"mad_of_{v}"), F.avg(v).alias(f"mean_of_{v}")]
-    return kept.groupBy(*keys, "is_infected").agg(*aggs)
+        aggs += [F.percentile(v, QUANTILES).alias(f"_q_{v}"), F.median(F.abs(F.col(v) - F.col(f"_m_{v}"))).alias(f"mad_of_{v}"), F.avg(v).alias(f"mean_of_{v}")]
+    out = kept.groupBy(*keys, "is_infected").agg(*aggs)
+    columns = [F.col(c) for c in (*keys, "is_infected", "n_pixels", "pixel_sum", "pixel_mean")]
+    for v in values:
+        columns += [F.get(f"_q_{v}", k).alias(f"q{q}_of_{v}") for k, q in enumerate(QUANTILES)] + [F.col(f"mad_of_{v}"), F.col(f"mean_of_{v}")]
+    return out.select(*columns)
 
 
 #: What is compared: the name, and the quantile of the infected and the control group. The ratio of unlike quantiles
@@ -31,16 +36,17 @@ def _centred(cells: DataFrame, keys: list[str], value: str) -> DataFrame:
     return cells.withColumn("_m", F.median(F.when(F.col("is_control") == 1, F.col(value))).over(Window.partitionBy(*keys)))
 
 
+#: Quantiles that the pairs take, in one buffer a group.
+TAKEN = (0.3, 0.5, 0.7)
+
+
 def _group_aggregates(value: str) -> list[Column]:
     ctl, inf = F.when(F.col("is_control") == 1, F.col(value)), F.when(F.col("is_infected") == 1, F.col(value))
-    out = [F.avg(inf).alias("i_mean"), F.avg(ctl).alias("c_mean"), F.median(F.abs(ctl - F.col("_m"))).alias("c_mad")]
-    for q in (0.3, 0.5, 0.7):
-        out += [F.percentile(inf, q).alias(f"i_q{q}"), F.percentile(ctl, q).alias(f"c_q{q}")]
-    return out
+    return [F.avg(inf).alias("i_mean"), F.avg(ctl).alias("c_mean"), F.median(F.abs(ctl - F.col("_m"))).alias("c_mad"), F.percentile(inf, TAKEN).alias("_i"), F.percentile(ctl, TAKEN).alias("_c")]
 
 
 def _score_columns() -> list[Column]:
-    get = lambda side, key: F.col(f"`{side}_{key}`")
+    get = lambda side, key: F.get(f"_{side}", TAKEN.index(float(key[1:]))) if key[0] == "q" else F.col(f"{side}_{key}")
     out: list[Column] = []
     for name, one, two in PAIRS:
         a, b = get("i", one), get("c", two)
@@ -95,6 +101,63 @@ def well_table(cells: DataFrame, image_flags: DataFrame, value: str = "means") -
     return wells.join(table, keys, "left").withColumn("is_outlier", F.when(none, 1).otherwise(0)).withColumn("outlier_type", F.when(none, "all images are outliers").otherwise("none")).withColumn("score", F.col("`ratio_of_q0.5`"))
 
 
+#: Statistics of a group that stand beside the scores.
+STATISTICS = tuple(f"q{q}" for q in QUANTILES) + ("mad", "mean")
+
+
+def all_scores(cells: DataFrame, keys: list[str], values: tuple[str, ...] = ("sums", "means")) -> DataFrame:
+    """keys, and for each value ratio_of_, diff_of_, dos_of_ and pvalue_of_ each pair, robust_z_score_, and infected_ and
+    control_ quantiles, MAD and mean; null where a group is empty or a denominator is 0.
+
+    The p-value of all pairs of a value is that of Welch's test of the groups' cells by it."""
+    own, groups = Window.partitionBy(*keys), (("i", "is_infected", "infected"), ("c", "is_control", "control"))
+    of = lambda flag, v: F.when(F.col(flag) == 1, F.col(v))
+    centred = cells.withColumns({f"_{g}m_{v}": F.median(of(flag, v)).over(own) for v in values for g, flag, _ in groups})
+    aggs: list[Column] = []
+    for v in values:
+        aggs += stats.welch_terms(of("is_infected", v), of("is_control", v), f"_{v}_")
+        for g, flag, _ in groups:
+            aggs += [F.percentile(of(flag, v), QUANTILES).alias(f"_{g}q_{v}"), F.median(F.abs(of(flag, v) - F.col(f"_{g}m_{v}"))).alias(f"_{g}mad_{v}"), F.avg(of(flag, v)).alias(f"_{g}mean_{v}")]
+    table = centred.groupBy(*keys).agg(*aggs)
+    out: list[Column] = []
+    for v in values:
+        t, dof = stats.welch_of(f"_{v}_")
+        get = lambda g, key, v=v: F.get(f"_{g}q_{v}", QUANTILES.index(float(key[1:]))) if key[0] == "q" else F.col(f"_{g}{key}_{v}")
+        table = table.withColumn(f"_p_{v}", stats.t_test_p(t, dof))
+        for name, one, two in PAIRS:
+            a, b = get("i", one), get("c", two)
+            out += [F.try_divide(get("i", two), get("c", one)).alias(f"ratio_of_{name}_of_{v}"), F.try_divide(a - b, a + b).alias(f"dos_of_{name}_of_{v}"), (a - b).alias(f"diff_of_{name}_of_{v}"), F.col(f"_p_{v}").alias(f"pvalue_of_{name}_of_{v}")]
+        out.append(F.try_divide(get("i", "q0.5") - get("c", "q0.5"), get("c", "mad")).alias(f"robust_z_score_{v}"))
+        out += [get(g, k).alias(f"{name}_{k}_of_cell_{v}") for g, _, name in groups for k in STATISTICS]
+    return table.select(*keys, *out)
+
+
+def full_image_table(cells: DataFrame, image_flags: DataFrame, value: str = "means") -> DataFrame:
+    """``image_table`` with all scores, p-values and group statistics of sums and means."""
+    keys = ["plate", "well", "image"]
+    return image_table(cells, image_flags, value).select(*keys, *COUNTS, "is_outlier", "outlier_type", "score").join(all_scores(cells, keys), keys)
+
+
+def full_well_table(cells: DataFrame, image_flags: DataFrame, value: str = "means") -> DataFrame:
+    """``well_table`` with all scores, p-values and group statistics of sums and means, of the images that are no outliers."""
+    keys = ["plate", "well"]
+    kept = cells.join(image_flags.where("is_outlier = 1").select("image"), "image", "left_anti")
+    table = well_table(cells, image_flags, value).select(*keys, "n_outlier_images", "n_images", *COUNTS, "is_outlier", "outlier_type", "score")
+    return table.join(all_scores(kept, keys), keys, "left")
+
+
+def pixel_tests(pixels: DataFrame, keys: list[str], least: int = 10) -> DataFrame:
+    """keys, n_infected, n_control, and of the values under the two masks: ks and ks_p, t and welch_p, z and ranksum_p, each null
+    unless both masks have more than ``least`` pixels."""
+    masked = pixels.where("mask in (1, 2)").withColumn("_g", F.when(F.col("mask") == 1, 1).otherwise(0))
+    n = masked.groupBy(*keys).agg(F.count_if(F.col("_g") == 1).alias("n_infected"), F.count_if(F.col("_g") == 0).alias("n_control"))
+    enough = n.where((F.col("n_infected") > least) & (F.col("n_control") > least))
+    tested = masked.join(enough.select(*keys), keys, "left_semi")
+    out = n.join(stats.ks(tested, keys, "v", "_g"), keys, "left").join(stats.welch(tested, keys, "v", "_g"), keys, "left").join(stats.ranksum(tested, keys, "v", "_g"), keys, "left")
+    p = [stats.ks_test_p(F.col("ks"), F.col("n_infected").cast("double"), F.col("n_control").cast("double")).alias("ks_p"), stats.t_test_p("t", "dof").alias("welch_p"), stats.rank_test_p("z").alias("ranksum_p")]
+    return out.select(*keys, "n_infected", "n_control", "ks", p[0], "t", p[1], "z", p[2])
+
+
 def pixel_analysis(pixels: DataFrame, keys: list[str]) -> DataFrame:
     """Mean serum under the infected and the control mask and outside both, ratio and difference over sum with and
     without the background; 0 where the denominator is 0."""

@@ -24,7 +24,7 @@ class Settings:
 
 def marker_background(cells: DataFrame) -> DataFrame:
     """plate, median, mad of the marker on the background label."""
-    return stats.mad(cells.where("label_id = 0"), ["plate"], "marker")
+    return stats.mad_of_counts(cells.where("label_id = 0"), ["plate"], "marker")
 
 
 def classified_cells(cells: DataFrame, s: Settings) -> DataFrame:

@@ -8,7 +8,7 @@ from ..functions import stats
 from ..operators import background, classify, evaluate, features, levels, merge, qc, scores
 from ..plans import plate_analysis
 from ..sources import sinks
-from .registry import SMALL, Tables, query, r
+from .registry import SMALL, Tables, query, r, student_sql
 
 BOTH = "(is_infected = 1 OR is_control = 1)"
 #: Quantiles, counts and scores of two groups in SQL, by the group columns.
@@ -127,7 +127,7 @@ def a13(t: Tables):
     return stats.welch(t.classified.where("is_infected = 1 or is_control = 1"), ["plate"], "means", "is_infected")
 
 
-@query("A13_welch_p_value")
+@query("A13_welch_p_value", f"SELECT plate, {r('t', 't')}, {r('dof', 'dof')}, {r(student_sql('t', 'dof'), 'p')} FROM (SELECT plate, (m1 - m0) / sqrt(v1 / n1 + v0 / n0) t, (v1 / n1 + v0 / n0) ** 2 / ((v1 / n1) ** 2 / (n1 - 1) + (v0 / n0) ** 2 / (n0 - 1)) dof FROM w WHERE n1 >= 2 AND n0 >= 2)", WELCH)
 def a13_p(t: Tables):
     return a13(t).withColumn("p", stats.t_test_p("t", "dof"))
 
@@ -156,6 +156,51 @@ def a17(t: Tables):
     return scores.well_table(t.classified, t.flags)
 
 
+def all_scores_sql(keys: str, source: str) -> tuple[str, str]:
+    """(CTEs, columns) of all scores, p-values and statistics of the groups of ``source``."""
+    groups, values = (("i", "is_infected", "infected"), ("c", "is_control", "control")), ("sums", "means")
+    inner = [f"{f} {g}{k}_{v}" for v in values for g, c, _ in groups for k, f in (
+        *((f"q{q}".replace(".", "_"), f"quantile_cont({v}, {q}) FILTER (WHERE {c} = 1)") for q in stats.QUANTILES), ("mad", f"mad({v}) FILTER (WHERE {c} = 1)"), ("mean", f"avg({v}) FILTER (WHERE {c} = 1)"),
+        ("var", f"var_samp({v}) FILTER (WHERE {c} = 1)"), ("n", f"count({v}) FILTER (WHERE {c} = 1)"))]
+    tests = []
+    for v in values:
+        a, b = f"ivar_{v} / in_{v}", f"cvar_{v} / cn_{v}"
+        enough = f"in_{v} >= 2 AND cn_{v} >= 2 AND {a} + {b} > 0"
+        tests += [f"CASE WHEN {enough} THEN (imean_{v} - cmean_{v}) / sqrt({a} + {b}) END t_{v}", f"CASE WHEN {enough} THEN ({a} + {b}) ** 2 / (({a}) ** 2 / (in_{v} - 1) + ({b}) ** 2 / (cn_{v} - 1)) END dof_{v}"]
+    ctes = f"al0 AS (SELECT {keys}, {', '.join(inner)} FROM {source} GROUP BY {keys}), al AS (SELECT *, {', '.join(tests)} FROM al0)"
+    out = []
+    for v in values:
+        for name, one, two in (("mean", "mean", "mean"), ("q0_5", "q0_5", "q0_5"), ("q0_7_vs_q0_3", "q0_7", "q0_3"), ("q0_3_vs_q0_7", "q0_3", "q0_7")):
+            i1, i2, c1, c2 = f"i{one}_{v}", f"i{two}_{v}", f"c{one}_{v}", f"c{two}_{v}"
+            out += [r(f"{i2} / nullif({c1}, 0)", f"ratio_of_{name}_of_{v}"), r(f"({i1} - {c2}) / nullif({i1} + {c2}, 0)", f"dos_of_{name}_of_{v}"), r(f"{i1} - {c2}", f"diff_of_{name}_of_{v}"), r(f"CASE WHEN t_{v} = 0 THEN 1 ELSE {student_sql(f't_{v}', f'dof_{v}')} END", f"pvalue_of_{name}_of_{v}")]
+        out.append(r(f"(iq0_5_{v} - cq0_5_{v}) / nullif(cmad_{v}, 0)", f"robust_z_score_{v}"))
+        out += [r(f"{g}{k}_{v}", f"{name}_{k}_of_cell_{v}") for g, _, name in groups for k in (*(f"q{q}".replace(".", "_") for q in stats.QUANTILES), "mad", "mean")]
+    return ctes, ", ".join(out)
+
+
+ALL_WELLS, ALL_COLUMNS = all_scores_sql("plate, well", "classified")
+ALL_KEPT, _ = all_scores_sql("plate, well", "kept")
+ALL_IMAGES, _ = all_scores_sql("plate, well, image", "classified")
+
+
+@query("A11_all_scores", f"SELECT plate, well, {ALL_COLUMNS} FROM al", ALL_WELLS)
+def a11_all(t: Tables):
+    return scores.all_scores(t.classified, ["plate", "well"])
+
+
+@query("A15_image_table_full", f"""SELECT al.plate, al.well, al.image, {ALL_COLUMNS}, n.* EXCLUDE (plate, well, image), coalesce(f.is_outlier, -1)::BIGINT is_outlier, coalesce(f.outlier_type, 'not_checked') outlier_type,
+CASE WHEN coalesce(f.is_outlier, -1) <> 1 THEN (floor((iq0_5_means / nullif(cq0_5_means, 0))::DOUBLE * 1e6 + 0.4987) / 1e6) END score FROM al JOIN n USING (plate, well, image) LEFT JOIN flags f USING (image)""", f"{ALL_IMAGES}, n AS (SELECT plate, well, image, {COUNTS} FROM classified GROUP BY plate, well, image)")
+def a15_full(t: Tables):
+    return scores.full_image_table(t.classified, t.flags)
+
+
+@query("A17_well_table_full", f"""SELECT u.plate, u.well, n_outlier_images, n_images, {ALL_COLUMNS}, n.* EXCLUDE (plate, well), (n_outlier_images = n_images)::INT::BIGINT is_outlier,
+CASE WHEN n_outlier_images = n_images THEN 'all images are outliers' ELSE 'none' END outlier_type, (floor((iq0_5_means / nullif(cq0_5_means, 0))::DOUBLE * 1e6 + 0.4987) / 1e6) score FROM u LEFT JOIN al USING (plate, well) LEFT JOIN n USING (plate, well)""", f"""kept AS (SELECT * FROM classified WHERE image NOT IN (SELECT image FROM flags WHERE is_outlier = 1)), {ALL_KEPT}, n AS (SELECT plate, well, {COUNTS} FROM kept GROUP BY plate, well),
+u AS (SELECT plate, well, count(*) FILTER (WHERE is_outlier = 1) n_outlier_images, count(*) n_images FROM (SELECT DISTINCT plate, well, image FROM cells) JOIN flags USING (image) GROUP BY plate, well)""")
+def a17_full(t: Tables):
+    return scores.full_well_table(t.classified, t.flags)
+
+
 @query("A45_well_stats_multi", f"SELECT plate, well, {r('quantile_cont(means, 0.5)', 'median')}, {r('avg(means)', 'mean')}, count(*) n FROM classified WHERE is_control = 1 GROUP BY plate, well")
 def a45(t: Tables):
     return t.classified.where("is_control = 1").groupBy("plate", "well").agg(F.percentile("means", 0.5).alias("median"), F.avg("means").alias("mean"), F.count("*").alias("n"))
@@ -226,9 +271,10 @@ def a37(t: Tables):
     return wide.toDF("bin", "d0_10", "d11_14", "d15")
 
 
-@query("A38_dedup_average", f"SELECT image, well, count(*) OVER (PARTITION BY well) n_repeats, CASE WHEN row_number() OVER (PARTITION BY well ORDER BY image) = 1 THEN (floor((avg(price) OVER (PARTITION BY well))::DOUBLE * 1e6 + 0.4987) / 1e6) END price FROM images")
+@query("A38_dedup_average", f"SELECT image, well, count(score) OVER (PARTITION BY well) n_repeats, CASE WHEN score IS NOT NULL AND row_number() OVER (PARTITION BY well, score IS NULL ORDER BY image) = 1 THEN (floor((avg(score) OVER (PARTITION BY well))::DOUBLE * 1e6 + 0.4987) / 1e6) END price FROM (SELECT image, well, CASE WHEN image % 3 > 0 THEN price END score FROM images)")
 def a38(t: Tables):
-    return evaluate.dedup_average(t.images.select("image", "well", "price"), "well", "price", ["image"])
+    measured = t.images.select("image", "well", F.when(F.col("image") % 3 > 0, F.col("price")).alias("price"))
+    return evaluate.dedup_average(measured, "well", "price", ["image"])
 
 
 @query("A40_fp_table", "SELECT priority cohort, count(*) FILTER (WHERE price > 300000) n_over, count(*) n, array_to_string(list_sort(list(image) FILTER (WHERE price > 300000))[1:20], ',') ids FROM images GROUP BY priority")

@@ -10,11 +10,11 @@ from ..sources import readers, sinks
 from ..streaming import incremental
 from .registry import Tables, query, r
 
-#: Cohort ids made from customers: fixed forms by the id's remainder.
-COHORT = "CASE well % 8 WHEN 0 THEN 'CMV ' || well WHEN 1 THEN 'EBV ' || well WHEN 2 THEN 'C' || well || 'k' WHEN 3 THEN '2-' || well || ' K' WHEN 4 THEN '02-' || well || ' V' WHEN 5 THEN 'Z' || well WHEN 6 THEN ' B' || well || ' ' ELSE '??' END"
-LETTER = "CASE WHEN regexp_matches({c}, '^CMV.+') OR regexp_matches({c}, '^EBV.+') THEN 'E' WHEN regexp_matches({c}, '^[A-Z][0-9]+.*') THEN substr({c}, 1, 1) WHEN regexp_matches({c}, '^[0-9]-[0-9]+ [A-Z]$') THEN right({c}, 1) WHEN regexp_matches({c}, '^[0-9]{{2}}-[0-9]+ [A-Z]$') THEN right({c}, 1) || '?' WHEN regexp_matches({c}, '^[A-Z]+$') THEN substr({c}, 1, 1) END"
-CLEAN = "CASE WHEN " + LETTER.format(c="trim(raw)") + " IS NULL THEN 'unknown' ELSE trim(raw) END"
-CLASS = "CASE WHEN lower(letter) = 'c' THEN 'positive' WHEN lower(letter) IN ('a', 'b', 'e', 'k', 'v', 'x', 'z') THEN 'control' ELSE 'unknown' END"
+#: Cohort ids made from customers: forms that the patterns know and forms near them, by the id's remainder.
+COHORT = "CASE well % 12 WHEN 0 THEN 'CMV ' || well WHEN 1 THEN 'EBV ' || well WHEN 2 THEN 'C' || well || 'k' WHEN 3 THEN '2-' || well || ' K' WHEN 4 THEN '02-' || well || ' V' WHEN 5 THEN 'Z' || well WHEN 6 THEN 'B' || well || ' ' WHEN 7 THEN '5-' || well || ' K' WHEN 8 THEN 'ABC' WHEN 9 THEN '3-' || well || '/b' WHEN 10 THEN 'CMV' ELSE ' A1' END"
+LETTER = "CASE WHEN regexp_matches({c}, '^CMV.+') THEN 'E' WHEN regexp_matches({c}, '^EBV.+') THEN 'E' WHEN regexp_matches({c}, '^3-.+') THEN right({c}, 1) WHEN regexp_matches({c}, '^2-.+') THEN right({c}, 1) WHEN regexp_matches({c}, '^02-.+') THEN right({c}, 1) || '?' WHEN regexp_matches({c}, '^[A-Z][0-9]+') THEN substr({c}, 1, 1) END"
+CLEAN = "CASE WHEN " + LETTER.format(c="raw") + " IS NULL THEN 'unknown' ELSE trim(raw) END"
+CLASS = "CASE WHEN letter IS NULL THEN NULL WHEN lower(letter) = 'c' THEN 'positive' WHEN lower(letter) IN ('b', 'a', 'x', 'z', 'e', 'cmv', 'ebv') THEN 'control' ELSE 'unknown' END"
 PEOPLE = f"raws AS (SELECT DISTINCT plate, well, {COHORT} raw FROM images), ids AS (SELECT plate, well, raw, {CLEAN} cohort_id FROM raws), people AS (SELECT plate, well, cohort_id, {LETTER.format(c='cohort_id')} letter FROM ids), classes AS (SELECT *, {CLASS} cohort_type FROM people)"
 
 

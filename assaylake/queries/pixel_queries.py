@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import stats
 from ..operators import evaluate, learn, pixels, scores
 from ..sources import readers, sinks
-from .registry import Tables, query, r
+from .registry import Tables, normal_sql, query, r, student_sql
 
 #: A pixel's integer value in 0..99, the same in both engines, and images of one size.
 LEVELS = "lv AS (SELECT image, y, x, (floor(v * 200) % 50 + 50)::DOUBLE v, label_id FROM pixels)"
@@ -297,11 +297,25 @@ def a23(t: Tables):
     return stats.ranksum(two_masks(t), ["image"], "v", "group")
 
 
-@query("A23_ranksum_p_value")
+RANKS = "rk AS (SELECT image, (sum(k) FILTER (WHERE mask = 1) - 16 * 33 / 2.0::DOUBLE) / sqrt(16 * 16 * 33 / 12.0::DOUBLE) z FROM (SELECT image, mask, rank() OVER (PARTITION BY image ORDER BY v) + (count(*) OVER (PARTITION BY image, v) - 1) / 2.0::DOUBLE k FROM mk WHERE mask > 0) GROUP BY image)"
+
+
+@query("A23_ranksum_p_value", f"SELECT image, {r('z', 'z')}, {r(normal_sql('z'), 'p')} FROM rk", f"{MASKS}, {RANKS}")
 def a23_p(t: Tables):
     return a23(t).withColumn("p", stats.rank_test_p("z"))
 
 
+#: The Kolmogorov series at sqrt(16 * 16 / 32) times the distance.
+KOLMOGOROV = "least(1, greatest(0, 2 * list_sum(list_transform(range(1, 101), lambda j: (CASE WHEN j % 2 = 1 THEN 1 ELSE -1 END) * exp(-2 * j * j * 8 * ks * ks)))))"
+TESTS = f"""{RANKS}, kk AS (SELECT image, max(abs(f1 - f0)) ks FROM (SELECT image, count(*) FILTER (WHERE mask = 1) OVER w / 16.0::DOUBLE f1, count(*) FILTER (WHERE mask = 2) OVER w / 16.0::DOUBLE f0 FROM mk WHERE mask > 0 WINDOW w AS (PARTITION BY image ORDER BY v RANGE UNBOUNDED PRECEDING)) GROUP BY image),
+ww AS (SELECT image, (m1 - m0) / sqrt(v1 / 16 + v0 / 16) t, (v1 / 16 + v0 / 16) ** 2 / ((v1 / 16) ** 2 / 15 + (v0 / 16) ** 2 / 15) dof FROM (SELECT image, avg(v) FILTER (WHERE mask = 1) m1, avg(v) FILTER (WHERE mask = 2) m0, var_samp(v) FILTER (WHERE mask = 1) v1, var_samp(v) FILTER (WHERE mask = 2) v0 FROM mk GROUP BY image))"""
+
+
+@query("A21_pixel_tests", f"SELECT image, 16::BIGINT n_infected, 16::BIGINT n_control, {r('ks', 'ks')}, {r(KOLMOGOROV, 'ks_p')}, {r('t', 't')}, {r(student_sql('t', 'dof'), 'welch_p')}, {r('z', 'z')}, {r(normal_sql('z'), 'ranksum_p')} FROM kk JOIN ww USING (image) JOIN rk USING (image)", f"{MASKS}, {TESTS}")
+def a21_tests(t: Tables):
+    return scores.pixel_tests(masked(t), ["image"])
+
+
 PREDICTED = "pd AS (SELECT image, plate, label_id, threshold, (label_id <> 0 AND NOT marker > dev * threshold + med)::INT p, (tag <> 1)::INT tr FROM cells JOIN bg USING (plate), (SELECT unnest([0.05, 0.55, 1.05, 2.05]::DOUBLE[]) threshold)), cf AS (SELECT plate, threshold, count(*) FILTER (WHERE p = 1 AND tr = 1) tp, count(*) FILTER (WHERE p = 1 AND tr = 0) fp, count(*) FILTER (WHERE p = 0 AND tr = 0) tn, count(*) FILTER (WHERE p = 0 AND tr = 1) fn FROM pd WHERE label_id <> 0 GROUP BY ALL)"
 F_SCORE = "2.0::DOUBLE * tp / nullif(2 * tp + fp + fn, 0)"
 
@@ -310,8 +324,9 @@ def grid_confusion(t: Tables):
     from ..operators import classify
     from ..plans.plate_analysis import marker_background
 
-    grid = classify.classify_grid(t.cells, marker_background(t.cells), ["plate"], [0.05, 0.55, 1.05, 2.05])
-    return evaluate.confusion(grid.withColumn("truth_control", (F.col("tag") != 1).cast("int")), ["plate", "threshold"])
+    cells = t.cells.withColumn("truth_control", (F.col("tag") != 1).cast("int"))
+    counts = classify.grid_counts(cells, marker_background(cells), ["plate"], [0.05, 0.55, 1.05, 2.05], ["truth_control"])
+    return evaluate.confusion_of_counts(counts, ["plate", "threshold"])
 
 
 @query("A24_confusion_fscore", f"SELECT plate, threshold, tp, fp, tn, fn, {r('tp / nullif(tp + fp, 0)', 'precision')}, {r('tp / nullif(tp + fn, 0)', 'recall')}, {r(F_SCORE, 'f_score')}, {r('(tp + tn) / nullif(tp + tn + fp + fn, 0)', 'accuracy')} FROM cf", PREDICTED)

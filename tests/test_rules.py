@@ -47,14 +47,14 @@ def test_well_quality(spark):
     assert [r[2] for r in rows(floors, "plate")] == [6.0, 301.23]
 
 
-@pytest.mark.parametrize(("cohort", "letter"), [("CMV 20", "E"), ("EBV 20", "E"), ("C4k", "C"), ("2-2100 K", "K"), ("3-2100 K", "K"), ("02-2100 V", "V?"), ("??", None), (None, None)])
+@pytest.mark.parametrize(("cohort", "letter"), [("CMV 20", "E"), ("EBV 20", "E"), ("C4k", "C"), ("2-2100 K", "K"), ("3-2100 K", "K"), ("02-2100 V", "V?"), ("??", None), (None, None), ("5-100 K", None), ("ABC", None), ("3-12/b", "b"), ("CMV", None), ("xC4", None), ("C4k anything", "C")])
 def test_cohort_letters(spark, cohort, letter):
     assert one(spark, cohort, names.cohort_letter) == letter
 
 
 def test_cohorts_and_lab_values(spark):
-    assert [one(spark, x, names.cohort_class) for x in ("C", "c", "b", "V?", None)] == ["positive", "positive", "control", "unknown", "unknown"]
-    assert [one(spark, x, names.clean_cohort_id) for x in (" B85 ", "empty", None, "CMV 7")] == ["B85", "unknown", "unknown", "CMV 7"]
+    assert [one(spark, x, names.cohort_class) for x in ("C", "c", "b", "V?", None, "k", "v", "cmv", "EBV", "Z")] == ["positive", "positive", "control", "unknown", None, "unknown", "unknown", "control", "control", "control"]
+    assert [one(spark, x, names.clean_cohort_id) for x in ("B85 ", " B85", "empty", None, "CMV 7", "CMV")] == ["B85", "unknown", "unknown", "unknown", "CMV 7", "unknown"]
     assert [one(spark, x, names.lab_value) for x in (">8,5", "0.96", "11", "pos", None)] == [8.5, 0.96, 11.0, None, None]
 
 
@@ -63,8 +63,10 @@ def test_names(spark):
     assert one(spark, name, names.well_name) == "C01" and one(spark, name, names.site_name) == "C01-0000"
     assert one(spark, name, names.channels) == ["DAPI", "WF_GFP", "TRITC", "WF_Cy5"] and one(spark, "x", names.channels) is None
     assert (one(spark, "A04", names.well_row), one(spark, "A04", names.well_column)) == (0, 3)
-    assert str(one(spark, "plate9_4rep1_20200604_175423_514", names.plate_time)) == "2020-06-04 17:54:23" and one(spark, "x", names.plate_time) is None
-    assert [one(spark, x, names.empty_wells) for x in ("plateT1_a", "plateK22_a", "plateK21_a", "plate9")] == [["H01", "G01"], ["H01", "G01"], ["H01"], ["H01"]]
+    assert str(one(spark, "plate9_4rep1_20200604_175423_514", names.plate_time)) == "2020-06-04 17:54:23" and one(spark, "x", names.plate_time) is None and str(one(spark, "p_20200604_rep1_5", names.plate_time)) == "2020-06-04 00:00:00"
+    assert [one(spark, x, names.empty_wells) for x in ("plateT1_a", "plateK22_a", "plateK21_a", "plate9", "PlateK22rep1_x", "PlateK21rep1_x", "plateU13_T9rep1_x")] == [["H01", "G01"], ["H01", "G01"], ["H01"], ["H01"], ["H01", "G01"], ["H01"], ["H01", "G01"]]
+    own = F.create_map(F.lit("plateT1_a"), F.array(F.lit("A01")))
+    assert [one(spark, x, lambda c: names.empty_wells(c, own)) for x in ("plateT1_a", "plateT2_a")] == [["A01"], ["H01", "G01"]]
 
 
 def test_layout(spark):
