@@ -21,6 +21,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,16 +34,16 @@ from .text import U64, mix, runs, signed, slices, words
 PERCENT = 90
 SHINGLE = 3
 #: Shingles that one block of a cluster holds, and at most one part more; a part is dealt this share of a block on average.
-BLOCK_SHINGLES = 2_000_000
+BLOCK_SHINGLES = 1_000_000
 PARTS = 16
-#: Words of the bitmaps that are shipped with a segment, and the most where whole sets are there; nodes below a node.
+#: Words of the smallest and of the largest bitmaps; nodes below a node.
 BITMAP_WORDS, MOST_WORDS = 16, 1024
 FANOUT = 4
 #: Words of bitmaps that are held against each other at a time.
 PAIR_WORDS = 1 << 18
 #: Sets with one segment that are held against each other without a tree; sets of a block of those with one segment; rows
 #: of a task's group.
-FEW, BLOCK_SETS, TASK_ROWS = 64, 4096, 50_000
+FEW, BLOCK_SETS, TASK_ROWS = 64, 4096, 200_000
 ODD = [U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9)]
 
 
@@ -85,12 +86,13 @@ def bands(most: int, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
     return np.array(first), np.array(segments)
 
 
-def segment_hashes(at: np.ndarray, value: np.ndarray, n: int, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
-    """(text's index, signature) of every segment of the sets of n texts, for the text's own band and the next one."""
+def segment_hashes(at: np.ndarray, value: np.ndarray, n: int, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text's index, signature, words of the band's bitmaps) of every segment of the sets of n texts, for the text's own band
+    and the next one."""
     sizes = np.bincount(at, minlength=n)
     first, segments = bands(int(sizes.max(initial=1)) * 100 // percent + 2, percent)
     band = np.searchsorted(first, sizes, side="right") - 1
-    owners, out = [], []
+    owners, out, widths = [], [], []
     for step in (0, 1):
         group = band + step
         count = np.where(sizes > 0, segments[group], 0)
@@ -118,7 +120,13 @@ def segment_hashes(at: np.ndarray, value: np.ndarray, n: int, percent: int = PER
         several = empty[np.bincount(owner[empty], minlength=n)[owner[empty]] > 1]
         owners.append(owner[several])
         out.append(mix(tag[several] + ODD[2]))
-    return np.concatenate(owners), np.concatenate(out)
+        widths += [band_words(first)[group][x] for x in owners[-4:]]
+    return np.concatenate(owners), np.concatenate(out), np.concatenate(widths)
+
+
+def band_words(first: np.ndarray) -> np.ndarray:
+    """Words of the bitmaps of each band: a power of two, a bit or more for each shingle of its smallest sets."""
+    return np.clip(1 << np.ceil(np.log2(np.maximum(first, 1) / 64)).clip(0).astype(np.int64), BITMAP_WORDS, MOST_WORDS)
 
 
 def _digests(at: np.ndarray, value: np.ndarray, n: int, clashes: frozenset = frozenset()) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -170,20 +178,29 @@ def _once(piece: pa.RecordBatch, width: int, clashes: frozenset) -> tuple[np.nda
 
 
 def _segments(batches: Iterator[pa.RecordBatch], width: int, percent: int, clashes: frozenset) -> Iterator[pa.RecordBatch]:
-    """(sig, node) of each segment of each set."""
+    """(sig, node, words) of each segment of each set."""
     for piece in slices(batches):
         node, _, at, value = _once(piece, width, clashes)
-        owner, signature = segment_hashes(at, value, len(node), percent)
+        owner, signature, words_ = segment_hashes(at, value, len(node), percent)
         for k in range(0, len(owner), 1 << 20):
-            yield pa.RecordBatch.from_arrays([pa.array(signed(signature[k : k + (1 << 20)])), pa.array(node[owner[k : k + (1 << 20)]])], ["sig", "node"])
+            part = slice(k, k + (1 << 20))
+            yield pa.RecordBatch.from_arrays([pa.array(signed(signature[part])), pa.array(node[owner[part]]), pa.array(words_[part].astype(np.int16))], ["sig", "node", "words"])
 
 
-def _sketches(batches: Iterator[pa.RecordBatch], width: int, clashes: frozenset) -> Iterator[pa.RecordBatch]:
-    """node, n, least (minimum hash) and bits (bitmap) of each set."""
+def _sketches(batches: Iterator[pa.RecordBatch], width: int, percent: int, clashes: frozenset) -> Iterator[pa.RecordBatch]:
+    """node, words, n, least (minimum hash) and bits (bitmap of so many words) of each set, for the widths of its two bands."""
     for piece in slices(batches):
         node, sizes, at, value = _once(piece, width, clashes)
-        bits = bitmaps(at, value, len(node))
-        yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(sizes), pa.array(minimum_hashes(at, value, len(node))), pa.array([x.tobytes() for x in bits], pa.binary())], ["node", "n", "least", "bits"])
+        if not len(node):
+            continue
+        first, _ = bands(int(sizes.max()) * 100 // percent + 2, percent)
+        band, least = np.searchsorted(first, sizes, side="right") - 1, minimum_hashes(at, value, len(node))
+        own, after = band_words(first)[band], band_words(first)[band + 1]
+        for words_ in np.unique(np.concatenate([own, after])).tolist():
+            has = (own == words_) | (after == words_)
+            kept = has[at]
+            bits = bitmaps((np.cumsum(has) - 1)[at[kept]], value[kept], int(has.sum()), words_)
+            yield pa.RecordBatch.from_arrays([pa.array(node[has]), pa.array(np.full(int(has.sum()), words_, np.int16)), pa.array(sizes[has]), pa.array(least[has]), pa.array([x.tobytes() for x in bits], pa.binary())], ["node", "words", "n", "least", "bits"])
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,20 +209,20 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kept = list(batches)
     if not kept:
         return
-    sig, node = (np.concatenate([x.column(k).to_numpy(zero_copy_only=False) for x in kept]) for k in range(2))
+    sig, node, words_ = (np.concatenate([x.column(k).to_numpy(zero_copy_only=False) for x in kept]) for k in range(3))
     order = np.lexsort((node, sig))
-    sig, node = sig[order], node[order]
+    sig, node, words_ = sig[order], node[order], words_[order]
     new = np.ones(len(sig), bool)
     new[1:] = (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])
-    sig, node = sig[new], node[new]
+    sig, node, words_ = sig[new], node[new], words_[new]
     head = np.flatnonzero(np.diff(sig, prepend=~sig[:1]))
     size = np.diff(np.append(head, len(sig)))
     rank = np.arange(len(sig)) - np.repeat(head, size)
     several = np.repeat(size > 1, size)
     blocks = np.repeat(-(-size // BLOCK_SETS), size)
-    columns = [x[several] for x in (sig, node, rank // BLOCK_SETS, blocks)]
+    columns = [x[several] for x in (sig, node, words_, rank // BLOCK_SETS, blocks)]
     for k in range(0, len(columns[0]), 1 << 20):
-        yield pa.RecordBatch.from_arrays([pa.array(c[k : k + (1 << 20)]) for c in columns], ["sig", "node", "block", "blocks"])
+        yield pa.RecordBatch.from_arrays([pa.array(c[k : k + (1 << 20)]) for c in columns], ["sig", "node", "words", "block", "blocks"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -299,34 +316,40 @@ def stars(pairs: np.ndarray) -> np.ndarray:
     return np.stack([names[own], names[root[own]]])
 
 
-def _candidates(table: pa.Table, percent: int) -> pa.Table:
-    """Edges that join the nodes which share a segment and could link, from all rows of some (sig, i, j)."""
-    table = table.sort_by([("sig", "ascending"), ("i", "ascending"), ("j", "ascending"), ("least", "ascending"), ("node", "ascending")]).combine_chunks()
-    sig, i, j, block, node, sizes = (table.column(k).to_numpy() for k in ("sig", "i", "j", "block", "node", "n"))
-    bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), U64).reshape(-1, BITMAP_WORDS)
-    more = sizes - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
-    change = np.zeros(len(sig), bool)
-    for x in (sig, i, j):
-        change[1:] |= x[1:] != x[:-1]
-    head = np.concatenate([[0], np.flatnonzero(change)])
-    count = np.diff(np.append(head, len(sig)))
+def _candidates(rows: pa.Table, sketches: pa.Table, percent: int) -> pa.Table:
+    """Edges that join the nodes which share a segment and could link: from all rows (sig, i, j, block, node, words) of some
+    (sig, i, j), and one sketch of each (node, words) among them."""
     out = [np.zeros((2, 0), np.int64)]
-    few = np.repeat((count <= FEW) & (i == j)[head], count)
-    left = np.repeat(head + count, count) - np.arange(len(sig))  # rows to the group's end
-    one = (bits, sizes, sizes, more)
-    for step in range(1, int(min(FEW, count.max()))):
-        at = np.flatnonzero(few & (left > step))
-        for k in range(0, len(at), 1 << 16):
-            pairs = np.stack([at[k : k + (1 << 16)], at[k : k + (1 << 16)] + step])
-            out.append(node[pairs[:, could_link(one, one, pairs, percent)]])
-    for start, n in zip(head[~few[head]].tolist(), count[~few[head]].tolist()):
-        rows = np.arange(start, start + n)
-        sides = [rows] if i[start] == j[start] else [rows[block[rows] == k[start]] for k in (i, j)]
-        if not all(map(len, sides)):
-            continue
-        trees = [SignatureTree(bits[x], sizes[x]) for x in sides]
-        for pairs in traverse(trees[0], trees[-1], percent):
-            out.append(np.stack([node[sides[0][pairs[0]]], node[sides[-1][pairs[1]]]]))
+    for words_ in np.unique(sketches.column("words").to_numpy()).tolist():
+        own = sketches.filter(pc.equal(sketches.column("words"), words_)).sort_by([("least", "ascending"), ("node", "ascending")])
+        name, sizes = own.column("node").to_numpy(), own.column("n").to_numpy()
+        bits = np.frombuffer(b"".join(own.column("bits").to_pylist()), U64).reshape(-1, words_)
+        one = (bits, sizes, sizes, sizes - np.bitwise_count(bits).sum(axis=1, dtype=np.int64))
+        part = rows.filter(pc.equal(rows.column("words"), words_))
+        sig, i, j, block, node = (part.column(k).to_numpy() for k in ("sig", "i", "j", "block", "node"))
+        by_name = np.argsort(name)
+        place = by_name[np.searchsorted(name, node, sorter=by_name)]  # of the node's sketch, in the order of minimum hashes
+        order = np.lexsort((place, j, i, sig))
+        sig, i, j, block, place = (x[order] for x in (sig, i, j, block, place))
+        change = np.zeros(len(sig), bool)
+        for x in (sig, i, j):
+            change[1:] |= x[1:] != x[:-1]
+        head = np.concatenate([[0], np.flatnonzero(change)])
+        count = np.diff(np.append(head, len(sig)))
+        few = np.repeat((count <= FEW) & (i == j)[head], count)
+        left = np.repeat(head + count, count) - np.arange(len(sig))  # rows to the group's end
+        each = max(1, PAIR_WORDS // words_)
+        for step in range(1, int(min(FEW, count.max()))):
+            at = np.flatnonzero(few & (left > step))
+            for k in range(0, len(at), each):
+                pairs = np.stack([place[at[k : k + each]], place[at[k : k + each] + step]])
+                out.append(name[pairs[:, could_link(one, one, pairs, percent)]])
+        for start, n in zip(head[~few[head]].tolist(), count[~few[head]].tolist()):
+            own_rows = np.arange(start, start + n)
+            sides = [place[own_rows]] if i[start] == j[start] else [place[own_rows[block[own_rows] == k[start]]] for k in (i, j)]
+            if all(map(len, sides)):
+                trees = [SignatureTree(bits[x], sizes[x]) for x in sides]
+                out += [np.stack([name[sides[0][p[0]]], name[sides[-1][p[1]]]]) for p in traverse(trees[0], trees[-1], percent)]
     found = stars(np.concatenate(out, axis=1))
     return pa.table({"a": found[0], "b": found[1]})
 
@@ -442,13 +465,16 @@ def set_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wid
     texts = whole.select("text")
     # signatures of a set are at most in number two in ten of its shingles and two, for each of two bands
     total = rows.groupBy("node").agg(F.first("n").alias("n")).agg(F.sum(2 * (F.col("n") * (100 - percent) * 2.5 / (100 + percent) + 2))).first()[0] or 0
-    dealt = texts.mapInArrow(lambda it: _segments(it, width, percent, clashes), "sig long, node long").repartition(partitions(int(total), 1_000_000, spark), "sig")
-    shared = saved(dealt.mapInArrow(_shared, "sig long, node long, block long, blocks long"))
-    sketches = texts.mapInArrow(lambda it: _sketches(it, width, clashes), "node long, n long, least long, bits binary").dropDuplicates(["node"])
+    dealt = texts.mapInArrow(lambda it: _segments(it, width, percent, clashes), "sig long, node long, words short").repartition(partitions(int(total), 1_000_000, spark), "sig")
+    shared = saved(dealt.mapInArrow(_shared, "sig long, node long, words short, block long, blocks long"))
+    sketches = texts.mapInArrow(lambda it: _sketches(it, width, percent, clashes), "node long, words short, n long, least long, bits binary").dropDuplicates(["node", "words"])
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
-    ends = shared.select("sig", "node", "block", other).select("sig", "node", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    task = F.pmod(F.xxhash64("sig", "i", "j"), F.lit(partitions(shared.count(), TASK_ROWS, spark)))
-    pruned = ends.join(sketches, "node").withColumn("task", task).groupBy("task").applyInArrow(lambda table: _candidates(table, percent), EDGE)
+    ends = shared.select("*", other).select("sig", "node", "words", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    # a task's nodes are in many of its segments, and are sent to it once
+    ends = ends.withColumn("task", F.pmod(F.xxhash64("sig", "i", "j"), F.lit(partitions(shared.count(), TASK_ROWS, spark))))
+    sent = ends.select("task", "node", "words").distinct().join(sketches, ["node", "words"])
+    sent = sent.select(*(F.col(c).alias(c) for c in sent.columns))  # columns of their own, as both sides come from one table
+    pruned = ends.groupBy("task").cogroup(sent.groupBy("task")).applyInArrow(lambda left, right: _candidates(left, right, percent), EDGE)
     clusters = components(pruned)
     discard(shared)
     # one text for each node that may link: by its id and hash, so that ids of many texts meet no others

@@ -167,10 +167,9 @@ def test_candidates_in_blocks_are_those_of_all_pairs(spark, monkeypatch):
     monkeypatch.setattr(jaccard_trees, "BLOCK_SETS", 3)
     monkeypatch.setattr(jaccard_trees, "FEW", 2)
     rows = changed_copies()
-    schema = pa.schema([("sig", pa.int64()), ("node", pa.int64())])
-    batch = pa.RecordBatch.from_arrays([pa.array([5] * 8 + [6, 7, 7]), pa.array([*range(8), 1, 2, 2])], schema=schema)
+    batch = pa.RecordBatch.from_arrays([pa.array([5] * 8 + [6, 7, 7]), pa.array([*range(8), 1, 2, 2]), pa.array([16] * 11, pa.int16())], ["sig", "node", "words"])
     (out,) = jaccard_trees._shared(iter([batch]))
-    assert out.to_pydict() == {"sig": [5] * 8, "node": [*range(8)], "block": [0, 0, 0, 1, 1, 1, 2, 2], "blocks": [3] * 8}
+    assert out.to_pydict() == {"sig": [5] * 8, "node": [*range(8)], "words": [16] * 8, "block": [0, 0, 0, 1, 1, 1, 2, 2], "blocks": [3] * 8}
     at, value = jaccard_trees.shingles(pa.array(rows), 5)
     n, bits = np.bincount(at, minlength=len(rows)), jaccard_trees.bitmaps(at, value, len(rows))
     least = jaccard_trees.minimum_hashes(at, value, len(rows))
@@ -179,8 +178,10 @@ def test_candidates_in_blocks_are_those_of_all_pairs(spark, monkeypatch):
         for j in range(i, len(rows), 20):
             part = [k for k in range(len(rows)) if k // 20 * 20 in (i, j)]
             column = lambda x, part=part: pa.array([x[k] for k in part])
-            table = pa.table({"sig": pa.array([1] * len(part)), "i": pa.array([i] * len(part)), "j": pa.array([j] * len(part)), "block": column([k // 20 * 20 for k in range(len(rows))]), "node": pa.array(part), "n": column(n.tolist()), "least": column(least.tolist()), "bits": column([x.tobytes() for x in bits])})
-            found.append(jaccard_trees._candidates(table, 80))
+            width = pa.array([16] * len(part), pa.int16())
+            table = pa.table({"sig": pa.array([1] * len(part)), "i": pa.array([i] * len(part)), "j": pa.array([j] * len(part)), "block": column([k // 20 * 20 for k in range(len(rows))]), "node": pa.array(part), "words": width})
+            sketches = pa.table({"node": pa.array(part), "words": width, "n": column(n.tolist()), "least": column(least.tolist()), "bits": column([x.tobytes() for x in bits])})
+            found.append(jaccard_trees._candidates(table, sketches, 80))
     edges = {(r["a"], r["b"]) for t in found for r in t.to_pylist()}
     root = list(range(len(rows)))
     for a, b in sorted(edges) * 9:
