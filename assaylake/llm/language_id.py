@@ -32,7 +32,7 @@ LEFT_OUT = 4
 #: of fewer symbols tell no cost, and this many phrases of a text are not counted for it, as the first are short ones.
 REJECT, QUANTILE, LEAST_SYMBOLS, FREE_PHRASES = 1.25, 0.98, 50, 4
 #: Bytes of text that are parsed at a time.
-SLICE = 2 << 20
+SLICE = 1 << 20
 #: Symbols: between words, and a letter that the sample doesn't have.
 GAP, UNSEEN = 0, 1
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import hamming_topk, mixing, unit_dedup
+from . import hamming_topk, mixing, unit_dedup, url_filter
 
 WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -50,4 +50,27 @@ SELECT doc_id, size::BIGINT size, source_size, target, (size * (copies + CASE WH
 FROM d JOIN g ON g.source IS NOT DISTINCT FROM d.source LEFT JOIN e ON e.source IS NOT DISTINCT FROM d.source
 """
 
-SQL = {"op1_exact_topk": TOPK, "op2_substring_dedup": PASSAGES, "op2_substring_repeats": REPEATS, "op3_ngram_jaccard_join": JACCARD, "op4_mixing": MIX}
+RULED = f"""
+WITH u AS (SELECT page_id, CASE WHEN contains(coalesce(url, ''), '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END rest FROM pages),
+p AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') host, regexp_extract(rest, '(?s)^[^/?#]*([^?#]*)', 1) path FROM u),
+r AS (SELECT * FROM (VALUES {", ".join(f"('{n}', '{v}')" for n, v in url_filter.RULES)}) t (rule, label)),
+f AS (SELECT page_id, host, path, rule, label FROM p LEFT JOIN r ON (host = split_part(rule, '/', 1) OR suffix(host, '.' || split_part(rule, '/', 1))) AND starts_with(path, substr(rule, strpos(rule, '/'))))
+SELECT page_id, host, path, rule, label FROM f QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC NULLS LAST) = 1
+"""
+
+COUNTED = f"""
+WITH w AS (SELECT doc_id, coalesce(text, '') body, regexp_extract_all(coalesce(text, ''), '{WORDS}') w FROM documents),
+g AS (SELECT doc_id, unnest(range(1, len(w) - 1)) k, w FROM w),
+h AS (SELECT doc_id, k, count(*) OVER (PARTITION BY doc_id, w[k], w[k + 1], w[k + 2]) n FROM g),
+x AS (SELECT doc_id, count(DISTINCT e) n FROM (SELECT doc_id, unnest([k, k + 1, k + 2]) e FROM h WHERE n > 1) GROUP BY doc_id),
+l AS (SELECT doc_id, len(z) - len(list_distinct(z)) n FROM (SELECT doc_id, list_filter(string_split(body, chr(10)), lambda y: regexp_matches(y, '{WORDS}')) z FROM w)),
+c AS (SELECT w.doc_id, len(w)::BIGINT n_words, coalesce(list_sum(list_transform(w, lambda y: length(y))), 0)::BIGINT word_chars, length(regexp_replace(body, '[^#*$%&|<>]', '', 'g'))::BIGINT n_symbols, l.n::BIGINT n_dup_lines, coalesce(x.n, 0)::BIGINT n_repeat_words FROM w JOIN l USING (doc_id) LEFT JOIN x USING (doc_id))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words base_failed FROM c
+"""
+
+FOUND = """
+SELECT doc_id, len(list_filter(regexp_extract_all(coalesce(text, ''), '(?i:password|passwd|secret|token|api_?key)["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)', 1), lambda x: length(x) >= 6))::BIGINT n_assign,
+len(list_filter(regexp_extract_all(coalesce(text, ''), 'AKIA[A-Z0-9]+'), lambda x: length(x) >= 20))::BIGINT n_access, len(list_filter(regexp_extract_all(coalesce(text, ''), '[0-9a-f]+'), lambda x: length(x) >= 24))::BIGINT n_hex FROM documents
+"""
+
+SQL = {"op6_url_filters_rules": RULED, "op7_quality_rules_base": COUNTED, "op9_secret_scan_base": FOUND, "op1_exact_topk": TOPK, "op2_substring_dedup": PASSAGES, "op2_substring_repeats": REPEATS, "op3_ngram_jaccard_join": JACCARD, "op4_mixing": MIX}

@@ -41,10 +41,20 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op6_url_filters_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the rules alone say of each page."""
+    return url_filter.by_rules(table(spark, sf_dir, "pages")).drop("plain")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.judge(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_rules_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base counts of each document."""
+    return op7_quality_rules(spark, sf_dir).drop("kept", "covered", "longest_repeat")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -53,6 +63,11 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op9_secret_scan_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The numbers of the patterns' findings in each document."""
+    return op9_secret_scan(spark, sf_dir).drop("base_sha256", "spans")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 

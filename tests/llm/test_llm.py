@@ -696,7 +696,7 @@ def test_pipeline_stages(spark, sf, tmp_path):
 
 def test_oracles(spark, sf):
     con = duckdb.connect()
-    for name in ("documents", "embeddings"):
+    for name in ("documents", "embeddings", "pages"):
         con.execute(f"create view {name} as select * from read_parquet('{sf}/{name}.parquet')")
     for name, sql in queries.oracle_sql().items():
         want = con.execute(sql).df()
@@ -704,3 +704,14 @@ def test_oracles(spark, sf):
         key = list(want.columns)
         a, b = (x.sort_values(key).reset_index(drop=True) for x in (want, got))
         pd.testing.assert_frame_equal(a, b, check_dtype=False)
+
+
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    """Nulls, ties, repeated rows, long texts and an empty table go through all stages."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for k, rows in enumerate((ODD, [])):
+        folder = tmp_path / str(k)
+        spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], schema).write.parquet(str(folder / "documents.parquet"))
+        out = corpus_pipeline.run(spark, str(folder)).collect()
+        assert bool(out) == bool(rows)
+        assert all(r["doc_id"] not in (2, 3, 4) for r in out)  # no text, no language
