@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import names
@@ -126,7 +128,7 @@ def p28(t: Tables):
 
 @query("P29_label_truth", "SELECT plate, well, (cohort_type = 'positive')::INT::BIGINT truth FROM classes", PEOPLE)
 def p29(t: Tables):
-    return people(t).select("plate", "well", F.when(F.col("cohort_type") == "positive", 1).otherwise(0).alias("truth"))
+    return people(t).select("plate", "well", (F.col("cohort_type") == "positive").cast("int").alias("truth"))
 
 
 @query("P30_time_bin", "SELECT image, CASE WHEN well % 30 <= 10 THEN 'days 0-10' WHEN well % 30 <= 14 THEN 'days 11-14' ELSE 'days 15+' END bin FROM images")
@@ -339,8 +341,9 @@ def k11(t: Tables):
 
 @query("K12_table_alias", "SELECT image, count(*) n FROM classified GROUP BY image")
 def k12(t: Tables):
-    t.classified.groupBy("image").agg(F.count("*").alias("n")).createOrReplaceTempView("cell_classification")
-    return t.spark.table("cell_classification")
+    alias = f"cell_classification_{uuid.uuid4().hex}"  # one a call, so that no other view is replaced
+    t.classified.groupBy("image").agg(F.count("*").alias("n")).createTempView(alias)
+    return t.spark.table(alias)
 
 
 @query("I1_incremental_inputs", "SELECT DISTINCT user_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'error' AND event_id % 10 = 0) OR user_id IN (SELECT user_id FROM events WHERE \"value\" > 95 AND event_id % 10 = 1)")

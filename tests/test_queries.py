@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 from assaylake import queries as own
 from tests.compare import connect, differences
 
-WITHOUT_SQL = {"A13_welch_p_value", "A23_ranksum_p_value", "X1_rf_cells"}
+WITHOUT_SQL = {"X1_rf_cells"}
 
 
 @pytest.fixture(scope="module")
