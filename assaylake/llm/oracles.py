@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import hamming_topk, mixing, unit_dedup, url_filter
+from . import hamming_topk, mixing, spelling_variants, unit_dedup, url_filter
 
 WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -73,4 +73,28 @@ SELECT doc_id, len(list_filter(regexp_extract_all(coalesce(text, ''), '(?i:passw
 len(list_filter(regexp_extract_all(coalesce(text, ''), 'AKIA[A-Z0-9]+'), lambda x: length(x) >= 20))::BIGINT n_access, len(list_filter(regexp_extract_all(coalesce(text, ''), '[0-9a-f]+'), lambda x: length(x) >= 24))::BIGINT n_hex FROM documents
 """
 
-SQL = {"op6_url_filters_rules": RULED, "op7_quality_rules_base": COUNTED, "op9_secret_scan_base": FOUND, "op1_exact_topk": TOPK, "op2_substring_dedup": PASSAGES, "op2_substring_repeats": REPEATS, "op3_ngram_jaccard_join": JACCARD, "op4_mixing": MIX}
+#: CRC-32 is linear: each byte adds a value that its distance from the end decides, and so does the initial state.
+CRC = """
+bits AS (SELECT b, b::BIGINT c, 0 k FROM range(256) t(b) UNION ALL SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+zero AS (SELECT b, c FROM bits WHERE k = 8),
+far AS (SELECT 0 k, b, c FROM zero UNION ALL SELECT far.k + 1, far.b, xor(far.c >> 8, zero.c) FROM far JOIN zero ON zero.b = far.c & 255 WHERE far.k < (SELECT max(strlen(m)) FROM said)),
+begun AS (SELECT 0 k, 4294967295 c UNION ALL SELECT k + 1, xor(begun.c >> 8, zero.c) FROM begun JOIN zero ON zero.b = begun.c & 255 WHERE k < (SELECT max(strlen(m)) FROM said)),
+bytes AS (SELECT m, strlen(m) - 1 - i k, ('0x' || substr(hex(m), 2 * i + 1, 2))::INT b FROM (SELECT m, unnest(range(strlen(m))) i FROM said)),
+sums AS (SELECT m, bit_xor(c) c FROM bytes JOIN far USING (k, b) GROUP BY m),
+crcs AS (SELECT m, xor(xor(sums.c, begun.c), 4294967295) h FROM sums JOIN begun ON begun.k = strlen(m))
+"""
+VARIANTS = f"""
+WITH RECURSIVE runs AS (SELECT coalesce(doc_id::VARCHAR, '') d, unnest(regexp_extract_all(translate(coalesce(text, ''), '{spelling_variants.UPPER}', '{spelling_variants.LOWER}'), '{spelling_variants.RUN}')) run FROM documents),
+each AS (SELECT d || ':' || run m, run, count(*) n FROM runs WHERE length(run) >= {spelling_variants.LEAST_LENGTH} GROUP BY ALL),
+said AS (SELECT m FROM each),{CRC},
+kept AS (SELECT CASE WHEN h % {spelling_variants.LOSS} = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END word, n FROM each JOIN crcs USING (m)),
+w AS (SELECT word, sum(n)::BIGINT n FROM kept WHERE length(word) >= {spelling_variants.LEAST_LENGTH} GROUP BY word HAVING sum(n) >= {spelling_variants.LEAST_COUNT}),
+cut AS (SELECT word, p, substr(word, 1, p) || substr(word, p + 2) rest FROM (SELECT word, unnest(range(length(word))) p FROM w)),
+pairs AS (SELECT x.word a, y.word b FROM cut x JOIN cut y ON x.p = y.p AND x.rest = y.rest AND x.word <> y.word UNION SELECT cut.word, w.word FROM cut JOIN w ON w.word = rest UNION SELECT w.word, cut.word FROM cut JOIN w ON w.word = rest),
+best AS (SELECT a word, count(*) n_near, max(y.n) most, arg_min(b, (-y.n, encode(b))) form FROM pairs JOIN w y ON y.word = b GROUP BY a),
+forms AS (SELECT w.word, n, coalesce(n_near, 0) n_near, CASE WHEN most >= {spelling_variants.TIMES} * n THEN form END form, CASE WHEN most >= {spelling_variants.TIMES} * n THEN most END form_n FROM w LEFT JOIN best ON best.word = w.word),
+chain AS (SELECT word, word root FROM forms UNION ALL SELECT chain.word, form FROM chain JOIN forms ON forms.word = chain.root WHERE form IS NOT NULL)
+SELECT f.word, form, root, n, n_near, form_n FROM forms f JOIN (SELECT chain.word, root FROM chain JOIN forms ON forms.word = chain.root WHERE form IS NULL) r ON r.word = f.word
+"""
+
+SQL = {"op11_spelling_variants": VARIANTS, "op6_url_filters_rules": RULED, "op7_quality_rules_base": COUNTED, "op9_secret_scan_base": FOUND, "op1_exact_topk": TOPK, "op2_substring_dedup": PASSAGES, "op2_substring_repeats": REPEATS, "op3_ngram_jaccard_join": JACCARD, "op4_mixing": MIX}
