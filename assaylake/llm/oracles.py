@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import hamming_topk, mixing, spelling_variants, unit_dedup, url_filter
+from . import collocations, hamming_topk, mixing, spelling_variants, unit_dedup, url_filter
 
 WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -97,4 +97,21 @@ chain AS (SELECT word, word root FROM forms UNION ALL SELECT chain.word, form FR
 SELECT f.word, form, root, n, n_near, form_n FROM forms f JOIN (SELECT chain.word, root FROM chain JOIN forms ON forms.word = chain.root WHERE form IS NULL) r ON r.word = f.word
 """
 
-SQL = {"op11_spelling_variants": VARIANTS, "op6_url_filters_rules": RULED, "op7_quality_rules_base": COUNTED, "op9_secret_scan_base": FOUND, "op1_exact_topk": TOPK, "op2_substring_dedup": PASSAGES, "op2_substring_repeats": REPEATS, "op3_ngram_jaccard_join": JACCARD, "op4_mixing": MIX}
+PHRASES = f"""
+WITH p AS (SELECT coalesce(lang, '{collocations.NO_LANG}') lang, unnest(string_split_regex(translate(coalesce(text, ''), '{spelling_variants.UPPER}', '{spelling_variants.LOWER}'), '[.,;:!?\\x0A-\\x0D]')) p FROM documents),
+w AS (SELECT lang, regexp_extract_all(p, '[^\\x20\\x09]+') w FROM p),
+n AS (SELECT lang, sum(len(w))::BIGINT n FROM w GROUP BY lang),
+k AS (SELECT lang, w, unnest(range(1, {collocations.LONGEST} + 1)) k FROM w),
+g AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) i FROM k WHERE len(w) >= k),
+f AS (SELECT lang, k size, array_to_string(w[i : i + k - 1], ' ') phrase, count(*)::BIGINT f FROM g GROUP BY ALL HAVING count(*) >= {collocations.LEAST}),
+c AS (SELECT lang, size, phrase, f a, string_split(phrase, ' ') w FROM f WHERE size > 1),
+cut AS (SELECT *, unnest(range(1, size)) k FROM c),
+s AS (SELECT cut.lang, cut.phrase, a, cut.k k, x.f l, y.f r, n, ((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f))::BIGINT score FROM cut JOIN n USING (lang) JOIN f x ON x.lang = cut.lang AND x.phrase = array_to_string(w[1 : cut.k], ' ') JOIN f y ON y.lang = cut.lang AND y.phrase = array_to_string(w[cut.k + 1 : cut.size], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+m AS (SELECT *, unnest(range(2, size)) m FROM c),
+u AS (SELECT lang, a, w, m, unnest(range(1, size - m + 2)) i FROM m),
+o AS (SELECT lang, array_to_string(w[i : i + m - 1], ' ') phrase, max(a) longer FROM u GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS "rank", phrase, a, l, r, n, score FROM b LEFT JOIN o USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < {collocations.PERCENT} * a QUALIFY "rank" <= {collocations.TOP}
+"""
+
+SQL = {"op13_collocations": PHRASES, "op11_spelling_variants": VARIANTS, "op6_url_filters_rules": RULED, "op7_quality_rules_base": COUNTED, "op9_secret_scan_base": FOUND, "op1_exact_topk": TOPK, "op2_substring_dedup": PASSAGES, "op2_substring_repeats": REPEATS, "op3_ngram_jaccard_join": JACCARD, "op4_mixing": MIX}

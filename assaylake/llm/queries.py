@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import hamming_topk, jaccard_trees, language_id, mixing, oracles, packing, repetition, secrets, spelling_variants, token_counts, toxicity, unit_dedup, url_filter
+from . import collocations, hamming_topk, jaccard_trees, language_id, mixing, oracles, packing, repetition, secrets, spelling_variants, token_counts, toxicity, unit_dedup, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,6 +80,10 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
