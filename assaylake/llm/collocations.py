@@ -48,7 +48,7 @@ class Words:
 
     def __init__(self, texts: pa.Array, langs: pa.Array):
         large = pa.large_string()
-        ended = pc.binary_join_element_wise(pc.ascii_lower(texts.cast(large)), pa.scalar("", large), pa.scalar("\n", large))
+        ended = pc.binary_join_element_wise(pc.ascii_lower(texts).cast(large), pa.scalar("", large), pa.scalar("\n", large))
         offsets = np.frombuffer(ended.buffers()[1], np.int64)[: len(ended) + 1]
         data = np.frombuffer(ended.buffers()[2] or b"", np.uint8)[: offsets[-1]]
         kinds = np.zeros(256, np.uint8)

@@ -114,3 +114,10 @@ def test_filters_hold_their_keys(spark):
             collocations.MOST_BITS = limit
         assert collocations._passes(made, keys).all() and 64 * len(made) <= 1 << 18
     assert not collocations._passes(collocations.key_filter(frame.limit(0), 0), keys).any()
+
+
+def test_slices_of_arrays():
+    texts, langs = pa.array([f"Word{k} and É{k}, more" * (k % 5) for k in range(50)]), pa.array(["x", "y"] * 25)
+    part, copy = collocations.Words(texts.slice(17, 20), langs.slice(17, 20)), collocations.Words(pa.array(texts.to_pylist()[17:37]), pa.array(langs.to_pylist()[17:37]))
+    said = lambda w: [(w.names[a], w.langs[b], p) for a, b, p in zip(w.word, w.lang, w.piece)]
+    assert len(part) > 50 and said(part) == said(copy)
