@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names
 from ..operators import evaluate, levels, metadata, qc
+from ..operators.grids import Grid
 from ..sources import readers, sinks
 from ..streaming import incremental
 from .registry import Tables, query, r
@@ -236,8 +237,7 @@ def j14(t: Tables):
 
 @query("J18_grid_cross", "SELECT plate, threshold, radius, count(*) n FROM images, (SELECT unnest([1.0, 2.0]::DOUBLE[]) threshold), (SELECT unnest([5, 10]::BIGINT[]) radius) GROUP BY ALL")
 def j18(t: Tables):
-    grid = F.explode(F.array(*[F.struct(F.lit(a).alias("threshold"), F.lit(b).alias("radius")) for a in (1.0, 2.0) for b in (5, 10)]))
-    return t.images.withColumn("p", grid).groupBy("plate", "p.threshold", "p.radius").agg(F.count("*").alias("n"))
+    return Grid(threshold=[1.0, 2.0], radius=[5, 10]).points(t.images).groupBy("plate", "threshold", "radius").agg(F.count("*").alias("n"))
 
 
 @query("J20_anti_missing", "SELECT DISTINCT plate, well FROM images WHERE well NOT IN (SELECT well FROM images WHERE image % 7 = 0)")

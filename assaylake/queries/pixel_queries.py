@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import stats
-from ..operators import evaluate, learn, pixels, scores
+from ..operators import evaluate, grid_search, learn, pixels, scores
+from ..operators.grids import Grid
 from ..sources import readers, sinks
-from .registry import Tables, normal_sql, query, r, student_sql
+from .registry import Tables, normal_sql, query, r, six, student_sql
 
 #: A pixel's integer value in 0..99, the same in both engines, and images of one size.
 LEVELS = "lv AS (SELECT image, y, x, (floor(v * 200) % 50 + 50)::DOUBLE v, label_id FROM pixels)"
@@ -221,7 +222,13 @@ THRESHOLDS = [0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95]
 
 @query("A26_iou_metrics", f"SELECT image, threshold, tp, ns - hit fp, ng - tp fn, {r('tp / nullif(tp + ns - hit, 0)', 'precision')}, {r('tp / nullif(ng, 0)', 'recall')}, {r('tp / nullif(ns - hit + ng, 0)', 'accuracy')}, {r('2 * tp / nullif(tp + ns - hit + ng, 0)', 'f1')} FROM me", METRICS)
 def a26(t: Tables):
-    return evaluate.segmentation_metrics(pairs(t), THRESHOLDS)
+    grid = Grid(threshold=THRESHOLDS)
+
+    @grid.step(rows=("threshold",))
+    def metrics(threshold):
+        return evaluate.segmentation_metrics(pairs(t), threshold)
+
+    return grid.table("metrics")
 
 
 @query("A27_mean_ap", f"SELECT image, {r('avg(tp / nullif(ns - hit + ng, 0))', 'mean_ap')} FROM me GROUP BY image", METRICS)
@@ -339,6 +346,46 @@ def a25(t: Tables):
     return evaluate.best_of_grid(grid_confusion(t), ["plate"], "f_score", ["threshold"]).select("plate", "threshold", "f_score")
 
 
+#: Two values of each axis of the search: segmentations, pixels of nuclei, opening radii, quantiles, thresholds.
+GRID = f"""{LEVELS}, {disk_sql("lv", "ge", 1, "min")}, {disk_sql("ge", "go", 1, "max")}, {EDGES}, 
+dn AS (SELECT image, y, x, v, 0 denoise_radius FROM lv UNION ALL SELECT image, y, x, v, 1 FROM go), sgm AS (SELECT image, y, x, label_id, 'cells' segmentation FROM pixels UNION ALL SELECT p.image, p.y, p.x, CASE WHEN edge = 1 THEN 0 ELSE label_id END, 'eroded' FROM ed p),
+nu AS (SELECT image, y, x, v > 80 AND v < 95 inside FROM lv),
+pc AS (SELECT sgm.*, dn.v, denoise_radius, ign ignore_nuclei FROM sgm JOIN dn USING (image, y, x) JOIN nu USING (image, y, x), (SELECT unnest([true, false]) ign) WHERE NOT ign OR NOT inside OR label_id = 0),
+gb AS (SELECT segmentation, denoise_radius, ignore_nuclei, image, median(v) med, mad(v) dev FROM pc WHERE label_id = 0 GROUP BY ALL),
+gq AS (SELECT segmentation, denoise_radius, ignore_nuclei, image, label_id, 0.5::DOUBLE quantile, quantile_cont(v, 0.5) marker FROM pc WHERE label_id <> 0 GROUP BY ALL UNION ALL SELECT segmentation, denoise_radius, ignore_nuclei, image, label_id, 0.9::DOUBLE, quantile_cont(v, 0.9) FROM pc WHERE label_id <> 0 GROUP BY ALL),
+gp AS (SELECT gq.*, threshold, (NOT marker > dev * threshold + med)::INT p, ((image + label_id) % 3 <> 0)::INT tr FROM gq JOIN gb USING (segmentation, denoise_radius, ignore_nuclei, image), (SELECT unnest([0.5, 1.5]::DOUBLE[]) threshold)),
+gc AS (SELECT segmentation, denoise_radius, ignore_nuclei, quantile, threshold, image, count(*) FILTER (WHERE p = 1 AND tr = 1) tp, count(*) FILTER (WHERE p = 1 AND tr = 0) fp, count(*) FILTER (WHERE p = 0 AND tr = 0) tn, count(*) FILTER (WHERE p = 0 AND tr = 1) fn FROM gp GROUP BY ALL),
+gf AS (SELECT *, coalesce({F_SCORE}, 0) f FROM gc), gs AS (SELECT segmentation, denoise_radius, ignore_nuclei, quantile, threshold, count(*) n_images, avg(f) f_score FROM gf GROUP BY ALL)"""
+
+
+def marker_grid(t: Tables):
+    cells = t.pixels.select("image", "y", "x", "label_id")
+    nuclei = image_levels(t).select("image", "y", "x", ((F.col("v") > 80) & (F.col("v") < 95)).cast("int").alias("label_id"))
+    truth = cells.where("label_id <> 0").select("image", "label_id").distinct().withColumn("truth_control", ((F.col("image") + F.col("label_id")) % 3 != 0).cast("int"))
+    segmentations = {"cells": lambda: cells, "eroded": lambda: pixels.erode_labels(cells, 1)}
+    return grid_search.infected_cell_grid(image_levels(t), segmentations, nuclei, truth, (True, False), (0, 1), (0.5, 0.9), (0.5, 1.5))
+
+
+def rounded_scores(grid):
+    """Equal means may differ in their last bits, so points are compared by six digits."""
+
+    @grid.step
+    def rounded(scores):
+        return scores.withColumn("f_score", F.floor(F.col("f_score") * 1e6 + 0.4987) / 1e6)
+
+    return grid
+
+
+@query("A25_grid_all_axes", f"SELECT segmentation, ignore_nuclei, denoise_radius::BIGINT denoise_radius, quantile, threshold, n_images, {r('f_score', 'f_score')} FROM gs", GRID)
+def a25_all(t: Tables):
+    return marker_grid(t).table("scores")
+
+
+@query("A25_grid_best_point", f"SELECT segmentation, ignore_nuclei, denoise_radius::BIGINT denoise_radius, quantile, threshold, n_images, {r('f_score', 'f_score')} FROM gs ORDER BY {six('f_score')} DESC, segmentation, ignore_nuclei, denoise_radius, quantile, threshold LIMIT 1", GRID)
+def a25_best(t: Tables):
+    return rounded_scores(marker_grid(t)).best("rounded", "f_score")
+
+
 @query("J16_pred_truth_join", "SELECT plate, count(*) n, count(*) FILTER (WHERE p = tr) same FROM pd WHERE label_id <> 0 AND threshold = 0.55 GROUP BY plate", PREDICTED)
 def j16(t: Tables):
     from ..operators import classify
