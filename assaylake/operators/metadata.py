@@ -14,6 +14,56 @@ def carry_plate(sheet: DataFrame, order: list[str], marker: str = "marker") -> D
     return sheet.withColumn("plate", F.last(marker, ignorenulls=True).over(upto))
 
 
+#: Letters of a plate's rows, its columns, and what a cell that begins a plate's block has.
+ROWS, COLUMNS, MARKER = "ABCDEFGH", 12, "Plate "
+
+
+def sheet_blocks(rows: DataFrame) -> DataFrame:
+    """Rows (file, sheet, row_no, cells) with block and marker: a row with a plate's name in any cell begins a block that
+    reaches to the next; rows before the first are in block 0, without a marker."""
+    named = F.get(F.filter("cells", lambda c: c.contains(MARKER)), 0)
+    upto = Window.partitionBy("file", "sheet").orderBy("row_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    begun = rows.withColumn("_m", F.trim(named))
+    return begun.withColumn("block", F.count("_m").over(upto)).withColumn("marker", F.last("_m", ignorenulls=True).over(upto)).withColumn("begins", F.col("_m").isNotNull()).drop("_m")
+
+
+def well_cells(rows: DataFrame) -> DataFrame:
+    """``rows`` with well and cohort_id: a row with a letter A to H in some cell has the wells of that letter in the cells
+    after the first such one, twelve at most, whatever columns come before. Cells that are no cohort id are unknown."""
+    letters = F.transform("cells", lambda c: F.coalesce(c.isin(list(ROWS)), F.lit(False)))
+    at = F.array_position(letters, True).cast("int")
+    own = rows.withColumn("_at", at).where(F.col("_at") > 0)
+    opened = own.select("*", F.get("cells", F.col("_at") - 1).alias("_l"), F.posexplode(F.slice("cells", F.col("_at") + 1, F.lit(COLUMNS))).alias("_p", "_c"))
+    well = F.concat("_l", F.lpad((F.col("_p") + 1).cast("string"), 2, "0"))
+    return opened.withColumn("well", well).withColumn("cohort_id", names.clean_cohort_id(F.coalesce("_c", F.lit("nan")))).drop("_at", "_l", "_p", "_c")
+
+
+def sheet_layout(rows: DataFrame, plates: dict[str, list[str]] | None = None) -> DataFrame:
+    """plate, well, cohort_id of sheets with several plates, from rows (file, sheet, row_no, cells: array of strings).
+
+    A block may hold for several plates: ``plates`` has those of a marker; a marker that isn't there is the plate's name
+    itself. Of a plate's blocks the last one counts, by file, sheet and row, and of a well's cells in it the last; a
+    block without wells also takes the place of those before it. Rows before the first marker of a sheet are nobody's.
+    Null and empty cells are unknown cohorts; an empty table gives no rows.
+    """
+    blocks = sheet_blocks(rows)
+    where = ["file", "sheet", "block"]
+    known = F.create_map(*[x for k, v in (plates or {}).items() for x in (F.lit(k), F.array(*map(F.lit, v)))]) if plates else None
+    named = F.coalesce(known[F.col("marker")], F.array("marker")) if plates else F.array("marker")
+    held = blocks.where("begins").select(*where, F.explode(named).alias("plate"))
+    last = held.groupBy("plate").agg(F.max(F.struct(*where)).alias("b")).select("plate", "b.*")
+    cells = well_cells(blocks.where("not begins and block > 0"))
+    own = last.join(cells, where)
+    return own.groupBy("plate", "well").agg(F.max_by("cohort_id", "row_no").alias("cohort_id"))
+
+
+def single_plate_layout(rows: DataFrame, suffix: str = "_final") -> DataFrame:
+    """plate, well, cohort_id of files with one plate, named ``<plate><suffix>``: the last cell of a well counts."""
+    cells = well_cells(rows.where(F.col("file").contains(suffix)))
+    plate = F.substring_index(F.col("file"), suffix, 1)
+    return cells.groupBy(plate.alias("plate"), "well").agg(F.max_by("cohort_id", F.struct("sheet", "row_no")).alias("cohort_id"))
+
+
 def layout(grid: DataFrame, columns: list[str]) -> DataFrame:
     """plate, well, cohort_id from layout rows (plate, row letter, one column a plate column)."""
     cells = grid.select("plate", "row", F.posexplode(F.array(*columns)).alias("pos", "cell"))

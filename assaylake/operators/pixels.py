@@ -122,6 +122,33 @@ def estimate_corrector(pixels: DataFrame, outliers: DataFrame) -> DataFrame:
     return shares.groupBy("channel", "y", "x").agg(F.count("v").alias("n"), F.avg("v").alias("mean"), F.var_pop("v").alias("variance"))
 
 
+def corrector_moments(pixels: DataFrame, outliers: DataFrame) -> DataFrame:
+    """plate, channel, y, x, n, mean, m2 (sum of squared deviations) over a plate's images that are no outliers."""
+    kept = pixels.join(outliers.where("is_outlier = 1").select("image"), "image", "left_anti")
+    return kept.groupBy("plate", "channel", "y", "x").agg(F.count("v").alias("n"), F.avg("v").alias("mean"), (F.var_pop("v") * F.count("v")).alias("m2"))
+
+
+def merged_moments(moments: DataFrame) -> DataFrame:
+    """Moments of parts of the images put together: the same as those of all images at once. The parts' means are taken
+    relative to their own, so nothing cancels; window and aggregate share an exchange."""
+    key = ["plate", "channel", "y", "x"]
+    own = Window.partitionBy(*key)
+    mean = F.try_divide(F.sum(F.col("n") * F.coalesce("mean", F.lit(0.0))).over(own), F.sum("n").over(own))
+    off = F.col("mean") - F.col("_mean")
+    return moments.withColumn("_mean", mean).groupBy(*key).agg(F.sum("n").alias("n"), F.first("_mean").alias("mean"), F.sum(F.col("m2") + F.col("n") * off * off).alias("m2"))
+
+
+def corrector(moments: DataFrame, offset: float = 550.0, sigma: float = 30.0) -> DataFrame:
+    """channel, y, x, offset, divisor: the mean over plates of each plate's average image, less the offset and relative to its own
+    mean, weighted by the plate's images, then blurred. What ``illumination_correct`` takes."""
+    whole = Window.partitionBy("plate", "channel")
+    level = F.col("mean") - F.lit(float(offset))
+    shares = moments.where("n > 0").select("channel", "y", "x", F.max("n").over(whole).alias("w"), F.try_divide(level, F.avg(level).over(whole)).alias("s"))
+    together = shares.groupBy("channel", "y", "x").agg(F.try_divide(F.sum(F.col("w") * F.col("s")), F.sum("w")).alias("v"))
+    smooth = blur(together.withColumnRenamed("channel", "image"), sigma) if sigma else together.withColumnRenamed("channel", "image")
+    return smooth.select(F.col("image").alias("channel"), "y", "x", F.lit(float(offset)).alias("offset"), F.col("v").alias("divisor"))
+
+
 def blur(pixels: DataFrame, sigma: float) -> DataFrame:
     """Separable Gaussian blur up to 3 sigma, weights normalised at the border: shifted neighbours of a row, then of a
     column, no pixel is multiplied into rows."""
@@ -152,24 +179,32 @@ def prepare_seeds(pixels: DataFrame, erode: int, dilate: int) -> DataFrame:
     return out.withColumn("mask", F.greatest("mask", (F.col("seed") > 0).cast("int")))
 
 
-def nearest_seed(pixels: DataFrame, radius: int, drop_nucleus: bool = False) -> DataFrame:
+def ring_radius(pixels: DataFrame, factor: float) -> DataFrame:
+    """image, radius: ``factor`` times the root of the median size of an image's seeds, cut to a whole number; 0 without seeds."""
+    sizes = pixels.groupBy("image", "seed").agg(F.count("*").alias("_n"))
+    size = F.median(F.when(F.col("seed") != 0, F.col("_n")))
+    return sizes.groupBy("image").agg(F.coalesce(F.floor(F.lit(float(factor)) * F.sqrt(size)), F.lit(0)).cast("long").alias("radius"))
+
+
+def nearest_seed(pixels: DataFrame, radius: int | DataFrame, drop_nucleus: bool = False) -> DataFrame:
     """label of the nearest seed pixel closer than ``radius`` for each background pixel, ties to the smaller label; seed
-    pixels keep theirs, or get 0 with ``drop_nucleus``.
+    pixels keep theirs, or get 0 with ``drop_nucleus``. The radius is one for all images, or rows (image, radius).
 
     Only seed pixels with a neighbour that is not of their label can be nearest. They are dealt to the grid cells of the
-    radius' size around them, and each background pixel meets those of its own cell."""
-    seeds = pixels.where("seed <> 0")
+    image's radius around them, and each background pixel meets those of its own cell."""
+    own = pixels.withColumn("_r", F.lit(radius)) if isinstance(radius, int) else pixels.join(radius.select("image", F.col("radius").alias("_r")), "image")
+    seeds = own.where("seed <> 0")
     near = [f("seed", 1).over(_along(axis)) for axis in "xy" for f in (F.lag, F.lead)]
     inner = F.lit(True)
     for n in near:
         inner = inner & (F.coalesce(n, F.col("seed")) == F.col("seed"))
-    rim = pixels.withColumn("_inner", inner).where("seed <> 0 and not _inner")
+    rim = own.withColumn("_inner", inner).where("seed <> 0 and not _inner")
     around = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)]))
-    cell = lambda c: F.floor(F.col(c) / radius)
+    cell = lambda c: F.floor(F.col(c) / F.greatest("_r", F.lit(1)))
     spread = rim.select("image", F.col("seed").alias("label"), F.col("y").alias("sy"), F.col("x").alias("sx"), around.alias("o"), cell("y").alias("cy"), cell("x").alias("cx")).select("image", "label", "sy", "sx", (F.col("cy") + F.col("o.a")).alias("cy"), (F.col("cx") + F.col("o.b")).alias("cx"))
-    ground = pixels.where("seed = 0").withColumn("cy", cell("y")).withColumn("cx", cell("x"))
+    ground = own.where("seed = 0").withColumn("cy", cell("y")).withColumn("cx", cell("x"))
     d = (F.col("y") - F.col("sy")) * (F.col("y") - F.col("sy")) + (F.col("x") - F.col("sx")) * (F.col("x") - F.col("sx"))
-    near = ground.join(spread, ["image", "cy", "cx"]).where(d < radius * radius).groupBy("image", "y", "x").agg(F.min(F.struct(d.alias("d"), "label")).alias("b"))
+    near = ground.join(spread, ["image", "cy", "cx"]).where(d < F.col("_r") * F.col("_r")).groupBy("image", "y", "x").agg(F.min(F.struct(d.alias("d"), "label")).alias("b"))
     assigned = ground.select("image", "y", "x").join(near, ["image", "y", "x"], "left").select("image", "y", "x", F.coalesce("b.label", F.lit(0)).alias("label"))
     kept = seeds.select("image", "y", "x", (F.lit(0) if drop_nucleus else F.col("seed")).alias("label"))
     return assigned.unionByName(kept)

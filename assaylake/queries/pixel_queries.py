@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions import stats
-from ..operators import evaluate, grid_search, learn, pixels, scores
+from ..operators import evaluate, grid_search, hooks, learn, pixels, scores
 from ..operators.grids import Grid
 from ..sources import readers, sinks
 from .registry import Tables, normal_sql, query, r, six, student_sql
@@ -47,6 +48,28 @@ def w3(t: Tables):
     return pixels.gray_opening(image_levels(t), 2).select("image", "y", "x", "v")
 
 
+def disk_opening(radius: int):
+    """An opening as a function of an array, as someone may bring it along."""
+
+    def extreme(v, pick, fill):
+        p = np.pad(v, radius, constant_values=fill)
+        near = [(y, x) for y in range(-radius, radius + 1) for x in range(-radius, radius + 1) if y * y + x * x <= radius * radius]
+        return pick([p[radius + y : radius + y + v.shape[0], radius + x : radius + x + v.shape[1]] for y, x in near], axis=0)
+
+    return lambda v: extreme(extreme(v, np.min, np.inf), np.max, -np.inf)
+
+
+@query("F3_own_denoiser", f"SELECT {PIXEL}, v FROM op", OPENING)
+def f3(t: Tables):
+    """The same opening by an own function, on blocks of 5 x 5 with a halo of twice the radius."""
+    return hooks.denoised(image_levels(t), disk_opening(2), 4, keys=("image",), block=5)
+
+
+@query("F4_own_normaliser", f"SELECT {PIXEL}, {r('(v - avg(v) OVER (PARTITION BY image)) / (max(v) OVER (PARTITION BY image) + 1)', 'v')} FROM lv", LEVELS)
+def f4(t: Tables):
+    return hooks.normalised(image_levels(t), lambda v: (v - v.mean()) / (v.max() + 1), keys=("image",))
+
+
 @query("W4_white_tophat", f"SELECT {PIXEL}, lv.v - op.v v FROM lv JOIN op USING (image, y, x)", OPENING)
 def w4(t: Tables):
     return pixels.white_tophat(image_levels(t), 2).select("image", "y", "x", "v")
@@ -141,6 +164,34 @@ def a39(t: Tables):
     return pixels.estimate_corrector(image_levels(t).withColumn("channel", F.lit("serum")), t.pixel_flags)
 
 
+WEIGHT = "exp(-((a.{c} - b.{c}) ** 2) / 2.0::DOUBLE)"
+
+
+def blur_sql(source: str, name: str, axis: str) -> str:
+    other = "y" if axis == "x" else "x"
+    w = WEIGHT.format(c=axis)
+    return f"{name} AS (SELECT a.image, a.y, a.x, sum(b.v * {w}) / sum({w}) v FROM {source} a JOIN {source} b ON a.image = b.image AND a.{other} = b.{other} AND abs(a.{axis} - b.{axis}) <= 3 GROUP BY a.image, a.y, a.x)"
+
+
+PLATES = f"""pm AS (SELECT plate, y, x, count(*) n, avg(lv.v) m FROM lv JOIN (SELECT DISTINCT image, plate FROM pixels) USING (image) JOIN pixel_flags USING (image) WHERE is_outlier = 0 GROUP BY ALL),
+ps AS (SELECT y, x, 0 image, n, (m - 20) / avg(m - 20) OVER (PARTITION BY plate) s FROM pm), pw AS (SELECT image, y, x, sum(n * s) / sum(n) v FROM ps GROUP BY ALL)"""
+
+
+@query("A39_corrector_of_plates", f"SELECT 'serum' channel, y::BIGINT y, x::BIGINT x, 20.0::DOUBLE AS \"offset\", {r('v', 'divisor')} FROM b2", f"{LEVELS}, {PLATES}, {blur_sql('pw', 'b1', 'x')}, {blur_sql('b1', 'b2', 'y')}")
+def a39_plates(t: Tables):
+    """Moments of two halves of the images, merged, then the weighted and smoothed map."""
+    rows = image_levels(t).join(t.pixels.select("image", "plate").distinct(), "image").withColumn("channel", F.lit("serum"))
+    halves = [pixels.corrector_moments(rows.where(F.col("image") % 2 == k), t.pixel_flags) for k in (0, 1)]
+    return pixels.corrector(pixels.merged_moments(halves[0].unionByName(halves[1])), 20.0, 1.0)
+
+
+@query("A39_merged_moments", f"SELECT plate, 'serum' channel, y::BIGINT y, x::BIGINT x, count(*) n, {r('avg(lv.v)', 'mean')}, {r('var_pop(lv.v) * count(*)', 'm2')} FROM lv JOIN (SELECT DISTINCT image, plate FROM pixels) USING (image) JOIN pixel_flags USING (image) WHERE is_outlier = 0 GROUP BY ALL", LEVELS)
+def a39_moments(t: Tables):
+    rows = image_levels(t).join(t.pixels.select("image", "plate").distinct(), "image").withColumn("channel", F.lit("serum"))
+    halves = [pixels.corrector_moments(rows.where(F.col("image") % 2 == k), t.pixel_flags) for k in (0, 1)]
+    return pixels.merged_moments(halves[0].unionByName(halves[1]))
+
+
 @query("X2_cell_mean_image", f"SELECT {PIXEL}, label_id::BIGINT label_id, {r('avg(v) OVER (PARTITION BY image, label_id)', 'means')} FROM pixels")
 def x2(t: Tables):
     from ..operators.features import cell_features
@@ -157,15 +208,6 @@ def x3(t: Tables):
     return pixels.cell_masks(t.pixels.select("image", "y", "x", "label_id"), flags)
 
 
-WEIGHT = "exp(-((a.{c} - b.{c}) ** 2) / 2.0::DOUBLE)"
-
-
-def blur_sql(source: str, name: str, axis: str) -> str:
-    other = "y" if axis == "x" else "x"
-    w = WEIGHT.format(c=axis)
-    return f"{name} AS (SELECT a.image, a.y, a.x, sum(b.v * {w}) / sum({w}) v FROM {source} a JOIN {source} b ON a.image = b.image AND a.{other} = b.{other} AND abs(a.{axis} - b.{axis}) <= 3 GROUP BY a.image, a.y, a.x)"
-
-
 @query("X4_gaussian_blur", f"SELECT {PIXEL}, {r('v', 'v')} FROM b2", f"{LEVELS}, {blur_sql('lv', 'b1', 'x')}, {blur_sql('b1', 'b2', 'y')}")
 def x4(t: Tables):
     return pixels.blur(image_levels(t), 1.0).select("image", "y", "x", "v")
@@ -199,6 +241,14 @@ def j17(t: Tables):
     return pixels.nearest_seed(rows, 3)
 
 
+@query("J17_ring_radius", f"""SELECT {PIXEL}, label::BIGINT label FROM (SELECT g.image, g.y, g.x, coalesce(arg_min(s.seed, ((g.y - s.y) ** 2 + (g.x - s.x) ** 2, s.seed)), 0) label FROM sm g JOIN rr ON rr.image = g.image LEFT JOIN sm s ON s.image = g.image AND s.seed <> 0 AND (g.y - s.y) ** 2 + (g.x - s.x) ** 2 < radius ** 2 WHERE g.seed = 0 GROUP BY g.image, g.y, g.x)
+UNION ALL SELECT {PIXEL}, 0 FROM sm WHERE seed <> 0""", f"{LEVELS}, sm AS (SELECT image, y, x, CASE WHEN v > 90 THEN label_id + 1 ELSE 0 END seed FROM lv), rr AS (SELECT image, coalesce(floor(1.3::DOUBLE * sqrt(median(n) FILTER (WHERE seed <> 0))), 0)::BIGINT radius FROM (SELECT image, seed, count(*) n FROM sm GROUP BY ALL) GROUP BY image)")
+def j17_radius(t: Tables):
+    """Rings without the nuclei, as wide as each image's nuclei tell."""
+    rows = image_levels(t).select("image", "y", "x", F.when(F.col("v") > 90, F.col("label_id") + 1).otherwise(0).alias("seed"))
+    return pixels.nearest_seed(rows, pixels.ring_radius(rows, 1.3), drop_nucleus=True)
+
+
 #: A second segmentation, shifted by a column, and the overlaps of both.
 PAIRS = "pr AS (SELECT a.image, a.label_id gt, b.label_id seg, count(*) n FROM pixels a JOIN pixels b ON a.image = b.image AND a.y = b.y AND b.x = (a.x + a.image % 4) % 8 GROUP BY ALL)"
 METRICS = f"""{PAIRS}, io AS (SELECT image, gt, seg, n::DOUBLE / (sum(n) OVER (PARTITION BY image, gt) + sum(n) OVER (PARTITION BY image, seg) - n) iou FROM pr),

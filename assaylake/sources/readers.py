@@ -53,5 +53,16 @@ def correctors(images: DataFrame, table: DataFrame) -> DataFrame:
     return images.join(by_plate, "plate", "left").join(by_shape, ["height", "width"], "left").withColumn("corrector", F.coalesce("_p", "_s")).drop("_p", "_s")
 
 
+def sheets(spark: SparkSession, path: str, sep: str = ",", skip: int = 0, columns: int = 64) -> DataFrame:
+    """file (name without its ending), sheet (its folder's name), row_no, cells of files with one sheet each, as text with separators;
+    ``skip`` header rows are left out, and so are cells beyond ``columns``. A sheet is read whole by one task."""
+    whole = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
+    source = F.col("_metadata.file_path")
+    lines = whole.select(names.file_stem(F.substring_index(source, "/", -1)).alias("file"), names.parent_name(source).alias("sheet"), F.posexplode(F.split("value", "\\r?\\n")).alias("row_no", "line"))
+    schema = ", ".join(f"c{k} string" for k in range(columns))
+    parsed = lines.where((F.col("row_no") >= skip) & (F.length("line") > 0)).withColumn("_c", F.from_csv("line", schema, {"sep": sep}))
+    return parsed.select("file", "sheet", "row_no", F.array(*[F.col(f"_c.c{k}") for k in range(columns)]).alias("cells"))
+
+
 def csv_folder(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.option("header", True).schema(schema).csv(path)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..sources.sinks import latest, upsert
+from ..sources.sinks import latest
 
 
 def todo(inputs: DataFrame, outputs: DataFrame, failed: DataFrame, key: str, force: bool = False) -> DataFrame:
@@ -49,13 +49,3 @@ def process_new_files(spark: SparkSession, folder: str, schema: StructType, work
     """Every file of the folder that no earlier run has seen goes through ``work`` once; the checkpoint remembers."""
     stream = spark.readStream.schema(schema).parquet(folder)
     stream.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-
-
-def keyed_sink(spark: SparkSession, path: str, keys: list[str], order: list[str]) -> Callable[[DataFrame, int], None]:
-    """A batch function that upserts into a versioned table; a batch that is repeated leaves the same rows."""
-
-    def write(batch: DataFrame, number: int) -> None:
-        old = spark.read.parquet(f"{path}/v{number - 1}") if number else batch.limit(0)
-        upsert(old, batch, keys, order).write.mode("overwrite").parquet(f"{path}/v{number}")
-
-    return write
