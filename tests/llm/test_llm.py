@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from assaylake.llm import hamming_topk, jaccard_trees, language_id, mixing, packing, queries, repetition, secrets, toxicity, unit_dedup, url_filter
+from assaylake.llm import hamming_topk, jaccard_trees, language_id, mixing, packing, queries, repetition, secrets, stages, toxicity, unit_dedup, url_filter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 UP = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -57,14 +57,14 @@ def texts(docs):
     return {r["doc_id"]: r["text"] for r in docs.collect()}
 
 
-def shingles(text):
+def shingles(text, width=3):
     w = WORD.findall((text or "").translate(UP))
-    return frozenset(tuple(w[k : k + 3]) for k in range(len(w) - 2)) if len(w) > 2 else frozenset([tuple(w)] if w else [])
+    return frozenset(tuple(w[k : k + width]) for k in range(len(w) - width + 1)) if len(w) >= width else frozenset([tuple(w)] if w else [])
 
 
-def groups(rows):
+def groups(rows, width=3, percent=90):
     """Index of the least row linked with each row, by all pairs."""
-    sets = [shingles(t) for t in rows]
+    sets = [shingles(t, width) for t in rows]
     parent = list(range(len(sets)))
 
     def find(k):
@@ -75,7 +75,7 @@ def groups(rows):
     for i, a in enumerate(sets):
         for j in range(i):
             both = len(a & sets[j])
-            if a and sets[j] and 100 * both >= 90 * (len(a) + len(sets[j]) - both):
+            if a and sets[j] and 100 * both >= percent * (len(a) + len(sets[j]) - both):
                 p, q = find(i), find(j)
                 parent[max(p, q)] = min(p, q)
     return [find(k) for k in range(len(sets))]
@@ -683,7 +683,7 @@ def test_pipeline_stages(spark, sf, tmp_path):
     frames.append(docs)
     rows = [f.collect() for f in frames]
     # near copies: the rows kept are the least of each group
-    least = groups([r["text"] for r in sorted(rows[1], key=lambda r: r["doc_id"])])
+    least = groups([r["text"] for r in sorted(rows[1], key=lambda r: r["doc_id"])], width=stages.NEAR_SHINGLE, percent=stages.NEAR_PERCENT)
     ordered = sorted(rows[1], key=lambda r: r["doc_id"])
     assert Counter(r["doc_id"] for r in rows[2]) == Counter(ordered[k]["doc_id"] for k, g in enumerate(least) if g == k)
     assert Counter(r["doc_id"] for r in rows[3]) == Counter(r["doc_id"] for r in rows[2])
