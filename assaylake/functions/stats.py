@@ -57,34 +57,38 @@ def welch(df: DataFrame, keys: list[str], value: str, group: str) -> DataFrame:
     return df.groupBy(*keys).agg(*welch_terms(one, zero)).where("n1 >= 2 and n0 >= 2").select(*keys, t.alias("t"), dof.alias("dof"))
 
 
-#: Rows of a bucket of running sums, about, and how many buckets there are at most.
+#: Distinct values of a bucket of running sums, about, and how many buckets there are at most.
 BUCKET_ROWS, MOST_BUCKETS = 250_000, 4096
 
 
 def running_sums(df: DataFrame, order: str, values: list[str], descending: bool = False, buckets: int | None = None) -> DataFrame:
-    """``df`` with cum_<value> of each value over ``order``, rows of equal order included.
+    """order, and for each value its sum and cum_<value>, its sum over all rows up to there: one row for each distinct ``order``.
 
-    Rows are cut at approximate quantiles into buckets, by default as many as keep a bucket small, so the sums run in
-    parallel: the few buckets' totals are summed first and each bucket starts from its own."""
+    Rows are added up by ``order`` first, before and after the shuffle, so one that a third of all rows has is a row a
+    task. The distinct ones are cut at approximate quantiles into buckets, by default as many as keep a bucket small, so the
+    sums run in parallel: the few buckets' totals are summed first and each bucket starts from its own. A null is one more
+    value, at the end where nulls sort."""
+    each = df.groupBy(order).agg(*[F.sum(v).alias(v) for v in values])
     if buckets is None:
-        buckets = max(8, min(MOST_BUCKETS, -(-df.count() // BUCKET_ROWS)))
-    cuts = sorted(set(df.agg(F.percentile_approx(order, [k / buckets for k in range(1, buckets)])).first()[0] or []))
+        buckets = max(8, min(MOST_BUCKETS, -(-each.count() // BUCKET_ROWS)))
+    cuts = sorted(set(each.agg(F.percentile_approx(order, [k / buckets for k in range(1, buckets)])).first()[0] or []))
     # found in two steps: the run of cuts that a value is in, then its place in the run
     step = max(1, math.isqrt(len(cuts)))
-    runs = [cuts[k : k + step] for k in range(0, len(cuts), step)]
+    groups = [cuts[k : k + step] for k in range(0, len(cuts), step)]
     below = lambda cells: F.size(F.filter(cells, lambda c: F.col(order) > c))
     bucket = F.lit(0)
     if cuts:
         array = lambda xs: F.array(*(F.lit(x) for x in xs))
-        run = below(array([x[-1] for x in runs]))
-        bucket = run * step + F.coalesce(below(F.get(F.array(*map(array, runs)), run)), F.lit(0))
-    rows = df.withColumn("_b", F.when(F.col(order).isNotNull(), bucket).otherwise(0) * (-1 if descending else 1))
+        at = below(array([x[-1] for x in groups]))
+        bucket = at * step + F.coalesce(below(F.get(F.array(*map(array, groups)), at)), F.lit(0))
+    last = len(cuts) + 1 if descending else -1  # nulls sort first, or last where it is descending
+    rows = each.withColumn("_b", F.when(F.col(order).isNotNull(), bucket * (-1 if descending else 1)).otherwise(last))
     before = Window.orderBy("_t").rowsBetween(Window.unboundedPreceding, -1)
     totals = rows.groupBy(F.col("_b").alias("_t")).agg(*[F.sum(v).alias(f"_s_{v}") for v in values])
     totals = totals.select("_t", *[F.coalesce(F.sum(f"_s_{v}").over(before), F.lit(0)).alias(f"_o_{v}") for v in values])
-    within = Window.partitionBy("_b").orderBy(F.desc(order) if descending else F.asc(order)).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    within = Window.partitionBy("_b").orderBy(F.desc(order) if descending else F.asc(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = rows.join(F.broadcast(totals), F.col("_b") == F.col("_t"))  # one row a bucket
-    return out.withColumns({f"cum_{v}": F.col(f"_o_{v}") + F.sum(v).over(within) for v in values}).drop("_b", "_t", *[f"_o_{v}" for v in values])
+    return out.withColumns({f"cum_{v}": F.col(f"_o_{v}") + F.coalesce(F.sum(v).over(within), F.lit(0)) for v in values}).drop("_b", "_t", *[f"_o_{v}" for v in values])
 
 
 def ks(df: DataFrame, keys: list[str], value: str, group: str) -> DataFrame:

@@ -8,11 +8,17 @@ from pyspark.sql import functions as F
 from ..functions.stats import running_sums
 
 
+def _by_score(scores: DataFrame, score: str, truth: str) -> DataFrame:
+    """threshold, p, n, cum_p, cum_n: positives and negatives with each distinct score, and with that or a higher one."""
+    judged = scores.where(F.col(score).isNotNull() & F.col(truth).isNotNull()).select(F.col(score).alias("threshold"), F.col(truth).alias("p"), (1 - F.col(truth)).alias("n"))
+    return running_sums(judged, "threshold", ["p", "n"], descending=True)
+
+
 def roc_curve(scores: DataFrame, score: str = "score", truth: str = "truth") -> DataFrame:
-    """threshold, fpr, tpr with every distinct score as a threshold, taken by scores at or above it."""
-    each = scores.where(F.col(score).isNotNull() & F.col(truth).isNotNull()).groupBy(F.col(score).alias("threshold")).agg(F.sum(truth).alias("p"), F.sum(1 - F.col(truth)).alias("n"))
-    summed = running_sums(each, "threshold", ["p", "n"], descending=True)
-    total = each.agg(F.sum("p").alias("P"), F.sum("n").alias("N"))
+    """threshold, fpr, tpr with every distinct score as a threshold, taken by scores at or above it. Equal scores are added up
+    before anything is ordered, so a score in half of the rows is one row."""
+    summed = _by_score(scores, score, truth)
+    total = summed.agg(F.sum("p").alias("P"), F.sum("n").alias("N"))
     p, n = total.select("P").scalar(), total.select("N").scalar()
     return summed.select("threshold", F.try_divide(F.col("cum_n"), n).alias("fpr"), F.try_divide(F.col("cum_p"), p).alias("tpr"))
 
@@ -20,11 +26,9 @@ def roc_curve(scores: DataFrame, score: str = "score", truth: str = "truth") ->
 def auc(scores: DataFrame, score: str = "score", truth: str = "truth") -> DataFrame:
     """One row auc: the trapezoids under the curve, summed by distinct score; no global order of rows is needed but the
     running counts."""
-    each = scores.where(F.col(score).isNotNull() & F.col(truth).isNotNull()).groupBy(F.col(score).alias("threshold")).agg(F.sum(truth).alias("p"), F.sum(1 - F.col(truth)).alias("n"))
-    summed = running_sums(each, "threshold", ["p", "n"], descending=True)
     # each step right by n under the mean height of its ends
     area = F.sum(F.col("n") * (F.col("cum_p") - F.col("p") / 2))
-    return summed.agg(F.try_divide(area, F.sum("p") * F.sum("n")).alias("auc"))
+    return _by_score(scores, score, truth).agg(F.try_divide(area, F.sum("p") * F.sum("n")).alias("auc"))
 
 
 def best_threshold(curve: DataFrame, m: float = 1.0) -> DataFrame:

@@ -1,16 +1,59 @@
-"""Random forest on per-cell features."""
+"""Random forests on per-cell features, judged on plates that they haven't seen."""
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
+from functools import reduce
+
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
+from .evaluate import confusion_of_counts
+
+TREES, DEPTH = 150, 10
+#: Folds at most: each has a model of its own.
+MOST_FOLDS = 32
 
-def train_forest(cells: DataFrame, features: list[str], label: str, trees: int = 150, depth: int = 10) -> PipelineModel:
-    """A forest for ``label`` from cells that are no outliers (is_outlier = 1 is left out)."""
-    from pyspark.ml import Pipeline
 
+def train_forest(cells: DataFrame, features: list[str], label: str, trees: int = TREES, depth: int = DEPTH) -> PipelineModel:
+    """A forest for ``label`` from cells that are no outliers (is_outlier = 1 is left out)."""
     stages = [VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip"), RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=trees, maxDepth=depth, seed=1)]
     return Pipeline(stages=stages).fit(cells.where("coalesce(is_outlier, 0) <> 1"))
+
+
+def fold_of(plate: str, folds: int) -> Column:
+    """A fold for each plate, the same in every run: all cells of a plate are in one."""
+    return F.pmod(F.xxhash64(plate), F.lit(folds)).cast("int")
+
+
+def held_out_forest(cells: DataFrame, features: list[str], label: str, fold: Column, folds: int, trees: int = TREES, depth: int = DEPTH) -> DataFrame:
+    """``cells`` with fold and prediction (0 or 1), each row by the forest that was trained without its fold.
+
+    ``fold`` is from 0 to ``folds`` - 1 and should be one for a plate, so a forest is judged on plates that it hasn't seen; as many
+    folds as plates leave one plate out each. Outliers are scored, but not trained on; rows with a null feature aren't
+    scored, and fall out. A fold whose training rows are of one class, or none, gets that class (0 without rows).
+    """
+    if not 2 <= folds <= MOST_FOLDS:
+        raise ValueError(f"folds are from 2 to {MOST_FOLDS}")
+    dealt = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip").transform(cells.withColumn("fold", fold)).persist()
+    counts = dealt.where("coalesce(is_outlier, 0) <> 1").groupBy("fold").agg(F.count("*").alias("n"), F.sum(label).alias("ones")).collect()  # a row a fold
+    forest = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=trees, maxDepth=depth, seed=1)
+    parts = []
+    for k in range(folds):
+        n, ones = (sum(r[c] or 0 for r in counts if r["fold"] != k) for c in ("n", "ones"))
+        own = dealt.where(F.col("fold") == k)
+        if 0 < ones < n:
+            model = forest.fit(dealt.where((F.col("fold") != k) & (F.coalesce("is_outlier", F.lit(0)) != 1)))
+            own = model.transform(own).drop("rawPrediction", "probability")
+        else:
+            own = own.withColumn("prediction", F.lit(float(bool(n) and ones == n)))
+        parts.append(own)
+    return reduce(lambda a, b: a.unionByName(b), parts).withColumn("prediction", F.col("prediction").cast("int")).drop("features")
+
+
+def fold_confusion(predicted: DataFrame, label: str) -> DataFrame:
+    """fold, and the confusion counts and scores of its held-out rows, with ``label`` 1 as positive."""
+    counts = predicted.groupBy("fold", F.col("prediction").alias("is_control"), F.col(label).cast("int").alias("truth_control")).agg(F.count("*").alias("n"))
+    return confusion_of_counts(counts, ["fold"])

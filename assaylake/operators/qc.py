@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .criteria import IMAGE, IMAGE_DEFAULTS, WELL, WELL_DEFAULTS, compiled, judged
+
 
 def size_type(size: Column, smallest: float, largest: float) -> Column:
     return F.when(size > largest, "too_large").when(size < smallest, "too_small").otherwise("none")
@@ -29,14 +31,12 @@ def size_mask(pixels: DataFrame, smallest: int = 100, largest: int = 25_000) ->
     return pixels.join(bad.select("image", "label_id"), ["image", "label_id"], "left_semi")
 
 
-def image_outliers(labels: DataFrame, tags: DataFrame, fewest: int = 10, most: int = 1000) -> DataFrame:
+def image_outliers(labels: DataFrame, tags: DataFrame, fewest: float | None = IMAGE_DEFAULTS["min_number_cells"], most: float | None = IMAGE_DEFAULTS["max_number_cells"]) -> DataFrame:
     """image, is_outlier, outlier_type: cells are labels less one; a manual tag of 1, or any tag where there is nothing to
-    check, decides over the count."""
-    n = F.col("n_labels") - 1
-    counted = labels.groupBy("image").agg(F.countDistinct("label_id").alias("n_labels"))
-    why = F.array_compact(F.array(F.when(n < fewest, "too few cells"), F.when(n > most, "too many cells")))
+    check (both limits None), decides over the count."""
+    counted = labels.groupBy("image").agg((F.countDistinct("label_id") - 1).alias("n_cells"))
+    flag, why = compiled(IMAGE, {"min_number_cells": fewest, "max_number_cells": most})
     kind = F.when(F.size(why) > 0, F.concat_ws(";", why)).otherwise("none")
-    flag = (F.size(why) > 0).cast("int")
     manual = F.coalesce(F.col("tag"), F.lit(-1))
     return counted.join(manual_tags(tags), "image", "left").select("image", F.when((manual == 1) | (flag == -1), manual).otherwise(flag).alias("is_outlier"), F.concat(F.lit("manual: "), manual.cast("string"), F.lit("; heuristic: "), kind).alias("outlier_type"))
 
@@ -46,16 +46,11 @@ def manual_tags(tags: DataFrame) -> DataFrame:
     return tags.select("image", F.when(F.col("tag").isin(-1, 0, 1), F.col("tag")).otherwise(F.raise_error(F.lit("a manual tag must be -1, 0 or 1")).cast("int")).alias("tag"))
 
 
-def well_outliers(wells: DataFrame, min_control: int = 100, min_infected: int = 0, min_intensity: Column | float | None = None, max_ratio: float | None = None) -> DataFrame:
+def well_outliers(wells: DataFrame, min_control: float | None = WELL_DEFAULTS["min_number_control_cells"], min_infected: float | None = 0, min_intensity: Column | float | None = None, max_ratio: float | None = None) -> DataFrame:
     """plate, well, is_outlier, outlier_type from n_control, n_infected, infected_mean (null never flags) and, if a limit
-    is given, ratio."""
-    checks = [F.when(F.col("n_control") < min_control, "too few control cells"), F.when(F.col("n_infected") < min_infected, "too few infected cells")]
-    if min_intensity is not None:
-        checks.append(F.when(F.col("infected_mean") < min_intensity, "too low infected intensity"))
-    if max_ratio is not None:
-        checks.append(F.when(F.col("ratio") > max_ratio, "too high ratio"))
-    why = F.array_compact(F.array(*checks))
-    return wells.select("plate", "well", (F.size(why) > 0).cast("int").alias("is_outlier"), F.when(F.size(why) > 0, F.concat_ws(";", why)).otherwise("none").alias("outlier_type"))
+    is given, ratio; -1 and not_checked if no limit is."""
+    limits = {"min_number_control_cells": min_control, "min_number_infected_cells": min_infected, "min_infected_intensity": min_intensity, "max_ratio": max_ratio}
+    return judged(wells, WELL, limits).select("plate", "well", "is_outlier", "outlier_type")
 
 
 def intensity_floor(background: DataFrame, preset: float, times: float = 3.0) -> DataFrame:

@@ -9,6 +9,7 @@ from ..functions import stats
 from ..operators import evaluate, grid_search, hooks, learn, pixels, scores
 from ..operators.grids import Grid
 from ..sources import readers, sinks
+from ..sources.scratch import shared_folder
 from .registry import Tables, normal_sql, query, r, six, student_sql
 
 #: A pixel's integer value in 0..99, the same in both engines, and images of one size.
@@ -465,13 +466,33 @@ def w11(t: Tables):
     return evaluate.best_threshold(evaluate.roc_curve(t.scored), 2.0)
 
 
-@query("S11_read_score_sheet", "SELECT lang, count(*) n, sum(truth)::BIGINT positives FROM scored GROUP BY lang")
+@query("S11_read_score_sheet", "SELECT lang, count(*) n, sum(truth)::BIGINT positives, sum(score)::BIGINT total, max(doc_id) last FROM scored GROUP BY lang")
 def s11(t: Tables):
-    return t.scored.groupBy("lang").agg(F.count("*").alias("n"), F.sum("truth").alias("positives"))
+    """A score sheet that an export wrote: every column is text in the file, and typed by what all of its rows hold."""
+    path = shared_folder(t.spark)
+    sinks.export_flat(t.scored.withColumn("score", F.col("score").cast("long")), path)
+    sheet = readers.typed(t.spark.read.option("header", True).csv(path))
+    return sheet.groupBy("lang").agg(F.count("*").alias("n"), F.sum("truth").alias("positives"), F.sum("score").alias("total"), F.max("doc_id").alias("last"))
+
+
+def forest_cells(t: Tables):
+    return t.classified.where("label_id <> 0").select("plate", "image", "label_id", "sizes", "means", "marker", "second", "is_outlier", F.when(F.col("tag") == 1, 1.0).otherwise(0.0).alias("truth"))
+
+
+FEATURES = ["sizes", "means", "marker", "second"]
 
 
 @query("X1_rf_cells")
 def x1(t: Tables):
-    cells = t.classified.where("label_id <> 0").select("image", "label_id", "sizes", "means", "marker", "second", "is_outlier", F.when(F.col("tag") == 1, 1.0).otherwise(0.0).alias("truth"))
-    model = learn.train_forest(cells, ["sizes", "means", "marker", "second"], "truth", trees=10, depth=4)
+    cells = forest_cells(t)
+    model = learn.train_forest(cells, FEATURES, "truth")
     return model.transform(cells).select("image", "label_id", F.col("prediction").cast("long").alias("prediction"))
+
+
+@query("X1_rf_folds", "SELECT plate % 3 fold, count(*) n, count(*) FILTER (WHERE tag = 1) positives, count(DISTINCT plate) plates FROM cells WHERE label_id <> 0 GROUP BY 1")
+def x1_folds(t: Tables):
+    """Each plate's cells by a forest that hasn't seen it; what the confusion counts must add up to, whatever is predicted."""
+    cells = forest_cells(t)
+    predicted = learn.held_out_forest(cells, FEATURES, "truth", F.pmod("plate", F.lit(3)).cast("int"), 3, trees=30, depth=6)
+    plates = predicted.groupBy("fold").agg(F.countDistinct("plate").alias("plates"))
+    return learn.fold_confusion(predicted, "truth").join(plates, "fold").select("fold", (F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")).alias("n"), (F.col("tp") + F.col("fn")).alias("positives"), "plates")
