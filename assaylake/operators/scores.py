@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -80,46 +82,52 @@ def scores_and_counts(cells: DataFrame, keys: list[str], value: str, outliers: s
     return _centred(cells, keys, value).groupBy(*keys).agg(*_group_aggregates(value), *_count_aggregates(outliers)).select(*keys, *_score_columns(), *COUNTS)
 
 
+def _flagged(table: DataFrame, image_flags: DataFrame) -> DataFrame:
+    flags = image_flags.select("image", "is_outlier", "outlier_type")
+    return table.join(flags, "image", "left").withColumn("is_outlier", F.coalesce("is_outlier", F.lit(-1))).withColumn("outlier_type", F.coalesce("outlier_type", F.lit("not_checked")))
+
+
 def image_table(cells: DataFrame, image_flags: DataFrame, value: str = "means") -> DataFrame:
     """Scores, counts and flags of each image; the score is null for an outlier."""
-    keys = ["plate", "well", "image"]
-    table = scores_and_counts(cells, keys, value)
-    flags = image_flags.select("image", "is_outlier", "outlier_type")
-    out = table.join(flags, "image", "left").withColumn("is_outlier", F.coalesce("is_outlier", F.lit(-1))).withColumn("outlier_type", F.coalesce("outlier_type", F.lit("not_checked")))
-    return out.withColumn("score", F.when(F.col("is_outlier") != 1, F.col("`ratio_of_q0.5`")))
+    table = scores_and_counts(cells, ["plate", "well", "image"], value)
+    return _flagged(table, image_flags).withColumn("score", F.when(F.col("is_outlier") != 1, F.col("`ratio_of_q0.5`")))
+
+
+def _well_rows(cells: DataFrame, bad: DataFrame) -> DataFrame:
+    """plate, well, n_outlier_images, n_images, is_outlier, outlier_type of every well that has cells."""
+    wells = cells.select("plate", "well", "image").distinct().join(bad.withColumn("_bad", F.lit(1)), "image", "left").groupBy("plate", "well").agg(F.count("_bad").alias("n_outlier_images"), F.count("*").alias("n_images"))
+    none = F.col("n_outlier_images") == F.col("n_images")
+    return wells.withColumn("is_outlier", F.when(none, 1).otherwise(0)).withColumn("outlier_type", F.when(none, "all images are outliers").otherwise("none"))
 
 
 def well_table(cells: DataFrame, image_flags: DataFrame, value: str = "means") -> DataFrame:
     """The same over all cells of a well's images that are not outliers; a well of outlier images alone has nulls and is
     an outlier itself."""
-    keys = ["plate", "well"]
-    bad = image_flags.where("is_outlier = 1").select("image")
-    kept = cells.join(bad, "image", "left_anti")
-    table = scores_and_counts(kept, keys, value)
-    wells = cells.select("plate", "well", "image").distinct().join(bad.withColumn("_bad", F.lit(1)), "image", "left").groupBy(*keys).agg(F.count("_bad").alias("n_outlier_images"), F.count("*").alias("n_images"))
-    none = F.col("n_outlier_images") == F.col("n_images")
-    return wells.join(table, keys, "left").withColumn("is_outlier", F.when(none, 1).otherwise(0)).withColumn("outlier_type", F.when(none, "all images are outliers").otherwise("none")).withColumn("score", F.col("`ratio_of_q0.5`"))
+    keys, bad = ["plate", "well"], image_flags.where("is_outlier = 1").select("image")
+    table = scores_and_counts(cells.join(bad, "image", "left_anti"), keys, value)
+    return _well_rows(cells, bad).join(table, keys, "left").withColumn("score", F.col("`ratio_of_q0.5`"))
 
 
 #: Statistics of a group that stand beside the scores.
 STATISTICS = tuple(f"q{q}" for q in QUANTILES) + ("mad", "mean")
 
 
-def all_scores(cells: DataFrame, keys: list[str], values: tuple[str, ...] = ("sums", "means")) -> DataFrame:
+def all_scores(cells: DataFrame, keys: list[str], values: tuple[str, ...] = ("sums", "means"), beside: Sequence[Column] = ()) -> DataFrame:
     """keys, and for each value ratio_of_, diff_of_, dos_of_ and pvalue_of_ each pair, robust_z_score_, and infected_ and
-    control_ quantiles, MAD and mean; null where a group is empty or a denominator is 0.
+    control_ quantiles, MAD and mean; null where a group is empty or a denominator is 0. ``beside`` are further
+    aggregates of the same groups, so that all of a table comes from one.
 
     The p-value of all pairs of a value is that of Welch's test of the groups' cells by it."""
     own, groups = Window.partitionBy(*keys), (("i", "is_infected", "infected"), ("c", "is_control", "control"))
     of = lambda flag, v: F.when(F.col(flag) == 1, F.col(v))
     centred = cells.withColumns({f"_{g}m_{v}": F.median(of(flag, v)).over(own) for v in values for g, flag, _ in groups})
-    aggs: list[Column] = []
+    aggs: list[Column] = [*beside]
     for v in values:
         aggs += stats.welch_terms(of("is_infected", v), of("is_control", v), f"_{v}_")
         for g, flag, _ in groups:
             aggs += [F.percentile(of(flag, v), QUANTILES).alias(f"_{g}q_{v}"), F.median(F.abs(of(flag, v) - F.col(f"_{g}m_{v}"))).alias(f"_{g}mad_{v}"), F.avg(of(flag, v)).alias(f"_{g}mean_{v}")]
     table = centred.groupBy(*keys).agg(*aggs)
-    out: list[Column] = []
+    out: list[Column] = [F.col(c) for c in table.columns if c not in keys and not c.startswith("_")]
     for v in values:
         t, dof = stats.welch_of(f"_{v}_")
         get = lambda g, key, v=v: F.get(f"_{g}q_{v}", QUANTILES.index(float(key[1:]))) if key[0] == "q" else F.col(f"_{g}{key}_{v}")
@@ -133,17 +141,16 @@ def all_scores(cells: DataFrame, keys: list[str], values: tuple[str, ...] = ("su
 
 
 def full_image_table(cells: DataFrame, image_flags: DataFrame, value: str = "means") -> DataFrame:
-    """``image_table`` with all scores, p-values and group statistics of sums and means."""
-    keys = ["plate", "well", "image"]
-    return image_table(cells, image_flags, value).select(*keys, *COUNTS, "is_outlier", "outlier_type", "score").join(all_scores(cells, keys), keys)
+    """``image_table`` with all scores, p-values and group statistics of sums and means, in one aggregate of the cells."""
+    table = all_scores(cells, ["plate", "well", "image"], beside=_count_aggregates("is_outlier"))
+    return _flagged(table, image_flags).withColumn("score", F.when(F.col("is_outlier") != 1, F.col(f"`ratio_of_q0.5_of_{value}`")))
 
 
 def full_well_table(cells: DataFrame, image_flags: DataFrame, value: str = "means") -> DataFrame:
     """``well_table`` with all scores, p-values and group statistics of sums and means, of the images that are no outliers."""
-    keys = ["plate", "well"]
-    kept = cells.join(image_flags.where("is_outlier = 1").select("image"), "image", "left_anti")
-    table = well_table(cells, image_flags, value).select(*keys, "n_outlier_images", "n_images", *COUNTS, "is_outlier", "outlier_type", "score")
-    return table.join(all_scores(kept, keys), keys, "left")
+    keys, bad = ["plate", "well"], image_flags.where("is_outlier = 1").select("image")
+    table = all_scores(cells.join(bad, "image", "left_anti"), keys, beside=_count_aggregates("is_outlier"))
+    return _well_rows(cells, bad).join(table, keys, "left").withColumn("score", F.col(f"`ratio_of_q0.5_of_{value}`"))
 
 
 def pixel_tests(pixels: DataFrame, keys: list[str], least: int = 10) -> DataFrame:
