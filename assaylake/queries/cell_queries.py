@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import stats
-from ..operators import background, classify, evaluate, features, levels, merge, qc, scores
+from ..operators import background, classify, evaluate, features, levels, merge, qc, reports, scores
 from ..plans import plate_analysis
 from ..sources import sinks
 from .registry import SMALL, Tables, query, r, student_sql
@@ -433,9 +433,11 @@ def u1(t: Tables):
     return merge.union_plates([g, a])
 
 
-@query("U2_concat_cells", "SELECT plate, count(*) n_cells, count(DISTINCT image) n_images FROM cells GROUP BY plate")
+@query("U2_concat_cells", "SELECT plate, sum(1 + (marker > 0.03)::INT)::BIGINT n_cells, count(DISTINCT image) n_images FROM cells GROUP BY plate")
 def u2(t: Tables):
-    return t.cells.groupBy("plate").agg(F.count("*").alias("n_cells"), F.countDistinct("image").alias("n_images"))
+    """Cells of two channels on top of each other, the second with fewer columns and rows."""
+    both = reports.concat_cells([t.cells, t.cells.where("marker > 0.03").select("plate", "image", "label_id", "second")], ["plate", "image", "label_id"])
+    return reports.cell_numbers(both, ["plate"])
 
 
 @query("K3_export_rounded", "SELECT image, round(sums / 3, 2) third, label_id::BIGINT label_id FROM cells")

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..functions import names
-from ..operators import evaluate, levels, metadata, qc
+from ..operators import evaluate, levels, metadata, qc, reports
 from ..operators.grids import Grid
 from ..sources import readers, sinks
 from ..streaming import incremental
@@ -147,14 +145,13 @@ def p31(t: Tables):
 
 @query("P33_rows_by_key", "SELECT image, price, priority FROM images WHERE image % 10 = 1")
 def p33(t: Tables):
-    wanted = t.images.where("image % 10 = 1").select("image")
-    return wanted.join(t.images.select("image", "price", "priority"), "image")
+    return reports.rows_of(t.images.select("image", "price", "priority"), t.images.where("image % 10 = 1"), "image")
 
 
 @query("P35_score_vs_time", "SELECT image, 'price' score, well % 30 AS \"days\", price \"value\" FROM images WHERE well % 30 > 0 UNION ALL SELECT image, 'half', well % 30, price / 2 FROM images WHERE well % 30 > 0")
 def p35(t: Tables):
-    rows = t.images.select("image", (F.col("well") % 30).alias("days"), "price", (F.col("price") / 2).alias("half")).where("days > 0")
-    return rows.unpivot(["image", "days"], ["price", "half"], "score", "value")
+    rows = t.images.select("image", (F.col("well") % 30).alias("days"), "price", (F.col("price") / 2).alias("half"))
+    return reports.scores_by_time(rows, "image", ["price", "half"])
 
 
 GRID = "grid AS (SELECT plate, well % 8 AS rw, well // 8 % 12 cl, min(" + COHORT + ") raw FROM images GROUP BY ALL)"
@@ -247,7 +244,7 @@ def j20(t: Tables):
 
 @query("J21_status_semi", "SELECT DISTINCT plate FROM images WHERE plate IN (SELECT plate FROM images WHERE well % 100 = 7)")
 def j21(t: Tables):
-    return t.images.select("plate").distinct().join(t.images.where("well % 100 = 7"), "plate", "left_semi")
+    return reports.with_status(t.images, t.images, "plate", F.col("well") % 100 == 7)
 
 
 @query("A32_bg_well_audit", f"SELECT plate, {r('avg(CASE WHEN spot = ' + chr(39) + 'H01' + chr(39) + ' OR (plate % 4 IN (1, 2) OR plate % 4 = 0 AND plate >= 22) AND spot = ' + chr(39) + 'G01' + chr(39) + ' THEN 0 ELSE 1 END)', 'disagreement')} FROM images GROUP BY plate")
@@ -258,7 +255,7 @@ def a32(t: Tables):
 
 @query("T1_sort_names", "SELECT image_name, count(*) n FROM images GROUP BY image_name ORDER BY image_name")
 def t1(t: Tables):
-    return t.images.groupBy("image_name").agg(F.count("*").alias("n")).orderBy("image_name")
+    return reports.sorted_names(t.images, "image_name")
 
 
 IMAGE_N = "counted AS (SELECT plate, image, count(*) FILTER (WHERE is_infected = 1) i, count(*) FILTER (WHERE is_control = 1) c FROM classified GROUP BY ALL)"
@@ -282,14 +279,12 @@ def w12(t: Tables):
 
 @query("T4_annotation_list", "SELECT DISTINCT regexp_replace(plate_name, '_[0-9]{4}$', '') plate_name, image_name FROM images WHERE image % 4 <> 0")
 def t4(t: Tables):
-    done = t.images.where("image % 4 = 0").select("image")
-    return t.images.join(done, "image", "left_anti").select(F.regexp_replace("plate_name", "_[0-9]{4}$", "").alias("plate_name"), "image_name").distinct().orderBy("plate_name", "image_name")
+    return reports.annotation_list(t.images, t.images.where("image % 4 = 0"), "image")
 
 
 @query("T3_topk_family", "SELECT plate, max_by(image, (price, image)) best, min_by(image, (price, image)) worst FROM images GROUP BY plate")
 def t3(t: Tables):
-    by = F.struct("price", "image")
-    return t.images.groupBy("plate").agg(F.max_by("image", by).alias("best"), F.min_by("image", by).alias("worst"))
+    return reports.extremes(t.images, ["plate"], "image", "price")
 
 
 @query("U3_common_labels", "SELECT DISTINCT label_id::BIGINT label_id FROM cells WHERE plate = 1 AND label_id <> 0 INTERSECT SELECT label_id FROM cells WHERE plate = 2")
@@ -300,12 +295,12 @@ def u3(t: Tables):
 
 @query("U4_difference", "SELECT well FROM images EXCEPT SELECT well FROM images WHERE plate % 2 = 0")
 def u4(t: Tables):
-    return t.images.select("well").distinct().exceptAll(t.images.where("plate % 2 = 0").select("well").distinct())
+    return reports.difference(t.images, t.images.where("plate % 2 = 0"), "well")
 
 
 @query("U5_rerun_set", "SELECT image FROM images WHERE image % 3 = 0 UNION SELECT image FROM images WHERE image % 5 = 0")
 def u5(t: Tables):
-    return t.images.where("image % 3 = 0").select("image").union(t.images.where("image % 5 = 0").select("image")).distinct()
+    return reports.rerun_set(t.images.where("image % 3 = 0").select("image"), t.images.where("image % 5 = 0").select("image"))
 
 
 @query("U6_same_keys", "SELECT DISTINCT image, CASE WHEN image % 2 = 0 THEN 'right' ELSE 'left' END missing_in FROM images WHERE image % 6 IN (2, 3, 4)")
@@ -327,23 +322,17 @@ def k7(t: Tables):
 
 @query("K9_plate_summary", "SELECT plate, unnest(['IgG', 'IgA']) channel, n_images, CASE WHEN plate % 3 = 0 THEN 'fixed 300.5' ELSE 'plate/backgrounds' END source, 'plate ' || plate || ': ' || n_images || ' images' message FROM (SELECT plate, count(*) n_images FROM images GROUP BY plate)")
 def k9(t: Tables):
-    per = t.images.groupBy("plate").agg(F.count("*").alias("n_images"))
-    source = F.when(F.col("plate") % 3 == 0, "fixed 300.5").otherwise("plate/backgrounds")
-    return per.select("plate", F.explode(F.array(F.lit("IgG"), F.lit("IgA"))).alias("channel"), "n_images", source.alias("source"), F.format_string("plate %d: %d images", "plate", "n_images").alias("message"))
+    return reports.plate_summaries(t.images, ["IgG", "IgA"], F.when(F.col("plate") % 3 == 0, F.lit("300.5")))
 
 
 @query("K11_submission_manifest", "SELECT image_name file, letter cohort, CASE WHEN substr(plate_name, 6, 1) = 'U' THEN 'second serum' ELSE 'serum' END comment FROM images JOIN people USING (plate, well) UNION ALL SELECT DISTINCT 'plate_' || plate || '.csv', NULL, 'plate table' FROM images", PEOPLE)
 def k11(t: Tables):
-    files = t.images.join(people(t), ["plate", "well"]).select(F.col("image_name").alias("file"), "cohort", F.when(F.col("plate_name").startswith("plateU"), "second serum").otherwise("serum").alias("comment"))
-    tables = t.images.select(F.concat(F.lit("plate_"), "plate", F.lit(".csv")).alias("file"), F.lit("plate table").alias("comment")).distinct()
-    return files.unionByName(tables, allowMissingColumns=True)
+    return reports.submission_manifest(t.images.join(people(t), ["plate", "well"]))
 
 
 @query("K12_table_alias", "SELECT image, count(*) n FROM classified GROUP BY image")
 def k12(t: Tables):
-    alias = f"cell_classification_{uuid.uuid4().hex}"  # one a call, so that no other view is replaced
-    t.classified.groupBy("image").agg(F.count("*").alias("n")).createTempView(alias)
-    return t.spark.table(alias)
+    return t.spark.table(reports.aliased(t.classified.groupBy("image").agg(F.count("*").alias("n")), "cell_classification"))
 
 
 @query("I1_incremental_inputs", "SELECT DISTINCT user_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'error' AND event_id % 10 = 0) OR user_id IN (SELECT user_id FROM events WHERE \"value\" > 95 AND event_id % 10 = 1)")
