@@ -8,6 +8,7 @@ from ..functions import names
 from ..operators import evaluate, levels, metadata, qc, reports
 from ..operators.grids import Grid
 from ..sources import readers, sinks
+from ..sources.scratch import shared_folder
 from ..streaming import incremental
 from .registry import Tables, query, r
 
@@ -99,13 +100,6 @@ def p23(t: Tables):
     return chosen.join(t.images.where(F.col("plate_name").rlike("^plate[KT][45]_")).select("plate"), "plate", "left_anti")
 
 
-@query("P24_remap_channels", "SELECT plate, serum, CASE WHEN serum = 'serum_IgG' THEN 'serum_IgG' END gfp, CASE WHEN serum = 'serum_IgA' THEN 'serum_IgA' END tritc, 'nuclei' dapi FROM (SELECT DISTINCT plate FROM images), (SELECT unnest(['serum_IgG', 'serum_IgA']) serum)")
-def p24(t: Tables):
-    mapping = F.create_map(F.lit("DAPI"), F.lit("nuclei"), F.lit("WF_GFP"), F.lit("serum_IgG"), F.lit("TRITC"), F.lit("serum_IgA"))
-    one = metadata.one_mapping_each(t.images.select("plate").distinct().withColumn("mapping", mapping))
-    return one.select("plate", "serum", F.col("mapping.WF_GFP").alias("gfp"), F.col("mapping.TRITC").alias("tritc"), F.col("mapping.DAPI").alias("dapi"))
-
-
 @query("P26_format_column_names", "SELECT stat, CASE stat WHEN 'n_cells' THEN 'n_cells' WHEN 'serum_ratio_of_means' THEN 'IgG_ratio_of_means' ELSE 'IgG_mean_means' END name, count(*) n FROM cells, (SELECT unnest(['n_cells', 'serum_ratio_of_means', 'serum_mean_of_cell_means']) stat) GROUP BY ALL")
 def p26(t: Tables):
     long = t.cells.select(F.explode(F.array(*[F.lit(x) for x in ("n_cells", "serum_ratio_of_means", "serum_mean_of_cell_means")])).alias("stat"))
@@ -174,8 +168,10 @@ def w14(t: Tables):
 
 @query("S8_read_lab_results", "SELECT cohort_id, price FROM (SELECT upper(priority) || well % 50 cohort_id, price, row_number() OVER (PARTITION BY priority, well % 50 ORDER BY image) n FROM images) WHERE n = 1")
 def s8(t: Tables):
-    results = t.images.select(F.concat(F.upper("priority"), (F.col("well") % 50).cast("string")).alias("cohort_id"), "price", "image")
-    return metadata.first_results(results, ["image"]).drop("image")
+    """Results in a file of text columns, typed when it is read."""
+    path = shared_folder(t.spark)
+    sinks.export_flat(t.images.select(F.concat(F.upper("priority"), (F.col("well") % 50).cast("string")).alias("cohort_id"), "price", "image"), path)
+    return metadata.first_results(readers.csv_folder(t.spark, path, "cohort_id string, price double, image long"), ["image"]).drop("image")
 
 
 @query("S3_read_table_infer", "SELECT image, price, priority FROM images")
@@ -184,17 +180,32 @@ def s3(t: Tables):
     return readers.typed(text)
 
 
+def files_of(t: Tables, docs):
+    """The documents of rows (plate, json) written as a file each, and read from there."""
+    path = shared_folder(t.spark)
+    docs.repartition("plate").write.partitionBy("plate").text(path)
+    return readers.settings(t.spark, path).withColumn("plate", F.col("plate").cast("long"))
+
+
 @query("S4_read_channel_mapping", "SELECT DISTINCT plate, unnest(['DAPI', 'TRITC']) hardware, unnest(['nuclei', 'serum_' || plate]) semantic FROM images")
 def s4(t: Tables):
     doc = t.images.select("plate").distinct().withColumn("json", F.concat(F.lit('{"DAPI": "nuclei", "WF_GFP": null, "TRITC": "serum_'), F.col("plate"), F.lit('"}')))
-    return readers.channel_mapping(doc)
+    return readers.channel_mapping(files_of(t, doc)).drop("file")
+
+
+@query("P24_remap_channels", "SELECT plate, serum, CASE WHEN serum = 'serum_IgG' THEN 'serum_IgG' END gfp, CASE WHEN serum = 'serum_IgA' THEN 'serum_IgA' END tritc, 'nuclei' dapi FROM (SELECT DISTINCT plate FROM images), (SELECT unnest(['serum_IgG', 'serum_IgA']) serum)")
+def p24(t: Tables):
+    doc = F.lit('{"DAPI": "nuclei", "WF_GFP": "serum_IgG", "TRITC": "serum_IgA"}')
+    rows = readers.channel_mapping(files_of(t, t.images.select("plate").distinct().withColumn("json", doc)))
+    one = metadata.one_mapping_each(rows.groupBy("plate").agg(F.map_from_entries(F.collect_list(F.struct("hardware", "semantic"))).alias("mapping")))
+    return one.select("plate", "serum", F.col("mapping.WF_GFP").alias("gfp"), F.col("mapping.TRITC").alias("tritc"), F.col("mapping.DAPI").alias("dapi"))
 
 
 @query("S6_read_bg_wells", "SELECT DISTINCT plate, CASE plate % 3 WHEN 0 THEN 'wells' WHEN 1 THEN 'min' ELSE 'fixed' END mode, CASE WHEN plate % 3 = 0 THEN 'H01,G0' || plate % 10 END wells, CASE WHEN plate % 3 = 2 THEN plate * 1.5::DOUBLE END fixed_igg FROM images")
 def s6(t: Tables):
     doc = F.when(F.col("plate") % 3 == 0, F.concat(F.lit('["H01", "G0'), F.col("plate") % 10, F.lit('"]'))).when(F.col("plate") % 3 == 1, F.lit('"min"')).otherwise(F.concat(F.lit('{"IgG": '), F.col("plate") * 1.5, F.lit("}")))
-    mode, wells, fixed = readers.background_setting(F.col("doc"))
-    return t.images.select("plate").distinct().withColumn("doc", doc).select("plate", mode.alias("mode"), wells.alias("wells"), fixed["IgG"].alias("fixed_igg"))
+    mode, wells, fixed = readers.background_setting(F.col("json"))
+    return files_of(t, t.images.select("plate").distinct().withColumn("json", doc)).select("plate", mode.alias("mode"), wells.alias("wells"), fixed["IgG"].alias("fixed_igg"))
 
 
 @query("S9_read_plate_corrector", "SELECT image, CASE WHEN plate % 5 = 0 THEN 'plate_' || plate ELSE 'shape_' || well % 3 END corrector FROM images")
@@ -202,7 +213,10 @@ def s9(t: Tables):
     own = t.images.select("image", "plate", (F.col("well") % 3).alias("height"), F.lit(1).alias("width"))
     by_plate = t.images.where("plate % 5 = 0").select("plate").distinct().select("plate", F.lit(None).cast("long").alias("height"), F.lit(None).cast("int").alias("width"), F.concat(F.lit("plate_"), "plate").alias("corrector"))
     by_shape = own.select("height", "width").distinct().select(F.lit(None).cast("long").alias("plate"), "height", "width", F.concat(F.lit("shape_"), "height").alias("corrector"))
-    return readers.correctors(own, by_plate.unionByName(by_shape)).select("image", "corrector")
+    path = shared_folder(t.spark)
+    by_plate.unionByName(by_shape).write.option("header", True).csv(path)
+    table = readers.csv_folder(t.spark, path, "plate long, height long, width int, corrector string")
+    return readers.correctors(own, table).select("image", "corrector")
 
 
 @query("S12_cohort_descriptions", "SELECT plate, well, letter, 'cohort ' || lower(letter) description FROM classes WHERE letter IS NOT NULL", PEOPLE)
@@ -375,9 +389,15 @@ def i6(t: Tables):
     return incremental.stamped(t.read("events").select("event_id"), "1.0")
 
 
-@query("S5_read_manual_tags", "SELECT regexp_extract(plate_name, '^([^_]*)', 1) plate, image_name image, tag::BIGINT tag FROM images JOIN tags USING (image)")
+@query("S5_read_manual_tags", "SELECT CASE WHEN image % 4 = 1 THEN 'one' ELSE 'three' END plate, image_name || image image, tag::BIGINT tag FROM images JOIN tags USING (image)")
 def s5(t: Tables):
-    return t.images.join(qc.manual_tags(t.tags), "image").select(F.regexp_extract("plate_name", "^([^_]*)", 1).alias("plate"), names.file_stem(F.concat(F.lit("/a/"), "image_name", F.lit(".h5"))).alias("image"), "tag")
+    """Taggers' files of two plates, read and checked."""
+    path = shared_folder(t.spark)
+    rows = t.images.join(t.tags, "image").select("image", F.concat(F.lit("/a/"), "image_name", F.col("image").cast("string"), F.lit(".h5")).alias("filename"), F.col("tag").alias("label"))
+    for plate, rest in (("one", 1), ("three", 3)):
+        rows.where(F.col("image") % 4 == rest).select("filename", "label").write.option("header", True).csv(f"{path}/{plate}_tagger_state.csv")
+    read = readers.manual_tags(t.spark, path)
+    return qc.manual_tags(read.select(F.struct("plate", "image").alias("image"), "tag")).select("image.plate", "image.image", "tag")
 
 
 @query("S1_scan_images", "SELECT 'orders' stem, count(*) n FROM orders")

@@ -35,15 +35,22 @@ def channel_mapping(settings: DataFrame, column: str = "json") -> DataFrame:
 
 
 def manual_tags(spark: SparkSession, path: str) -> DataFrame:
-    """plate, image, tag of ``<plate>_tagger_state.csv`` files."""
-    rows = spark.read.option("header", True).schema("filename string, label int").csv(path)
-    return rows.where("filename is not null").select(F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)_tagger", 1).alias("plate"), names.file_stem(F.col("filename")).alias("image"), F.col("label").alias("tag"))
+    """plate, image, tag of ``<plate>_tagger_state.csv`` files below a folder, or of folders of that name that Spark wrote."""
+    rows = spark.read.option("header", True).option("recursiveFileLookup", True).schema("filename string, label int").csv(path)
+    return rows.where("filename is not null").select(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]*?)_tagger[^/]*(?:/[^/]*)?$", 1).alias("plate"), names.file_stem(F.col("filename")).alias("image"), F.col("label").alias("tag"))
+
+
+def settings(spark: SparkSession, path: str) -> DataFrame:
+    """file, json, and what the folders' names say (``plate=7``), of files with one document each; a document is read whole."""
+    whole = spark.read.text(path, wholetext=True)
+    return whole.select(names.file_stem(F.col("_metadata.file_name")).alias("file"), F.col("value").alias("json"), *[c for c in whole.columns if c != "value"])
 
 
 def background_setting(json: Column) -> tuple[Column, Column, Column]:
     """(mode, wells, fixed values) of a plate's setting: a list of wells, the text ``min``, or an object of numbers."""
-    kind = F.substring(F.trim(json), 1, 1)
-    mode = F.when(kind == "[", "wells").when(kind == "{", "fixed").when(F.trim(json).isin('"min"', "min"), "min")
+    plain = F.regexp_replace(json, r"^\s+|\s+$", "")
+    kind = F.substring(plain, 1, 1)
+    mode = F.when(kind == "[", "wells").when(kind == "{", "fixed").when(plain.isin('"min"', "min"), "min")
     return mode, F.when(mode == "wells", F.from_json(json, "array<string>")), F.when(mode == "fixed", F.from_json(json, "map<string,double>"))
 
 
