@@ -3,8 +3,9 @@
 A suffix automaton of each language's labelled text recognises exactly the text's substrings. A document is parsed
 against it into the fewest greedy phrases: the longest match from here, then the longest match from there. The
 cost of a language is what its phrases need to be named, over the symbols parsed; the least cost wins.
-Texts are lower-cased, and what stands between words is one symbol; phrases go on over it. A text is parsed in parts of
-``PART`` symbols, so that texts of all lengths go in step.
+Texts are lower-cased, and what stands between words is one symbol; phrases go on over it. Texts are parsed whole. So that
+texts of all lengths go in step they are first parsed in parts, and the parts are then parsed again from where the part before
+ended, until they are where they were: two parses that meet go on together.
 """
 
 from __future__ import annotations
@@ -21,10 +22,12 @@ from pyspark.sql import functions as F
 
 from .text import slices, strings
 
-#: Languages that are learned, those of most documents; documents of each, those whose ids hash lowest, with so many
-#: characters of each document; and symbols of a language's text.
-LANGS, SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_LETTERS = 100, 64, 8_000, 24_000
-#: Symbols of a part; a phrase ends with its part.
+#: Documents of each language that are learned from, those whose ids hash lowest, with so many characters of each document; and
+#: symbols of a language's text. All languages are learned.
+SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_LETTERS = 64, 8_000, 24_000
+#: Symbols of all languages' texts together, about: where languages are many, each has less text, but this much at least.
+ALL_LETTERS, LEAST_LETTERS = 600_000, 1_500
+#: Symbols of a part.
 PART = 256
 #: Every so many documents of a language's sample are left out of its text and tell what its texts cost.
 LEFT_OUT = 4
@@ -159,25 +162,57 @@ class Model:
         out = np.zeros((n, len(self.langs)), np.int64)
         parts = -(-np.diff(starts) // PART)
         owner = np.repeat(np.arange(n), parts)
-        begin = starts[:-1][owner] + PART * (np.arange(len(owner)) - (np.cumsum(parts) - parts)[owner])
+        number = np.arange(len(owner)) - (np.cumsum(parts) - parts)[owner]
+        begin = starts[:-1][owner] + PART * number
         size = np.minimum(starts[1:][owner] - begin, PART)
         order = np.argsort(-size, kind="stable")
+        place = np.argsort(order)  # of each part in the order of sizes
+        before = np.where(number > 0, place[np.arange(len(owner)) - 1], -1)[order] if len(owner) else number
         owner, begin, size = owner[order], begin[order], size[order]
         steps = int(size[0]) if len(size) else 0
         alive = np.searchsorted(-size, -np.arange(steps), side="left")  # parts longer than t
         symbols = self.symbols(flat)
         grid = [symbols[begin[: alive[t]] + t] for t in range(steps)]
         for lang, table in enumerate(self.tables):
-            state, count = np.zeros(len(size), np.int32), np.zeros(len(size), np.int64)
-            for s, m in zip(grid, alive.tolist()):
-                cell = table.base[state[:m]] + s
-                new = (table.owner[cell] != state[:m]) | (state[:m] == 0)
-                count[:m] += new
-                # an unseen symbol is a phrase by itself
-                state[:m] = np.where(new, table.first[s], table.to[cell])
-            out[:, lang] = np.bincount(owner, weights=count, minlength=n)
+            out[:, lang] = np.bincount(owner, weights=self._whole(table, grid, size, before), minlength=n)
         return out
 
+    @staticmethod
+    def _whole(table: Automaton, grid: list[np.ndarray], size: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """Phrases that begin in each part. grid: the parts' symbols, step by step, of the parts longer than the step; before: the
+        part that a part follows, -1 for none."""
+
+        def step(state: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            cell = table.base[state] + s
+            new = (table.owner[cell] != state) | (state == 0)
+            # an unseen symbol is a phrase by itself
+            return np.where(new, table.first[s], table.to[cell]), new
+
+        state, states, begun = np.zeros(len(size), np.int32), [], []
+        for s in grid:
+            state[: len(s)], new = step(state[: len(s)], s)
+            states.append(state[: len(s)].copy())
+            begun.append(new)
+        # from here on, state is where each part ended
+        came, follows = np.zeros(len(size), np.int32), np.flatnonzero(before >= 0)
+        while len(live := follows[state[before[follows]] != came[follows]]):
+            came[live] = now = state[before[live]]
+            for t, s in enumerate(grid):
+                own = size[live] > t
+                live, now = live[own], now[own]
+                if not len(live):
+                    break
+                now, new = step(now, s[live])
+                met = states[t][live] == now
+                states[t][live], begun[t][live] = now, new
+                ended = size[live] == t + 1
+                state[live[ended]] = now[ended]
+                live, now = live[~met], now[~met]
+        count = np.zeros(len(size), np.int64)
+        for new in begun:
+            count[: len(new)] += new
+        return count
+
     def costs(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(cost a symbol by text and language, the same without the first phrases, symbols, whether there is a letter)."""
         flat, starts, lettered = points(texts)
@@ -192,11 +227,12 @@ def learn(sample: list[tuple[str, str]]) -> Model:
         if points([text])[2][0]:
             by_lang.setdefault(lang, []).append(text)
     langs = sorted(by_lang)
+    letters_each = min(SAMPLE_LETTERS, max(LEAST_LETTERS, ALL_LETTERS // max(1, len(langs))))
     learned, left = {}, {}
     for lang, texts in by_lang.items():
         left[lang] = texts[LEFT_OUT - 1 :: LEFT_OUT]
         flat = [points([t])[0] for k, t in enumerate(texts) if k % LEFT_OUT != LEFT_OUT - 1]
-        learned[lang] = np.concatenate([x for t in flat for x in (t, np.array([-1], np.int32))])[:SAMPLE_LETTERS]
+        learned[lang] = np.concatenate([x for t in flat for x in (t, np.array([-1], np.int32))])[:letters_each]
     seen = np.unique(np.concatenate(list(learned.values()))) if langs else np.zeros(0, np.int32)
     symbol = {int(c): k + UNSEEN + 1 for k, c in enumerate(seen[seen >= 0])}
     width = len(symbol) + UNSEEN + 1
@@ -223,10 +259,10 @@ def labelled_sample(docs: DataFrame, text: str = "text", lang: str = "lang", doc
     rows = docs.select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("t"))
     usable = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (id_hash("id", 4) != 2))
     one = usable.groupBy("lang", "id").agg(F.min("t").alias("t"))
-    frequent = one.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGS).select("lang")
     order = Window.partitionBy("lang").orderBy(F.md5(F.col("id").cast("string")), "id")
-    chosen = one.join(F.broadcast(frequent), "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_DOCS)
-    cut = usable.join(F.broadcast(chosen), ["lang", "id", "t"]).select("lang", "id", "n", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+    chosen = one.withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_DOCS)
+    # a few rows a language; Spark's size check decides whether they are broadcast
+    cut = usable.join(chosen, ["lang", "id", "t"]).select("lang", "id", "n", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
     found = cut.dropDuplicates(["lang", "id"]).orderBy("lang", "n").collect()
     return [(r["lang"], r["text"]) for r in found]
 

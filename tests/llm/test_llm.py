@@ -296,21 +296,69 @@ def test_phrases_are_greedy_longest_matches():
     sample = [("a", " ".join("".join(random.choices("abc", k=4)) for _ in range(40))), ("b", "bca cab abba"), ("c", " ".join("".join(random.choices(wide, k=3)) for _ in range(400)))]
     model = language_id.learn(sample)
     text = {lang: " ".join(t for l, t in sample if l == lang) + " " for lang in "abc"}
-    found = ["abcabcab", "ccc", "da b1b, cab abba", "x" * 600, "ab " * 300, "", "..", sample[2][1][100:180] + wide[:9], "Bc\u0301a ABBA"]
+    longer = " ".join("".join(random.choices("abcd", k=random.randint(1, 9))) for _ in range(700))
+    found = ["abcabcab", "ccc", "da b1b, cab abba", "x" * 600, "ab " * 300, longer, sample[0][1] * 9, "abba" * 400, "", "..", sample[2][1][100:180] + wide[:9], "Bc\u0301a ABBA"]
     flat, starts, _ = language_id.points(found)
     got = model.phrases(flat, starts)
     for i, t in enumerate(found):
         plain = re.sub(r"[^a-z\u0301\u4e00-\u9fff]+", " ", t.lower()).lstrip()
         for j, lang in enumerate("abc"):
             count = 0
-            for k in range(0, len(plain), language_id.PART):
-                rest = plain[k : k + language_id.PART]
-                while rest:
-                    n = max([1, *(m for m in range(1, len(rest) + 1) if rest[:m] in text[lang])])
-                    rest, count = rest[n:], count + 1
+            rest = plain
+            while rest:
+                n = max([1, *(m for m in range(1, min(len(rest), 900) + 1) if rest[:m] in text[lang])])
+                rest, count = rest[n:], count + 1
             assert got[i, j] == count
 
 
+@pytest.mark.parametrize("part", [1, 2, 7, 64, 100_000])
+def test_phrases_do_not_depend_on_the_parts(docs, monkeypatch, part):
+    sample = language_id.labelled_sample(docs)
+    model = language_id.learn(sample)
+    texts = [r["text"] for r in docs.limit(40).collect()] + ["la la " * 900, ""]
+    flat, starts, _ = language_id.points(texts)
+    whole = model.phrases(flat, starts)
+    monkeypatch.setattr(language_id, "PART", part)
+    assert np.array_equal(model.phrases(flat, starts), whole)
+
+
+def test_predictions_are_those_of_a_plain_parser(docs):
+    """The language whose phrases, found by search in the learned text, cost least; on whole texts."""
+    sample = language_id.labelled_sample(docs)
+    model = language_id.learn(sample)
+    symbols = lambda t: model.symbols(language_id.points([t])[0]).tolist()
+    by_lang = {lang: [t for x, t in sample if x == lang] for lang in model.langs}
+    learned = {}
+    for lang, texts in by_lang.items():
+        kept = [x for k, t in enumerate(texts) if k % language_id.LEFT_OUT != language_id.LEFT_OUT - 1 for x in [*symbols(t), language_id.GAP]]
+        learned[lang] = "".join(chr(s + 1) for s in kept[: language_id.SAMPLE_LETTERS])
+    for r in docs.where("length(text) between 5 and 900").limit(25).collect():
+        said, cost = "".join(chr(s + 1) for s in symbols(r["text"])), []
+        for lang, bits in zip(model.langs, model.bits):
+            at = count = 0
+            while at < len(said):
+                n = 1
+                while at + n < len(said) and said[at : at + n + 1] in learned[lang]:
+                    n += 1
+                at, count = at + n, count + 1
+            cost.append(count * bits)
+        got = next(language_id._score(iter([pa.RecordBatch.from_arrays([pa.array([r["text"]])], ["text"])]), model))
+        assert got.column(0).to_pylist() == [model.langs[int(np.argmin(cost))]]
+
+
+def test_all_languages_are_learned(spark):
+    random.seed(9)
+    letters, rows = [chr(c) for c in range(0x0E01, 0x0E2F)] + [*"abcdefghijklmnop"], []
+    for lang in range(105):
+        own = ["".join(random.choices(letters, k=random.randint(3, 6))) for _ in range(40)]
+        rows += [(lang * 10 + k, " ".join(random.choices(own, k=60)), f"l{lang:03}", "a") for k in range(6)]
+    got = language_id.identify(documents(spark, rows)).collect()
+    right = {r[0]: r[2] for r in rows}
+    learned = {r[2] for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2}
+    assert len(learned) == 105
+    assert np.mean([r["lang_pred"] == right[r["doc_id"]] for r in got]) > 0.99
+
+
 def test_languages_of_long_texts_and_of_repeated_ids_are_learned(spark, docs):
     body = {lang: [r["text"] for r in docs.where(F.col("lang") == lang).limit(60).collect()] for lang in ("en", "fr")}
     usable = [k for k in range(1000) if zlib.crc32(str(k).encode()) % 4 != 2]
