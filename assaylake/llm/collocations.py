@@ -18,6 +18,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .filters import key_filter, passes
 from .store import discard, saved
 from .text import U64, mix, runs, slices, strings
 
@@ -33,8 +34,6 @@ SLACK = 4
 COUNTERS, PARTS_EACH = 1 << 18, 8
 #: Counters that a task holds before it hands them on.
 HELD = 2 << 20
-#: Bits of a filter for each key, and bits at most: a filter never grows beyond this size (16 MB), it only lets more pass.
-BITS_EACH, MOST_BITS = 16, 1 << 27
 ODD = U64(0x9E3779B97F4A7C15)
 
 
@@ -100,24 +99,6 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
         yield Words(batch.column("text"), batch.column("lang"))
 
 
-def _passes(filter_: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Whether each key's bit is set; a filter has a power of two of bits, and a key's bit is its upper bits."""
-    bit = keys >> U64(64 - (64 * len(filter_)).bit_length() + 1)
-    return (filter_[(bit >> U64(6)).astype(np.int64)] >> (bit & U64(63)) & U64(1)).astype(bool)
-
-
-def key_filter(keys: DataFrame, count: int) -> np.ndarray:
-    """A filter of ``BITS_EACH`` bits for each of the ``count`` keys (64 hash bits in the column ``key``), ``MOST_BITS`` at most.
-    Set bits are put together by Spark; the driver gets words of 64 bits, whose number the filter's size bounds."""
-    size = min(MOST_BITS, 1 << max(12, (BITS_EACH * count - 1).bit_length()))
-    bit = F.shiftrightunsigned("key", 64 - size.bit_length() + 1)
-    bits = keys.select(bit.alias("bit")).select(F.shiftrightunsigned("bit", 6).alias("at"), F.expr("shiftleft(1L, int(bit & 63))").alias("bits"))
-    rows = bits.groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
-    out = np.zeros(size // 64, U64)
-    out[rows.column("at").to_numpy()] = rows.column("bits").to_numpy().view(U64)
-    return out
-
-
 def _combined(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, and the sums of their counts."""
     every, n = np.concatenate(keys), np.concatenate(counts)
@@ -175,11 +156,11 @@ def summarised(texts: DataFrame, lengths: range, unit: int, known: Broadcast, pa
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for words in _read(batches):
-            known_units = _passes(known.value, words.key) if unit == 1 else None
+            known_units = passes(known.value, words.key) if unit == 1 else None
             new = []
             for k, keys in words.phrases(lengths[-1]):
                 if k == unit:
-                    known_units = _passes(known.value, keys) & words.in_piece(k)
+                    known_units = passes(known.value, keys) & words.in_piece(k)
                 if k in lengths:
                     full = words.in_piece(k)
                     for j in range(k - unit + 1):
@@ -233,7 +214,7 @@ def phrase_counts(texts: DataFrame, known: dict[int, Broadcast]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for words in _read(batches):
             for k, keys in words.phrases(max(known)):
-                if k in known and len(at := np.flatnonzero(_passes(known[k].value, keys) & words.in_piece(k))):
+                if k in known and len(at := np.flatnonzero(passes(known[k].value, keys) & words.in_piece(k))):
                     yield words.counted(at, k)
 
     return texts.mapInArrow(run, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
+from .filters import key_filter, passes
 from .store import discard, partitions, saved
 from .text import U64, mix, runs, signed, slices, words
 
@@ -44,6 +45,8 @@ PAIR_WORDS = 1 << 18
 #: Sets with one segment that are held against each other without a tree; sets of a block of those with one segment; rows
 #: of a task's group.
 FEW, BLOCK_SETS, TASK_ROWS = 64, 4096, 200_000
+#: Groups that are dealt on and broadcast at most; more of them are joined.
+BROADCAST_ROWS = 100_000
 ODD = [U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9)]
 
 
@@ -205,7 +208,7 @@ def _sketches(batches: Iterator[pa.RecordBatch], width: int, percent: int, clash
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows (sig, node) of signatures that several nodes have, once each, with the block of the row among its
-    signature's and their number; all rows of a signature are in this partition."""
+    signature's, their number, and the signature's least node; all rows of a signature are in this partition."""
     kept = list(batches)
     if not kept:
         return
@@ -220,9 +223,16 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rank = np.arange(len(sig)) - np.repeat(head, size)
     several = np.repeat(size > 1, size)
     blocks = np.repeat(-(-size // BLOCK_SETS), size)
-    columns = [x[several] for x in (sig, node, words_, rank // BLOCK_SETS, blocks)]
+    columns = [x[several] for x in (sig, node, words_, rank // BLOCK_SETS, blocks, np.repeat(node[head], size))]
     for k in range(0, len(columns[0]), 1 << 20):
-        yield pa.RecordBatch.from_arrays([pa.array(c[k : k + (1 << 20)]) for c in columns], ["sig", "node", "words", "block", "blocks"])
+        yield pa.RecordBatch.from_arrays([pa.array(c[k : k + (1 << 20)]) for c in columns], ["sig", "node", "words", "block", "blocks", "low"])
+
+
+def _chosen(batches: Iterator[pa.RecordBatch], wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The rows (key, t, text) whose hash h passes the filter."""
+    for batch in batches:
+        kept = batch.filter(pa.array(passes(wanted, batch.column("h").to_numpy().view(U64))))
+        yield pa.RecordBatch.from_arrays([kept.column(c) for c in ("key", "t", "text")], ["key", "t", "text"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -466,22 +476,30 @@ def set_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wid
     # signatures of a set are at most in number two in ten of its shingles and two, for each of two bands
     total = rows.groupBy("node").agg(F.first("n").alias("n")).agg(F.sum(2 * (F.col("n") * (100 - percent) * 2.5 / (100 + percent) + 2))).first()[0] or 0
     dealt = texts.mapInArrow(lambda it: _segments(it, width, percent, clashes), "sig long, node long, words short").repartition(partitions(int(total), 1_000_000, spark), "sig")
-    shared = saved(dealt.mapInArrow(_shared, "sig long, node long, words short, block long, blocks long"))
+    shared = saved(dealt.mapInArrow(_shared, "sig long, node long, words short, block long, blocks long, low long"))
     sketches = texts.mapInArrow(lambda it: _sketches(it, width, percent, clashes), "node long, words short, n long, least long, bits binary").dropDuplicates(["node", "words"])
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
-    ends = shared.select("*", other).select("sig", "node", "words", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    # a task's nodes are in many of its segments, and are sent to it once
-    ends = ends.withColumn("task", F.pmod(F.xxhash64("sig", "i", "j"), F.lit(partitions(shared.count(), TASK_ROWS, spark))))
+    ends = shared.select("*", other).select("sig", "node", "words", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "low")
+    # signatures of one group of near copies mostly have the group's least node, so they go to one task, and a set to few tasks;
+    # a group of more rows than a task's is dealt on by signature
+    heavy = saved(shared.groupBy("low").agg(F.sum("blocks").alias("held")).where(F.col("held") > TASK_ROWS).select(F.col("low").alias("_low"), F.ceil(F.col("held") / TASK_ROWS).alias("deal")))
+    heavy_side = F.broadcast(heavy) if heavy.count() <= BROADCAST_ROWS else heavy
+    deal = F.coalesce(F.pmod(F.xxhash64("sig", "i", "j"), F.col("deal")), F.lit(0).cast("long"))
+    ends = ends.join(heavy_side, F.col("low") == F.col("_low"), "left").withColumn("task", F.pmod(F.xxhash64("low", deal), F.lit(partitions(shared.count(), TASK_ROWS, spark)))).drop("low", "_low", "deal")
     sent = ends.select("task", "node", "words").distinct().join(sketches, ["node", "words"])
     sent = sent.select(*(F.col(c).alias(c) for c in sent.columns))  # columns of their own, as both sides come from one table
     pruned = ends.groupBy("task").cogroup(sent.groupBy("task")).applyInArrow(lambda left, right: _candidates(left, right, percent), EDGE)
     clusters = components(pruned)
     discard(shared)
+    discard(heavy)
     # one text for each node that may link: by its id and hash, so that ids of many texts meet no others
     first = rows.where("n > 0").groupBy("node").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("key"), "t")).alias("one"))
     picked = saved(clusters.select(F.col("root").alias("cluster"), "node").join(first, "node").select("cluster", "node", "one.key", "one.t"), clusters)
     keyed = whole.withColumn("key", F.coalesce("doc_id", F.lit(-(2**63)))).drop("doc_id")
-    found = picked.join(keyed, ["key", "t"]).select("cluster", "node", "text").mapInArrow(lambda it: _sets(it, width), "cluster long, node long, least long, set array<long>")
+    # texts that are not wanted are left out where they are read, by a filter of bounded size, and only the others are shuffled
+    wanted = spark.sparkContext.broadcast(key_filter(picked.select(F.xxhash64("key", "t").alias("key")), picked.count()))
+    keyed = keyed.withColumn("h", F.xxhash64("key", "t")).select("key", "t", "h", "text").mapInArrow(lambda it: _chosen(it, wanted.value), "key long, t long, text string")
+    found = picked.hint("merge").join(keyed, ["key", "t"]).select("cluster", "node", "text").mapInArrow(lambda it: _sets(it, width), "cluster long, node long, least long, set array<long>")
     plain = saved(found.dropDuplicates(["node"]), picked)
     members = saved(_with_blocks(plain).withColumn("root", F.col("node")), plain)
     own = members.select("cluster", F.col("block").alias("i"), F.col("block").alias("j")).distinct()
@@ -526,13 +544,9 @@ def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wid
     """The rows of ``docs``, all columns, of which one of each component stays: the one with the least id, and of
     several such rows one. Rows without shingles stay."""
     found = jaccard_components(docs, text, doc_id, width, percent)
-    keep = found.where("n_shingles = 0 or doc_id <=> component_id").select(F.col("doc_id").alias("_id"), F.col("t").alias("_t"), "n_shingles", "root")
-    alone = keep.where("n_shingles > 0").groupBy("root", "_id").agg(F.min("_t").alias("_t")).select("_id", "_t", F.lit(True).alias("once"))
-    none = keep.where("n_shingles = 0").select("_id", "_t", F.lit(False).alias("once")).distinct()
+    alone = found.where("n_shingles > 0 and doc_id <=> component_id").groupBy("root", F.col("doc_id").alias("_id")).agg(F.min("t").alias("_t")).select("_id", "_t")
+    worded = F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
-    marked = docs.select(row, docs[doc_id].cast("long").alias("id"), F.xxhash64(text).alias("t"))
-    kept = alone.union(none)
-    met = marked.join(kept, marked["id"].eqNullSafe(kept["_id"]) & (marked["t"] == kept["_t"]))
-    # texts are dealt once, by (id, t); rows without shingles differ by their number and all stay
-    number = F.when(F.col("once"), F.lit(0)).otherwise(F.monotonically_increasing_id())
-    return met.withColumn("number", number).dropDuplicates(["id", "t", "number"]).select("row.*")
+    marked = docs.where(worded).select(row, docs[doc_id].cast("long").alias("id"), F.xxhash64(text).alias("t"))
+    met = marked.join(alone, F.col("id").eqNullSafe(F.col("_id")) & (F.col("t") == F.col("_t")))
+    return met.dropDuplicates(["id", "t"]).select("row.*").unionByName(docs.where(~worded))

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from assaylake.llm import collocations, queries
+from assaylake.llm import collocations, filters, queries
 from tests.compare import connect, differences
 
 from .test_llm import UP, documents, none, odd  # noqa: F401
@@ -106,14 +106,14 @@ def test_filters_hold_their_keys(spark):
     keys = np.random.default_rng(3).integers(0, 2**64, 5000, dtype=np.uint64)
     frame = spark.createDataFrame(pa.table({"key": keys.view(np.int64)}))
     for count in (5000, 10, 10**12):
-        limit = collocations.MOST_BITS
+        limit = filters.MOST_BITS
         try:
-            collocations.MOST_BITS = 1 << 18
-            made = collocations.key_filter(frame, count)
+            filters.MOST_BITS = 1 << 18
+            made = filters.key_filter(frame, count)
         finally:
-            collocations.MOST_BITS = limit
-        assert collocations._passes(made, keys).all() and 64 * len(made) <= 1 << 18
-    assert not collocations._passes(collocations.key_filter(frame.limit(0), 0), keys).any()
+            filters.MOST_BITS = limit
+        assert filters.passes(made, keys).all() and 64 * len(made) <= 1 << 18
+    assert not filters.passes(filters.key_filter(frame.limit(0), 0), keys).any()
 
 
 def test_slices_of_arrays():
