@@ -169,7 +169,7 @@ def test_candidates_in_blocks_are_those_of_all_pairs(spark, monkeypatch):
     rows = changed_copies()
     batch = pa.RecordBatch.from_arrays([pa.array([5] * 8 + [6, 7, 7]), pa.array([*range(8), 1, 2, 2]), pa.array([16] * 11, pa.int16())], ["sig", "node", "words"])
     (out,) = jaccard_trees._shared(iter([batch]))
-    assert out.to_pydict() == {"sig": [5] * 8, "node": [*range(8)], "words": [16] * 8, "block": [0, 0, 0, 1, 1, 1, 2, 2], "blocks": [3] * 8}
+    assert out.to_pydict() == {"sig": [5] * 8, "node": [*range(8)], "words": [16] * 8, "block": [0, 0, 0, 1, 1, 1, 2, 2], "blocks": [3] * 8, "low": [0] * 8}
     at, value = jaccard_trees.shingles(pa.array(rows), 5)
     n, bits = np.bincount(at, minlength=len(rows)), jaccard_trees.bitmaps(at, value, len(rows))
     least = jaccard_trees.minimum_hashes(at, value, len(rows))
@@ -191,3 +191,16 @@ def test_candidates_in_blocks_are_those_of_all_pairs(spark, monkeypatch):
         for b in range(a):
             if n[a] and n[b] and jaccard_trees.could_link(one, one, np.array([[a], [b]]), 80)[0]:
                 assert root[a] == root[b]
+
+
+def test_rows_without_words_and_repeated_rows_of_a_stage(spark):
+    """Rows without words all stay, of equal rows one does, and neither depends on how the rows are dealt."""
+    rows = [(k % 3, t) for k, t in enumerate([None, "", " \n", "a b c d e f g", "a b c d e f g", "a b c d e f g h", "\x85", None])]
+    frame = spark.createDataFrame([(i, t, "en", "s", k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long")
+    want = None
+    for parts in (1, 3, 8):
+        got = sorted(((r["doc_id"], r["text"]) for r in jaccard_trees.one_of_each(frame.repartition(parts), width=5, percent=80).collect()), key=str)
+        assert want is None or got == want
+        want = got
+    assert sum(t is None or not t.strip(" \n") for _, t in want) == 4 and [i for i, t in want if t == "\x85"] == [0]
+    assert sum(bool(t) and t.startswith("a b") for _, t in want) == 2
