@@ -44,7 +44,7 @@ FANOUT = 4
 PAIR_WORDS = 1 << 18
 #: Sets with one segment that are held against each other without a tree; sets of a block of those with one segment; rows
 #: of a task's group.
-FEW, BLOCK_SETS, TASK_ROWS = 64, 4096, 200_000
+FEW, BLOCK_SETS, TASK_ROWS = 64, 4096, 50_000
 #: Groups that are dealt on and broadcast at most; more of them are joined.
 BROADCAST_ROWS = 100_000
 ODD = [U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9)]
@@ -326,6 +326,13 @@ def stars(pairs: np.ndarray) -> np.ndarray:
     return np.stack([names[own], names[root[own]]])
 
 
+def _words_of(column: pa.ChunkedArray, words_: int) -> np.ndarray:
+    """Bitmaps of so many words as one array, without a copy of each."""
+    whole = pa.concat_arrays(column.chunks)
+    start = int(np.frombuffer(whole.buffers()[1], np.int32)[whole.offset])
+    return np.frombuffer(whole.buffers()[2], np.uint8)[start : start + 8 * words_ * len(whole)].view(U64).reshape(-1, words_)
+
+
 def _candidates(rows: pa.Table, sketches: pa.Table, percent: int) -> pa.Table:
     """Edges that join the nodes which share a segment and could link: from all rows (sig, i, j, block, node, words) of some
     (sig, i, j), and one sketch of each (node, words) among them."""
@@ -333,7 +340,7 @@ def _candidates(rows: pa.Table, sketches: pa.Table, percent: int) -> pa.Table:
     for words_ in np.unique(sketches.column("words").to_numpy()).tolist():
         own = sketches.filter(pc.equal(sketches.column("words"), words_)).sort_by([("least", "ascending"), ("node", "ascending")])
         name, sizes = own.column("node").to_numpy(), own.column("n").to_numpy()
-        bits = np.frombuffer(b"".join(own.column("bits").to_pylist()), U64).reshape(-1, words_)
+        bits = _words_of(own.column("bits"), words_)
         one = (bits, sizes, sizes, sizes - np.bitwise_count(bits).sum(axis=1, dtype=np.int64))
         part = rows.filter(pc.equal(rows.column("words"), words_))
         sig, i, j, block, node = (part.column(k).to_numpy() for k in ("sig", "i", "j", "block", "node"))
