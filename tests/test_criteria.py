@@ -88,3 +88,17 @@ def test_forest_is_judged_on_plates_it_has_not_seen(spark):
     with pytest.raises(ValueError):
         learn.held_out_forest(cells, ["a"], "truth", F.col("plate"), 1)
     assert {r[0] for r in cells.select(learn.fold_of("plate", 3)).distinct().collect()} <= {0, 1, 2}
+
+
+def test_forest_is_trained_on_as_many_points_whatever_the_rows(spark):
+    cells = spark.range(400).selectExpr("id % 7 a", "id * 0.37 % 5 b", "double(id % 7 > 3) truth", "int(id % 50 = 0) is_outlier")
+    many = cells.crossJoin(spark.range(30).select(F.col("id").alias("copy")))
+    assert [len(x) for x in learn.bins_of(cells, ["a"]).getSplitsArray()] == [8]  # each of seven values has a bin of its own
+    bins = learn.bins_of(many, ["a", "b"])
+    once, often = (learn.counted(c, bins, ["truth"]) for c in (cells, many))
+    assert often.count() == once.count() and often.agg(F.sum("n")).first()[0] == 400 * 30
+    told = learn.train_forest(many, ["a", "b"], "truth", trees=10, depth=4).transform(many)
+    assert told.count() == 400 * 30 and told.where("prediction <> truth").count() == 0
+    gaps = cells.withColumn("a", F.when(F.col("a") > 0, F.col("a").cast("double"))).withColumn("b", F.when(F.col("b") < 0.5, float("nan")).otherwise(F.col("b")))
+    out = learn.held_out_forest(gaps, ["a", "b"], "truth", F.col("is_outlier"), 2, trees=2, depth=2)
+    assert out.count() == gaps.where("a is not null and not isnan(b)").count() > 0
