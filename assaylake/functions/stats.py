@@ -26,6 +26,14 @@ def mad(df: DataFrame, keys: list[str], value: str, name: str = "mad", median: s
     return centred.groupBy(*keys).agg(F.first("_m").alias(median), F.median(F.abs(F.col(value) - F.col("_m"))).alias(name))
 
 
+def quantile_of_sorted(values: Column, share: float) -> Column:
+    """The quantile of a sorted array, linear between neighbours as ``percentile`` has it; null of an empty one."""
+    at = (F.size(values) - 1) * F.lit(share)
+    low, high = F.floor(at).cast("int"), F.ceil(at).cast("int")
+    a, b = F.get(values, low), F.get(values, high)
+    return F.when(a == b, a).otherwise((high - at) * a + (at - low) * b)
+
+
 def mad_of_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """``mad`` for groups of very many rows: values are counted first, so what is shuffled is bounded by the distinct
     values of a group, and the medians weigh each by its count."""
@@ -118,11 +126,15 @@ def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
     d = 1 / np.where(np.abs(d) < tiny, tiny, d)
     h = d.copy()
     for m in range(1, 300):
+        settled = True
         for numerator in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
             d, c = 1 + numerator * d, 1 + numerator / c
             d = 1 / np.where(np.abs(d) < tiny, tiny, d)
             c = np.where(np.abs(c) < tiny, tiny, c)
             h = h * d * c
+            settled = settled and bool((np.abs(d * c - 1) < 1e-15).all())
+        if settled:  # further terms would change no digit
+            break
     log = np.array([math.lgamma(p + q) - math.lgamma(p) - math.lgamma(q) for p, q in zip(a, b)]) + a * np.log(x) + b * np.log1p(-x)
     return np.exp(log) * h / a
 

@@ -118,15 +118,21 @@ def all_scores(cells: DataFrame, keys: list[str], values: tuple[str, ...] = ("su
     aggregates of the same groups, so that all of a table comes from one.
 
     The p-value of all pairs of a value is that of Welch's test of the groups' cells by it."""
-    own, groups = Window.partitionBy(*keys), (("i", "is_infected", "infected"), ("c", "is_control", "control"))
+    groups = (("i", "is_infected", "infected"), ("c", "is_control", "control"))
     of = lambda flag, v: F.when(F.col(flag) == 1, F.col(v))
-    centred = cells.withColumns({f"_{g}m_{v}": F.median(of(flag, v)).over(own) for v in values for g, flag, _ in groups})
     aggs: list[Column] = [*beside]
     for v in values:
         aggs += stats.welch_terms(of("is_infected", v), of("is_control", v), f"_{v}_")
         for g, flag, _ in groups:
-            aggs += [F.percentile(of(flag, v), QUANTILES).alias(f"_{g}q_{v}"), F.median(F.abs(of(flag, v) - F.col(f"_{g}m_{v}"))).alias(f"_{g}mad_{v}"), F.avg(of(flag, v)).alias(f"_{g}mean_{v}")]
-    table = centred.groupBy(*keys).agg(*aggs)
+            aggs += [F.sort_array(F.collect_list(of(flag, v).cast("double"))).alias(f"_{g}s_{v}"), F.avg(of(flag, v)).alias(f"_{g}mean_{v}")]
+    # quantiles and MAD are read from a group's sorted values: one buffer of each group instead of a window and three
+    table = cells.groupBy(*keys).agg(*aggs)
+    for g, v in [(g, v) for v in values for g, _, _ in groups]:
+        own = F.col(f"_{g}s_{v}")
+        median = stats.quantile_of_sorted(own, 0.5)
+        table = table.withColumns({f"_{g}q_{v}": F.array(*(stats.quantile_of_sorted(own, q) for q in QUANTILES)), "_median": median})
+        table = table.withColumn("_gaps", F.sort_array(F.transform(own, lambda x: F.abs(x - F.col("_median")))))
+        table = table.withColumn(f"_{g}mad_{v}", stats.quantile_of_sorted(F.col("_gaps"), 0.5)).drop("_gaps", "_median", f"_{g}s_{v}")
     out: list[Column] = [F.col(c) for c in table.columns if c not in keys and not c.startswith("_")]
     for v in values:
         t, dof = stats.welch_of(f"_{v}_")

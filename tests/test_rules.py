@@ -226,3 +226,14 @@ def test_incremental(spark):
 def test_dedup_average(spark):
     table = spark.createDataFrame([("a", 1, 2.0), ("a", 2, 4.0), ("b", 1, 5.0)], "id string, n int, score double")
     assert [(r["id"], r["n"], r["score"], r["n_repeats"]) for r in evaluate.dedup_average(table, "id", "score", ["n"]).orderBy("id", "n").collect()] == [("a", 1, 3.0, 2), ("a", 2, None, 2), ("b", 1, 5.0, 1)]
+
+
+def test_quantiles_and_mad_from_one_buffer_of_a_group(spark):
+    rows = [(k % 5, k, float(k * 7 % 11), int(k % 3 == 0), int(k % 3 == 1)) for k in range(60)] + [(9, 0, 2.0, 0, 1), (9, 1, None, 0, 1)]
+    cells = spark.createDataFrame(rows, "well int, id int, v double, is_infected int, is_control int")
+    table = scores.all_scores(cells, ["well"], ("v",))
+    plan = table._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "percentile" not in plan
+    want = stats.mad(cells.where("is_control = 1"), ["well"], "v").withColumnRenamed("median", "m")
+    both = table.join(want, "well").select("`control_q0.5_of_cell_v`", "m", "control_mad_of_cell_v", "mad", "`infected_q0.5_of_cell_v`", "well").collect()
+    assert len(both) == 6 and all(r[0] == r[1] and r[2] == r[3] and (r[4] is None) == (r[5] == 9) for r in both)
