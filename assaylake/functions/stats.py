@@ -34,12 +34,48 @@ def quantile_of_sorted(values: Column, share: float) -> Column:
     return F.when(a == b, a).otherwise((high - at) * a + (at - low) * b)
 
 
+#: Parts by hash of a group's distinct values; a part of fewer rows tells its whole range.
+MEDIAN_PARTS, PART_LEAST = 256, 1000
+
+
+def _near_median(counts: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """keys, _v, _n with the same medians as ``value``, ``_n`` times each, but few rows a group.
+
+    Each part of a group tells values at its ranks 0.49 and 0.51. Less than half of each part is below the least of the former,
+    so less than half of the group is, and the same above the largest of the latter: the middle ranks are between them. All values
+    below and all above are one each, which leaves the median as it is."""
+    v = F.col(value)
+    part = counts.groupBy(*keys, F.pmod(F.xxhash64(value), F.lit(MEDIAN_PARTS)).alias("_h")).agg(F.percentile(v, F.array(F.lit(0.49), F.lit(0.51)), F.col("_n")).alias("_q"), F.min(v).alias("_a"), F.max(v).alias("_b"), F.sum("_n").alias("_s"))
+    few = F.col("_s") < PART_LEAST
+    ends = part.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.min(F.when(few, F.col("_a")).otherwise(F.get("_q", F.lit(0)))).alias("_low"), F.max(F.when(few, F.col("_b")).otherwise(F.get("_q", F.lit(1)))).alias("_high"))
+    # a last bit that an end between two values may miss; an infinite end stays
+    low, high = F.least(F.col("_low") - F.abs("_low") * 1e-9, "_low"), F.greatest(F.col("_high") + F.abs("_high") * 1e-9, "_high")
+    near = _with_groups(counts, ends, keys).withColumn("_v", F.when(v < low, float("-inf")).when(v > high, float("inf")).otherwise(v))
+    return near.groupBy(*keys, "_v").agg(F.sum("_n").alias("_n"))
+
+
+def _median_of_counts(counts: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    """The keys as ``_k_`` columns, and the median of ``value``, ``_n`` times each."""
+    return _near_median(counts, keys, value).groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.percentile("_v", F.lit(0.5), F.col("_n")).alias(name))
+
+
+def _with_groups(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with what their group has, one row of ``groups`` by ``_k_`` columns; a null is a key as others are."""
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return rows.join(groups, on).drop(*[f"_k_{k}" for k in keys])
+
+
 def mad_of_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """``mad`` for groups of very many rows: values are counted first, so what is shuffled is bounded by the distinct
-    values of a group, and the medians weigh each by its count."""
+    values of a group, and of those only the ones near a median meet in one task."""
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    centred = counts.withColumn("median", F.percentile(value, F.lit(0.5), F.col("_n")).over(Window.partitionBy(*keys)))
-    return centred.groupBy(*keys).agg(F.first("median").alias("median"), F.percentile(F.abs(F.col(value) - F.col("median")), F.lit(0.5), F.col("_n")).alias("mad"))
+    medians = _median_of_counts(counts, keys, value, "median")
+    centred = _with_groups(counts, medians, keys).withColumn("_d", F.abs(F.col(value) - F.col("median")))
+    spread = _median_of_counts(centred.select(*keys, "_d", "_n"), keys, "_d", "mad")
+    both = medians.select(*[F.col(f"_k_{k}").alias(k) for k in keys], "median")
+    return _with_groups(both, spread, keys)
 
 
 def welch_terms(one: Column, zero: Column, prefix: str = "") -> list[Column]:
