@@ -7,7 +7,8 @@
    of the next one.
 3. Sets that share a segment are compared by their signatures alone (size, and a bitmap of the shingles): all pairs of a
    few sets, signature trees (nodes with OR-combined bitmaps and size ranges, one traversed against another or itself)
-   of more. What could overlap enough is a candidate; whole sets are fetched for candidates only, so a passage that many
+   of more. What could overlap enough is a candidate, and joins components at once, so that a task keeps no pairs and looks
+   at none whose sets are in one component; whole sets are fetched for candidates only, so a passage that many
    texts share brings none of them together.
 4. Candidates that hang together are a cluster, in blocks of bounded size. Inside a block, and between two, trees are
    traversed again, node pairs in one component already are left out, and what remains is verified on the whole sets.
@@ -306,11 +307,9 @@ def traverse(left: SignatureTree, right: SignatureTree, percent: int, is_open: C
         stack += [(u, v, pairs[:, k : k + step]) for k in range(0, pairs.shape[1], step)][::-1]
 
 
-def stars(pairs: np.ndarray) -> np.ndarray:
-    """Pairs (node, least node) of the components of pairs."""
-    names, ends = np.unique(pairs, return_inverse=True)
-    a, b = ends.reshape(2, -1)
-    root = np.arange(len(names))
+def joined(root: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """The least number of each number's component, as ``root`` has it and pairs of numbers join components."""
+    a, b = root[pairs]
     while True:
         low = np.minimum(root[a], root[b])
         now = root.copy()
@@ -320,12 +319,57 @@ def stars(pairs: np.ndarray) -> np.ndarray:
         np.minimum.at(now, b, low)
         now = now[now]
         if (now == root).all():
-            break
+            return root
         root = now
+
+
+def stars(pairs: np.ndarray) -> np.ndarray:
+    """Pairs (node, least node) of the components of pairs."""
+    names, ends = np.unique(pairs, return_inverse=True)
+    root = joined(np.arange(len(names)), ends.reshape(2, -1))
     own = root != np.arange(len(names))
     return np.stack([names[own], names[root[own]]])
 
 
+class Linked:
+    """Components of sets, in ``root``, by the pairs among those looked at that could link. Pairs are taken in some at a time and
+    none is kept, nor looked at once its sets are in one component, so a group of near copies costs no pairs of all."""
+
+    def __init__(self, sets: tuple[np.ndarray, ...], percent: int):
+        self.sets, self.percent, self.root = sets, percent, np.arange(len(sets[1]))
+
+    def look(self, a: np.ndarray, b: np.ndarray) -> None:
+        """The pairs (a, b) of sets."""
+        step = max(1, PAIR_WORDS // self.sets[0].shape[1])
+        for k in range(0, len(a), step):
+            pairs = np.stack([a[k : k + step], b[k : k + step]])
+            pairs = pairs[:, self.root[pairs[0]] != self.root[pairs[1]]]
+            pairs = pairs[:, could_link(self.sets, self.sets, pairs, self.percent)]
+            if pairs.size:
+                self.root = joined(self.root, pairs)
+
+    def look_all(self, left: np.ndarray, right: np.ndarray) -> None:
+        """All pairs of the sets of two groups, or of one with itself, by their trees. The first set is held against all before, and
+        neighbours in one group, which joins most near copies."""
+        self.look(np.repeat(left[:1], len(right)), right)
+        if left is right:
+            self.look(left[:-1], left[1:])
+        here = self.root[np.concatenate([left, right])]
+        if (here == here[0]).all():
+            return
+        bits, sizes = self.sets[:2]
+        tree = SignatureTree(bits[left], sizes[left])
+        other = tree if left is right else SignatureTree(bits[right], sizes[right])
+
+        def is_open(u: int, v: int, pairs: np.ndarray) -> np.ndarray:
+            mine, theirs = tree.one_root(self.root[left], u)[pairs[0]], other.one_root(self.root[right], v)[pairs[1]]
+            return (mine < 0) | (mine != theirs)
+
+        for pairs in traverse(tree, other, self.percent, is_open):
+            if pairs.size:
+                self.root = joined(self.root, np.stack([left[pairs[0]], right[pairs[1]]]))
+
+
 def _words_of(column: pa.ChunkedArray, words_: int) -> np.ndarray:
     """Bitmaps of so many words as one array, without a copy of each."""
     whole = pa.concat_arrays(column.chunks)
@@ -355,18 +399,16 @@ def _candidates(rows: pa.Table, sketches: pa.Table, percent: int) -> pa.Table:
         count = np.diff(np.append(head, len(sig)))
         few = np.repeat((count <= FEW) & (i == j)[head], count)
         left = np.repeat(head + count, count) - np.arange(len(sig))  # rows to the group's end
-        each = max(1, PAIR_WORDS // words_)
+        linked = Linked(one, percent)
         for step in range(1, int(min(FEW, count.max()))):
             at = np.flatnonzero(few & (left > step))
-            for k in range(0, len(at), each):
-                pairs = np.stack([place[at[k : k + each]], place[at[k : k + each] + step]])
-                out.append(name[pairs[:, could_link(one, one, pairs, percent)]])
+            linked.look(place[at], place[at + step])
         for start, n in zip(head[~few[head]].tolist(), count[~few[head]].tolist()):
             own_rows = np.arange(start, start + n)
             sides = [place[own_rows]] if i[start] == j[start] else [place[own_rows[block[own_rows] == k[start]]] for k in (i, j)]
             if all(map(len, sides)):
-                trees = [SignatureTree(bits[x], sizes[x]) for x in sides]
-                out += [np.stack([name[sides[0][p[0]]], name[sides[-1][p[1]]]]) for p in traverse(trees[0], trees[-1], percent)]
+                linked.look_all(sides[0], sides[-1])
+        out.append(np.stack([name, name[linked.root]]))
     found = stars(np.concatenate(out, axis=1))
     return pa.table({"a": found[0], "b": found[1]})
 
