@@ -54,8 +54,9 @@ BODY, SIDE = 64, 16
 CLASSES, CHANNELS, FILTERS, REACH = 128, 8, 24, 5
 #: What changed values are made of, and the shortest part that a value is cut to.
 ALPHABET, VARIANT_LEAST = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", 16
-#: Characters that candidates are scored in at a time.
-SCORED = 1 << 16
+#: Characters that candidates are scored in at a time, so few that their filters stay in a core's cache, and places whose maximum is
+#: taken for all candidates at once: at most those of a window.
+SCORED, SPAN = 1 << 14, 32
 RECALL, EPOCHS, BATCH, RATE, SEED = 0.99, 12, 64, 0.01, 7
 NAMES = ("embed", "filters", "bias", "out", "out_bias")
 
@@ -137,6 +138,12 @@ class Network:
         out[-1] += self.bias
         return out
 
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What the first two characters of a place, the next two and the fifth add to each filter, in single precision."""
+        table = self.table()
+        first, second = ((table[k][:, None] + table[k + 1]).reshape(-1, FILTERS) for k in (0, 2))
+        return first.astype(np.float32), second.astype(np.float32), table[4].astype(np.float32)
+
     def probability(self, x: np.ndarray) -> np.ndarray:
         z = np.concatenate([self.forward(x[k : k + 256])[0] for k in range(0, len(x), 256)]) if len(x) else np.zeros(0)
         return 1 / (1 + np.exp(-np.clip(self.scale * z + self.shift, -40, 40)))
@@ -149,29 +156,34 @@ class Network:
         owner = np.repeat(np.arange(len(start)), parts)
         at = start[owner] + BODY // 2 * (np.arange(len(owner)) - (np.cumsum(parts) - parts)[owner])
         stop = np.minimum(end[owner], at + BODY)
-        table = self.table().astype(np.float32)
-
-        def convolved(rows: np.ndarray, n: int) -> np.ndarray:
-            out = table[0].take(rows[..., :n], axis=0)
-            for k in range(1, REACH):
-                out += table[k].take(rows[..., k : k + n], axis=0)
-            return out
-
+        first, second, fifth = self.pairs()
         good = np.zeros(len(start), bool)
         cuts = np.flatnonzero(np.diff(at // SCORED, prepend=-1)) if len(at) else []
         for a, b in zip(cuts, [*cuts[1:], len(at)]):
-            low, high, size = at[a:b] - SIDE, stop[a:b] + SIDE, stop[a:b] - at[a:b]
-            region = codes[low[0] : high.max() + REACH]
-            h = convolved(region, len(region) - REACH + 1)
-            ends = high - REACH + 1
-            peak = np.maximum.reduceat(h, np.stack([low, ends], axis=1).ravel() - low[0], axis=0)[::2]
+            size = stop[a:b] - at[a:b]
+            base = at[a] - SIDE
+            region = codes[base : stop[a:b].max() + SIDE + REACH].astype(np.intp)
+            low, ends = at[a:b] - SIDE - base, stop[a:b] + SIDE - REACH + 1 - base
+            pair, n = region[:-1] * CLASSES + region[1:], len(region) - REACH + 1
+            h = first.take(pair[:n], axis=0)
+            h += second.take(pair[2 : n + 2], axis=0)
+            h += fifth.take(region[4 : n + 4], axis=0)
+            # the maximum of each SPAN places in a row, by doubling; a window has more than one and less than three of those
+            for k in range(SPAN.bit_length() - 1):
+                h = np.maximum(h[: -(1 << k)], h[1 << k :])
+            peak = np.maximum(h.take(low, axis=0), h.take(ends - SPAN, axis=0))
+            wide = np.flatnonzero(ends - low > 2 * SPAN)
+            peak[wide] = np.maximum(peak[wide], h.take(low[wide] + SPAN, axis=0))
             # after a window's text there are zeros up to its full width
-            tail = np.zeros((b - a, 2 * REACH - 1), codes.dtype)
-            tail[:, : REACH - 1] = codes[ends[:, None] + np.arange(REACH - 1)]
-            last = convolved(tail, REACH)
-            last[size[:, None] + 2 * SIDE + 1 + np.arange(REACH) > BODY + 2 * SIDE] = -np.inf
-            peak = np.maximum(np.maximum(peak, last.max(axis=1)), 0)
-            z = peak @ self.out + self.out_bias[0]
+            tail = np.zeros((2 * REACH - 1, b - a), np.intp)
+            tail[: REACH - 1] = region[ends + np.arange(REACH - 1)[:, None]]
+            for k in range(REACH):
+                last = first.take(tail[k] * CLASSES + tail[k + 1], axis=0)
+                last += second.take(tail[k + 2] * CLASSES + tail[k + 3], axis=0)
+                last += fifth.take(tail[k + 4], axis=0)
+                last[size + k >= BODY] = -np.inf
+                np.maximum(peak, last, out=peak)
+            z = np.maximum(peak, 0) @ self.out + self.out_bias[0]
             passed = 1 / (1 + np.exp(-np.clip(self.scale * z + self.shift, -40, 40))) >= self.threshold
             good[owner[a:b][passed]] = True
         return good
@@ -310,8 +322,10 @@ def labelled_examples(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndar
 def _patterns(texts: pa.Array) -> list[list[tuple[int, int, str]]]:
     """The patterns' findings of each text."""
     hexes: dict[int, list[tuple[int, int]]] = {}
-    for i, a, b in zip(*(x.tolist() for x in byte_runs(texts, HEX, HEX_LEAST))):
-        hexes.setdefault(i, []).append((a, b))
+    # few texts have such a run: only theirs are looked up
+    some = np.flatnonzero(pc.match_substring_regex(texts, "[0-9a-f]{%d}" % HEX_LEAST).to_numpy(zero_copy_only=False))
+    for i, a, b in zip(*(x.tolist() for x in byte_runs(texts.take(pa.array(some)), HEX, HEX_LEAST))):
+        hexes.setdefault(int(some[i]), []).append((a, b))
     maybe = pc.or_(pc.match_substring_regex(texts, ASSIGN_START), pc.match_substring(texts, "AKIA")).to_numpy(zero_copy_only=False)
     spans: list[list[tuple[int, int, str]]] = [[] for _ in range(len(texts))]
     for i in {*hexes, *np.flatnonzero(maybe).tolist()}:
@@ -337,16 +351,16 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for piece in slices(batches):
         for text, spans in zip(piece.column("text").to_pylist(), _patterns(piece.column("text"))):
-            free = np.ones(len(text) + 1, bool) if spans else None
+            free = bytearray(b"\1") * (len(text) + 1) if spans else b""
             for start, end, _ in spans:
-                free[start:end] = False
+                free[start:end] = bytes(end - start)
                 value = re.search(r"[A-Za-z0-9+/_.=-]+$", text[start:end])
                 if value:
                     others.add((VALUE_KIND, value.group(), ""))
-            words.update(WORDS.findall(text) if free is None else (m.group() for m in WORDS.finditer(text) if free[m.start() : m.end()].all()))
+            words.update((m.group() for m in WORDS.finditer(text) if 0 not in free[m.start() : m.end()]) if spans else WORDS.findall(text))
             for at in range(zlib.crc32(text[:CONTEXT_EACH].encode()) % min(CONTEXT_EACH, len(text) or 1), len(text), CONTEXT_EACH):
                 m = WORDS.search(text, at) or WORDS.search(text)
-                if m and (free is None or free[max(0, m.start() - SIDE) : m.end() + SIDE].all()):
+                if m and 0 not in free[max(0, m.start() - SIDE) : m.end() + SIDE]:
                     others.add((AROUND_KIND, text[max(0, m.start() - SIDE) : m.start()], text[m.end() : m.end() + SIDE]))
             if len(words) + len(others) > HELD_WORDS:
                 yield told()
